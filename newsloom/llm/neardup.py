@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.words import common, mix, shingles, word_hashes
+from newsloom.llm.words import common, mix, shingle_sets, shingles, word_hashes
 from newsloom.runtime import ship, written
 
 BUCKETS, CHUNKS = 1 << 21, 16
@@ -39,14 +39,27 @@ def _band(n: np.ndarray) -> np.ndarray:
 
 
 def width(band: int) -> int:
-    """Bits of a signature in a size band: two to four for each shingle, 256 at least."""
-    return max(256, 1 << (band + 2))
+    """Bits of a stored signature in a size band: four to eight for each shingle; within a band half of them are compared."""
+    return max(256, 1 << (band + 3))
 
 
-def bitmap(s: np.ndarray, bits: int) -> np.ndarray:
-    """Parity bitmap of a set."""
-    odd = np.bincount(((s >> np.uint64(8)) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
-    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+def bitmaps(h: np.ndarray, begin: np.ndarray) -> list[bytes]:
+    """Parity bitmaps of many sets, each as wide as its band asks."""
+    n = np.diff(begin)
+    band = _band(n)
+    out: list = [None] * len(n)
+    for b in np.unique(band):
+        bits = width(int(b))
+        docs = np.flatnonzero(band == b)
+        for lo in range(0, len(docs), 2048):
+            some = docs[lo : lo + 2048]
+            at = np.concatenate([np.arange(begin[d], begin[d + 1]) for d in some])
+            row = np.repeat(np.arange(len(some)), n[some])
+            bit = row * bits + ((h[at] >> np.uint64(8)) & np.uint64(bits - 1)).astype(np.int64)
+            packed = np.packbits((np.bincount(bit, minlength=len(some) * bits) & 1).astype(np.uint8), bitorder="little").reshape(len(some), -1)
+            for d, x in zip(some, packed):
+                out[d] = x.tobytes()
+    return out
 
 
 def class_hash(s: np.ndarray) -> int:
@@ -60,16 +73,13 @@ def sign(docs: DataFrame, k: int, least_words: int) -> DataFrame:
     def run(batches):
         counts = np.zeros(BUCKETS, np.uint32)
         for b in batches:
-            ids, cls, ns = [], [], []
-            for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                w = word_hashes(text)
-                if len(w) < max(least_words, k):
-                    continue
-                s = np.unique(shingles(w, k))
-                ids.append(i), cls.append(class_hash(s)), ns.append(len(s))
-                counts[(s & np.uint64(BUCKETS - 1)).astype(np.int64)] += 1  # within a set a bucket counts once
+            rows, begin, h = shingle_sets(b.column(1).to_pylist(), k, least_words)
+            ids = b.column(0).take(pa.array(rows))
+            cls = [class_hash(h[a:z]) for a, z in zip(begin[:-1].tolist(), begin[1:].tolist())]
+            ns = np.diff(begin).astype(np.int32)
+            counts += np.bincount((h & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS).astype(np.uint32)
             m = len(ids)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(cls, pa.int64()), pa.array(ns, pa.int32()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], ["id", "cls", "n", "chunk", "blob"])
+            yield pa.RecordBatch.from_arrays([ids, pa.array(cls, pa.int64()), pa.array(ns), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], ["id", "cls", "n", "chunk", "blob"])
         if counts.any():
             z = zstandard.ZstdCompressor(level=1)
             blobs = [z.compress(c.tobytes()) for c in counts.reshape(CHUNKS, -1)]
@@ -119,40 +129,40 @@ def postings(docs: DataFrame, k: int, t: float, least_words: int, order, parts:
     def run(batches):
         rare = order.value
         for b in batches:
-            seen: dict[int, tuple[int, int]] = {}
-            keys, at, bits = [], [], []
-            for text in b.column(0).to_pylist():
-                w = word_hashes(text)
-                if len(w) < max(least_words, k):
-                    continue
-                s = np.unique(shingles(w, k))
-                c = class_hash(s)
+            _, begin, h = shingle_sets(b.column(0).to_pylist(), k, least_words)
+            f = rare[(h & np.uint64(BUCKETS - 1)).astype(np.int64)]
+            rank = f.astype(np.uint64) << np.uint64(32) | (h >> np.uint64(32))
+            seen: dict[int, int] = {}
+            keys, at = [], []
+            for d, (lo, hi) in enumerate(zip(begin[:-1].tolist(), begin[1:].tolist())):
+                c = class_hash(h[lo:hi])
                 if c in seen:
                     continue
-                n = len(s)
-                seen[c] = (len(seen), n)
-                f = rare[(s & np.uint64(BUCKETS - 1)).astype(np.int64)]
+                seen[c] = d
+                n = hi - lo
                 p = min(n, n - math.ceil(t * n - 1e-9) + 1)
-                first = np.argsort(f.astype(np.uint64) << np.uint64(32) | (s >> np.uint64(32)))[:p]
-                key, often = s[first], f[first]
-                if (often > HOT).any():
+                first = lo + (np.argpartition(rank[lo:hi], p - 1)[:p] if p < n else np.arange(n))
+                key, often = h[first], f[first]
+                if often.max() > HOT:
                     own, more = [key[often <= HOT]], key[often > HOT]
-                    for h, m in zip(more, often[often > HOT]):
+                    for x, m in zip(more, often[often > HOT]):
                         salts = -(-int(m) // HOT)
                         mine = c % salts
-                        tiles = [(min(mine, x) * salts + max(mine, x)) for x in range(salts)]
-                        own.append(mix(np.array(tiles, np.uint64) ^ h))
+                        tiles = [(min(mine, y) * salts + max(mine, y)) for y in range(salts)]
+                        own.append(mix(np.array(tiles, np.uint64) ^ x))
                     key = np.concatenate(own)
                 keys.append(key), at.append(np.full(len(key), len(seen) - 1, np.uint16))
-                bits.append(bitmap(s, width(int(_band(np.array([n]))[0]))))
             if not seen:
                 continue
+            mine = np.array(list(seen.values()))
+            every = bitmaps(h, begin)
+            bits = [every[d] for d in mine]
             key, idx = np.concatenate(keys) >> np.uint64(24), np.concatenate(at)
             o = np.argsort(key, kind="stable")
             key, idx = key[o], idx[o]
             part = ((key * np.uint64(parts)) >> np.uint64(40)).astype(np.int64)
             cls = np.fromiter(seen, np.int64, len(seen))
-            n = np.fromiter((x[1] for x in seen.values()), np.int32, len(seen))
+            n = np.diff(begin)[mine].astype(np.int32)
             edge = np.searchsorted(part, np.arange(parts + 1))
             cols: list[list] = [[], [], [], [], [], []]
             for q in range(parts):
@@ -160,21 +170,13 @@ def postings(docs: DataFrame, k: int, t: float, least_words: int, order, parts:
                 if lo == hi:
                     continue
                 used, local = np.unique(idx[lo:hi], return_inverse=True)
-                for col, v in zip(cols, (q, _pack(key[lo:hi]), local.astype(np.uint16).tobytes(), cls[used].tobytes(), n[used].tobytes(), b"".join(bits[u].tobytes() for u in used))):
+                for col, v in zip(cols, (q, _pack(key[lo:hi]), local.astype(np.uint16).tobytes(), cls[used].tobytes(), n[used].tobytes(), b"".join(bits[u] for u in used))):
                     col.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *(pa.array(x, pa.binary()) for x in cols[1:])], ["part", "keys", "at", "cls", "n", "bits"])
 
     return docs.where(F.col("text").isNotNull()).select("text").mapInArrow(run, _POST)
 
 
-def _fold(m: np.ndarray, bits: int) -> np.ndarray:
-    """A +-1 signature folded to fewer bits: parities multiply."""
-    while m.shape[1] > bits:
-        h = m.shape[1] // 2
-        m = m[:, :h] * m[:, h:]
-    return m
-
-
 def tile(table: pa.Table, t: float) -> pa.Table:
     """Pairs of classes in one part whose bitmaps allow similarity t."""
     keys, cls, ns, words, doc = [], [], [], [], []
@@ -228,7 +230,8 @@ def tile(table: pa.Table, t: float) -> pa.Table:
                 for lo in range(0, int(at.sum()), 50_000):
                     p, q = x[at][lo : lo + 50_000], y[at][lo : lo + 50_000]
                     wb, wc = width(int(b)) // 64, width(int(c)) // 64
-                    diff = np.bitwise_count(bitrows(p, wb, wb) ^ bitrows(q, wc, wb)).sum(axis=1, dtype=np.int64)
+                    to = max(4, wb // 2) if b == c else wb
+                    diff = np.bitwise_count(bitrows(p, wb, to) ^ bitrows(q, wc, to)).sum(axis=1, dtype=np.int64)
                     ok = diff <= ratio * (n[p] + n[q]) + 1e-9
                     found.append(np.minimum(p[ok], q[ok]) * total + np.maximum(p[ok], q[ok]))
     # large tiles: signatures as +-1, differing bits by a matrix product, band against band
@@ -238,13 +241,13 @@ def tile(table: pa.Table, t: float) -> pa.Table:
         cut = np.flatnonzero(np.concatenate([[True], gb[1:] != gb[:-1], [True]]))
         runs = [(int(gb[a]), g[a:z]) for a, z in zip(cut[:-1], cut[1:])]
         for r, (b, rows) in enumerate(runs):
-            bits = width(b)
             for c, cols in runs[r : r + 2]:
                 if c > b + 1:
                     continue
+                bits = max(256, width(b) // 2) if c == b else width(b)
                 for i in range(0, len(rows), 512):
                     p = rows[i : i + 512]
-                    mp = 1 - 2 * np.unpackbits(bitrows(p, bits // 64, bits // 64).view(np.uint8), axis=1, bitorder="little").astype(np.float32)
+                    mp = 1 - 2 * np.unpackbits(bitrows(p, width(b) // 64, bits // 64).view(np.uint8), axis=1, bitorder="little").astype(np.float32)
                     for j in range(i if c == b else 0, len(cols), 512):
                         q = cols[j : j + 512]
                         if c == b and j == i:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.llm import lines as L
+from newsloom.llm import mojibake as M
 from newsloom.llm import neardup as N
 from newsloom.runtime import fresh, table
 
@@ -46,6 +47,29 @@ def p2_groups(spark, d):
     return g.select(F.col("id").alias("feed_articleid"), "group_id")
 
 
+# ---- 3: text decoded in the wrong charset
+
+
+def pages(spark, d):
+    """(id, text) of the decoded pages: content as it stands, one row for a page."""
+    utf8 = table(spark, d, "feed_article_meta").where("is_utf8 = '1'").select("id").distinct()
+    return table(spark, d, "article").where("content is not null").select(F.col("feed_articleid").alias("id"), F.col("content").alias("text")).join(utf8, "id", "left_semi")
+
+
+def _garbled(spark, d):
+    docs = pages(spark, d)
+    return M.garbled(docs, M.corpus_of(docs.select("text")))
+
+
+def p3_found(spark, d):
+    return _garbled(spark, d).select(F.col("id").alias("feed_articleid")).distinct()
+
+
+def p3_restored(spark, d):
+    """Each garbled page with the channels it went through, the bytes lost for good and its text as written."""
+    return _garbled(spark, d).select(F.col("id").alias("feed_articleid"), "channels", "lost", "restored").distinct()
+
+
 # ---- 5: repeated lines
 
 
@@ -63,4 +87,4 @@ def p5_clean(spark, d):
     return L.without_lines(docs, L.repeated_lines(docs)).select(F.col("id").alias("feed_articleid"), "content", "cut")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_classes, p2_groups, p5_found, p5_clean)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_classes, p2_groups, p3_found, p3_restored, p5_found, p5_clean)}

@@ -81,3 +81,30 @@ def winnow(h: np.ndarray, w: int) -> np.ndarray:
     if len(h) <= w:
         return np.array([h.min()], np.uint64) if len(h) else h
     return np.unique(np.lib.stride_tricks.sliding_window_view(h, w).min(axis=1))
+
+
+def shingle_sets(texts: list, k: int, least_words: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct shingles of many texts at once: (rows kept, where each begins, hashes).
+
+    Null texts and those of fewer than ``least_words`` (or k) words are left out."""
+    rows, words = [], []
+    for i, x in enumerate(texts):
+        if x is not None:
+            w = word_hashes(x)
+            if len(w) >= max(least_words, k):
+                rows.append(i), words.append(w)
+    if not rows:
+        return np.empty(0, np.int64), np.zeros(1, np.int64), np.empty(0, np.uint64)
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    h = shingles(np.concatenate(words), k)  # those that run over a text's end are cut out below
+    at = np.cumsum(size) - size
+    out = np.concatenate([h[a : a + n - k + 1] for a, n in zip(at.tolist(), size.tolist())])
+    ends = np.cumsum(size - k + 1)
+    begin = np.concatenate([[0], ends[:-1]])
+    for a, z in zip(begin.tolist(), ends.tolist()):
+        out[a:z].sort()
+    keep = np.ones(len(out), bool)
+    keep[1:] = out[1:] != out[:-1]
+    keep[begin] = True
+    n = np.add.reduceat(keep.astype(np.int64), begin)
+    return np.array(rows), np.concatenate([[0], np.cumsum(n)]), out[keep]
