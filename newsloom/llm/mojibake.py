@@ -189,7 +189,7 @@ def readings(token: str, corpus: Corpus) -> tuple:
     """((channel number, gain, reading), ...) of the channels under which the token gains."""
     got = corpus.memo.get(token)
     if got is None:
-        if len(corpus.memo) > 300_000:
+        if len(corpus.memo) > 150_000:
             corpus.memo.clear()
         base, seen, out = corpus.score(token), {}, []
         for k, (read, true) in enumerate(CHANNELS):

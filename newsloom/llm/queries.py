@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsloom.llm import language as X
 from newsloom.llm import lines as L
 from newsloom.llm import mojibake as M
 from newsloom.llm import neardup as N
@@ -24,6 +25,46 @@ def hostnames(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "site").select(F.col("id").alias("site"), "hostname")
 
 
+# ---- 1: languages
+
+
+def labels(spark, d):
+    """(id, lang): the language each article's own label or else its feed's label names; null where neither does."""
+    ps = table(spark, d, "feed_ps").where(X.named(F.col("language")).isNotNull())
+    ps = ps.groupBy("feedid").agg(F.max_by(X.named(F.col("language")), F.struct("updated", "language")).alias("feed_lang"))
+    meta = table(spark, d, "feed_article_meta").groupBy("id").agg(F.max(X.named(F.col("lang_iso"))).alias("own"))
+    feed = table(spark, d, "feed_article").select("id", "feedid").distinct()
+    known = feed.join(meta, "id", "full").join(ps, "feedid", "left")
+    return known.groupBy("id").agg(F.max(F.coalesce("own", "feed_lang")).alias("lang"))
+
+
+def _tagged(spark, d):
+    docs = cleartexts(spark, d)
+    samples = table(spark, d, "lang_sample").select(F.col("lang_iso").alias("lang"), "text")
+    return X.tagged(docs, X.fitted(samples, docs, labels(spark, d)), M.corpus_of(docs.select("text")))
+
+
+def p1_found(spark, d):
+    """Articles of 60 letters or more whose label is missing, differs from the language that counts, or where several count."""
+    found = X.shares(_tagged(spark, d)).where((F.col("letters") >= 60) & (F.size("langs") > 0))
+    found = found.join(labels(spark, d), "id", "left")
+    case = F.col("lang").isNull() | (F.size("langs") > 1) | (F.col("lang") != F.col("langs")[0]["lang"])
+    return found.where(case).select(F.col("id").alias("feed_articleid"), F.explode(F.col("langs")["lang"]).alias("lang")).distinct()
+
+
+def p1_documents(spark, d):
+    """Each article's main language with its share of the letters and the model's confidence."""
+    s = X.shares(_tagged(spark, d), 0.0)
+    main = F.array_max(F.transform("langs", lambda x: F.struct(x["share"], x["confidence"], x["lang"])))
+    return s.select(F.col("id").alias("feed_articleid"), "letters", main["lang"].alias("lang"), main["share"].alias("share"), main["confidence"].alias("confidence")).distinct()
+
+
+def p1_stretches(spark, d):
+    """The stretches of one language of each article, in reading order."""
+    t = _tagged(spark, d).distinct()
+    return t.select(F.col("id").alias("feed_articleid"), F.explode("stretches").alias("s")).select("feed_articleid", "s.*")
+
+
 # ---- 2: near-duplicates
 
 
@@ -51,14 +92,15 @@ def p2_groups(spark, d):
 
 
 def pages(spark, d):
-    """(id, text) of the decoded pages: content as it stands, one row for a page."""
-    utf8 = table(spark, d, "feed_article_meta").where("is_utf8 = '1'").select("id").distinct()
-    return table(spark, d, "article").where("content is not null").select(F.col("feed_articleid").alias("id"), F.col("content").alias("text")).join(utf8, "id", "left_semi")
+    """(id, text) of all pages: content as it stands; rows may repeat."""
+    return table(spark, d, "article").where("content is not null").select(F.col("feed_articleid").alias("id"), F.col("content").alias("text"))
 
 
 def _garbled(spark, d):
+    """Of the pages said to be decoded; the flag is joined to the few garbled ones, not to all texts."""
     docs = pages(spark, d)
-    return M.garbled(docs, M.corpus_of(docs.select("text")))
+    utf8 = table(spark, d, "feed_article_meta").where("is_utf8 = '1'").select("id").distinct()
+    return M.garbled(docs, M.corpus_of(docs.select("text"))).join(utf8, "id", "left_semi")
 
 
 def p3_found(spark, d):
@@ -87,4 +129,4 @@ def p5_clean(spark, d):
     return L.without_lines(docs, L.repeated_lines(docs)).select(F.col("id").alias("feed_articleid"), "content", "cut")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_classes, p2_groups, p3_found, p3_restored, p5_found, p5_clean)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_documents, p1_stretches, p2_found, p2_classes, p2_groups, p3_found, p3_restored, p5_found, p5_clean)}
