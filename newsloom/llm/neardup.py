@@ -214,7 +214,7 @@ def tile(table: pa.Table, t: float) -> pa.Table:
         return m
 
     # small tiles: all pairs at distance 1, 2, ... in the sorted postings at once
-    small = np.repeat(many, many) <= 16
+    small = np.repeat(many, many) <= 64
     sk, sd = key[small], doc[small]
     act, d = np.arange(len(sk)), 0
     while len(act):
@@ -235,7 +235,7 @@ def tile(table: pa.Table, t: float) -> pa.Table:
                     ok = diff <= ratio * (n[p] + n[q]) + 1e-9
                     found.append(np.minimum(p[ok], q[ok]) * total + np.maximum(p[ok], q[ok]))
     # large tiles: signatures as +-1, differing bits by a matrix product, band against band
-    for lo, hi in zip(edge[:-1][many > 16], edge[1:][many > 16]):
+    for lo, hi in zip(edge[:-1][many > 64], edge[1:][many > 64]):
         g = doc[lo:hi]
         gb = band[g]
         cut = np.flatnonzero(np.concatenate([[True], gb[1:] != gb[:-1], [True]]))
