@@ -300,10 +300,10 @@ TWO = {
 NOT_NAMED = ("und", "mis", "mul", "zxx", "unk", "xxx", "nil", "non", "nan", "tbd")
 
 
-def named(label: Column) -> Column:
-    """The ISO 639-3 code a label names, else null: two or three letters in any case, perhaps a region."""
+def with_named(df: DataFrame, label: str, out: str) -> DataFrame:
+    """df with the ISO 639-3 code that a label names as ``out``, else null: two or three letters in any
+    case, perhaps a region. The table of codes is fixed, hence broadcast."""
+    codes = df.sparkSession.createDataFrame([*TWO.items(), *BIBLIOGRAPHIC.items()], "code string, iso3 string")
     code = F.lower(F.regexp_extract(F.trim(label), "^([A-Za-z]{2,3})(?:[-_][A-Za-z0-9]+)*$", 1))
-    two = F.create_map(*[F.lit(x) for kv in TWO.items() for x in kv])
-    three = F.create_map(*[F.lit(x) for kv in BIBLIOGRAPHIC.items() for x in kv])
-    full = F.when(F.length(code) == 2, F.try_element_at(two, code)).when(F.length(code) == 3, F.coalesce(F.try_element_at(three, code), code))
-    return F.when(~full.isin(*NOT_NAMED), full)
+    got = df.withColumn("code", code).join(F.broadcast(codes), "code", "left")
+    return got.withColumn(out, F.when(~F.col("code").isin(*NOT_NAMED), F.coalesce("iso3", F.when(F.length("code") == 3, F.col("code"))))).drop("code", "iso3")

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsloom.llm import boilerplate as B
 from newsloom.llm import language as X
 from newsloom.llm import lines as L
 from newsloom.llm import mojibake as M
 from newsloom.llm import neardup as N
-from newsloom.runtime import fresh, table
+from newsloom.runtime import fresh, once, table, written
 
 
 def cleartexts(spark: SparkSession, d: str) -> DataFrame:
@@ -30,9 +31,9 @@ def hostnames(spark: SparkSession, d: str) -> DataFrame:
 
 def labels(spark, d):
     """(id, lang): the language each article's own label or else its feed's label names; null where neither does."""
-    ps = table(spark, d, "feed_ps").where(X.named(F.col("language")).isNotNull())
-    ps = ps.groupBy("feedid").agg(F.max_by(X.named(F.col("language")), F.struct("updated", "language")).alias("feed_lang"))
-    meta = table(spark, d, "feed_article_meta").groupBy("id").agg(F.max(X.named(F.col("lang_iso"))).alias("own"))
+    ps = X.with_named(table(spark, d, "feed_ps").select("feedid", "updated", "language"), "language", "named").where("named is not null")
+    ps = ps.groupBy("feedid").agg(F.max_by("named", F.struct("updated", "named")).alias("feed_lang"))
+    meta = X.with_named(table(spark, d, "feed_article_meta").select("id", "lang_iso"), "lang_iso", "named").groupBy("id").agg(F.max("named").alias("own"))
     feed = table(spark, d, "feed_article").select("id", "feedid").distinct()
     known = feed.join(meta, "id", "full").join(ps, "feedid", "left")
     return known.groupBy("id").agg(F.max(F.coalesce("own", "feed_lang")).alias("lang"))
@@ -129,4 +130,26 @@ def p5_clean(spark, d):
     return L.without_lines(docs, L.repeated_lines(docs)).select(F.col("id").alias("feed_articleid"), "content", "cut")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_documents, p1_stretches, p2_found, p2_classes, p2_groups, p3_found, p3_restored, p5_found, p5_clean)}
+# ---- 6: page boilerplate
+
+
+def _paged(spark, d):
+    """(site, id, page, text): extracts with their pages, joined by id once."""
+    text = once(cleartexts(spark, d).where("id is not null and text is not null"), "id")
+    page = once(pages(spark, d).where("id is not null").select("id", F.col("text").alias("page")), "id")
+    return text.join(sites(spark, d).distinct(), "id", "left").join(page, "id", "left").select("site", "id", "page", "text")
+
+
+def p6_found(spark, d):
+    fresh("p6f")
+    return B.unwanted_lines(B.surveyed(_paged(spark, d), "p6f")).select(F.col("id").alias("feed_articleid"), "line_no")
+
+
+def p6_bodies(spark, d):
+    """Title and main body of every page that has an extract, read by its host's winning paths."""
+    fresh("p6b")
+    docs = written(_paged(spark, d), "p6b")
+    return B.bodies(docs, B.surveyed(docs, "p6b")).select(F.col("id").alias("feed_articleid"), "title", "body", "blocks")
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_documents, p1_stretches, p2_found, p2_classes, p2_groups, p3_found, p3_restored, p5_found, p5_clean, p6_found, p6_bodies)}
