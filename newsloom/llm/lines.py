@@ -27,6 +27,7 @@ from newsloom.llm.words import mix
 from newsloom.runtime import once, ship, written
 
 WINDOW, AVERAGE = 8, 32
+SLICE = 500  # texts taken at once: bounds a task's memory
 _rng = np.random.Generator(np.random.PCG64(7))
 GEAR = _rng.integers(0, 1 << 63, 256, dtype=np.uint64)
 VALUE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -79,7 +80,7 @@ def excessive_chunks(docs: DataFrame, sizes: DataFrame, least: int, share: float
     """(id = hash of source and chunk) of the chunks in at least ``least`` documents and ``share`` of a source's."""
 
     def run(batches):
-        for b in batches:
+        for b in (x.slice(lo, SLICE) for x in batches for lo in range(0, x.num_rows, SLICE)):
             site = b.column(0).to_numpy()
             lines, owner = [], []
             for d, text in enumerate(b.column(1).to_pylist()):
@@ -128,7 +129,7 @@ def repeated_lines(docs: DataFrame, least: int = 5, share: float = 0.1) -> DataF
 
     def run(batches):
         m = screen.value
-        for b in batches:
+        for b in (x.slice(lo, SLICE) for x in batches for lo in range(0, x.num_rows, SLICE)):
             site = b.column(0).to_numpy()
             lines, owner = [], []
             for d, text in enumerate(b.column(1).to_pylist()):
