@@ -75,6 +75,14 @@ class Corpus:
         self.memo: dict[str, tuple] = {}
         self.three: dict[str, float] = {}
         self.fill: dict[str, str | None] = {}
+        #: for each channel, the characters it may have left
+        self.turns = []
+        for read, true in CHANNELS:
+            if true == "utf_8":
+                self.turns.append(frozenset(READ[read]))
+                continue
+            back = WRITE[true]
+            self.turns.append(frozenset(c for c, b in READ[read].items() if b in back and (back[b] in PLAIN or not self.rare(back[b].lower()))))
 
     def count(self, word: str) -> int:
         return int(self.w[h(word.lower()) % WORDS])
@@ -116,39 +124,36 @@ def shape(token: str) -> str:
     return re.sub(r"[\d_]", "0", token.lower())
 
 
-def _utf8(raw: list[int]) -> str | None:
-    """UTF-8 of bytes in which 0x1A0 marks a lost one; a lost trailing byte stays lost, the rest must be valid."""
-    try:
-        return bytes(raw).decode("utf_8")
-    except (UnicodeDecodeError, ValueError):
-        return None
+_TO_BYTE = {n: {ord(c): b for c, b in t.items()} for n, t in READ.items()}
+_PLAIN = frozenset(map(ord, PLAIN))
+
+
+#: Of each one-byte channel: character read -> character written.
+ACROSS = [{} if t == "utf_8" else {ord(c): WRITE[t][b] for c, b in READ[r].items() if b in WRITE[t]} for r, t in CHANNELS]
 
 
 def through(token: str, read: str, true: str) -> str | None:
     """The token read in the charset it was written in; None if the channel can't have made it."""
-    table = READ[read]
-    raw, high = [], 0
-    for c in token:
-        if c < "\x80":
-            raw.append(ord(c))
-        elif (b := table.get(c)) is not None:
-            raw.append(b)
-            high += 1
-        elif c in PLAIN and true != "utf_8":
-            return None
-        else:
-            return None
-    if not high:
+    try:
+        raw = token.translate(_TO_BYTE[read]).encode("latin_1")
+    except UnicodeEncodeError:
         return None
-    if true == "utf_8":
-        out = _utf8(raw)
-        if out is not None and len(out) < len(token):
-            again = through(out, read, "utf_8") if HIGH.search(out) else None  # garbled twice
-            return again or out
+    if any(c > "\x7f" and c not in READ[read] for c in token):
         return None
+    if true == "utf_8":
+        try:
+            out = raw.decode("utf_8")
+        except UnicodeDecodeError:
+            return None
+        if len(out) == len(token):
+            return None
+        again = through(out, read, "utf_8") if HIGH.search(out) else None  # garbled twice
+        return again or out
     back = WRITE[true]
-    out = "".join(chr(b) if b < 128 else back.get(b, "�") for b in raw)
-    return None if "�" in out or out == token else out
+    if any(b > 127 and b not in back for b in raw):
+        return None
+    out = "".join(chr(b) if b < 128 else back[b] for b in raw)
+    return None if out == token else out
 
 
 _FILL = "äöüßéèêëàâçîôûñáíóúãõčšžÄÖÜÉ“”‘’«»„–—абвгдежзийклмнопрстуфхцчшщъыьэюя"
@@ -186,25 +191,43 @@ def filled(token: str, corpus: Corpus, beam: int = 24) -> str | None:
 
 
 def readings(token: str, corpus: Corpus) -> tuple:
-    """((channel number, gain, reading), ...) of the channels under which the token gains."""
+    """((channel number, gain, reading), ...) of the channels under which the token gains.
+
+    A one-byte channel is tried only if it turns every character outside ASCII into one that the
+    corpus commonly has; the UTF-8 channels only where the bytes are valid UTF-8."""
     got = corpus.memo.get(token)
-    if got is None:
-        if len(corpus.memo) > 150_000:
-            corpus.memo.clear()
-        base, seen, out = corpus.score(token), {}, []
-        for k, (read, true) in enumerate(CHANNELS):
-            r = through(token, read, true)
-            if r is None or not LETTERS.search(r) and not any(x < "\x80" for x in token) and LETTERS.search(token):
+    if got is not None:
+        return got
+    if len(corpus.memo) > 150_000:
+        corpus.memo.clear()
+    high = set(HIGH.findall(token))
+    word = LETTERS.search(token) is not None and not any(x < "\x80" for x in token)
+    tried: dict[str, list[int]] = {}
+    for k, (read, true) in enumerate(CHANNELS):
+        if high <= corpus.turns[k]:
+            r = through(token, read, true) if true == "utf_8" else token.translate(ACROSS[k])
+            if r is None or r == token or word and not LETTERS.search(r):
                 continue  # a word never stands for bare punctuation
-            if r not in seen:
-                seen[r] = corpus.score(r) - base - (1.0 if true == "utf_8" else 2.0)
-            if seen[r] > EACH:
-                out.append((k, seen[r], r))
-        got = corpus.memo[token] = tuple(out)
+            tried.setdefault(r, []).append(k)
+    if tried:
+        own = LETTERS.findall(token)
+        if len(own) == 1 and (n := corpus.count(own[0])) >= 5 and all(c in own[0] for c in high):
+            # a word the corpus knows gives way only to one it knows much better
+            tried = {r: ks for r, ks in tried.items() if (w := LETTERS.findall(r)) and max(map(corpus.count, w)) > 7 * n}
+    out = []
+    if tried:
+        base = corpus.score(token)
+        for r, ks in tried.items():
+            gain = corpus.score(r) - base
+            for k in ks:
+                g = gain - (1.0 if CHANNELS[k][1] == "utf_8" else 2.0)
+                if g > EACH:
+                    out.append((k, g, r))
+    got = corpus.memo[token] = tuple(out)
     return got
 
 
-def examine(text: str, corpus: Corpus) -> tuple[list[int], int, list[tuple[int, int, str]]]:
+def examine(text: str, corpus: Corpus, fill: bool = True) -> tuple[list[int], int, list[tuple[int, int, str]]]:
     """(channels with evidence, lost bytes, replacements) of one text."""
     lost = text.count("�")
     gains: dict[int, float] = {}
@@ -224,7 +247,7 @@ def examine(text: str, corpus: Corpus) -> tuple[list[int], int, list[tuple[int,
     fixes = []
     for a, z, tok, got in spots:
         if "�" in tok:
-            if (r := filled(tok, corpus)) is not None:
+            if fill and (r := filled(tok, corpus)) is not None:
                 fixes.append((a, z, r))
         elif own := [(g, gains[k], r) for k, g, r in got if k in good]:
             fixes.append((a, z, max(own, key=lambda x: (x[1], x[0]))[2]))
@@ -293,8 +316,9 @@ def corpus_of(texts: DataFrame) -> Corpus:
     return Corpus(flat[:WORDS].copy(), flat[WORDS:].copy())
 
 
-def garbled(texts: DataFrame, corpus: Corpus) -> DataFrame:
-    """(id, channels, lost, restored) of the garbled texts; ``texts`` has id and text (string or binary)."""
+def garbled(texts: DataFrame, corpus: Corpus, fill: bool = True) -> DataFrame:
+    """(id, channels, lost, restored) of the garbled texts; ``texts`` has id and text (string or binary).
+    Without ``fill`` lost bytes are counted but not restored, for those who only ask which texts are garbled."""
     spark = texts.sparkSession
     ship(spark)
     parts = spark.sparkContext.broadcast((corpus.w, corpus.t))
@@ -307,7 +331,7 @@ def garbled(texts: DataFrame, corpus: Corpus) -> DataFrame:
                 text = _text(x)
                 if text.isascii():
                     continue
-                good, lost, fixes = examine(text, own)
+                good, lost, fixes = examine(text, own, fill)
                 if not good and not lost:
                     continue
                 out, at = [], 0
