@@ -128,6 +128,8 @@ _TO_BYTE = {n: {ord(c): b for c, b in t.items()} for n, t in READ.items()}
 _PLAIN = frozenset(map(ord, PLAIN))
 
 
+_MIXED = re.compile("[A-Za-z\u00c0-\u024f][\u0400-\u04ff]|[\u0400-\u04ff][A-Za-z\u00c0-\u024f]")
+_ODD = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff\u0430-\u045f][A-Z\u00c0-\u00d6\u00d8-\u00de\u0410-\u042f]")
 #: Of each one-byte channel: character read -> character written.
 ACROSS = [{} if t == "utf_8" else {ord(c): WRITE[t][b] for c, b in READ[r].items() if b in WRITE[t]} for r, t in CHANNELS]
 
@@ -217,7 +219,12 @@ def readings(token: str, corpus: Corpus) -> tuple:
     out = []
     if tried:
         base = corpus.score(token)
+        sound = all(c.isalpha() and not corpus.rare(c.lower()) for c in high) and not _ODD.search(token)
         for r, ks in tried.items():
+            if _MIXED.search(r) or sound and _ODD.search(r):
+                continue  # no word mixes scripts, and none gains capitals inside
+            if sound and (sum(map(str.isalpha, r)) < sum(map(str.isalpha, token)) or any(corpus.count(w) < 5 for w in LETTERS.findall(r) if HIGH.search(w))):
+                ks = [k for k in ks if CHANNELS[k][1] == "utf_8"]  # of two unknown words the sound one stands
             gain = corpus.score(r) - base
             for k in ks:
                 g = gain - (1.0 if CHANNELS[k][1] == "utf_8" else 2.0)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.llm import boilerplate as B
+from newsloom.llm import incremental as I
 from newsloom.llm import language as X
 from newsloom.llm import lines as L
 from newsloom.llm import mojibake as M
@@ -113,6 +114,33 @@ def p3_restored(spark, d):
     return _garbled(spark, d).select(F.col("id").alias("feed_articleid"), "channels", "lost", "restored").distinct()
 
 
+# ---- 4: new batches against all history
+
+
+def _checked(spark, d, owner):
+    """(item, first_id, batch_no) of the six batches, taken one after the other."""
+    fresh(owner)
+    texts = cleartexts(spark, d)
+    urls = table(spark, d, "feed_article_urls").select(F.col("fa_id").alias("id"), "url").distinct()
+    items = table(spark, d, "batch_item").select("id", "batch_no", "url", F.col("content").alias("text"))
+    history = I.History(spark, owner, k=3, t=0.5, least_words=30, texts=texts).build(texts, urls)
+    out = None
+    for (no,) in items.select("batch_no").distinct().orderBy("batch_no").collect():
+        got = history.check(items.where(F.col("batch_no").eqNullSafe(F.lit(no)))).withColumn("batch_no", F.lit(no))
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
+def p4_found(spark, d):
+    return _checked(spark, d, "p4f").where("first_id is not null").select("first_id", F.col("item").alias("item_id"))
+
+
+def p4_batches(spark, d):
+    """How many items of each batch were accepted and how many repeat something."""
+    got = _checked(spark, d, "p4b")
+    return got.groupBy("batch_no").agg(F.count_if(F.col("first_id").isNull()).alias("accepted"), F.count("first_id").alias("repeats"))
+
+
 # ---- 5: repeated lines
 
 
@@ -152,4 +180,4 @@ def p6_bodies(spark, d):
     return B.bodies(docs, B.surveyed(docs, "p6b")).select(F.col("id").alias("feed_articleid"), "title", "body", "blocks")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_documents, p1_stretches, p2_found, p2_classes, p2_groups, p3_found, p3_restored, p5_found, p5_clean, p6_found, p6_bodies)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_documents, p1_stretches, p2_found, p2_classes, p2_groups, p3_found, p3_restored, p4_found, p4_batches, p5_found, p5_clean, p6_found, p6_bodies)}
