@@ -11,6 +11,7 @@ from newsloom.llm import language as X
 from newsloom.llm import lines as L
 from newsloom.llm import mojibake as M
 from newsloom.llm import neardup as N
+from newsloom.llm import spam as S
 from newsloom.runtime import fresh, once, table, written
 
 
@@ -180,4 +181,25 @@ def p6_bodies(spark, d):
     return B.bodies(docs, B.surveyed(docs, "p6b")).select(F.col("id").alias("feed_articleid"), "title", "body", "blocks")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_documents, p1_stretches, p2_found, p2_classes, p2_groups, p3_found, p3_restored, p4_found, p4_batches, p5_found, p5_clean, p6_found, p6_bodies)}
+# ---- 10: keyword and link spam
+
+
+def documents(spark, d):
+    return table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
+
+
+def _scored(spark, d):
+    docs = documents(spark, d)
+    return S.scored(docs, S.corpus_counts(docs))
+
+
+def p10_found(spark, d):
+    return _scored(spark, d).where("spam > 0.5").select(F.col("id").alias("doc_id")).distinct()
+
+
+def p10_scores(spark, d):
+    """Each document's share of spam, of links and tags, and the mean PMI of its neighbouring words."""
+    return _scored(spark, d).select(F.col("id").alias("doc_id"), "spam", "links", "pmi").distinct()
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_documents, p1_stretches, p2_found, p2_classes, p2_groups, p3_found, p3_restored, p4_found, p4_batches, p5_found, p5_clean, p6_found, p6_bodies, p10_found, p10_scores)}
