@@ -213,8 +213,11 @@ def tile(table: pa.Table, t: float) -> pa.Table:
             m = m[:, :h] ^ m[:, h:]
         return m
 
+    def signs(d: np.ndarray, w: int, bits: int) -> np.ndarray:
+        return 1 - 2 * np.unpackbits(bitrows(d, w // 64, bits // 64).view(np.uint8), axis=1, bitorder="little").astype(np.float32)
+
     # small tiles: all pairs at distance 1, 2, ... in the sorted postings at once
-    small = np.repeat(many, many) <= 64
+    small = np.repeat(many, many) <= 32
     sk, sd = key[small], doc[small]
     act, d = np.arange(len(sk)), 0
     while len(act):
@@ -235,7 +238,7 @@ def tile(table: pa.Table, t: float) -> pa.Table:
                     ok = diff <= ratio * (n[p] + n[q]) + 1e-9
                     found.append(np.minimum(p[ok], q[ok]) * total + np.maximum(p[ok], q[ok]))
     # large tiles: signatures as +-1, differing bits by a matrix product, band against band
-    for lo, hi in zip(edge[:-1][many > 64], edge[1:][many > 64]):
+    for lo, hi in zip(edge[:-1][many > 32], edge[1:][many > 32]):
         g = doc[lo:hi]
         gb = band[g]
         cut = np.flatnonzero(np.concatenate([[True], gb[1:] != gb[:-1], [True]]))
@@ -247,19 +250,19 @@ def tile(table: pa.Table, t: float) -> pa.Table:
                 bits = max(256, width(b) // 2) if c == b else width(b)
                 for i in range(0, len(rows), 512):
                     p = rows[i : i + 512]
-                    mp = 1 - 2 * np.unpackbits(bitrows(p, width(b) // 64, bits // 64).view(np.uint8), axis=1, bitorder="little").astype(np.float32)
+                    mp = signs(p, width(b), bits)
                     for j in range(i if c == b else 0, len(cols), 512):
                         q = cols[j : j + 512]
-                        if c == b and j == i:
-                            mq = mp
-                        else:
-                            if t * n[q[0]] > n[p[-1]]:
-                                break
-                            mq = 1 - 2 * np.unpackbits(bitrows(q, width(c) // 64, bits // 64).view(np.uint8), axis=1, bitorder="little").astype(np.float32)
-                        diff = (bits - mp @ mq.T) / 2
-                        a, z = np.nonzero(diff <= ratio * (n[p][:, None] + n[q][None, :]) + 1e-3)
-                        a, z = p[a], q[z]
-                        ok = a != z
+                        own = c == b and j == i
+                        if not own and t * n[q[0]] > n[p[-1]]:
+                            break
+                        mq = mp if own else signs(q, width(c), bits)
+                        # the last two columns add both sizes' shares of the limit, so one product and one comparison decide
+                        left = np.concatenate([mp, 2 * ratio * n[p][:, None], np.ones((len(p), 1))], axis=1, dtype=np.float32)
+                        right = np.concatenate([mq, np.ones((len(q), 1)), 2 * ratio * n[q][:, None]], axis=1, dtype=np.float32)
+                        at = np.flatnonzero(left @ right.T >= bits - 1e-2)
+                        a, z = p[at // len(q)], q[at % len(q)]
+                        ok = a < z if own else a != z
                         a, z = a[ok], z[ok]
                         found.append(np.minimum(a, z) * total + np.maximum(a, z))
     code = np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
