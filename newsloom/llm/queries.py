@@ -10,8 +10,11 @@ from newsloom.llm import incremental as I
 from newsloom.llm import language as X
 from newsloom.llm import lines as L
 from newsloom.llm import mojibake as M
+from newsloom.llm import mixing as Y
 from newsloom.llm import neardup as N
+from newsloom.llm import packing as P
 from newsloom.llm import spam as S
+from newsloom.llm import tokens as T
 from newsloom.runtime import fresh, once, table, written
 
 
@@ -181,6 +184,42 @@ def p6_bodies(spark, d):
     return B.bodies(docs, B.surveyed(docs, "p6b")).select(F.col("id").alias("feed_articleid"), "title", "body", "blocks")
 
 
+# ---- 8: containers
+
+
+def _sized(spark, d, owner):
+    fresh(owner)
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "source", "text")
+    return written(T.sized(docs), owner)
+
+
+def _specs(spark, d):
+    return table(spark, d, "pack_spec").select("spec_id", F.col("capacity_tokens").alias("capacity"), "source")
+
+
+def p8_windows(spark, d):
+    """Every text in its container, for each container size."""
+    return P.packed(_sized(spark, d, "p8w"), _specs(spark, d)).withColumnRenamed("id", "doc_id")
+
+
+def p8_fill(spark, d):
+    """Containers used and how full they are, beside the least number possible."""
+    return P.fill_report(P.packed(_sized(spark, d, "p8f"), _specs(spark, d)), _specs(spark, d))
+
+
+# ---- 9: mixtures
+
+
+def p9_draws(spark, d):
+    """The draws of each mix in training order."""
+    return Y.draws(_sized(spark, d, "p9d"), table(spark, d, "mix_target")).withColumnRenamed("id", "doc_id")
+
+
+def p9_shares(spark, d):
+    """The share of each source beside its target."""
+    return Y.shares(Y.draws(_sized(spark, d, "p9s"), table(spark, d, "mix_target")), table(spark, d, "mix_target"))
+
+
 # ---- 10: keyword and link spam
 
 
@@ -202,4 +241,4 @@ def p10_scores(spark, d):
     return _scored(spark, d).select(F.col("id").alias("doc_id"), "spam", "links", "pmi").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_documents, p1_stretches, p2_found, p2_classes, p2_groups, p3_found, p3_restored, p4_found, p4_batches, p5_found, p5_clean, p6_found, p6_bodies, p10_found, p10_scores)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_documents, p1_stretches, p2_found, p2_classes, p2_groups, p3_found, p3_restored, p4_found, p4_batches, p5_found, p5_clean, p6_found, p6_bodies, p8_windows, p8_fill, p9_draws, p9_shares, p10_found, p10_scores)}
