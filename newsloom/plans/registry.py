@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from newsloom.plans import packed_queries
+from newsloom.plans import packed_queries, relational_queries
 
-MODULES = [packed_queries]
+MODULES = [packed_queries, relational_queries]
 
 
 def queries() -> dict:
