@@ -39,7 +39,7 @@ def percent_decode(c: Column) -> Column:
 
 def rewritten(c: Column, pattern: Column, decode: Column) -> Column:
     """The first group of a feed's pattern at the URL's start, else the URL; decoded where the feed asks."""
-    got = F.regexp_extract(c, F.concat(F.lit("^(?:"), pattern, F.lit(")")), F.lit(1))
+    got = F.call_function("regexp_extract", c, F.concat(F.lit("^(?:"), pattern, F.lit(")")), F.lit(1))
     out = F.when(pattern.isNotNull() & (got != ""), got).otherwise(c)
     return F.when(decode, percent_decode(out)).otherwise(out)
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from newsloom.plans import packed_queries, relational_queries
+from newsloom.plans import packed_queries, relational_queries, text_queries
 
-MODULES = [packed_queries, relational_queries]
+MODULES = [packed_queries, relational_queries, text_queries]
 
 
 def queries() -> dict:
