@@ -30,7 +30,7 @@ from newsloom.llm.words import WORD, mix, word_hashes
 from newsloom.runtime import ship
 
 SINGLE, PAIR, PIECES = 1 << 19, 1 << 20, 24
-BURST, COLLOCATION, COVER, SALAD, COMMON = 4.0, 1.0, 0.22, -1.0, 0.05
+BURST, COLLOCATION, COVER, SALAD, COMMON = 4.0, 1.0, 0.22, -1.0, 0.03
 LINK = re.compile(
     r"<a\s[^>]*>.*?</a\s*>|\[url[^\]]*\].*?\[/url\]|\[[^\]\n]*\]\(\s*https?://[^)\s]*\)|(?:https?://|www\.)\S+|\b(?:[a-z0-9-]+\.)+[a-z]{2,}(?:/\S*)?(?=[\s,;|)]|$)",
     re.I | re.S,
@@ -166,7 +166,7 @@ def spam_share(text: str, counts: Counts) -> tuple[float, float, float]:
     u, n = np.unique(w, return_counts=True)
     u = u[n >= 3]
     total, docs = counts.single(u)
-    often = bool(((total >= BURST * np.maximum(docs, 1)) & (docs <= max(3.0, 2 * COMMON * counts.docs))).any())
+    often = bool(((total >= BURST * np.maximum(docs, 1)) & (docs <= max(3.0, COMMON * counts.docs))).any())
     if not links and not tags and not often and np.sort(pmi)[: len(pmi) // 2 + 1].mean() >= SALAD:
         return 0.0, 0.0, mean
     mark = bytearray(len(text))
