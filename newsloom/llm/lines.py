@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.neardup import mark
+from newsloom.llm.neardup import held, mark
 from newsloom.llm.words import mix
 from newsloom.runtime import once, ship, written
 
@@ -140,7 +140,7 @@ def repeated_lines(docs: DataFrame, least: int = 5, share: float = 0.1) -> DataF
                 continue
             h, line = chunks(lines)
             own = np.array(owner)
-            ok = m[(mix(_sourced(site[own[line]], h)) & np.uint64(bits - 1)).astype(np.int64)]
+            ok = held(m, (mix(_sourced(site[own[line]], h)) & np.uint64(bits - 1)).astype(np.int64))
             good = np.ones(len(lines), bool)
             good[line[~ok]] = False
             at = np.flatnonzero(good)

@@ -270,8 +270,13 @@ def tile(table: pa.Table, t: float) -> pa.Table:
     return pa.table({"a": pa.array(np.minimum(a, z)), "b": pa.array(np.maximum(a, z))})
 
 
+def held(packed: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which bits of a packed bitmap are set."""
+    return (packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+
+
 def mark(values: DataFrame, bits: int = SEEN_BITS) -> np.ndarray:
-    """A bitmap of fixed size with a bit for each id: a prescreen that may let more through, never less."""
+    """A packed bitmap of fixed size with a bit for each id: a prescreen that may let more through, never less."""
 
     def run(batches):
         m = np.zeros(bits, bool)
@@ -287,7 +292,7 @@ def mark(values: DataFrame, bits: int = SEEN_BITS) -> np.ndarray:
         return pa.table({"blob": pa.array([zstandard.ZstdCompressor().compress(m.tobytes())], pa.binary())})
 
     rows = values.mapInArrow(run, "g int, blob binary").groupBy("g").applyInArrow(union, "blob binary").collect()
-    return np.unpackbits(np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(rows[0].blob)), np.uint8)).view(bool) if rows else np.zeros(bits, bool)
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(rows[0].blob)), np.uint8).copy() if rows else np.zeros(bits // 8, np.uint8)
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -298,7 +303,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     def run(batches):
         m = screen.value
         for b in batches:
-            at = np.flatnonzero(m[(mix(b.column(0).to_numpy().view(np.uint64)) & np.uint64(SEEN_BITS - 1)).astype(np.int64)])
+            at = np.flatnonzero(held(m, (mix(b.column(0).to_numpy().view(np.uint64)) & np.uint64(SEEN_BITS - 1)).astype(np.int64)))
             got = b.take(pa.array(at))
             blobs = [np.unique(shingles(word_hashes(x), k)).tobytes() for x in got.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([got.column(0), pa.array(blobs, pa.binary())], ["id", "hashes"])
