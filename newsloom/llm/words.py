@@ -78,33 +78,65 @@ def jaccard_at_least(a: np.ndarray, b: np.ndarray, t: float) -> bool:
 def winnow(h: np.ndarray, w: int) -> np.ndarray:
     """Distinct fingerprints: the least hash of every window of w, so that any run of w equal
     shingles leaves an equal fingerprint in both texts."""
-    if len(h) <= w:
+    if len(h) < w:
         return np.array([h.min()], np.uint64) if len(h) else h
     return np.unique(np.lib.stride_tricks.sliding_window_view(h, w).min(axis=1))
 
 
-def shingle_sets(texts: list, k: int, least_words: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted distinct shingles of many texts at once: (rows kept, where each begins, hashes).
-
-    Null texts and those of fewer than ``least_words`` (or k) words are left out."""
+def word_lists(texts: list, least_words: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(rows kept, word hashes of each): null texts and those of fewer than ``least_words`` are left out."""
     rows, words = [], []
     for i, x in enumerate(texts):
         if x is not None:
             w = word_hashes(x)
-            if len(w) >= max(least_words, k):
+            if len(w) >= least_words:
                 rows.append(i), words.append(w)
-    if not rows:
-        return np.empty(0, np.int64), np.zeros(1, np.int64), np.empty(0, np.uint64)
-    size = np.fromiter(map(len, words), np.int64, len(words))
-    h = shingles(np.concatenate(words), k)  # those that run over a text's end are cut out below
-    at = np.cumsum(size) - size
-    out = np.concatenate([h[a : a + n - k + 1] for a, n in zip(at.tolist(), size.tolist())])
-    ends = np.cumsum(size - k + 1)
-    begin = np.concatenate([[0], ends[:-1]])
+    return np.array(rows, np.int64), words
+
+
+def _sets(h: np.ndarray, at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct values of the slices h[at : at + n], as (where each begins, values)."""
+    out = np.concatenate([h[a : a + k] for a, k in zip(at.tolist(), n.tolist())])
+    ends = np.cumsum(n)
+    begin = ends - n
     for a, z in zip(begin.tolist(), ends.tolist()):
         out[a:z].sort()
     keep = np.ones(len(out), bool)
     keep[1:] = out[1:] != out[:-1]
     keep[begin] = True
-    n = np.add.reduceat(keep.astype(np.int64), begin)
-    return np.array(rows), np.concatenate([[0], np.cumsum(n)]), out[keep]
+    return np.concatenate([[0], np.cumsum(np.add.reduceat(keep.astype(np.int64), begin))]), out[keep]
+
+
+def sets_of_words(words: list[np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct shingles of many word lists of k words or more: (where each begins, hashes)."""
+    if not words:
+        return np.zeros(1, np.int64), np.empty(0, np.uint64)
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    h = shingles(np.concatenate(words), k)  # those that run over a text's end are never sliced out
+    return _sets(h, np.cumsum(size) - size, size - k + 1)
+
+
+def winnowed_words(words: list[np.ndarray], k: int, w: int) -> tuple[np.ndarray, np.ndarray]:
+    """``winnow`` of the k-word shingles of many word lists of k words or more: (where each begins, hashes)."""
+    if not words:
+        return np.zeros(1, np.int64), np.empty(0, np.uint64)
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    at = np.cumsum(size) - size
+    h = shingles(np.concatenate(words), k)
+    n = size - k + 1
+    low = np.lib.stride_tricks.sliding_window_view(h, w).min(axis=1) if len(h) >= w else np.empty(0, np.uint64)
+    short = np.flatnonzero(n < w)
+    m = np.maximum(n - w + 1, 1)
+    if len(short):  # fewer shingles than a window: the least of them all
+        low = np.concatenate([low, np.zeros(max(0, len(h) - len(low)), np.uint64)])
+        for i in short:
+            low[at[i]] = h[at[i] : at[i] + n[i]].min()
+    return _sets(low, at, m)
+
+
+def shingle_sets(texts: list, k: int, least_words: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct shingles of many texts at once: (rows kept, where each begins, hashes).
+
+    Null texts and those of fewer than ``least_words`` (or k) words are left out."""
+    rows, words = word_lists(texts, max(least_words, k))
+    return rows, *sets_of_words(words, k)
