@@ -26,11 +26,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.words import WORD, mix, word_hashes
+from newsloom.llm.words import WORD, mix, slice_sets, word_hashes, word_lists
 from newsloom.runtime import ship
 
 SINGLE, PAIR, PIECES = 1 << 19, 1 << 20, 24
-BURST, COLLOCATION, COVER, SALAD, COMMON = 4.0, 1.0, 0.22, -1.0, 0.03
+BURST, COLLOCATION, COVER, SALAD, COMMON, SOUND = 4.0, 1.0, 0.22, -1.0, 0.03, 2.5
 LINK = re.compile(
     r"<a\s[^>]*>.*?</a\s*>|\[url[^\]]*\].*?\[/url\]|\[[^\]\n]*\]\(\s*https?://[^)\s]*\)|(?:https?://|www\.)\S+|\b(?:[a-z0-9-]+\.)+[a-z]{2,}(?:/\S*)?(?=[\s,;|)]|$)",
     re.I | re.S,
@@ -78,21 +78,22 @@ def corpus_counts(docs: DataFrame) -> Counts:
         flat = np.zeros(size, np.uint32)
         n = words = 0
         for b in batches:
-            ws, ps, dw, dp = [], [], [], []
-            for x in b.column(0).to_pylist():
-                w = word_hashes(x)
-                if not len(w):
-                    continue
-                n += 1
-                words += len(w)
-                p = pair_hashes(w)
-                ws.append(w), ps.append(p), dw.append(np.unique(w)), dp.append(np.unique(p))
-            if not ws:
+            _, rows = word_lists(b.column(0).to_pylist(), 1)
+            if not rows:
                 continue
-            for at, mask, rows, scramble in ((0, SINGLE, ws, True), (SINGLE, SINGLE, dw, True), (2 * SINGLE, PAIR, ps, False), (2 * SINGLE + PAIR, PAIR, dp, False)):
-                h = np.concatenate(rows)
-                h = mix(h) if scramble else h
-                flat[at : at + mask] += np.bincount((h & np.uint64(mask - 1)).astype(np.int64), minlength=mask).astype(np.uint32)
+            n += len(rows)
+            size = np.fromiter(map(len, rows), np.int64, len(rows))
+            at = np.cumsum(size) - size
+            w = np.concatenate(rows)
+            words += len(w)
+            p = pair_hashes(w)
+            inside = np.ones(len(p), bool)
+            inside[at[1:] - 1] = False  # a pair never spans two texts
+            _, dw = slice_sets(w, at, size)
+            two = size > 1
+            dp = slice_sets(p, at[two], size[two] - 1)[1] if two.any() else np.empty(0, np.uint64)
+            for lo, mask, h in ((0, SINGLE, mix(w)), (SINGLE, SINGLE, mix(dw)), (2 * SINGLE, PAIR, p[inside]), (2 * SINGLE + PAIR, PAIR, dp)):
+                flat[lo : lo + mask] += np.bincount((h & np.uint64(mask - 1)).astype(np.int64), minlength=mask).astype(np.uint32)
         if n:
             z = zstandard.ZstdCompressor(level=1)
             yield pa.RecordBatch.from_arrays(
@@ -152,23 +153,17 @@ def keywords(text: str, counts: Counts) -> set[tuple[str, ...]]:
     return out
 
 
-def spam_share(text: str, counts: Counts) -> tuple[float, float, float]:
-    """(share of spam characters, share of links and tags, mean PMI of neighbouring words)."""
+def spam_share(text: str, counts: Counts, often: bool | None = None) -> tuple[float, float, float]:
+    """(share of spam characters, share of links and tags, mean PMI of neighbouring words); ``often``: whether
+    rare words recur, if that is known."""
     size = len("".join(text.split()))
     w = word_hashes(text)
     if not size:
         return 0.0, 0.0, 0.0
     links = [(m.start(), m.end()) for m in LINK.finditer(text)] if _MAY_LINK.search(text) else []
     tags = [(m.start(), m.end()) for m in TAG.finditer(text)] if "#" in text else []
-    pmi = counts.pmi(w) if len(w) > 1 else np.zeros(1)
-    mean = float(pmi.mean())
-    # a quick look before the text is cut up: do rare words recur at all, are neighbours incoherent?
-    u, n = np.unique(w, return_counts=True)
-    u = u[n >= 3]
-    total, docs = counts.single(u)
-    often = bool(((total >= BURST * np.maximum(docs, 1)) & (docs <= max(3.0, COMMON * counts.docs))).any())
-    if not links and not tags and not often and np.sort(pmi)[: len(pmi) // 2 + 1].mean() >= SALAD:
-        return 0.0, 0.0, mean
+    mean = float(counts.pmi(w).mean()) if len(w) > 1 else 0.0
+    often = True if often is None else often
     mark = bytearray(len(text))
     for a, z in links + tags:
         mark[a:z] = b"\x01" * (z - a)
@@ -205,6 +200,41 @@ def spam_share(text: str, counts: Counts) -> tuple[float, float, float]:
     return total_spam / size, linked / max(1, len(text)), mean
 
 
+def quick_look(words: list[np.ndarray], counts: Counts) -> tuple[np.ndarray, np.ndarray]:
+    """(mean PMI, whether a rare word recurs as keywords do) of many texts at once. A text that is half
+    word salad has a mean below SOUND, half its pairs being below SALAD."""
+    if not words:
+        return np.empty(0), np.empty(0, bool)
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    at = np.cumsum(size) - size
+    w = np.concatenate(words)
+    p = np.append(counts.pmi(w), 0.0) if len(w) > 1 else np.zeros(1)
+    p[at + size - 1] = 0.0  # the pair that spans two texts
+    mean = np.add.reduceat(p, at) / np.maximum(size - 1, 1)
+    often = np.zeros(len(words), bool)
+
+    def recurs(h: np.ndarray, at: np.ndarray, size: np.ndarray, known) -> None:
+        """Mark the texts in which a value comes three times that comes often wherever it comes, but not commonly."""
+        s = np.concatenate([h[a:z] for a, z in zip(at.tolist(), (at + size).tolist())])
+        begin = np.cumsum(size) - size
+        for a, z in zip(begin.tolist(), (begin + size).tolist()):
+            s[a:z].sort()
+        new = np.ones(len(s), bool)
+        new[1:] = s[1:] != s[:-1]
+        new[begin[size > 0]] = True
+        first = np.flatnonzero(new)
+        many = first[np.diff(np.append(first, len(s))) >= 3]
+        if len(many):
+            n, d = known(s[many])
+            burst = (n >= BURST * np.maximum(d, 1)) & (d <= max(3.0, COMMON * counts.docs))
+            often[np.searchsorted(begin, many[burst], side="right") - 1] = True
+
+    recurs(w, at, size, counts.single)
+    if len(w) > 1:
+        recurs(pair_hashes(w), at, size - 1, counts.pair)
+    return mean, often
+
+
 def scored(docs: DataFrame, counts: Counts) -> DataFrame:
     """(id, spam, links, pmi) of each text."""
     spark = docs.sparkSession
@@ -214,7 +244,16 @@ def scored(docs: DataFrame, counts: Counts) -> DataFrame:
     def run(batches):
         own = Counts(*known.value)
         for b in batches:
-            got = [spam_share(x, own) for x in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([g[k] for g in got], pa.float64()) for k in range(3))], ["id", "spam", "links", "pmi"])
+            texts = b.column(1).to_pylist()
+            out = [(0.0, 0.0, 0.0)] * len(texts)
+            rows, words = word_lists(texts, 1)
+            mean, often = quick_look(words, own)
+            for i, m, o in zip(rows.tolist(), mean.tolist(), often.tolist()):
+                x = texts[i]
+                if o or m < SOUND or "#" in x or _MAY_LINK.search(x):
+                    out[i] = spam_share(x, own, o)
+                else:
+                    out[i] = (0.0, 0.0, m)
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([g[k] for g in out], pa.float64()) for k in range(3))], ["id", "spam", "links", "pmi"])
 
     return docs.where(F.col("id").isNotNull() & F.col("text").isNotNull()).select("id", "text").mapInArrow(run, "id long, spam double, links double, pmi double")

@@ -94,7 +94,7 @@ def word_lists(texts: list, least_words: int) -> tuple[np.ndarray, list[np.ndarr
     return np.array(rows, np.int64), words
 
 
-def _sets(h: np.ndarray, at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def slice_sets(h: np.ndarray, at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct values of the slices h[at : at + n], as (where each begins, values)."""
     out = np.concatenate([h[a : a + k] for a, k in zip(at.tolist(), n.tolist())])
     ends = np.cumsum(n)
@@ -113,7 +113,7 @@ def sets_of_words(words: list[np.ndarray], k: int) -> tuple[np.ndarray, np.ndarr
         return np.zeros(1, np.int64), np.empty(0, np.uint64)
     size = np.fromiter(map(len, words), np.int64, len(words))
     h = shingles(np.concatenate(words), k)  # those that run over a text's end are never sliced out
-    return _sets(h, np.cumsum(size) - size, size - k + 1)
+    return slice_sets(h, np.cumsum(size) - size, size - k + 1)
 
 
 def winnowed_words(words: list[np.ndarray], k: int, w: int) -> tuple[np.ndarray, np.ndarray]:
@@ -131,7 +131,7 @@ def winnowed_words(words: list[np.ndarray], k: int, w: int) -> tuple[np.ndarray,
         low = np.concatenate([low, np.zeros(max(0, len(h) - len(low)), np.uint64)])
         for i in short:
             low[at[i]] = h[at[i] : at[i] + n[i]].min()
-    return _sets(low, at, m)
+    return slice_sets(low, at, m)
 
 
 def shingle_sets(texts: list, k: int, least_words: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
