@@ -72,10 +72,10 @@ class Counts:
 def corpus_counts(docs: DataFrame) -> Counts:
     """Counts over all texts; tables of fixed size reach the driver."""
     ship(docs.sparkSession)
-    size = 2 * SINGLE + 2 * PAIR
+    cells = 2 * SINGLE + 2 * PAIR
 
     def run(batches):
-        flat = np.zeros(size, np.uint32)
+        flat = np.zeros(cells, np.uint32)
         n = words = 0
         for b in batches:
             _, rows = word_lists(b.column(0).to_pylist(), 1)
@@ -110,7 +110,7 @@ def corpus_counts(docs: DataFrame) -> Counts:
 
     schema = "chunk int, blob binary, docs long, words long"
     rows = docs.where(F.col("text").isNotNull()).select("text").mapInArrow(run, schema).groupBy("chunk").applyInArrow(add, schema).collect()
-    out = np.zeros((PIECES, size // PIECES), np.uint32)
+    out = np.zeros((PIECES, cells // PIECES), np.uint32)
     for r in rows:
         out[r.chunk] = np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(r.blob)), np.uint32)
     return Counts(out.reshape(-1), sum(r.docs for r in rows), sum(r.words for r in rows))
