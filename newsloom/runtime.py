@@ -84,7 +84,16 @@ def written(df: DataFrame, owner: str, partition: str | None = None) -> DataFram
     if partition:
         w = w.partitionBy(partition)
     w.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.paths = [path]
+    return out
+
+
+def joined(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Two written tables of one schema as one scan: appending never deepens the plan."""
+    out = a.sparkSession.read.schema(a.schema).parquet(*a.paths, *b.paths)
+    out.paths = [*a.paths, *b.paths]
+    return out
 
 
 def written_all(owner: str, *dfs: DataFrame) -> list[DataFrame]:
