@@ -228,7 +228,7 @@ def readings(token: str, corpus: Corpus) -> tuple:
             gain = corpus.score(r) - base
             for k in ks:
                 g = gain - (1.0 if CHANNELS[k][1] == "utf_8" else 2.0)
-                if g > EACH:
+                if g > 0:
                     out.append((k, g, r))
     got = corpus.memo[token] = tuple(out)
     return got
@@ -249,7 +249,8 @@ def examine(text: str, corpus: Corpus, fill: bool = True) -> tuple[list[int], in
         if got := readings(tok, corpus):
             spots.append((m.start(), m.end(), tok, got))
             for k, g, _ in got:
-                gains[k] = gains.get(k, 0.0) + min(g, 12.0)
+                if g > EACH:  # less is no evidence, but enough where the channel has shown itself
+                    gains[k] = gains.get(k, 0.0) + min(g, 12.0)
     good = {k for k, g in gains.items() if g >= EVIDENCE}
     fixes = []
     for a, z, tok, got in spots:

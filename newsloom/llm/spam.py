@@ -6,7 +6,7 @@ neighbours, log p(ab) / p(a)p(b), and the mean number of times a term comes in a
 
 *Terms.* A word or pair is a stuffed keyword of a document if it recurs there within one sentence or
 over many short entries, recurs so wherever the corpus has it (BURST times a document or more), is
-no common word, and, for a pair, is a collocation (PMI above COLLOCATION).
+RATE times as frequent there as in the corpus, and, for a pair, is a collocation (PMI above COLLOCATION).
 
 *Units.* A document is cut into sentences and lines. A unit is spam if keywords, links and tags cover
 COVER of its characters, or if it is word salad: many known words whose mean PMI is below SALAD.
@@ -30,7 +30,8 @@ from newsloom.llm.words import WORD, mix, slice_sets, word_hashes, word_lists
 from newsloom.runtime import ship
 
 SINGLE, PAIR, PIECES = 1 << 19, 1 << 20, 24
-BURST, COLLOCATION, COVER, SALAD, COMMON, SOUND = 4.0, 1.0, 0.22, -1.0, 0.03, 2.5
+BURST, COLLOCATION, COVER, SALAD, RATE, SOUND = 4.0, 1.0, 0.22, -1.0, 2.5, 2.5
+THICK, COMMON = 0.15, 0.03  # of the first look alone
 LINK = re.compile(
     r"<a\s[^>]*>.*?</a\s*>|\[url[^\]]*\].*?\[/url\]|\[[^\]\n]*\]\(\s*https?://[^)\s]*\)|(?:https?://|www\.)\S+|\b(?:[a-z0-9-]+\.)+[a-z]{2,}(?:/\S*)?(?=[\s,;|)]|$)",
     re.I | re.S,
@@ -119,6 +120,8 @@ def corpus_counts(docs: DataFrame) -> Counts:
 def keywords(text: str, counts: Counts) -> set[tuple[str, ...]]:
     """The stuffed words and pairs of one text."""
     repeats: dict[tuple, int] = {}
+    every: dict[tuple, int] = {}
+    size = 0
     entries: dict[tuple, int] = {}
     for part in _SENT.split(text):
         words = WORD.findall(part.lower())
@@ -131,7 +134,9 @@ def keywords(text: str, counts: Counts) -> set[tuple[str, ...]]:
             if k and len(w) > 1 and len(words[k - 1]) > 1 and not (w.isdigit() or words[k - 1].isdigit()):
                 t = (words[k - 1], w)
                 here[t] = here.get(t, 0) + 1
+        size += len(words)
         for t, n in here.items():
+            every[t] = every.get(t, 0) + n
             if n > 1:
                 repeats[t] = repeats.get(t, 0) + n
     for part in ENTRY.split(text):
@@ -147,8 +152,8 @@ def keywords(text: str, counts: Counts) -> set[tuple[str, ...]]:
         if len(w) != len(t):
             continue
         n, d = counts.single(w) if len(t) == 1 else counts.pair(pair_hashes(w))
-        d1 = counts.single(w)[1]
-        if n[0] >= BURST * max(1.0, d[0]) and d[0] <= max(3.0, COMMON * counts.docs) and (len(t) == 1 or counts.pmi(w)[0] > COLLOCATION):
+        here = max(every.get(t, 0), entries.get(t, 0)) / max(1, size)
+        if n[0] >= BURST * max(1.0, d[0]) and here >= RATE * n[0] / counts.words and (len(t) == 1 or counts.pmi(w)[0] > COLLOCATION):
             out.add(t)
     return out
 
@@ -214,7 +219,7 @@ def quick_look(words: list[np.ndarray], counts: Counts) -> tuple[np.ndarray, np.
     often = np.zeros(len(words), bool)
 
     def recurs(h: np.ndarray, at: np.ndarray, size: np.ndarray, known) -> None:
-        """Mark the texts in which a value comes three times that comes often wherever it comes, but not commonly."""
+        """Mark the texts in which a value comes three times that comes often wherever it comes, or that repeat themselves."""
         s = np.concatenate([h[a:z] for a, z in zip(at.tolist(), (at + size).tolist())])
         begin = np.cumsum(size) - size
         for a, z in zip(begin.tolist(), (begin + size).tolist()):
@@ -223,11 +228,16 @@ def quick_look(words: list[np.ndarray], counts: Counts) -> tuple[np.ndarray, np.
         new[1:] = s[1:] != s[:-1]
         new[begin[size > 0]] = True
         first = np.flatnonzero(new)
-        many = first[np.diff(np.append(first, len(s))) >= 3]
+        run = np.diff(np.append(first, len(s)))
+        own = np.searchsorted(begin, first, side="right") - 1
+        kinds, top = np.bincount(own, minlength=len(words)), np.zeros(len(words), np.int64)
+        np.maximum.at(top, own, run)
+        # whatever the corpus holds: one value fills much of a text, or few values fill all of it
+        often[(size >= 8) & ((top >= THICK * size) | (kinds <= 0.35 * size))] = True
+        many, own = first[run >= 3], own[run >= 3]
         if len(many):
             n, d = known(s[many])
-            burst = (n >= BURST * np.maximum(d, 1)) & (d <= max(3.0, COMMON * counts.docs))
-            often[np.searchsorted(begin, many[burst], side="right") - 1] = True
+            often[own[(n >= BURST * np.maximum(d, 1)) & (d <= max(3.0, COMMON * counts.docs))]] = True
 
     recurs(w, at, size, counts.single)
     if len(w) > 1:
