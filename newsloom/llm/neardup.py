@@ -32,6 +32,7 @@ BUCKETS, CHUNKS = 1 << 21, 16
 HOT = 20_000
 PER_PART = 1_000_000
 SEEN_BITS = 1 << 23
+BLOCK = 160  # rows of a large tile compared at once
 
 
 def _band(n: np.ndarray) -> np.ndarray:
@@ -248,19 +249,21 @@ def tile(table: pa.Table, t: float) -> pa.Table:
                 if c > b + 1:
                     continue
                 bits = max(256, width(b) // 2) if c == b else width(b)
-                for i in range(0, len(rows), 512):
-                    p = rows[i : i + 512]
-                    mp = signs(p, width(b), bits)
-                    for j in range(i if c == b else 0, len(cols), 512):
-                        q = cols[j : j + 512]
+                # the last two columns add both sizes' shares of the limit, so one product and one comparison decide
+                left = np.empty((len(rows), bits + 2), np.float32)
+                left[:, :bits], left[:, bits], left[:, bits + 1] = signs(rows, width(b), bits), 2 * ratio * n[rows], 1
+                right = np.empty((len(cols), bits + 2), np.float32)
+                right[:, :bits], right[:, bits], right[:, bits + 1] = left[:, :bits] if c == b else signs(cols, width(c), bits), 1, 2 * ratio * n[cols]
+                for i in range(0, len(rows), BLOCK):
+                    p = rows[i : i + BLOCK]
+                    for j in range(i if c == b else 0, len(cols), BLOCK):
+                        q = cols[j : j + BLOCK]
                         own = c == b and j == i
                         if not own and t * n[q[0]] > n[p[-1]]:
                             break
-                        mq = mp if own else signs(q, width(c), bits)
-                        # the last two columns add both sizes' shares of the limit, so one product and one comparison decide
-                        left = np.concatenate([mp, 2 * ratio * n[p][:, None], np.ones((len(p), 1))], axis=1, dtype=np.float32)
-                        right = np.concatenate([mq, np.ones((len(q), 1)), 2 * ratio * n[q][:, None]], axis=1, dtype=np.float32)
-                        at = np.flatnonzero(left @ right.T >= bits - 1e-2)
+                        at = np.flatnonzero(left[i : i + BLOCK] @ right[j : j + BLOCK].T >= bits - 1e-2)
+                        if not len(at):
+                            continue
                         a, z = p[at // len(q)], q[at % len(q)]
                         ok = a < z if own else a != z
                         a, z = a[ok], z[ok]

@@ -68,6 +68,6 @@ def test_pages_of_the_test_data(spark):
     utf8 = {r[0] for r in spark.read.parquet(f"{DATA}/feed_article_meta.parquet").where("is_utf8 = '1'").select("id").collect()}
     odd = set()
     for r in spark.read.parquet(f"{DATA}/article.parquet").where("content is not null").collect():
-        if r.feed_articleid in utf8 and any(c in "Ã€™√├�╢¤" for c in bytes(r.content).decode("utf_8", "replace")):
+        if r.feed_articleid in utf8 and any(c in "™√├\u00a4╢\ufffd" for c in bytes(r.content).decode("utf_8", "replace")):
             odd.add(r.feed_articleid)
     assert odd <= got and len(got) <= len(odd) + 6
