@@ -236,10 +236,34 @@ def wide_article_record(spark, d) -> DataFrame:
     )
 
 
+def active_spells(spark, d) -> DataFrame:
+    """Spells of days on which a site found articles, neighbouring days merged (gaps and islands)."""
+    day = F.floor(F.unix_timestamp("found") / 86400)
+    days = table(spark, d, "feed_article").groupBy("siteid", day.alias("day")).agg(F.count("*").alias("n"))
+    w = Window.partitionBy("siteid").orderBy("day")
+    starts = F.when(F.col("day") - F.lag("day").over(w) <= 1, 0).otherwise(1)
+    spell = days.withColumn("s", starts).withColumn("spell", F.sum("s").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return spell.groupBy("siteid", "spell").agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"), F.sum("n").alias("articles"))
+
+
+def export_pending(spark, d) -> DataFrame:
+    """Texts an export has yet to write: those with a cleartext, less those whose teaser is out already."""
+    p = table(spark, d, "processed_article")
+    out = p.where("mode = 'teaser'").select("feed_articleid")
+    return p.where("mode = 'cleartext'").select("feed_articleid").distinct().join(out, "feed_articleid", "left_anti")
+
+
+def articles_by_month(spark, d) -> DataFrame:
+    """Articles, sites and URLs by month."""
+    fa = table(spark, d, "feed_article").select("id", "siteid", times.month_id(F.col("found")).alias("month"))
+    u = table(spark, d, "feed_article_urls").select(F.col("fa_id").alias("id"), "url").distinct().groupBy("id").agg(F.count("*").alias("urls"))
+    return fa.join(u, "id", "left").groupBy("month").agg(F.count("*").alias("articles"), F.count_distinct("siteid").alias("sites"), F.sum("urls").cast("long").alias("urls"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        due_feed_per_site, most_overdue_feed, newest_pages_per_site, url_ends_per_article, crawl_requests, newest_article_per_site, pending_counts, pending_decode,
+        active_spells, export_pending, articles_by_month, due_feed_per_site, most_overdue_feed, newest_pages_per_site, url_ends_per_article, crawl_requests, newest_article_per_site, pending_counts, pending_decode,
         missing_pages, labelled_texts, articles_of_host, duplicate_lookup, feed_overlap, entry_outcomes, feed_stats, resume_point, feed_order, crawl_schedule, offset_page,
         random_slice, language_histogram, titles_of_day, hosts_by_tld, stratified_hosts, hosts_seen, publisher_inference, feed_versions, duplicate_tags, wide_article_record,
     )
@@ -248,6 +272,9 @@ QUERIES = {
 _LAST = "(SELECT fa_id, arg_max(url, (seq, url)) AS url FROM feed_article_urls GROUP BY 1)"
 _HOST = "split_part(url || '/-/-/', '/', 3)"
 ORACLE = {
+    "active_spells": "WITH d AS (SELECT siteid, CAST(floor(epoch(found)) AS BIGINT) // 86400 AS day, count(*) AS n FROM feed_article GROUP BY 1, 2), s AS (SELECT *, sum(s) OVER (PARTITION BY siteid ORDER BY day) AS spell FROM (SELECT *, CASE WHEN day - lag(day) OVER (PARTITION BY siteid ORDER BY day) <= 1 THEN 0 ELSE 1 END AS s FROM d)) SELECT siteid, CAST(spell AS BIGINT) AS spell, min(day) AS first_day, max(day) AS last_day, CAST(sum(n) AS BIGINT) AS articles FROM s GROUP BY 1, 2",
+    "export_pending": "SELECT DISTINCT feed_articleid FROM processed_article p WHERE mode = 'cleartext' AND NOT EXISTS (SELECT 1 FROM processed_article t WHERE t.mode = 'teaser' AND t.feed_articleid = p.feed_articleid)",
+    "articles_by_month": "SELECT CAST(year(found AT TIME ZONE 'UTC') * 12 + month(found AT TIME ZONE 'UTC') AS INT) AS month, count(*) AS articles, count(DISTINCT siteid) AS sites, CAST(sum(urls) AS BIGINT) AS urls FROM feed_article a LEFT JOIN (SELECT fa_id, count(DISTINCT url) AS urls FROM feed_article_urls WHERE url IS NOT NULL GROUP BY 1) u ON u.fa_id = a.id GROUP BY 1",
     "due_feed_per_site": f"SELECT siteid, id, url, epoch_us(next_scan) AS next_scan FROM (SELECT *, row_number() OVER (PARTITION BY siteid ORDER BY next_scan, id) AS k FROM feed WHERE NOT disabled AND next_scan < {SQL_NOW}) WHERE k < 2",
     "most_overdue_feed": f"SELECT id, siteid, CAST(floor(epoch({SQL_NOW})) - floor(epoch(next_scan)) AS BIGINT) AS late_s FROM feed WHERE NOT disabled AND next_scan < {SQL_NOW} ORDER BY next_scan, id LIMIT 1",
     "newest_pages_per_site": f"SELECT siteid, CAST(k AS INT) AS rank, id, url FROM (SELECT id, siteid, row_number() OVER (PARTITION BY siteid ORDER BY found DESC, id DESC) AS k FROM feed_article WHERE id IN (SELECT id FROM feed_article_meta WHERE is_utf8 = '1')) t LEFT JOIN {_LAST} u ON u.fa_id = t.id WHERE k < 17",

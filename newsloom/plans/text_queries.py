@@ -59,6 +59,11 @@ def plain_titles(spark, d) -> DataFrame:
     return _titles(spark, d).select("id", text.normalize_punctuation(F.col("title"), whitespace=True).alias("plain"))
 
 
+def titles_encoded(spark, d) -> DataFrame:
+    """Titles as they stand in a query string."""
+    return _titles(spark, d).select("id", urls.percent_encode(F.col("title")).alias("encoded"))
+
+
 def xml_titles(spark, d) -> DataFrame:
     """Titles escaped to ASCII XML."""
     return _titles(spark, d).select("id", text.xml_escape(F.col("title")).alias("xml"))
@@ -207,7 +212,7 @@ def datelines(spark, d) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        text_forms, intros, title_matches, page_text, page_lines, plain_titles, xml_titles, xml_paragraphs, text_digests, ngrams_removed, url_parts, urls_rewritten,
+        text_forms, intros, title_matches, page_text, page_lines, plain_titles, titles_encoded, xml_titles, xml_paragraphs, text_digests, ngrams_removed, url_parts, urls_rewritten,
         urls_decoded, headers_read, charset_guess, fetch_outcomes, times_written, geo_points, source_places, access_rows, event_json, enrichment_routes, only_images,
         feeds_discovered, page_extracts, entities_decoded, datelines,
     )
@@ -253,6 +258,7 @@ ORACLE = {
     "intros": f"SELECT id, CASE WHEN length(content) > e THEN substring(content, 1, e) || ' (...)' ELSE content END AS intro FROM (SELECT id, content, least(CASE WHEN strpos(substring(content, 401), ' ') > 0 THEN 399 + strpos(substring(content, 401), ' ') ELSE 500 END, 500) AS e FROM {_T})",
     "title_matches": f"SELECT id, CASE WHEN greatest(length(x), length(y)) = 0 THEN false WHEN length(x) > 4 * length(y) THEN false ELSE (levenshtein(x, y) - abs(length(x) - length(y))) / greatest(length(x), length(y)) < 0.1 END AS same FROM (SELECT id, {_ALNUM.format('title')} AS x, {_ALNUM.format('split_part(content, chr(10), 1)')} AS y FROM {_T} t JOIN {_TITLES} m USING (id) WHERE NOT regexp_matches(title, '[^\\x00-\\x7F]') AND NOT regexp_matches(split_part(content, chr(10), 1), '[^\\x00-\\x7F]'))",
     "plain_titles": f"SELECT id, {_plain('title')} AS plain FROM {_TITLES}",
+    "titles_encoded": f"SELECT id, url_encode(title) AS encoded FROM {_TITLES}",
     "xml_titles": f"SELECT id, {_xml('title')} AS xml FROM {_TITLES}",
     "text_digests": f"SELECT id, CAST(md5_number_lower(content) AS VARCHAR) AS digest FROM {_T}",
     "url_parts": "SELECT url, CASE WHEN regexp_matches(lower(u), '^https?://') AND NOT contains(u, ' ') AND length(a) >= 5 THEN a END AS authority, split_part(url || '/-/-/', '/', 3) AS host, regexp_matches(lower(url), '\\.(" + "|".join(urls.MEDIA) + ")$') AS media, lower(left(url, 4)) = 'http' AND lower(right(url, 4)) <> '.mp3' AND length(url) <= 4095 AS ok FROM (SELECT url, regexp_replace(url, '^\\s+|\\s+$', '', 'g') AS u, nullif(regexp_extract(trim(url), '(?i)^https?://([^/?#\\s]+)', 1), '') AS a FROM (SELECT url FROM feed_article_urls UNION SELECT url FROM batch_item) WHERE url IS NOT NULL)",
