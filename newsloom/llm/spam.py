@@ -233,7 +233,7 @@ def quick_look(words: list[np.ndarray], counts: Counts) -> tuple[np.ndarray, np.
         kinds, top = np.bincount(own, minlength=len(words)), np.zeros(len(words), np.int64)
         np.maximum.at(top, own, run)
         # whatever the corpus holds: one value fills much of a text, or few values fill all of it
-        often[(size >= 8) & ((top >= THICK * size) | (kinds <= 0.35 * size))] = True
+        often[(size >= 8) & ((top >= THICK * size) | (kinds <= np.minimum(0.35 * size, 4 * np.sqrt(np.maximum(size, 0)))))] = True
         many, own = first[run >= 3], own[run >= 3]
         if len(many):
             n, d = known(s[many])
