@@ -3,7 +3,8 @@
 1. *Sign.* Each text becomes a set of hashed shingles. Texts with equal sets fall into one class.
    A sketch of fixed size counts all shingles of the corpus by hashed bucket; rare comes first.
 2. *Tile.* By the prefix principle two sets of similarity t share one of the |x| - ceil(t|x|) + 1
-   first shingles in any fixed order, so each class is posted under these alone. The postings of
+   first shingles in any fixed order, so each class is posted under these alone; of a pair the smaller
+   shares one of its |x| - ceil(2t/(1+t) |x|) + 1 first, so only those look for larger partners. The postings of
    one shingle form a tile, sorted by size and cut into size bands of a factor 2. Tiles compare
    hashed bitmap signatures (each shingle flips one bit; width grows with the band): the number of
    differing bits bounds the symmetric difference from below, hence the overlap from above.
@@ -129,7 +130,7 @@ def postings(docs: DataFrame, k: int, t: float, least_words: int, order, parts:
 
     def run(batches):
         rare = order.value
-        for b in batches:
+        for b in (x.slice(k0, 16_384) for x in batches for k0 in range(0, x.num_rows, 16_384)):
             _, begin, h = shingle_sets(b.column(0).to_pylist(), k, least_words)
             f = rare[(h & np.uint64(BUCKETS - 1)).astype(np.int64)]
             rank = f.astype(np.uint64) << np.uint64(32) | (h >> np.uint64(32))
@@ -143,16 +144,21 @@ def postings(docs: DataFrame, k: int, t: float, least_words: int, order, parts:
                 n = hi - lo
                 p = min(n, n - math.ceil(t * n - 1e-9) + 1)
                 first = lo + (np.argpartition(rank[lo:hi], p - 1)[:p] if p < n else np.arange(n))
+                few = min(p, n - math.ceil(2 * t / (1 + t) * n - 1e-9) + 1)
+                early = np.ones(p, bool)
+                if few < p:
+                    early[np.argpartition(rank[first], few - 1)[few:]] = False
                 key, often = h[first], f[first]
                 if often.max() > HOT:
-                    own, more = [key[often <= HOT]], key[often > HOT]
-                    for x, m in zip(more, often[often > HOT]):
+                    plain = often <= HOT
+                    own, flags = [key[plain]], [early[plain]]
+                    for x, m, e in zip(key[~plain], often[~plain], early[~plain]):
                         salts = -(-int(m) // HOT)
                         mine = c % salts
                         tiles = [(min(mine, y) * salts + max(mine, y)) for y in range(salts)]
-                        own.append(mix(np.array(tiles, np.uint64) ^ x))
-                    key = np.concatenate(own)
-                keys.append(key), at.append(np.full(len(key), len(seen) - 1, np.uint16))
+                        own.append(mix(np.array(tiles, np.uint64) ^ x)), flags.append(np.full(salts, e))
+                    key, early = np.concatenate(own), np.concatenate(flags)
+                keys.append(key), at.append((len(seen) - 1 | early.astype(np.int64) << 15).astype(np.uint16))
             if not seen:
                 continue
             mine = np.array(list(seen.values()))
@@ -170,8 +176,8 @@ def postings(docs: DataFrame, k: int, t: float, least_words: int, order, parts:
                 lo, hi = edge[q], edge[q + 1]
                 if lo == hi:
                     continue
-                used, local = np.unique(idx[lo:hi], return_inverse=True)
-                for col, v in zip(cols, (q, _pack(key[lo:hi]), local.astype(np.uint16).tobytes(), cls[used].tobytes(), n[used].tobytes(), b"".join(bits[u] for u in used))):
+                used, local = np.unique(idx[lo:hi] & 0x7FFF, return_inverse=True)
+                for col, v in zip(cols, (q, _pack(key[lo:hi]), (local.astype(np.uint16) | idx[lo:hi] & 0x8000).tobytes(), cls[used].tobytes(), n[used].tobytes(), b"".join(bits[u] for u in used))):
                     col.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *(pa.array(x, pa.binary()) for x in cols[1:])], ["part", "keys", "at", "cls", "n", "bits"])
 
@@ -180,11 +186,12 @@ def postings(docs: DataFrame, k: int, t: float, least_words: int, order, parts:
 
 def tile(table: pa.Table, t: float) -> pa.Table:
     """Pairs of classes in one part whose bitmaps allow similarity t."""
-    keys, cls, ns, words, doc = [], [], [], [], []
+    keys, cls, ns, words, doc, early = [], [], [], [], [], []
     base = 0
     for kb, ab, cb, nb, bb in zip(*(table.column(c).to_pylist() for c in ("keys", "at", "cls", "n", "bits"))):
         c, n = np.frombuffer(cb, np.int64), np.frombuffer(nb, np.int32)
-        keys.append(_unpack(kb)), doc.append(np.frombuffer(ab, np.uint16).astype(np.int64) + base)
+        at = np.frombuffer(ab, np.uint16)
+        keys.append(_unpack(kb)), doc.append((at & 0x7FFF).astype(np.int64) + base), early.append(at >> 15)
         cls.append(c), ns.append(n), words.append(np.frombuffer(bb, np.uint64))
         base += len(c)
     key, doc, cls, n = np.concatenate(keys), np.concatenate(doc), np.concatenate(cls), np.concatenate(ns).astype(np.int64)
@@ -196,11 +203,12 @@ def tile(table: pa.Table, t: float) -> pa.Table:
     first = np.zeros(len(uniq), np.int64)
     first[same] = np.arange(len(cls))
     doc = first[same[doc]]  # one row for a class, from whichever batch
+    early = np.concatenate(early).astype(bool)
     o = np.lexsort((doc, n[doc], key))
-    key, doc = key[o], doc[o]
+    key, doc, early = key[o], doc[o], early[o]
     keep = np.ones(len(key), bool)
     keep[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
-    key, doc = key[keep], doc[keep]
+    key, doc, early = key[keep], doc[keep], early[keep]
     edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
     many = np.diff(edge)
     found: list[np.ndarray] = []
@@ -220,7 +228,7 @@ def tile(table: pa.Table, t: float) -> pa.Table:
     # small tiles: all pairs at distance 1, 2, ... in the sorted postings at once
     small = np.repeat(many, many) <= 32
     sk, sd = key[small], doc[small]
-    act, d = np.arange(len(sk)), 0
+    act, d = np.flatnonzero(early[small]), 0  # the smaller of a pair shares one of its first, rarest keys
     while len(act):
         d += 1
         act = act[act + d < len(sk)]
@@ -240,12 +248,17 @@ def tile(table: pa.Table, t: float) -> pa.Table:
                     found.append(np.minimum(p[ok], q[ok]) * total + np.maximum(p[ok], q[ok]))
     # large tiles: signatures as +-1, differing bits by a matrix product, band against band
     for lo, hi in zip(edge[:-1][many > 32], edge[1:][many > 32]):
-        g = doc[lo:hi]
+        g, first_keys = doc[lo:hi], early[lo:hi]
+        if not first_keys.any():
+            continue
         gb = band[g]
         cut = np.flatnonzero(np.concatenate([[True], gb[1:] != gb[:-1], [True]]))
-        runs = [(int(gb[a]), g[a:z]) for a, z in zip(cut[:-1], cut[1:])]
-        for r, (b, rows) in enumerate(runs):
-            for c, cols in runs[r : r + 2]:
+        runs = [(int(gb[a]), g[a:z], np.flatnonzero(first_keys[a:z])) for a, z in zip(cut[:-1], cut[1:])]
+        for r, (b, every, where) in enumerate(runs):
+            if not len(where):
+                continue
+            rows = every[where]
+            for c, cols, _ in runs[r : r + 2]:
                 if c > b + 1:
                     continue
                 bits = max(256, width(b) // 2) if c == b else width(b)
@@ -253,21 +266,20 @@ def tile(table: pa.Table, t: float) -> pa.Table:
                 left = np.empty((len(rows), bits + 2), np.float32)
                 left[:, :bits], left[:, bits], left[:, bits + 1] = signs(rows, width(b), bits), 2 * ratio * n[rows], 1
                 right = np.empty((len(cols), bits + 2), np.float32)
-                right[:, :bits], right[:, bits], right[:, bits + 1] = left[:, :bits] if c == b else signs(cols, width(c), bits), 1, 2 * ratio * n[cols]
+                right[:, :bits], right[:, bits], right[:, bits + 1] = signs(cols, width(c), bits), 1, 2 * ratio * n[cols]
                 for i in range(0, len(rows), BLOCK):
-                    p = rows[i : i + BLOCK]
-                    for j in range(i if c == b else 0, len(cols), BLOCK):
+                    p, at_row = rows[i : i + BLOCK], where[i : i + BLOCK]
+                    for j in range(int(at_row[0]) + 1 if c == b else 0, len(cols), BLOCK):
                         q = cols[j : j + BLOCK]
-                        own = c == b and j == i
-                        if not own and t * n[q[0]] > n[p[-1]]:
+                        if t * n[q[0]] > n[p[-1]] + 1e-9:
                             break
                         at = np.flatnonzero(left[i : i + BLOCK] @ right[j : j + BLOCK].T >= bits - 1e-2)
                         if not len(at):
                             continue
-                        a, z = p[at // len(q)], q[at % len(q)]
-                        ok = a < z if own else a != z
-                        a, z = a[ok], z[ok]
-                        found.append(np.minimum(a, z) * total + np.maximum(a, z))
+                        x, y = at // len(q), at % len(q)
+                        ok = at_row[x] < j + y if c == b else p[x] != q[y]
+                        u, v = p[x[ok]], q[y[ok]]
+                        found.append(np.minimum(u, v) * total + np.maximum(u, v))
     code = np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
     a, z = cls[code // total], cls[code % total]
     return pa.table({"a": pa.array(np.minimum(a, z)), "b": pa.array(np.maximum(a, z))})
