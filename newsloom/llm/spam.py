@@ -31,7 +31,7 @@ from newsloom.runtime import ship
 
 SINGLE, PAIR, PIECES = 1 << 19, 1 << 20, 24
 BURST, COLLOCATION, COVER, SALAD, RATE, SOUND = 4.0, 1.0, 0.22, -1.0, 2.5, 2.5
-THICK, COMMON = 0.15, 0.03  # of the first look alone
+KNOWN, SALAD_PAIRS = 5, 6
 LINK = re.compile(
     r"<a\s[^>]*>.*?</a\s*>|\[url[^\]]*\].*?\[/url\]|\[[^\]\n]*\]\(\s*https?://[^)\s]*\)|(?:https?://|www\.)\S+|\b(?:[a-z0-9-]+\.)+[a-z]{2,}(?:/\S*)?(?=[\s,;|)]|$)",
     re.I | re.S,
@@ -159,8 +159,8 @@ def keywords(text: str, counts: Counts) -> set[tuple[str, ...]]:
 
 
 def spam_share(text: str, counts: Counts, often: bool | None = None) -> tuple[float, float, float]:
-    """(share of spam characters, share of links and tags, mean PMI of neighbouring words); ``often``: whether
-    rare words recur, if that is known."""
+    """(share of spam characters, share of links and tags, mean PMI of neighbouring words); ``often``: False where
+    it is known that no keyword is possible."""
     size = len("".join(text.split()))
     w = word_hashes(text)
     if not size:
@@ -195,9 +195,9 @@ def spam_share(text: str, counts: Counts, often: bool | None = None) -> tuple[fl
             covered = sum(hit)
             if covered < COVER * chars and len(found) >= 8:
                 h = word_hashes(" ".join(x for x, _, _ in found))
-                known = counts.single(h)[1] >= 5
+                known = counts.single(h)[1] >= KNOWN
                 both = known[:-1] & known[1:]
-                if both.sum() >= 6 and counts.pmi(h)[both].mean() < SALAD:
+                if both.sum() >= SALAD_PAIRS and counts.pmi(h)[both].mean() < SALAD:
                     covered = chars
         if covered >= COVER * chars:
             spam[a:z] = b"\x01" * (z - a)
@@ -206,8 +206,10 @@ def spam_share(text: str, counts: Counts, often: bool | None = None) -> tuple[fl
 
 
 def quick_look(words: list[np.ndarray], counts: Counts) -> tuple[np.ndarray, np.ndarray]:
-    """(mean PMI, whether a rare word recurs as keywords do) of many texts at once. A text that is half
-    word salad has a mean below SOUND, half its pairs being below SALAD."""
+    """(mean PMI, whether a keyword or a salad unit is possible) of many texts at once; weaker than the rule, so no
+    text it lets go has either. A keyword comes twice or more and fulfils the corpus's conditions. The known pairs of a
+    salad unit are SALAD_PAIRS or more in a row among the text's; if so many have a mean below SALAD, fewer than
+    twice as many in a row have."""
     if not words:
         return np.empty(0), np.empty(0, bool)
     size = np.fromiter(map(len, words), np.int64, len(words))
@@ -217,31 +219,30 @@ def quick_look(words: list[np.ndarray], counts: Counts) -> tuple[np.ndarray, np.
     p[at + size - 1] = 0.0  # the pair that spans two texts
     mean = np.add.reduceat(p, at) / np.maximum(size - 1, 1)
     often = np.zeros(len(words), bool)
-
-    def recurs(h: np.ndarray, at: np.ndarray, size: np.ndarray, known) -> None:
-        """Mark the texts in which a value comes three times that comes often wherever it comes, or that repeat themselves."""
-        s = np.concatenate([h[a:z] for a, z in zip(at.tolist(), (at + size).tolist())])
-        begin = np.cumsum(size) - size
-        for a, z in zip(begin.tolist(), (begin + size).tolist()):
-            s[a:z].sort()
-        new = np.ones(len(s), bool)
-        new[1:] = s[1:] != s[:-1]
-        new[begin[size > 0]] = True
-        first = np.flatnonzero(new)
-        run = np.diff(np.append(first, len(s)))
-        own = np.searchsorted(begin, first, side="right") - 1
-        kinds, top = np.bincount(own, minlength=len(words)), np.zeros(len(words), np.int64)
-        np.maximum.at(top, own, run)
-        # whatever the corpus holds: one value fills much of a text, or few values fill all of it
-        often[(size >= 8) & ((top >= THICK * size) | (kinds <= np.minimum(0.35 * size, 4 * np.sqrt(np.maximum(size, 0)))))] = True
-        many, own = first[run >= 3], own[run >= 3]
-        if len(many):
-            n, d = known(s[many])
-            often[own[(n >= BURST * np.maximum(d, 1)) & (d <= max(3.0, COMMON * counts.docs))]] = True
-
-    recurs(w, at, size, counts.single)
+    text = np.repeat(np.arange(len(words)), size)
+    inside = np.ones(len(w), bool)
+    inside[at + size - 1] = False
+
+    def recurs(h: np.ndarray, own: np.ndarray) -> None:
+        """Mark the texts in which one of the values comes twice."""
+        o = np.lexsort((h, own))
+        h, own = h[o], own[o]
+        often[own[1:][(h[1:] == h[:-1]) & (own[1:] == own[:-1])]] = True
+
+    n, d = counts.single(w)
+    ok = n >= BURST * np.maximum(d, 1)
+    recurs(w[ok], text[ok])
     if len(w) > 1:
-        recurs(pair_hashes(w), at, size - 1, counts.pair)
+        h = pair_hashes(w)
+        n, d2 = counts.pair(h)
+        ok = inside[:-1] & (n >= BURST * np.maximum(d2, 1)) & (p[:-1] > COLLOCATION - 1e-9)
+        recurs(h[ok], text[:-1][ok])
+        known = d >= KNOWN
+        both = np.flatnonzero(inside[:-1] & known[:-1] & known[1:])
+        own, upto = text[both], np.concatenate([[0.0], np.cumsum(p[both] - SALAD)])
+        for k in range(SALAD_PAIRS, min(2 * SALAD_PAIRS, len(both) + 1)):
+            low = upto[k:] - upto[:-k] < 1e-6
+            often[own[k - 1 :][low & (own[k - 1 :] == own[: len(own) - k + 1])]] = True
     return mean, often
 
 
@@ -260,7 +261,8 @@ def scored(docs: DataFrame, counts: Counts) -> DataFrame:
             mean, often = quick_look(words, own)
             for i, m, o in zip(rows.tolist(), mean.tolist(), often.tolist()):
                 x = texts[i]
-                if o or m < SOUND or "#" in x or _MAY_LINK.search(x):
+                o = o or "\u03a3" in x  # its lower case depends on what follows, so on where a text is cut
+                if o or "#" in x or _MAY_LINK.search(x):
                     out[i] = spam_share(x, own, o)
                 else:
                     out[i] = (0.0, 0.0, m)

@@ -42,6 +42,23 @@ def test_quick_look_misses_nothing(world):
     assert not [x for x, f, m, o in zip(texts, full, mean, often) if f and not o and m >= S.SOUND and "#" not in x and not S._MAY_LINK.search(x)]
 
 
+def test_scored_is_the_rule_on_every_row(spark):
+    """A stuffed keyword in a third of the corpus, one that comes only twice, and salad among words of high PMI."""
+    r = random.Random(3)
+    fill = lambda n: " ".join(f"name{r.randint(0, 3000)}" for _ in range(n))
+    texts = [f"The council of {fill(12)} met. Nobody from {fill(9)} came." for _ in range(200)]
+    texts += [". ".join(f"Loan {fill(1)} loans{i % 2} loan {fill(1)}" for _ in range(12)) for i in range(120)]
+    vocabulary = [f"word{k}" for k in range(40)]
+    texts += [" ".join(f"{a} {b}" for a, b in zip(vocabulary, vocabulary[1:])) for _ in range(600)]
+    texts += [" ".join(r.choice(vocabulary) for _ in range(12)) + ". " + " ".join(f"only{i}x{k}" for k in range(60)) for i in range(8)]
+    texts += [f"Cheap loan or loan {fill(2)}.", "", "word", "\u0391\u03a3:\u0392 \u0391\u03a3:\u0392"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    counts = S.corpus_counts(df)
+    got = {x.id: x.spam for x in S.scored(df, counts).collect()}
+    want = {i: S.spam_share(x, counts)[0] for i, x in enumerate(texts)}
+    assert got == want and min(sum(want[i] > 0 for i in part) for part in (range(200, 320), range(920, 928), range(928, 929))) > 0
+
+
 def test_edges(spark, world):
     _, counts, _, _ = world
     df = spark.createDataFrame([(1, None), (2, ""), (3, "word"), (4, "dog bed " * 30_000), (None, "x"), (5, "  \n\n ")], "id long, text string")
