@@ -11,8 +11,8 @@ demand (weight times the run's tokens) is met; one that is too small ends below
 shares reached are reported. Running sums are made of bucket sums and sums within buckets, so a
 source with a third of all rows is never one task.
 
-Cases: equal texts count as one text (the least id stays), so none is drawn more than ``max_repeat``
-times; null texts and null sources are never drawn; a source without texts gets share 0.
+Cases: equal texts of a mix's sources count as one text of that mix (the least id stays, of a source with
+weight if there is one), so none is drawn more than ``max_repeat`` times; null texts and null sources are never drawn; a source without texts gets share 0.
 """
 
 from __future__ import annotations
@@ -35,10 +35,10 @@ def schedules(targets: DataFrame) -> DataFrame:
 
 
 def plan(items: DataFrame, targets: DataFrame, run_tokens: DataFrame | None = None) -> DataFrame:
-    """One row for each mix and source: supply, demand, rounds, buckets. The run's tokens default to the
+    """One row for each mix and source of ``items`` (mix_id, source, tokens): supply, demand, rounds, buckets. The run's tokens default to the
     tokens of the mix's distinct texts."""
-    supply = items.groupBy("source").agg(F.sum("tokens").alias("supply"), F.count("*").alias("texts"))
-    p = schedules(targets).join(supply, "source", "left").fillna(0, ["supply", "texts"])
+    supply = items.groupBy("mix_id", "source").agg(F.sum("tokens").alias("supply"), F.count("*").alias("texts"))
+    p = schedules(targets).join(supply, ["mix_id", "source"], "left").fillna(0, ["supply", "texts"])
     total = p.groupBy("mix_id").agg(F.sum("supply").alias("run")) if run_tokens is None else run_tokens
     p = p.join(total, "mix_id")
     p = p.withColumn("demand", F.col("weight") * F.col("run"))
@@ -48,10 +48,11 @@ def plan(items: DataFrame, targets: DataFrame, run_tokens: DataFrame | None = No
 
 def draws(items: DataFrame, targets: DataFrame, run_tokens: DataFrame | None = None) -> DataFrame:
     """(mix_id, position, id, source, round, tokens) in training order; ``items`` has id, source, tokens, key."""
-    one = items.where("source is not null and tokens > 0").groupBy("key").agg(F.min(F.struct("id", "source", "tokens")).alias("r")).select("key", "r.*")
+    own = F.broadcast(targets.select("mix_id", "source", (F.col("weight") <= 0).alias("idle")))
+    one = items.where("source is not null and tokens > 0").join(own, "source").groupBy("mix_id", "key").agg(F.min(F.struct("idle", "id", "source", "tokens")).alias("r")).select("mix_id", "key", "r.id", "r.source", "r.tokens")
     p = plan(one, targets, run_tokens).where("rounds > 0").select("mix_id", "source", "slope", "demand", "supply", "rounds", "buckets")
     # which bucket of which round a text falls in: its place in the source's order is (round, hash)
-    every = one.join(F.broadcast(p), "source").withColumn("round", F.explode(F.expr("sequence(1, rounds)")))
+    every = one.join(F.broadcast(p), ["mix_id", "source"]).withColumn("round", F.explode(F.expr("sequence(1, rounds)")))
     place = F.shiftrightunsigned(F.xxhash64("key", "round", "mix_id"), 11).cast("double") / F.lit(float(1 << 53))
     every = every.withColumn("place", place).withColumn("bucket", F.least(F.floor(F.col("place") * F.col("buckets")).cast("int"), F.col("buckets") - 1))
     keys = ["mix_id", "source", "round", "bucket"]

@@ -32,3 +32,15 @@ def test_weights_hold_at_every_time(spark):
     t = Y.schedules(spark.createDataFrame(TARGET, "mix_id int, source string, weight double, max_repeat int"))
     for x in t.groupBy("mix_id").agg(F.sum(F.col("weight") * F.col("slope")).alias("z"), F.max(F.abs("slope")).alias("m")).collect():
         assert abs(x.z) < 1e-12 and x.m <= Y.SLOPE + 1e-9
+
+
+def test_equal_texts_are_lost_only_within_a_mix(spark):
+    """Mix 1 has both sources of the copies, mix 2 only the one with the larger ids, mix 3 the other without weight."""
+    rows = [(i, "a", 50, i) for i in range(20)] + [(100 + i, "b", 50, i) for i in range(20)] + [(200 + i, "b", 50, 200 + i) for i in range(5)]
+    items = spark.createDataFrame([(*x, 1) for x in rows], "id long, source string, tokens long, key long, round int").drop("round")
+    target = spark.createDataFrame([(1, "a", 0.5, 1), (1, "b", 0.5, 1), (2, "b", 1.0, 1), (3, "a", 0.0, 1), (3, "b", 1.0, 1)], "mix_id int, source string, weight double, max_repeat int")
+    d = Y.draws(items, target).cache()
+    ids = lambda m: {x.id for x in d.where(f"mix_id = {m}").collect()}
+    assert ids(2) == ids(3) == {*range(100, 120), *range(200, 205)} and not ids(1) & set(range(100, 120))
+    s = {(x.mix_id, x.source): x.tokens for x in Y.shares(d, target).collect()}
+    assert s[2, "b"] == 1250
