@@ -36,6 +36,21 @@ def test_lines_are_judged_by_the_host(spark):
     assert B.unwanted_lines(empty).count() == 0
 
 
+def test_layouts_that_few_pages_have(spark):
+    """Two of twenty pages have another layout; a third has nothing but the host's usual furniture."""
+    other = lambda i: page(i).replace("<main", "<div class='story'><section").replace("</main>", "</section></div>")
+    bare = "<html><body><main><h1>Head 60</h1></main><div class='cookies'><p>We value your privacy and store files on your device, as all sites do.</p></div></body></html>"
+    rows = [(1, i, page(i), text(i)) for i in range(18)] + [(1, i, other(i), text(i)) for i in (40, 41)] + [(1, 60, bare, "Head 60\nWe value your privacy and store files on your device, as all sites do.")]
+    df = spark.createDataFrame([(a, b, bytearray(c.encode()), d, "x") for a, b, c, d in rows], "site long, id long, page binary, text string, path string")
+    s = B.surveyed(df, "bp2")
+    got = {}
+    for r in B.unwanted_lines(s).collect():
+        got.setdefault(r.id, set()).add(r.line_no)
+    assert got[3] == got[40] == got[41] == {1, 2, 8} and got[60] == {1}
+    b = {r.id: r for r in B.bodies(df, s).collect()}
+    assert b[40].body.count("\n") == b[3].body.count("\n") == 3 and b[40].body.startswith("Sentence number 40 0") and b[60].body == ""
+
+
 def test_lines_garbled_on_one_side_are_found():
     p = B.Page(blocks("<main><p>Das Theater verschiebt die Schlie&#223;ung der alten Br&#252;cke bis Ende des Jahres.</p></main>"))
     assert p.paths("Das Theater verschiebt die SchlieÃŸung der alten BrÃ¼cke bis Ende des Jahres.") == ["main>p"]
