@@ -4,10 +4,13 @@
 outside ASCII) into hashed tables of fixed size; since most text is sound, true forms outnumber
 garbled ones.
 
-*Channel.* A stretch was written in charset T, its bytes read in charset R. For each (R, T) and each
-token the characters are turned back into R's bytes, a lattice in which a lost byte (U+FFFD, or a
-code R leaves undefined) is a wildcard, and read in T. Wildcards are filled by Viterbi search over
-letters under the trigram counts, the survivors ranked by word counts.
+*Channel.* A stretch was written in charset T, its bytes read in charset R. For each (R, T) the characters
+of each token without lost bytes are turned back into R's bytes and read in T.
+
+*Lost bytes.* A token with U+FFFD goes through no channel: each mark is filled by one letter of a fixed list,
+by a beam search under the trigram counts, the survivors ranked by word counts; its other characters stay as
+they are. Tokens with more than four marks, or half of them marks, are left. (A byte lattice with wildcards
+over each channel would restore more; it isn't built.)
 
 *Decision.* gain = log P(read in T) - log P(as it stands) under the counts. A text is garbled if one
 channel's gains over its tokens add up to EVIDENCE or more, or if bytes were lost. Tokens that gain
