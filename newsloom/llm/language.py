@@ -10,8 +10,7 @@ at random so that languages switch at sentence and line ends; maximum likelihood
 mini-batches, fixed seed. Labelling: texts of a batch are sorted by length and run side by side
 through the recursions; texts of any length are labelled whole.
 
-Lines whose script a wrong charset hides are read through ``mojibake`` first, so garbled text counts for
-the language it was written in.
+Texts are read through ``mojibake`` first, so garbled text counts for the language it was written in.
 Cases: null, empty and letterless texts have no language; ties go to the language first in the
 alphabet; unknown languages are given the nearest known one, with a low confidence.
 """
@@ -221,23 +220,6 @@ def train(samples: list[tuple[str, str]], seed: int = 5, rounds: int = 60, rate:
     return Tagger(langs, weights.astype(np.float32), trans)
 
 
-_CYRILLIC = re.compile("[\u0400-\u04ff]")
-
-
-def readable(text: str, corpus: mojibake.Corpus) -> str:
-    """The text with those lines restored whose script a wrong charset hides: many characters outside
-    ASCII, few of them Cyrillic. Garbling that leaves a line's words recognisable needs no repair here."""
-    if len(text.encode("utf_8", "surrogatepass")) < 1.1 * len(text):
-        return text  # hardly any character outside ASCII in any line that matters
-    out = []
-    for line in text.split("\n"):
-        high = len(line.encode("utf_8", "surrogatepass")) - len(line)
-        if high > 0.2 * len(line) and len(_CYRILLIC.findall(line)) < 0.3 * len(line):
-            line = mojibake.restore(line, corpus)
-        out.append(line)
-    return "\n".join(out)
-
-
 def stretches(text: str, post: np.ndarray, words: list[str], langs: list[str]) -> list[tuple[int, str, int, float]]:
     """(position, language, letters, confidence) of the maximal stretches of one language."""
     out: list[tuple[int, str, int, float]] = []
@@ -256,19 +238,20 @@ def tagged(docs: DataFrame, tagger: Tagger, corpus: mojibake.Corpus | None = Non
     """(id, letters, stretches) of each text: array of (pos, lang, letters, confidence) in reading order."""
     spark = docs.sparkSession
     ship(spark)
-    model = spark.sparkContext.broadcast((tagger.langs, tagger.weights, tagger.trans, None if corpus is None else (corpus.w, corpus.t)))
+    model = spark.sparkContext.broadcast((tagger.langs, tagger.weights, tagger.trans))
+    tables = None if corpus is None else spark.sparkContext.broadcast((corpus.w, corpus.t))
     item = pa.struct([("pos", pa.int32()), ("lang", pa.string()), ("letters", pa.int64()), ("confidence", pa.float64())])
 
     def run(batches):
-        langs, weights, trans, tables = model.value
+        langs, weights, trans = model.value
         own = Tagger(langs, weights, trans)
-        known = mojibake.Corpus(*tables) if tables else None
+        known = mojibake.known(tables) if tables else None
         for whole in batches:
             for lo in range(0, whole.num_rows, 2000):
                 b = whole.slice(lo, 2000)
                 texts = b.column(1).to_pylist()
                 if known is not None:
-                    texts = [x if x.isascii() else readable(x, known) for x in texts]
+                    texts = [x if x.isascii() and "&" not in x else mojibake.restore(x, known) for x in texts]
                 split = [words_of(x) for x in texts]
                 post = own.posteriors(split)
                 got = [stretches(x, p, s[0], langs) for x, p, s in zip(texts, post, split)]

@@ -1,46 +1,55 @@
-"""Text decoded in the wrong charset: found and restored as a noisy channel.
+"""Text decoded in the wrong charset: found and restored by noisy-channel decoding.
 
-*Corpus.* One pass counts the words and letter trigrams of all texts (tokens with a character
-outside ASCII) into hashed tables of fixed size; since most text is sound, true forms outnumber
-garbled ones.
+*Source model.* One pass counts the words and letter trigrams of all texts (tokens with a character outside ASCII;
+character references are read first) in count-min tables; since most text is sound, true forms outnumber garbled ones.
 
-*Channel.* A stretch was written in charset T, its bytes read in charset R. For each (R, T) the characters
-of each token without lost bytes are turned back into R's bytes and read in T.
+*Channel.* A stretch was written in charset T, its bytes were read in charset R, and bytes that R can't read are lost
+(U+FFFD). For each (R, T) a token becomes a lattice of bytes: a character of R's gives its byte, a mark gives a
+wildcard. Arcs of the lattice are the characters of T whose bytes fit (in UTF-8 an arc spans several bytes); a
+wildcard fits every byte, so its arcs carry the letters that the corpus commonly has in T. A lattice without
+wildcards has one path. The best paths come from a Viterbi search under the letter trigrams, and the frequencies of
+the words on them decide between those.
 
-*Lost bytes.* A token with U+FFFD goes through no channel: each mark is filled by one letter of a fixed list,
-by a beam search under the trigram counts, the survivors ranked by word counts; its other characters stay as
-they are. Tokens with more than four marks, or half of them marks, are left. (A byte lattice with wildcards
-over each channel would restore more; it isn't built.)
+*Decision.* gain = log P(best path) - log P(as it stands). A text is garbled if one channel's gains over its
+tokens add up to EVIDENCE or more (a channel whose R the page's header names starts DECLARED ahead), or if bytes
+were lost. Tokens that gain under the text's channels are replaced, those with lost bytes only where the best path is
+known to the corpus and stands MARGIN above the next.
 
-*Decision.* gain = log P(read in T) - log P(as it stands) under the counts. A text is garbled if one
-channel's gains over its tokens add up to EVIDENCE or more, or if bytes were lost. Tokens that gain
-under the text's channels are replaced.
+A sound word stands against a word that is spelled otherwise unless the other one is surely more frequent; "surely"
+is a lower bound of the Poisson count, the same rule at every size of the corpus.
 
-Cases: null and pure ASCII texts are sound; bytes that are no UTF-8 count as lost; a text may hold
-several stretches of different channels, each must show its own evidence; long texts are scanned
-once.
+Cases: null and pure ASCII texts without references are sound; bytes that are no UTF-8 count as lost; a text may hold
+several stretches of different channels, each must show its own evidence; long texts are read whole; of a token all of
+whose letters are lost nothing survives, so it stays.
 """
 
 from __future__ import annotations
 
+import html
 import math
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-import zlib
-import zstandard
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newsloom.llm import sketch
 from newsloom.runtime import ship
 
-WORDS, TRIGRAMS, CHUNKS = 1 << 20, 1 << 19, 8
-EVIDENCE, EACH = 6.0, 2.0
+WORDS, TRIGRAMS, ROWS, CHUNKS = 1 << 19, 1 << 18, 2, 12
+EVIDENCE, EACH, DECLARED, MARGIN, BEAM = 6.0, 2.0, 1.0, 1.0, 16
+MARK = "�"
 TOKEN = re.compile("[^ \t\r\n<>\"=/]*[^\x00-\x7f][^ \t\r\n<>\"=/]*")
+REFERENCE = re.compile(r"&(?:#\d{2,7}|#[xX][0-9a-fA-F]{2,6}|[A-Za-z]{2,8}[0-9]{0,2});")
+#: As TOKEN, where a reference stands for its character.
+SPOT = re.compile("[^ \t\r\n<>\"=/&]*(?:&(?!#?[A-Za-z0-9]{1,8};)[^ \t\r\n<>\"=/&]*)*(?:[^\x00-\x7f]|&#?[A-Za-z0-9]{1,8};)[^ \t\r\n<>\"=/]*")
 HIGH = re.compile("[^\x00-\x7f]")
 #: Punctuation that sound text has too.
-PLAIN = frozenset("\u00a0\u00ad\u2009\u202f“”‘’«»„–—·…©№")
+PLAIN = frozenset(" ­  “”‘’«»„–—·…©№")
+_PLAIN_ONLY = re.compile("[\x00-\x7f" + "".join(PLAIN) + "]*")
 LETTERS = re.compile(r"[^\W\d_]+")
 ONE_BYTE = ("cp1252", "cp1250", "cp1251", "mac_roman", "cp437", "cp850", "cp866", "koi8_r", "iso8859_2", "iso8859_5", "mac_cyrillic", "cp852")
 
@@ -63,21 +72,30 @@ READ = {n: _table(n) for n in ONE_BYTE}
 WRITE = {n: {v: k for k, v in t.items()} for n, t in READ.items()}
 CHANNELS = [(r, "utf_8") for r in ("cp1252", "cp1250", "cp1251", "mac_roman", "cp437", "cp850", "cp866", "koi8_r", "iso8859_2", "cp852")]
 CHANNELS += [(r, t) for r in ("cp1252", "cp1250", "cp1251", "mac_roman", "cp437", "cp850", "cp866", "koi8_r", "iso8859_2", "iso8859_5") for t in ("cp1252", "cp1250", "cp1251", "mac_roman", "cp437", "cp850", "cp866", "koi8_r", "iso8859_2", "iso8859_5", "mac_cyrillic", "cp852") if r != t]
+#: Channels that lose every byte they can't read: a one-byte charset read as UTF-8, UTF-8 read as ASCII.
+LOSING = [("utf_8", t) for t in ONE_BYTE] + [("ascii", "utf_8")]
 
 
 def h(s: str) -> int:
-    return zlib.crc32(s.encode("utf-8", "surrogatepass"))
+    return xxhash.xxh3_64_intdigest(s.encode("utf-8", "surrogatepass"))
+
+
+def surely(n: float) -> float:
+    """A lower bound of the expected count of something seen n times."""
+    return n - 2.0 * math.sqrt(n)
 
 
 class Corpus:
-    """Counts of fixed size, with the scores that follow from them."""
+    """Count-min tables of words and of letter trigrams, with the scores that follow from them."""
 
     def __init__(self, words: np.ndarray, trigrams: np.ndarray):
-        self.w, self.t = words, trigrams
-        self.nw, self.nt = float(max(1, words.sum())), float(max(1, trigrams.sum()))
+        self.w, self.t = words.reshape(ROWS, WORDS), trigrams.reshape(ROWS, TRIGRAMS)
+        self.nw, self.nt = float(max(1.0, self.w[0].sum())), float(max(1.0, self.t[0].sum()))
         self.memo: dict[str, tuple] = {}
         self.three: dict[str, float] = {}
-        self.fill: dict[str, str | None] = {}
+        self.one: dict[str, float] = {}
+        self.words: dict[str, float] = {}
+        self.alphabets: dict[str, list[tuple[str, bytes]]] = {}
         #: for each channel, the characters it may have left
         self.turns = []
         for read, true in CHANNELS:
@@ -87,28 +105,43 @@ class Corpus:
             back = WRITE[true]
             self.turns.append(frozenset(c for c, b in READ[read].items() if b in back and (back[b] in PLAIN or not self.rare(back[b].lower()))))
 
-    def count(self, word: str) -> int:
-        return int(self.w[h(word.lower()) % WORDS])
+    @staticmethod
+    def _least(table: np.ndarray, key: str) -> float:
+        x = h(key)
+        m = table.shape[1] - 1
+        return float(min(table[0, x & m], table[1, (x >> 24) & m]))
+
+    def count(self, word: str) -> float:
+        w = word.lower()
+        v = self.words.get(w)
+        if v is None:
+            if len(self.words) > 500_000:
+                self.words.clear()
+            v = self.words[w] = self._least(self.w, w)
+        return v
+
+    def letter(self, c: str) -> float:
+        v = self.one.get(c)
+        if v is None:
+            v = self.one[c] = self._least(self.t, "1" + c)
+        return v
 
     def trigram(self, s: str) -> float:
         v = self.three.get(s)
         if v is None:
             if len(self.three) > 500_000:
                 self.three.clear()
-            n2 = float(self.t[h("2" + s[:2]) % TRIGRAMS])
-            n3 = float(self.t[h("3" + s) % TRIGRAMS])
-            n1 = float(self.t[h("1" + s[2]) % TRIGRAMS])
-            p = 0.7 * n3 / (n2 + 1) + 0.3 * (n1 + 0.02) / self.nt
+            n2, n3 = self._least(self.t, "2" + s[:2]), self._least(self.t, "3" + s)
+            p = 0.7 * n3 / (n2 + 1) + 0.3 * (self.letter(s[2]) + 0.02) / self.nt
             v = self.three[s] = math.log(min(1.0, p) + 1e-9)
         return v
 
     def rare(self, c: str) -> bool:
         """A letter that sound text of the corpus hardly has."""
-        return float(self.t[h("1" + c) % TRIGRAMS]) < 2e-5 * self.nt
+        return self.letter(c) < 2e-5 * self.nt
 
     def score(self, token: str) -> float:
         total, s = 0.0, "^" + shape(token) + "$"
-        at = 1
         for m in LETTERS.finditer(token):
             w = m[0]
             spelled = sum(self.trigram(s[i : i + 3]) for i in range(m.start(), m.end())) - 3.0
@@ -117,28 +150,34 @@ class Corpus:
             odd = 4.0 * sum(1 for i in range(1, len(w)) if w[i].isupper() and w[i - 1].islower())
             strange = 4.0 * sum(1 for c in set(w.lower()) if c > "\x7f" and self.rare(c))
             total += max(known, spelled) - odd - strange
-            at = m.end() + 1
         for c in LETTERS.sub("", token):
             total += -1.0 if c < "\x80" else -5.0 if c in PLAIN else -7.0
         return total
 
+    def alphabet(self, true: str) -> list[tuple[str, bytes]]:
+        """The characters that a wildcard may stand for in a charset: letters that the corpus commonly has, in both
+        cases, and punctuation, with their bytes."""
+        got = self.alphabets.get(true)
+        if got is None:
+            chars = set(READ[true]) if true != "utf_8" else {c for t in READ.values() for c in t}
+            ok = sorted(c for c in chars if c in PLAIN or c.isalpha() and not self.rare(c.lower()))
+            got = self.alphabets[true] = [(c, c.encode("utf_8") if true == "utf_8" else bytes([READ[true][c]])) for c in ok]
+        return got
+
 
 def shape(token: str) -> str:
     return re.sub(r"[\d_]", "0", token.lower())
 
 
 _TO_BYTE = {n: {ord(c): b for c, b in t.items()} for n, t in READ.items()}
-_PLAIN = frozenset(map(ord, PLAIN))
-
-
-_MIXED = re.compile("[A-Za-z\u00c0-\u024f][\u0400-\u04ff]|[\u0400-\u04ff][A-Za-z\u00c0-\u024f]")
-_ODD = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff\u0430-\u045f][A-Z\u00c0-\u00d6\u00d8-\u00de\u0410-\u042f]")
+_MIXED = re.compile("[A-Za-zÀ-ɏ][Ѐ-ӿ]|[Ѐ-ӿ][A-Za-zÀ-ɏ]")
+_ODD = re.compile("[a-zß-öø-ÿа-џ][A-ZÀ-ÖØ-ÞА-Я]")
 #: Of each one-byte channel: character read -> character written.
 ACROSS = [{} if t == "utf_8" else {ord(c): WRITE[t][b] for c, b in READ[r].items() if b in WRITE[t]} for r, t in CHANNELS]
 
 
 def through(token: str, read: str, true: str) -> str | None:
-    """The token read in the charset it was written in; None if the channel can't have made it."""
+    """The one path of a lattice without wildcards; None if the channel can't have made the token."""
     try:
         raw = token.translate(_TO_BYTE[read]).encode("latin_1")
     except UnicodeEncodeError:
@@ -161,50 +200,119 @@ def through(token: str, read: str, true: str) -> str | None:
     return None if out == token else out
 
 
-_FILL = "äöüßéèêëàâçîôûñáíóúãõčšžÄÖÜÉ“”‘’«»„–—абвгдежзийклмнопрстуфхцчшщъыьэюя"
+def lattice(token: str, read: str) -> list[int] | None:
+    """The bytes a token was read from, -1 for a lost one; None if the charset can't have given its characters."""
+    out: list[int] = []
+    for c in token:
+        if c == MARK:
+            out.append(-1)
+        elif c < "\x80":
+            out.append(ord(c))
+        elif read == "utf_8":
+            out += c.encode("utf_8", "surrogatepass")
+        elif c in READ.get(read, ()):
+            out.append(READ[read][c])
+        else:
+            return None
+    return out
 
 
-def filled(token: str, corpus: Corpus, beam: int = 24) -> str | None:
-    """A token with lost bytes restored: Viterbi with a beam over the letters that may stand for each
-    run of lost bytes (a two-byte letter leaves one or two marks). None if too little survives."""
-    lost = token.count("�")
-    if lost > 4 or lost * 2 > len(token):
-        return None
-    if token in corpus.fill:
-        return corpus.fill[token]
-    if len(corpus.fill) > 200_000:
-        corpus.fill.clear()
-    paths = [(0.0, "^")]
-    i = 0
-    while i < len(token):
-        c = token[i]
-        if c != "�":
-            paths = [(p + (corpus.trigram((s[-2:] + c.lower()).rjust(3, "^")) if len(s) > 1 else 0.0), s + c) for p, s in paths]
-            i += 1
+def paths(byte: list[int], true: str, corpus: Corpus, beam: int = BEAM) -> list[tuple[float, str]]:
+    """The best readings of a byte lattice in a charset, by a Viterbi search over (byte, last letters) with a beam."""
+    one = None if true == "utf_8" else WRITE[true]
+    n = len(byte)
+    at: list[list[tuple[float, str]]] = [[] for _ in range(n + 1)]
+    at[0] = [(0.0, "^")]
+    for i in range(n):
+        if not at[i]:
             continue
-        nxt = []
-        for p, s in paths:
-            for f in _FILL:
-                nxt.append((p + (corpus.trigram((s[-2:].lower() + f.lower()).rjust(3, "^")) if len(s) > 1 else 0.0) - 1.0, s + f))
-        paths = sorted(nxt, key=lambda x: -x[0])[:beam]
-        i += 1
-    best = max(paths, key=lambda x: corpus.score(x[1][1:]))[1][1:]
-    known = all(corpus.count(w) > 2 for w in LETTERS.findall(best))
-    out = best if known else None
-    corpus.fill[token] = out
-    return out
+        b = byte[i]
+        if 0 <= b < 128:
+            arcs = [(chr(b), 1)]
+        elif one is not None and b >= 128:
+            arcs = [(one[b], 1)] if b in one else []
+        else:
+            arcs = [(c, len(e)) for c, e in corpus.alphabet(true) if i + len(e) <= n and all(y in (-1, x) for x, y in zip(e, byte[i : i + len(e)]))]
+            if one is None and not arcs:  # known bytes of a letter that the corpus hardly has
+                arcs = [(c, k) for k in (2, 3, 4) if i + k <= n and min(byte[i : i + k]) >= 0 and (c := bytes(byte[i : i + k]).decode("utf_8", "ignore"))]
+        best: dict[int, dict[str, tuple[float, str]]] = {}
+        for p, s in sorted(at[i], reverse=True)[:beam]:
+            last = s[-2:].lower()
+            for c, k in arcs:
+                low = c.lower()
+                q = p + (corpus.trigram(last + low) if len(last) == 2 else 0.0) - (8.0 if c.isupper() and s[-1].islower() else 0.0)
+                best.setdefault(k, {})[s + c] = (q, s + c)
+        for k, found in best.items():
+            at[i + k] += found.values()
+    ends = [(p + corpus.trigram(s[-2:].lower() + "$"), s[1:]) for p, s in at[n] if len(s) > 1]
+    return sorted(ends, reverse=True)[:beam]
+
+
+def _fit(s: str, corpus: Corpus) -> float:
+    """What word counts leave open: how well punctuation outside ASCII sits, and capitals."""
+    low, total = "^^" + shape(s) + "$", 0.0
+    for i, c in enumerate(low):
+        if c > "\x7f" and not c.isalpha():
+            total += 5.0 + 0.5 * sum(corpus.trigram(low[j - 2 : j + 1]) for j in range(i, min(i + 3, len(low))))
+    for w in LETTERS.findall(s):
+        if w[0] > "\x7f":
+            capital = min(1.0, (corpus.count("^" + w) + 0.5) / (corpus.count(w) + 1.0))
+            total += math.log(capital if w[0].isupper() else 1.0 - capital + 1e-3)
+    if not s.isupper():
+        total -= 4.0 * sum(1 for a, b in zip(s, s[1:]) if b > "\x7f" and b.isupper() and a.isalpha())
+    return total
+
+
+def filled(token: str, corpus: Corpus) -> tuple[str | None, str]:
+    """(reading of a token with lost bytes, its channel): the best path over the lattices of all channels, if the
+    corpus has its words and it stands MARGIN above the next best; else (None, '')."""
+    seen = [c for c in token if c > "\x7f" and c != MARK]
+    if not any(c.isalnum() for c in token if c != MARK):
+        return None, ""  # nothing survives that a search could hold on to
+    ranked: dict[str, tuple[float, str]] = {}
+    done: set[tuple] = set()
+    for read, true in [*((r, t) for r, t in CHANNELS if t == "utf_8"), *LOSING] if seen else LOSING:
+        byte = lattice(token, read)
+        if byte is None:
+            continue
+        same = (tuple(byte), tuple(c for c, _ in corpus.alphabet(true)), true == "utf_8")
+        if same in done:
+            continue
+        done.add(same)
+        for _, s in paths(byte, true, corpus):
+            if _MIXED.search(s) or MARK in s:
+                continue
+            v = corpus.score(s) + _fit(s, corpus)
+            if s not in ranked or v > ranked[s][0]:
+                ranked[s] = (v, f"{true}>{read}")
+    if not ranked:
+        return None, ""
+    order = sorted(((v, s, c) for s, (v, c) in ranked.items()), reverse=True)
+    top, s, channel = order[0]
+    known = all(surely(corpus.count(w)) > 0.0 for w in LETTERS.findall(s) if HIGH.search(w))
+    near = len(order) > 1 and order[1][0] > top - MARGIN
+    return (s, channel) if known and not near else (None, "")
 
 
 def readings(token: str, corpus: Corpus) -> tuple:
-    """((channel number, gain, reading), ...) of the channels under which the token gains.
+    """((channel number, gain, reading), ...) of the channels under which a token gains; of one with lost bytes
+    ((-1, 0, reading or the token itself),). () for a sound token.
 
-    A one-byte channel is tried only if it turns every character outside ASCII into one that the
-    corpus commonly has; the UTF-8 channels only where the bytes are valid UTF-8."""
+    A one-byte channel is tried only if it turns every character outside ASCII into one that the corpus commonly has;
+    the UTF-8 channels only where the bytes are valid UTF-8."""
     got = corpus.memo.get(token)
     if got is not None:
         return got
-    if len(corpus.memo) > 150_000:
+    if len(corpus.memo) > 300_000:
         corpus.memo.clear()
+    if MARK in token:
+        got = corpus.memo[token] = ((-1, 0.0, filled(token, corpus)[0] or token),)
+        return got
+    got = corpus.memo[token] = () if _PLAIN_ONLY.fullmatch(token) else _readings(token, corpus)
+    return got
+
+
+def _readings(token: str, corpus: Corpus) -> tuple:
     high = set(HIGH.findall(token))
     word = LETTERS.search(token) is not None and not any(x < "\x80" for x in token)
     tried: dict[str, list[int]] = {}
@@ -214,66 +322,83 @@ def readings(token: str, corpus: Corpus) -> tuple:
             if r is None or r == token or word and not LETTERS.search(r):
                 continue  # a word never stands for bare punctuation
             tried.setdefault(r, []).append(k)
-    if tried:
-        own = LETTERS.findall(token)
-        if len(own) == 1 and (n := corpus.count(own[0])) >= 5 and all(c in own[0] for c in high):
-            # a word the corpus knows gives way only to one it knows much better
-            tried = {r: ks for r, ks in tried.items() if (w := LETTERS.findall(r)) and max(map(corpus.count, w)) > 7 * n}
+    if not tried:
+        return ()
+    own = LETTERS.findall(token)
+    stands = max((surely(corpus.count(w)) for w in own if HIGH.search(w)), default=0.0)
+    one_word = len(own) == 1 and all(c in own[0] for c in high)
+    base = corpus.score(token)
+    sound = all(c.isalpha() and not corpus.rare(c.lower()) for c in high) and not _ODD.search(token)
     out = []
-    if tried:
-        base = corpus.score(token)
-        sound = all(c.isalpha() and not corpus.rare(c.lower()) for c in high) and not _ODD.search(token)
-        for r, ks in tried.items():
-            if _MIXED.search(r) or sound and _ODD.search(r):
-                continue  # no word mixes scripts, and none gains capitals inside
-            if sound and (sum(map(str.isalpha, r)) < sum(map(str.isalpha, token)) or any(corpus.count(w) < 5 for w in LETTERS.findall(r) if HIGH.search(w))):
-                ks = [k for k in ks if CHANNELS[k][1] == "utf_8"]  # of two unknown words the sound one stands
-            gain = corpus.score(r) - base
-            for k in ks:
-                g = gain - (1.0 if CHANNELS[k][1] == "utf_8" else 2.0)
-                if g > 0:
-                    out.append((k, g, r))
-    got = corpus.memo[token] = tuple(out)
-    return got
-
-
-def examine(text: str, corpus: Corpus, fill: bool = True) -> tuple[list[int], int, list[tuple[int, int, str]]]:
-    """(channels with evidence, lost bytes, replacements) of one text."""
-    lost = text.count("�")
+    for r, ks in tried.items():
+        if _MIXED.search(r) or sound and _ODD.search(r):
+            continue  # no word mixes scripts, and none gains capitals inside
+        new = LETTERS.findall(r)
+        if one_word and (not new or max(map(corpus.count, new)) <= 2.0 * stands):
+            continue  # a word that stands gives way only to one that is more frequent by far
+        if sound and (sum(map(str.isalpha, r)) < sum(map(str.isalpha, token)) or any(surely(corpus.count(w)) <= 0.5 * max(map(corpus.count, own), default=0.0) for w in new if HIGH.search(w))):
+            ks = [k for k in ks if CHANNELS[k][1] == "utf_8"]  # of two soundly spelled words the other must surely be the commoner
+        gain = corpus.score(r) - base
+        for k in ks:
+            g = gain - (1.0 if CHANNELS[k][1] == "utf_8" else 2.0)
+            if g > 0:
+                out.append((k, g, r))
+    return tuple(out)
+
+
+def _reference(m: re.Match) -> str:
+    c = html.unescape(m[0])
+    return c if len(c) == 1 and c > "\x7f" else m[0]
+
+
+def plain(text: str) -> str:
+    """The text with character references outside ASCII read; others belong to the markup and stay."""
+    return REFERENCE.sub(_reference, text) if "&" in text else text
+
+
+def examine(text: str, corpus: Corpus, declared: str = "") -> tuple[list[int], int, dict[str, str]]:
+    """(channels with evidence, marks of lost bytes, {token: its reading}) of one text whose references are read."""
+    memo = corpus.memo
+    tally: dict[str, int] = {}
+    for tok in TOKEN.findall(text):
+        got = memo.get(tok)
+        if got is None:
+            got = readings(tok, corpus)
+        if got:
+            tally[tok] = tally.get(tok, 0) + 1
+    if not tally:
+        return [], 0, {}
     gains: dict[int, float] = {}
-    spots = []
-    for m in TOKEN.finditer(text):
-        tok = m[0]
-        if all(c in PLAIN for c in HIGH.findall(tok)):
-            continue
-        if "�" in tok:
-            spots.append((m.start(), m.end(), tok, ()))
-            continue
-        if got := readings(tok, corpus):
-            spots.append((m.start(), m.end(), tok, got))
-            for k, g, _ in got:
-                if g > EACH:  # less is no evidence, but enough where the channel has shown itself
-                    gains[k] = gains.get(k, 0.0) + min(g, 12.0)
+    found = {tok: readings(tok, corpus) for tok in tally}
+    for tok, n in tally.items():
+        for k, g, _ in found[tok]:
+            if k >= 0 and g > EACH:  # less is no evidence, but enough where the channel has shown itself
+                gains[k] = gains.get(k, 0.0) + n * min(g, 12.0)
+    for k in gains:
+        if declared and CHANNELS[k][0] == declared:
+            gains[k] += DECLARED
     good = {k for k, g in gains.items() if g >= EVIDENCE}
-    fixes = []
-    for a, z, tok, got in spots:
-        if "�" in tok:
-            if fill and (r := filled(tok, corpus)) is not None:
-                fixes.append((a, z, r))
-        elif own := [(g, gains[k], r) for k, g, r in got if k in good]:
-            fixes.append((a, z, max(own, key=lambda x: (x[1], x[0]))[2]))
+    fixes, lost = {}, 0
+    for tok, got in found.items():
+        if got[0][0] < 0:
+            fixes[tok] = got[0][2]
+            lost += tally[tok] * tok.count(MARK)
+        elif own := [(gains[k], g, r) for k, g, r in got if k in good]:
+            fixes[tok] = max(own)[2]
     return sorted(good), lost, fixes
 
 
 def restore(text: str, corpus: Corpus) -> str:
-    fixes = examine(text, corpus)[2]
+    """The text as written, as far as it survives; references of tokens that change are read, others stay."""
+    return replaced(text, examine(plain(text), corpus)[2])
+
+
+def replaced(text: str, fixes: dict[str, str]) -> str:
     if not fixes:
         return text
-    out, at = [], 0
-    for a, z, r in fixes:
-        out += [text[at:a], r]
-        at = z
-    return "".join(out) + text[at:]
+    if "&" not in text:
+        return TOKEN.sub(lambda m: fixes.get(m[0], m[0]), text)
+    return SPOT.sub(lambda m: fixes.get(plain(m[0]), m[0]), text)
 
 
 def _text(x) -> str:
@@ -281,77 +406,98 @@ def _text(x) -> str:
 
 
 def corpus_of(texts: DataFrame) -> Corpus:
-    """Counts over all rows of the one column (string or binary); two tables of fixed size reach the driver."""
+    """Counts over all rows of the one column (string or binary); tables of fixed size reach the driver."""
     ship(texts.sparkSession)
+    cells = ROWS * (WORDS + TRIGRAMS)
 
     def run(batches):
-        w, t = np.zeros(WORDS, np.uint32), np.zeros(TRIGRAMS, np.uint32)
-        memo: dict[str, tuple] = {}
+        from newsloom.llm import mojibake as M
+
+        flat, tally = np.zeros(cells, np.float64), Counter()
+        some = False
         for b in batches:
-            tally: dict[str, int] = {}
             for x in b.column(0).to_pylist():
-                if x is None:
-                    continue
-                for tok in TOKEN.findall(_text(x)):
-                    tally[tok] = tally.get(tok, 0) + 1
-            for tok, n in tally.items():
-                if "�" in tok:
-                    continue
-                got = memo.get(tok)
-                if got is None:
-                    if len(memo) > 200_000:
-                        memo.clear()
-                    s = "^" + shape(tok) + "$"
-                    got = memo[tok] = ([h(x.lower()) % WORDS for x in LETTERS.findall(tok)], [h("3" + s[i : i + 3]) % TRIGRAMS for i in range(len(s) - 2)] + [h("2" + s[i : i + 2]) % TRIGRAMS for i in range(len(s) - 1)] + [h("1" + c) % TRIGRAMS for c in s])
-                for i in got[0]:
-                    w[i] += n
-                for i in got[1]:
-                    t[i] += n
-        if w.any():
-            z = zstandard.ZstdCompressor(level=1)
-            blobs = [z.compress(c.tobytes()) for c in np.concatenate([w, t]).reshape(CHUNKS * 3, -1)]
-            yield pa.RecordBatch.from_arrays([pa.array(range(len(blobs)), pa.int32()), pa.array(blobs, pa.binary())], ["chunk", "blob"])
-
-    def add(table):
-        total = 0
-        for x in table.column("blob").to_pylist():
-            total = total + np.frombuffer(zstandard.ZstdDecompressor().decompress(x), np.uint32).astype(np.uint64)
-        low = np.minimum(total, np.iinfo(np.uint32).max).astype(np.uint32)
-        return pa.table({"chunk": pa.array(table.column("chunk").to_pylist()[:1], pa.int32()), "blob": pa.array([zstandard.ZstdCompressor().compress(low.tobytes())], pa.binary())})
-
-    rows = texts.mapInArrow(run, "chunk int, blob binary").groupBy("chunk").applyInArrow(add, "chunk int, blob binary").collect()
-    out = np.zeros((CHUNKS * 3, (WORDS + TRIGRAMS) // (CHUNKS * 3)), np.uint32)
-    for r in rows:
-        out[r.chunk] = np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(r.blob)), np.uint32)
-    flat = out.reshape(-1)
-    return Corpus(flat[:WORDS].copy(), flat[WORDS:].copy())
-
-
-def garbled(texts: DataFrame, corpus: Corpus, fill: bool = True) -> DataFrame:
-    """(id, channels, lost, restored) of the garbled texts; ``texts`` has id and text (string or binary).
-    Without ``fill`` lost bytes are counted but not restored, for those who only ask which texts are garbled."""
+                if x is not None:
+                    tally.update(M.TOKEN.findall(M.plain(M._text(x))))
+                    if len(tally) > 100_000:
+                        M._pour(tally, flat)
+                        some = True
+        if tally or some:
+            M._pour(tally, flat)
+            yield sketch.blobs(flat.astype(np.uint64), CHUNKS)
+
+    flat = sketch.summed(texts.mapInArrow(run, sketch.SCHEMA), CHUNKS, cells).astype(np.float32)
+    return Corpus(flat[: ROWS * WORDS], flat[ROWS * WORDS :])
+
+
+def _pour(tally: Counter, flat: np.ndarray) -> None:
+    """Add the counts of tokens to the tables and forget them."""
+    words: dict[str, int] = {}
+    grams: dict[str, int] = {}
+    for tok, n in tally.items():
+        if MARK in tok:
+            continue
+        for w in LETTERS.findall(tok):
+            low = w.lower()
+            words[low] = words.get(low, 0) + n
+            if w[0].isupper():  # how often it is written with a capital
+                words["^" + low] = words.get("^" + low, 0) + n
+        s = "^" + shape(tok) + "$"
+        for i, c in enumerate(s):
+            for g in ("1" + c, "2" + s[i : i + 2], "3" + s[i : i + 3])[: len(s) - i]:
+                grams[g] = grams.get(g, 0) + n
+    tally.clear()
+    at = 0
+    for table, size in ((words, WORDS), (grams, TRIGRAMS)):
+        x = np.fromiter(map(h, table), np.uint64, len(table))
+        n = np.fromiter(table.values(), np.float64, len(table))
+        for r in range(ROWS):
+            flat[at : at + size] += np.bincount(((x >> np.uint64(24 * r)) & np.uint64(size - 1)).astype(np.int64), n, size)
+            at += size
+
+
+_OWN: dict[str, Corpus] = {}
+
+
+def known(parts) -> Corpus:
+    """The corpus of a broadcast; one for all tasks of a worker, so that its memos last."""
+    key = str(getattr(parts, "_path", None) or id(parts))
+    if key not in _OWN:
+        _OWN.clear()
+        _OWN[key] = Corpus(*parts.value)
+    return _OWN[key]
+
+
+_DECLARED = r"(?i)charset\s*=\s*[\"']?([\w.:-]+)"
+#: Names that headers use, as Python's codecs are named here. Fixed values.
+NAMES = {"windows-1252": "cp1252", "iso-8859-1": "cp1252", "latin1": "cp1252", "windows-1250": "cp1250", "windows-1251": "cp1251", "iso-8859-2": "iso8859_2", "iso8859-2": "iso8859_2", "iso-8859-5": "iso8859_5", "koi8-r": "koi8_r", "macintosh": "mac_roman", "mac_roman": "mac_roman", "cp437": "cp437", "cp850": "cp850", "cp866": "cp866", "cp852": "cp852"}
+
+
+def garbled(texts: DataFrame, corpus: Corpus) -> DataFrame:
+    """(id, channels, lost, restored) of the garbled texts; ``texts`` has id, text (string or binary) and perhaps
+    headers, whose charset is weighed as a hint. ``lost``: marks of lost bytes, restored or not."""
     spark = texts.sparkSession
     ship(spark)
     parts = spark.sparkContext.broadcast((corpus.w, corpus.t))
 
     def run(batches):
-        own = Corpus(*parts.value)
+        from newsloom.llm import mojibake as M
+
+        own = M.known(parts)
         for b in batches:
             cols: list[list] = [[], [], [], []]
-            for i, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                text = _text(x)
+            for i, x, declared in zip(*(c.to_pylist() for c in b.columns)):
+                raw = M._text(x)
+                text = M.plain(raw)
                 if text.isascii():
                     continue
-                good, lost, fixes = examine(text, own, fill)
-                if not good and not lost:
+                good, lost, fixes = M.examine(text, own, M.NAMES.get((declared or "").lower(), ""))
+                if not good and not fixes:
                     continue
-                out, at = [], 0
-                for a, z, r in fixes:
-                    out += [text[at:a], r]
-                    at = z
-                for c, v in zip(cols, (i, ",".join(f"{CHANNELS[k][1]}>{CHANNELS[k][0]}" for k in good), lost, "".join(out) + text[at:])):
+                for c, v in zip(cols, (i, ",".join(f"{M.CHANNELS[k][1]}>{M.CHANNELS[k][0]}" for k in good), lost, M.replaced(raw, fixes))):
                     c.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.string())], ["id", "channels", "lost", "restored"])
 
-    src = texts.where(F.col("text").isNotNull() & F.col("id").isNotNull()).select("id", "text")
+    named = F.regexp_extract("headers", _DECLARED, 1) if "headers" in texts.columns else F.lit("")
+    src = texts.where(F.col("text").isNotNull() & F.col("id").isNotNull()).select("id", "text", named.alias("declared"))
     return src.mapInArrow(run, "id long, channels string, lost int, restored string")

@@ -102,19 +102,20 @@ def pages(spark, d):
     return table(spark, d, "article").where("content is not null").select(F.col("feed_articleid").alias("id"), F.col("content").alias("text"))
 
 
-def _garbled(spark, d, fill=True):
+def _garbled(spark, d):
     """Of the pages said to be decoded; the flag is joined to the few garbled ones, not to all texts."""
-    docs = pages(spark, d)
+    docs = table(spark, d, "article").where("content is not null").select(F.col("feed_articleid").alias("id"), F.col("content").alias("text"), "headers")
     utf8 = table(spark, d, "feed_article_meta").where("is_utf8 = '1'").select("id").distinct()
-    return M.garbled(docs, M.corpus_of(docs.select("text")), fill).join(utf8, "id", "left_semi")
+    return M.garbled(docs, M.corpus_of(docs.select("text"))).join(utf8, "id", "left_semi")
 
 
 def p3_found(spark, d):
-    return _garbled(spark, d, fill=False).select(F.col("id").alias("feed_articleid")).distinct()
+    """Articles with a garbled stretch: the rows of ``p3_restored``, decoded and filled by the same search."""
+    return _garbled(spark, d).select(F.col("id").alias("feed_articleid")).distinct()
 
 
 def p3_restored(spark, d):
-    """Each garbled page with the channels it went through, the bytes lost for good and its text as written."""
+    """Each garbled page with the channels it went through, the marks of lost bytes and its text as written."""
     return _garbled(spark, d).select(F.col("id").alias("feed_articleid"), "channels", "lost", "restored").distinct()
 
 
