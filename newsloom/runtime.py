@@ -57,9 +57,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder all executors share: spark.checkpoint.dir; where that is unset, one of our own in local mode, an error on a cluster."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="newsloom-shared-")
         spark.conf.set("spark.checkpoint.dir", base)
         atexit.register(shutil.rmtree, base[7:], True)
@@ -75,6 +77,29 @@ def fresh(owner: str) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def owned(path: str, owner: str) -> str:
+    """The path, as one that ``fresh`` of its owner deletes."""
+    _SCRATCH.setdefault(owner, []).append(path)
+    return path
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file in the shared folder, replaced as a whole."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    new = spark._jvm.org.apache.hadoop.fs.Path(path + ".new")
+    with_stream = fs.create(new, True)
+    with_stream.write(bytearray(text.encode()))
+    with_stream.close()
+    fs.delete(p, False)
+    fs.rename(new, p)
+
+
+def get_text(spark: SparkSession, path: str) -> str:
+    """A small file written by ``put_text``."""
+    return "\n".join(r.value for r in spark.read.text(path).collect())
+
+
 def written(df: DataFrame, owner: str, partition: str | None = None) -> DataFrame:
     """df as a table in the shared folder: cuts lineage and survives a lost executor."""
     spark = df.sparkSession
@@ -84,16 +109,7 @@ def written(df: DataFrame, owner: str, partition: str | None = None) -> DataFram
     if partition:
         w = w.partitionBy(partition)
     w.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.paths = [path]
-    return out
-
-
-def joined(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Two written tables of one schema as one scan: appending never deepens the plan."""
-    out = a.sparkSession.read.schema(a.schema).parquet(*a.paths, *b.paths)
-    out.paths = [*a.paths, *b.paths]
-    return out
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def written_all(owner: str, *dfs: DataFrame) -> list[DataFrame]:
