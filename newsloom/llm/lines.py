@@ -1,15 +1,18 @@
-"""Lines repeated over the documents of one source, found by content-defined chunks.
-
-The normalised text (lower case, blanks collapsed, digit runs as '#') is cut where a rolling hash of
-the last WINDOW bytes has its low bits zero, so equal stretches give equal chunks wherever they lie;
-the roll restarts at a line's end, since the lines are what is asked for. Chunks are counted by
-distinct documents of each source; a line can only be repeated excessively if every one of its
-chunks is, so a bitmap of the excessive chunks (fixed size) screens the lines, and those left are
-counted exactly.
-
-Counts are summed in each task before they are shuffled, so a source with a third of all documents
-is no hot key. Cases: null text or source -> no lines; an empty line never counts; a line counts
-once for a document; repeated documents count once.
+"""Text repeated over the documents of one source, found by content-defined chunks.
+
+The normalised text (lower case, blanks collapsed, digit runs as '#') is cut where a rolling hash of the last WINDOW
+bytes has its low bits zero, wherever lines end, so equal stretches give equal chunks wherever they lie. Chunks are
+counted by distinct documents of each source; those repeated excessively are cut from the documents
+(``without_chunks``).
+
+*Lines.* Where whole lines are asked for (``repeated_lines``), the chunks that lie inside a line, cut by bytes of that
+line alone, are the same wherever the line stands, so a line can only be repeated excessively if all of those are. A
+bitmap of the excessive chunks, sized by their number, screens the lines; lines left, and those too short to hold a
+chunk, are counted exactly. Chunks alone can't give the lines: one at a line's end also depends on the neighbour.
+
+Counts are summed in each task before they are shuffled, so a source with a third of all documents is no hot key.
+Cases: null text or source -> no lines; an empty line never counts; a line or chunk counts once for a document;
+repeated documents count once; very long texts are cut whole.
 """
 
 from __future__ import annotations
@@ -19,21 +22,24 @@ import re
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.neardup import held, mark
+from newsloom.llm import sketch
 from newsloom.llm.words import mix
 from newsloom.runtime import once, ship, written
 
 WINDOW, AVERAGE = 8, 32
 SLICE = 500  # texts taken at once: bounds a task's memory
+MOST_KEYS = 2_000_000  # hashes (16 MB) that are broadcast; more are joined by a shuffle
 _rng = np.random.Generator(np.random.PCG64(7))
 GEAR = _rng.integers(0, 1 << 63, 256, dtype=np.uint64)
 VALUE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 with np.errstate(over="ignore"):
     POWER = np.cumprod(np.full(1 << 12, 0x9E3779B97F4A7C15, np.uint64))
-_BLANKS, _DIGITS = re.compile("[ \t\u00a0]+"), re.compile("[0-9]+")
+_BLANKS, _DIGITS = re.compile("[ \t ]+"), re.compile("[0-9]+")
+_EDGES = re.compile(" ?\n ?")
 
 
 def normal(line: str) -> str:
@@ -41,34 +47,32 @@ def normal(line: str) -> str:
     return _DIGITS.sub("#", _BLANKS.sub(" ", line.lower()).strip(" "))
 
 
-def normal_lines(text: str) -> list[str]:
-    return _DIGITS.sub("#", _BLANKS.sub(" ", text.lower())).split("\n")
+def normal_text(text: str) -> str:
+    """The text as it is compared, line for line."""
+    return _EDGES.sub("\n", _DIGITS.sub("#", _BLANKS.sub(" ", text.lower())).strip(" "))
 
 
-def chunks(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each chunk, number of the line it lies in) of many lines at once."""
-    raw = np.frombuffer(b"".join(lines), np.uint8)
-    size = np.fromiter(map(len, lines), np.int64, len(lines))
-    line = np.repeat(np.arange(len(lines)), size)
+def chunks(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, number of the text, first byte, bytes) of each chunk of many texts; first bytes count over all texts."""
+    raw = np.frombuffer(b"".join(texts), np.uint8)
+    size = np.fromiter(map(len, texts), np.int64, len(texts))
     if not len(raw):
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    begin = np.cumsum(size) - size
-    into = np.arange(len(raw)) - begin[line]
+        return np.empty(0, np.uint64), *(np.empty(0, np.int64) for _ in range(3))
+    begin = (np.cumsum(size) - size)[size > 0]
+    into = np.arange(len(raw)) - np.repeat(np.cumsum(size) - size, size)
     with np.errstate(over="ignore"):
         g = GEAR[raw]
         roll = g.copy()
         for j in range(1, WINDOW):
             roll[j:] += np.where(into[j:] >= j, g[:-j], np.uint64(0)) << np.uint64(j)
-        cut = ((roll >> np.uint64(20)) & np.uint64(AVERAGE - 1)) == 0
         starts = np.zeros(len(raw), bool)
-        starts[0] = True
-        starts[1:] = cut[:-1]
-        starts |= into == 0
+        starts[1:] = ((roll[:-1] >> np.uint64(20)) & np.uint64(AVERAGE - 1)) == 0
+        starts[begin] = True
         at = np.flatnonzero(starts)
-        number = np.cumsum(starts) - 1
-        inside = np.arange(len(raw)) - at[number]
+        many = np.diff(np.append(at, len(raw)))
+        inside = np.arange(len(raw)) - np.repeat(at, many)
         h = np.add.reduceat(VALUE[raw] * POWER[inside & (len(POWER) - 1)] + (inside >> 12).astype(np.uint64), at)
-        return mix(h + np.diff(np.append(at, len(raw))).astype(np.uint64)), line[at]
+        return mix(h + many.astype(np.uint64)), np.repeat(np.arange(len(texts)), size)[at], at, many
 
 
 def _sourced(site: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -76,21 +80,23 @@ def _sourced(site: np.ndarray, h: np.ndarray) -> np.ndarray:
         return mix(h ^ (site.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
 
 
-def excessive_chunks(docs: DataFrame, sizes: DataFrame, least: int, share: float) -> DataFrame:
-    """(id = hash of source and chunk) of the chunks in at least ``least`` documents and ``share`` of a source's."""
+def _slices(batches):
+    return (x.slice(lo, SLICE) for x in batches for lo in range(0, x.num_rows, SLICE))
+
+
+def _ended(texts: list[str]) -> list[bytes]:
+    return [normal_text(x).encode("utf_8", "surrogatepass") + b"\n" for x in texts]
+
+
+def excessive_chunks(docs: DataFrame, least: int, share: float) -> DataFrame:
+    """(site, chunk) of the chunks in at least ``least`` documents and ``share`` of a source's; ``docs`` has site and text."""
 
     def run(batches):
-        for b in (x.slice(lo, SLICE) for x in batches for lo in range(0, x.num_rows, SLICE)):
+        for b in _slices(batches):
             site = b.column(0).to_numpy()
-            lines, owner = [], []
-            for d, text in enumerate(b.column(1).to_pylist()):
-                for x in set(normal_lines(text)):
-                    if x := x.strip(" "):
-                        lines.append(x.encode()), owner.append(d)
-            if not lines:
+            h, doc, _, _ = chunks(_ended(b.column(1).to_pylist()))
+            if not len(h):
                 continue
-            h, line = chunks(lines)
-            doc = np.array(owner)[line]
             o = np.lexsort((h, doc))
             h, doc = h[o], doc[o]
             keep = np.ones(len(h), bool)
@@ -104,7 +110,12 @@ def excessive_chunks(docs: DataFrame, sizes: DataFrame, least: int, share: float
             yield pa.RecordBatch.from_arrays([pa.array(s[at], pa.int64()), pa.array(h[at].view(np.int64)), pa.array(np.diff(np.append(at, len(h))).astype(np.int32))], ["site", "chunk", "n"])
 
     n = docs.select("site", "text").mapInArrow(run, "site long, chunk long, n int").groupBy("site", "chunk").agg(F.sum("n").alias("n"))
-    return n.join(sizes, "site").where((F.col("n") >= least) & (F.col("n") >= share * F.col("docs"))).select("site", F.col("chunk").alias("id"))
+    # few of the counts reach ``least``, so those of the sources meet few rows
+    return n.where(F.col("n") >= least).join(sizes(docs), "site").where(F.col("n") >= share * F.col("docs")).select("site", "chunk")
+
+
+def sizes(docs: DataFrame) -> DataFrame:
+    return docs.groupBy("site").agg(F.count("*").alias("docs"))
 
 
 def with_sites(docs: DataFrame, sites: DataFrame, owner: str) -> DataFrame:
@@ -113,65 +124,145 @@ def with_sites(docs: DataFrame, sites: DataFrame, owner: str) -> DataFrame:
     return written(one.join(sites.where(F.col("site").isNotNull()).select("id", "site").distinct(), "id").select("site", "id", "text"), owner)
 
 
-def repeated_lines(docs: DataFrame, least: int = 5, share: float = 0.1) -> DataFrame:
+def repeated_lines(docs: DataFrame, owner: str, least: int = 5, share: float = 0.1) -> DataFrame:
     """(site, line, docs_with, docs) of the lines repeated excessively; ``docs`` has site, id, text."""
     spark = docs.sparkSession
     ship(spark)
-    sizes = docs.groupBy("site").agg(F.count("*").alias("docs"))
+    hot = written(excessive_chunks(docs, least, share), owner)
+    bits = sketch.bits_for(hot.count())  # 0: more than a bitmap is made for, then all lines are counted
 
-    def folded(batches):
+    def place(batches):
         for b in batches:
             h = _sourced(b.column(0).to_numpy(), b.column(1).to_numpy().view(np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], ["id"])
+            yield pa.RecordBatch.from_arrays([pa.array((h & np.uint64(bits - 1)).astype(np.int64))], ["at"])
 
-    bits = 1 << 23
-    screen = spark.sparkContext.broadcast(mark(excessive_chunks(docs, sizes, least, share).mapInArrow(folded, "id long"), bits))
+    screen = spark.sparkContext.broadcast(sketch.bitmap(hot.mapInArrow(place, "at long"), bits)) if bits else None
 
     def run(batches):
-        m = screen.value
-        for b in (x.slice(lo, SLICE) for x in batches for lo in range(0, x.num_rows, SLICE)):
+        for b in _slices(batches):
             site = b.column(0).to_numpy()
-            lines, owner = [], []
-            for d, text in enumerate(b.column(1).to_pylist()):
-                for x in set(normal_lines(text)):
-                    if x := x.strip(" "):
-                        lines.append(x.encode()), owner.append(d)
-            if not lines:
-                continue
-            h, line = chunks(lines)
-            own = np.array(owner)
-            ok = held(m, (mix(_sourced(site[own[line]], h)) & np.uint64(bits - 1)).astype(np.int64))
-            good = np.ones(len(lines), bool)
-            good[line[~ok]] = False
-            at = np.flatnonzero(good)
-            t = pa.table({"site": pa.array(site[own[at]], pa.int64()), "line": pa.array([lines[i].decode() for i in at], pa.string()), "n": pa.array(np.ones(len(at), np.int32))})
+            texts = _ended(b.column(1).to_pylist())
+            raw = np.frombuffer(b"".join(texts), np.uint8)
+            ends = np.flatnonzero(raw == 10)
+            size = np.fromiter(map(len, texts), np.int64, len(texts))
+            own = np.repeat(np.arange(len(texts)), size)[ends]
+            good = np.ones(len(ends), bool)
+            if screen is not None:
+                h, doc, at, many = chunks(texts)
+                line = np.searchsorted(ends, at)
+                first = np.concatenate([[0], ends[:-1] + 1])
+                inside = (at + many <= ends[line]) & (at - first[line] >= WINDOW)
+                at = (_sourced(site[doc[inside]], h[inside]) & np.uint64(bits - 1)).astype(np.int64)
+                good[line[inside][~sketch.held(screen.value, at)]] = False
+            lines = b"".join(texts).split(b"\n")
+            rows = {(int(own[i]), lines[i]) for i in np.flatnonzero(good).tolist() if lines[i]}
+            t = pa.table({"site": pa.array(site[[d for d, _ in rows]] if rows else [], pa.int64()), "line": pa.array([x.decode("utf_8", "replace") for _, x in rows], pa.string()), "n": pa.array(np.ones(len(rows), np.int32))})
             t = t.group_by(["site", "line"]).aggregate([("n", "sum")])
             yield from pa.table({"site": t["site"], "line": t["line"], "n": pc.cast(t["n_sum"], pa.int32())}).combine_chunks().to_batches()
 
     n = docs.select("site", "text").mapInArrow(run, "site long, line string, n int").groupBy("site", "line").agg(F.sum("n").alias("docs_with"))
-    return n.join(sizes, "site").where((F.col("docs_with") >= least) & (F.col("docs_with") >= share * F.col("docs"))).select("site", "line", "docs_with", "docs")
+    return n.where(F.col("docs_with") >= least).join(sizes(docs), "site").where(F.col("docs_with") >= share * F.col("docs")).select("site", "line", "docs_with", "docs")
+
 
+def _known(keys: DataFrame, spark) -> object | None:
+    """A counted, sorted broadcast of hashes, or None where they are too many."""
+    if keys.count() > MOST_KEYS:
+        return None
+    return spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in keys.collect()], np.int64)))
 
-def without_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """(id, content, cut): each text without its source's repeated lines, and how many were cut.
 
-    A source has at most 1/share times as many excessive lines as an average document has lines, so
-    the list that meets each document is bounded; the join is left to the planner (broadcast while
-    small, else split where one source is hot)."""
-    per = lines.groupBy("site").agg(F.sort_array(F.collect_set("line")).alias("lines"))
+def _in(h: np.ndarray, known: np.ndarray) -> np.ndarray:
+    if not len(known):
+        return np.zeros(len(h), bool)
+    at = np.searchsorted(known, h)
+    at[at == len(known)] = 0
+    return known[at] == h
+
+
+def without_chunks(docs: DataFrame, owner: str, least: int = 5, share: float = 0.1) -> DataFrame:
+    """(id, content, chunks, cut, cut_bytes): each normalised text without its source's excessive chunks."""
+    spark = docs.sparkSession
+    ship(spark)
+
+    def fold(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(_sourced(b.column(0).to_numpy(), b.column(1).to_numpy().view(np.uint64)).view(np.int64))], ["key"])
+
+    hot = written(excessive_chunks(docs, least, share).mapInArrow(fold, "key long"), owner)
+    known = _known(hot, spark)
 
     def run(batches):
-        last, known = None, frozenset()
+        for b in _slices(batches):
+            site, raw = b.column(0).to_numpy(), _ended(b.column(2).to_pylist())
+            h, doc, at, many = chunks(raw)
+            key = _sourced(site[doc], h).view(np.int64)
+            if known is not None:
+                bad = _in(key, known.value)
+            else:
+                own = [frozenset(x or ()) for x in b.column(3).to_pylist()]
+                bad = np.fromiter((k in own[d] for k, d in zip(key.tolist(), doc.tolist())), bool, len(key))
+            whole, n = np.frombuffer(b"".join(raw), np.uint8), len(raw)
+            size = np.fromiter(map(len, raw), np.int64, n)
+            keep = np.repeat(~bad, many)
+            text_of = np.repeat(np.arange(n), size)
+            left = np.bincount(text_of[keep], minlength=n)
+            parts = np.split(whole[keep], np.cumsum(left)[:-1]) if n else []
+            yield pa.RecordBatch.from_arrays(
+                [b.column(1), pa.array([p.tobytes().decode("utf_8", "replace").removesuffix("\n") for p in parts], pa.string()), pa.array(np.bincount(doc, minlength=n).astype(np.int32)), pa.array(np.bincount(doc[bad], minlength=n).astype(np.int32)), pa.array((size - left).astype(np.int64))],
+                ["id", "content", "chunks", "cut", "cut_bytes"],
+            )
+
+    src = docs.select("site", "id", "text")
+    if known is None:  # each document's own excessive chunks, at most as many as it has chunks, come by a shuffle
+
+        def own(batches):
+            for b in _slices(batches):
+                h, doc, _, _ = chunks(_ended(b.column(2).to_pylist()))
+                yield pa.RecordBatch.from_arrays([b.column(1).take(pa.array(doc)), pa.array(_sourced(b.column(0).to_numpy()[doc], h).view(np.int64))], ["id", "key"])
+
+        mine = src.mapInArrow(own, "id long, key long").distinct().join(hot, "key", "left_semi").groupBy("id").agg(F.collect_set("key").alias("keys"))
+        src = src.join(mine, "id", "left").select("site", "id", "text", "keys")
+    return src.mapInArrow(run, "id long, content string, chunks int, cut int, cut_bytes long")
+
+
+def line_key(site: int, line: str) -> int:
+    v = xxhash.xxh3_64_intdigest(f"{site}\n{line}".encode("utf_8", "surrogatepass"))
+    return v - (1 << 64) if v >> 63 else v
+
+
+def without_lines(docs: DataFrame, lines: DataFrame, owner: str) -> DataFrame:
+    """(id, content, cut): each text without its source's repeated lines, and how many were cut. The lines travel as
+    hashes of (source, line): broadcast where their number was counted and is small, else joined line by line."""
+    spark = docs.sparkSession
+    ship(spark)
+
+    def keys(batches):
         for b in batches:
-            out, cut = [], []
-            for text, ls in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                if ls is not None and ls != last:
-                    last, known = ls, frozenset(ls)
-                if ls is None:
-                    out.append(text), cut.append(0)
-                    continue
-                kept = [x for x in text.split("\n") if normal(x) not in known]
-                out.append("\n".join(kept)), cut.append(text.count("\n") + 1 - len(kept))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string()), pa.array(cut, pa.int32())], ["id", "content", "cut"])
-
-    return docs.join(per, "site", "left").select("id", "text", "lines").mapInArrow(run, "id long, content string, cut int")
+            yield pa.RecordBatch.from_arrays([pa.array([line_key(s, x) for s, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist())], pa.int64())], ["key"])
+
+    hot = written(lines.select("site", "line").mapInArrow(keys, "key long").distinct(), owner)
+    known = _known(hot, spark)
+
+    def cut(batches):
+        for b in _slices(batches):
+            out, n = [], []
+            for s, text in zip(b.column(0).to_pylist(), b.column(2).to_pylist()):
+                own = text.split("\n")
+                bad = _in(np.array([line_key(s, normal(x)) for x in own], np.int64), known.value)
+                out.append("\n".join(x for x, k in zip(own, bad.tolist()) if not k)), n.append(int(bad.sum()))
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(out, pa.string()), pa.array(n, pa.int32())], ["id", "content", "cut"])
+
+    if known is not None:
+        return docs.select("site", "id", "text").mapInArrow(cut, "id long, content string, cut int")
+
+    def each(batches):
+        for b in _slices(batches):
+            for s, i, text in zip(*(c.to_pylist() for c in b.columns)):
+                own = text.split("\n")
+                yield pa.RecordBatch.from_arrays([pa.array([i] * len(own), pa.int64()), pa.array(range(len(own)), pa.int32()), pa.array([line_key(s, normal(x)) for x in own], pa.int64()), pa.array(own, pa.string())], ["id", "no", "key", "own"])
+
+    every = docs.select("site", "id", "text").mapInArrow(each, "id long, no int, key long, own string")
+    marked = every.join(hot.withColumn("hot", F.lit(True)), "key", "left")
+    # a text's own lines come together again: as many as it has
+    got = marked.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("no", "own", F.coalesce("hot", F.lit(False)).alias("hot")))).alias("rows"))
+    return got.select("id", F.array_join(F.transform(F.filter("rows", lambda x: ~x["hot"]), lambda x: x["own"]), "\n").alias("content"), F.size(F.filter("rows", lambda x: x["hot"])).alias("cut"))

@@ -74,6 +74,7 @@ CHANNELS = [(r, "utf_8") for r in ("cp1252", "cp1250", "cp1251", "mac_roman", "c
 CHANNELS += [(r, t) for r in ("cp1252", "cp1250", "cp1251", "mac_roman", "cp437", "cp850", "cp866", "koi8_r", "iso8859_2", "iso8859_5") for t in ("cp1252", "cp1250", "cp1251", "mac_roman", "cp437", "cp850", "cp866", "koi8_r", "iso8859_2", "iso8859_5", "mac_cyrillic", "cp852") if r != t]
 #: Channels that lose every byte they can't read: a one-byte charset read as UTF-8, UTF-8 read as ASCII.
 LOSING = [("utf_8", t) for t in ONE_BYTE] + [("ascii", "utf_8")]
+ANY = "any"
 
 
 def h(s: str) -> int:
@@ -95,7 +96,8 @@ class Corpus:
         self.three: dict[str, float] = {}
         self.one: dict[str, float] = {}
         self.words: dict[str, float] = {}
-        self.alphabets: dict[str, list[tuple[str, bytes]]] = {}
+        self.alphabets: dict[str, list[tuple]] = {}
+        self.channels: dict[frozenset, list[int]] = {}
         #: for each channel, the characters it may have left
         self.turns = []
         for read, true in CHANNELS:
@@ -154,17 +156,22 @@ class Corpus:
             total += -1.0 if c < "\x80" else -5.0 if c in PLAIN else -7.0
         return total
 
-    def alphabet(self, true: str) -> list[tuple[str, bytes]]:
-        """The characters that a wildcard may stand for in a charset: letters that the corpus commonly has, in both
-        cases, and punctuation, with their bytes."""
+    def alphabet(self, true: str) -> list[tuple[str, str, bytes, str]]:
+        """The characters that a wildcard may stand for in a charset (ANY: in some one-byte charset): letters that the
+        corpus commonly has, in both cases, and punctuation; each with its small form, bytes and kind."""
         got = self.alphabets.get(true)
         if got is None:
-            chars = set(READ[true]) if true != "utf_8" else {c for t in READ.values() for c in t}
+            chars = set(READ[true]) if true in READ else {c for t in READ.values() for c in t}
             ok = sorted(c for c in chars if c in PLAIN or c.isalpha() and not self.rare(c.lower()))
-            got = self.alphabets[true] = [(c, c.encode("utf_8") if true == "utf_8" else bytes([READ[true][c]])) for c in ok]
+            got = self.alphabets[true] = [(c, c.lower(), c.encode("utf_8") if true == "utf_8" else bytes([READ[true][c]]) if true in READ else b"?", kind(c)) for c in ok]
         return got
 
 
+def kind(c: str) -> str:
+    """'c' a Cyrillic letter, 'l' another letter, '' no letter."""
+    return "" if not c.isalpha() else "c" if "\u0400" <= c <= "\u04ff" else "l"
+
+
 def shape(token: str) -> str:
     return re.sub(r"[\d_]", "0", token.lower())
 
@@ -218,8 +225,9 @@ def lattice(token: str, read: str) -> list[int] | None:
 
 
 def paths(byte: list[int], true: str, corpus: Corpus, beam: int = BEAM) -> list[tuple[float, str]]:
-    """The best readings of a byte lattice in a charset, by a Viterbi search over (byte, last letters) with a beam."""
-    one = None if true == "utf_8" else WRITE[true]
+    """The best readings of a byte lattice in a charset, by a Viterbi search over (byte, last letters) with a beam. No
+    arc puts letters of two scripts beside each other, or a capital after a small letter."""
+    one = None if true == "utf_8" else WRITE.get(true, {})
     n = len(byte)
     at: list[list[tuple[float, str]]] = [[] for _ in range(n + 1)]
     at[0] = [(0.0, "^")]
@@ -228,22 +236,20 @@ def paths(byte: list[int], true: str, corpus: Corpus, beam: int = BEAM) -> list[
             continue
         b = byte[i]
         if 0 <= b < 128:
-            arcs = [(chr(b), 1)]
+            arcs = [(chr(b), chr(b).lower(), 1, kind(chr(b)))]
         elif one is not None and b >= 128:
-            arcs = [(one[b], 1)] if b in one else []
+            arcs = [(one[b], one[b].lower(), 1, kind(one[b]))] if b in one else []
         else:
-            arcs = [(c, len(e)) for c, e in corpus.alphabet(true) if i + len(e) <= n and all(y in (-1, x) for x, y in zip(e, byte[i : i + len(e)]))]
+            arcs = [(c, low, len(e), q) for c, low, e, q in corpus.alphabet(true) if one is not None or i + len(e) <= n and all(y in (-1, x) for x, y in zip(e, byte[i : i + len(e)]))]
             if one is None and not arcs:  # known bytes of a letter that the corpus hardly has
-                arcs = [(c, k) for k in (2, 3, 4) if i + k <= n and min(byte[i : i + k]) >= 0 and (c := bytes(byte[i : i + k]).decode("utf_8", "ignore"))]
-        best: dict[int, dict[str, tuple[float, str]]] = {}
-        for p, s in sorted(at[i], reverse=True)[:beam]:
-            last = s[-2:].lower()
-            for c, k in arcs:
-                low = c.lower()
-                q = p + (corpus.trigram(last + low) if len(last) == 2 else 0.0) - (8.0 if c.isupper() and s[-1].islower() else 0.0)
-                best.setdefault(k, {})[s + c] = (q, s + c)
-        for k, found in best.items():
-            at[i + k] += found.values()
+                arcs = [(c, c.lower(), k, kind(c)) for k in (2, 3, 4) if i + k <= n and min(byte[i : i + k]) >= 0 and (c := bytes(byte[i : i + k]).decode("utf_8", "ignore"))]
+        for p, s in sorted(at[i], reverse=True)[: beam if len(arcs) > 1 else 10 * beam]:  # a known byte tells a wildcard's readings apart
+            last, end = s[-2:].lower(), s[-1]
+            before, small = kind(end), end.islower()
+            for c, low, k, q in arcs:
+                if before and q and before != q or small and c.isupper():
+                    continue
+                at[i + k].append((p + (corpus.trigram(last + low) if len(last) == 2 else math.log((corpus.letter(low) + 0.02) / corpus.nt)), s + c))
     ends = [(p + corpus.trigram(s[-2:].lower() + "$"), s[1:]) for p, s in at[n] if len(s) > 1]
     return sorted(ends, reverse=True)[:beam]
 
@@ -269,22 +275,26 @@ def filled(token: str, corpus: Corpus) -> tuple[str | None, str]:
     seen = [c for c in token if c > "\x7f" and c != MARK]
     if not any(c.isalnum() for c in token if c != MARK):
         return None, ""  # nothing survives that a search could hold on to
-    ranked: dict[str, tuple[float, str]] = {}
+    found: list[tuple[str, str]] = []
+    if seen:
+        tries = [(r, t) for r, t in CHANNELS if t == "utf_8"] + LOSING
+    else:  # no byte tells the charset: one search over the letters of all, of which a path must fit one
+        tries = LOSING[-1:] if MARK * 2 in token else []
+        for _, s in paths(lattice(token, "utf_8") or [], ANY, corpus):
+            new = {x for x, y in zip(s, token) if y == MARK}
+            if t := next((t for t in ONE_BYTE if new <= READ[t].keys()), None):
+                found.append((s, f"{t}>utf_8"))
     done: set[tuple] = set()
-    for read, true in [*((r, t) for r, t in CHANNELS if t == "utf_8"), *LOSING] if seen else LOSING:
+    for read, true in tries:
         byte = lattice(token, read)
-        if byte is None:
-            continue
-        same = (tuple(byte), tuple(c for c, _ in corpus.alphabet(true)), true == "utf_8")
-        if same in done:
+        if byte is None or (same := (tuple(byte), tuple(c for c, *_ in corpus.alphabet(true)))) in done:
             continue
         done.add(same)
-        for _, s in paths(byte, true, corpus):
-            if _MIXED.search(s) or MARK in s:
-                continue
-            v = corpus.score(s) + _fit(s, corpus)
-            if s not in ranked or v > ranked[s][0]:
-                ranked[s] = (v, f"{true}>{read}")
+        found += [(s, f"{true}>{read}") for _, s in paths(byte, true, corpus)]
+    ranked: dict[str, tuple[float, str]] = {}
+    for s, channel in found:
+        if not _MIXED.search(s) and MARK not in s and s not in ranked:
+            ranked[s] = (corpus.score(s) + _fit(s, corpus), channel)
     if not ranked:
         return None, ""
     order = sorted(((v, s, c) for s, (v, c) in ranked.items()), reverse=True)
@@ -313,15 +323,20 @@ def readings(token: str, corpus: Corpus) -> tuple:
 
 
 def _readings(token: str, corpus: Corpus) -> tuple:
-    high = set(HIGH.findall(token))
+    high = frozenset(HIGH.findall(token))
+    fit = corpus.channels.get(high)
+    if fit is None:
+        if len(corpus.channels) > 100_000:
+            corpus.channels.clear()
+        fit = corpus.channels[high] = [k for k, turns in enumerate(corpus.turns) if high <= turns]
     word = LETTERS.search(token) is not None and not any(x < "\x80" for x in token)
     tried: dict[str, list[int]] = {}
-    for k, (read, true) in enumerate(CHANNELS):
-        if high <= corpus.turns[k]:
-            r = through(token, read, true) if true == "utf_8" else token.translate(ACROSS[k])
-            if r is None or r == token or word and not LETTERS.search(r):
-                continue  # a word never stands for bare punctuation
-            tried.setdefault(r, []).append(k)
+    for k in fit:
+        read, true = CHANNELS[k]
+        r = through(token, read, true) if true == "utf_8" else token.translate(ACROSS[k])
+        if r is None or r == token or word and not LETTERS.search(r):
+            continue  # a word never stands for bare punctuation
+        tried.setdefault(r, []).append(k)
     if not tried:
         return ()
     own = LETTERS.findall(token)

@@ -26,13 +26,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newsloom.llm import sketch
 from newsloom.llm.words import common, mix, shingle_sets, shingles, word_hashes
 from newsloom.runtime import ship, written
 
 BUCKETS, CHUNKS = 1 << 21, 16
 HOT = 20_000
 PER_PART = 1_000_000
-SEEN_BITS = 1 << 23
 BLOCK = 160  # rows of a large tile compared at once
 
 
@@ -69,44 +69,32 @@ def class_hash(s: np.ndarray) -> int:
     return v - (1 << 64) if v >> 63 else v
 
 
+_SIGNED = f"id long, cls long, n int, {sketch.SCHEMA}"
+
+
 def sign(docs: DataFrame, k: int, least_words: int) -> DataFrame:
-    """Rows (id, cls, n) for each text, and rows (chunk, blob) of the shingle counts of each task."""
+    """Rows (id, cls, n) for each text, and rows (task, chunk, blob) of the shingle counts of each task."""
 
     def run(batches):
-        counts = np.zeros(BUCKETS, np.uint32)
+        counts = np.zeros(BUCKETS, np.uint64)
         for b in batches:
             rows, begin, h = shingle_sets(b.column(1).to_pylist(), k, least_words)
             ids = b.column(0).take(pa.array(rows))
             cls = [class_hash(h[a:z]) for a, z in zip(begin[:-1].tolist(), begin[1:].tolist())]
-            ns = np.diff(begin).astype(np.int32)
-            counts += np.bincount((h & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS).astype(np.uint32)
+            counts += np.bincount((h & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS).astype(np.uint64)
             m = len(ids)
-            yield pa.RecordBatch.from_arrays([ids, pa.array(cls, pa.int64()), pa.array(ns), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], ["id", "cls", "n", "chunk", "blob"])
+            yield pa.RecordBatch.from_arrays([ids, pa.array(cls, pa.int64()), pa.array(np.diff(begin).astype(np.int32)), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], ["id", "cls", "n", "task", "chunk", "blob"])
         if counts.any():
-            z = zstandard.ZstdCompressor(level=1)
-            blobs = [z.compress(c.tobytes()) for c in counts.reshape(CHUNKS, -1)]
-            yield pa.RecordBatch.from_arrays([pa.nulls(CHUNKS, pa.int64()), pa.nulls(CHUNKS, pa.int64()), pa.nulls(CHUNKS, pa.int32()), pa.array(range(CHUNKS), pa.int32()), pa.array(blobs, pa.binary())], ["id", "cls", "n", "chunk", "blob"])
+            own = sketch.blobs(counts, CHUNKS)
+            yield pa.RecordBatch.from_arrays([pa.nulls(CHUNKS, pa.int64()), pa.nulls(CHUNKS, pa.int64()), pa.nulls(CHUNKS, pa.int32()), *own.columns], ["id", "cls", "n", "task", "chunk", "blob"])
 
-    return docs.where(F.col("text").isNotNull()).select("id", "text").mapInArrow(run, "id long, cls long, n int, chunk int, blob binary")
+    return docs.where(F.col("text").isNotNull()).select("id", "text").mapInArrow(run, _SIGNED)
 
 
 def rarity(signed: DataFrame) -> np.ndarray:
-    """Corpus counts by bucket: BUCKETS small integers, a size that doesn't grow with the data."""
-
-    def add(table):
-        d = zstandard.ZstdDecompressor()
-        total = np.zeros(BUCKETS // CHUNKS, np.uint64)
-        for x in table.column("blob").to_pylist():
-            total += np.frombuffer(d.decompress(x), np.uint32)
-        low = np.minimum(total, np.iinfo(np.uint32).max).astype(np.uint32)
-        return pa.table({"chunk": pa.array(table.column("chunk").to_pylist()[:1], pa.int32()), "blob": pa.array([zstandard.ZstdCompressor().compress(low.tobytes())], pa.binary())})
-
-    rows = signed.where("chunk is not null").select("chunk", "blob").groupBy("chunk").applyInArrow(add, "chunk int, blob binary").collect()
-    out = np.zeros((CHUNKS, BUCKETS // CHUNKS), np.uint32)
-    d = zstandard.ZstdDecompressor()
-    for r in rows:
-        out[r.chunk] = np.frombuffer(d.decompress(bytes(r.blob)), np.uint32)
-    return out.reshape(-1)
+    """Corpus counts by bucket: BUCKETS integers, a size that doesn't grow with the data. Only an order is made of them."""
+    total = sketch.summed(signed.where("chunk is not null").select("task", "chunk", "blob"), CHUNKS, BUCKETS)
+    return np.minimum(total, np.iinfo(np.uint32).max).astype(np.uint32)
 
 
 def _pack(keys: np.ndarray) -> bytes:
@@ -213,6 +201,7 @@ def tile(table: pa.Table, t: float) -> pa.Table:
     many = np.diff(edge)
     found: list[np.ndarray] = []
     total = np.int64(len(cls))
+    reach = math.ceil(math.log2(1 / t))  # size bands that similar sets may lie apart
     ratio = (1 - t) / (1 + t)  # |x ^ y| <= ratio * (|x| + |y|) for similar pairs
 
     def bitrows(d: np.ndarray, w: int, to: int) -> np.ndarray:
@@ -235,7 +224,7 @@ def tile(table: pa.Table, t: float) -> pa.Table:
         act = act[(sk[act + d] == sk[act]) & (t * n[sd[act + d]] <= n[sd[act]] + 1e-9)]
         x, y = sd[act], sd[act + d]
         for b in np.unique(band[x]):
-            for c in (b, b + 1):
+            for c in range(b, b + reach + 1):
                 at = (band[x] == b) & (band[y] == c)
                 if not at.any():
                     continue
@@ -258,9 +247,9 @@ def tile(table: pa.Table, t: float) -> pa.Table:
             if not len(where):
                 continue
             rows = every[where]
-            for c, cols, _ in runs[r : r + 2]:
-                if c > b + 1:
-                    continue
+            for c, cols, _ in runs[r : r + reach + 1]:
+                if c > b + reach:
+                    break
                 bits = max(256, width(b) // 2) if c == b else width(b)
                 # the last two columns add both sizes' shares of the limit, so one product and one comparison decide
                 left = np.empty((len(rows), bits + 2), np.float32)
@@ -285,46 +274,36 @@ def tile(table: pa.Table, t: float) -> pa.Table:
     return pa.table({"a": pa.array(np.minimum(a, z)), "b": pa.array(np.maximum(a, z))})
 
 
-def held(packed: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Which bits of a packed bitmap are set."""
-    return (packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
-
-
-def mark(values: DataFrame, bits: int = SEEN_BITS) -> np.ndarray:
-    """A packed bitmap of fixed size with a bit for each id: a prescreen that may let more through, never less."""
-
-    def run(batches):
-        m = np.zeros(bits, bool)
-        for b in batches:
-            m[(mix(b.column(0).to_numpy().view(np.uint64)) & np.uint64(bits - 1)).astype(np.int64)] = True
-        if m.any():
-            yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([zstandard.ZstdCompressor().compress(np.packbits(m).tobytes())], pa.binary())], ["g", "blob"])
-
-    def union(table):
-        m = np.zeros(bits // 8, np.uint8)
-        for x in table.column("blob").to_pylist():
-            m |= np.frombuffer(zstandard.ZstdDecompressor().decompress(x), np.uint8)
-        return pa.table({"blob": pa.array([zstandard.ZstdCompressor().compress(m.tobytes())], pa.binary())})
-
-    rows = values.mapInArrow(run, "g int, blob binary").groupBy("g").applyInArrow(union, "blob binary").collect()
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(rows[0].blob)), np.uint8).copy() if rows else np.zeros(bits // 8, np.uint8)
+def _places(ids: pa.Array, bits: int) -> np.ndarray:
+    return (mix(ids.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)) & np.uint64(bits - 1)).astype(np.int64)
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(id, hashes) of the texts whose id is in ``wanted``: the bitmap screens the scan, a join on the rest is exact."""
+    """(id, hashes) of the texts whose id is in ``wanted``. A bitmap sized by their number screens the scan, so that only
+    their texts are made into sets; a join on the rest is exact. With more ids than a bitmap is made for, the texts are
+    joined to them instead."""
     spark = docs.sparkSession
-    screen = spark.sparkContext.broadcast(mark(wanted.select("id")))
+    ids = wanted.select("id").distinct()
+    bits = sketch.bits_for(wanted.count(), 8)
+    have = docs.where(F.col("text").isNotNull() & F.col("id").isNotNull()).select("id", "text")
+    if not bits:
+        have, screen = have.join(ids, "id", "left_semi"), None
+    else:
+
+        def place(batches):
+            for b in batches:
+                yield pa.RecordBatch.from_arrays([pa.array(_places(b.column(0), bits))], ["at"])
+
+        screen = spark.sparkContext.broadcast(sketch.bitmap(wanted.select("id").mapInArrow(place, "at long"), bits))
 
     def run(batches):
-        m = screen.value
         for b in batches:
-            at = np.flatnonzero(held(m, (mix(b.column(0).to_numpy().view(np.uint64)) & np.uint64(SEEN_BITS - 1)).astype(np.int64)))
-            got = b.take(pa.array(at))
+            got = b if screen is None else b.take(pa.array(np.flatnonzero(sketch.held(screen.value, _places(b.column(0), bits)))))
             blobs = [np.unique(shingles(word_hashes(x), k)).tobytes() for x in got.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([got.column(0), pa.array(blobs, pa.binary())], ["id", "hashes"])
 
-    found = docs.where(F.col("text").isNotNull() & F.col("id").isNotNull()).select("id", "text").mapInArrow(run, "id long, hashes binary")
-    return found.join(wanted.select("id").distinct(), "id", "left_semi")
+    found = have.mapInArrow(run, "id long, hashes binary")
+    return found if screen is None else found.join(ids, "id", "left_semi")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, left: str, right: str, t: float) -> DataFrame:

@@ -15,7 +15,7 @@ from newsloom.llm import neardup as N
 from newsloom.llm import packing as P
 from newsloom.llm import spam as S
 from newsloom.llm import tokens as T
-from newsloom.runtime import fresh, once, table, written
+from newsloom.runtime import fresh, once, owned, table, written
 
 
 def cleartexts(spark: SparkSession, d: str) -> DataFrame:
@@ -128,11 +128,12 @@ def _checked(spark, d, owner):
     texts = cleartexts(spark, d)
     urls = table(spark, d, "feed_article_urls").select(F.col("fa_id").alias("id"), "url").distinct()
     items = table(spark, d, "batch_item").select("id", "batch_no", "url", F.col("content").alias("text"))
-    history = I.History(spark, owner, k=3, t=0.5, least_words=30, texts=texts).build(texts, urls)
+    history = I.History.create(spark, owned(I.scratch_store(spark, owner), owner), k=3, t=0.5, least_words=30).build(texts, urls)
     out = None
     for (no,) in items.select("batch_no").distinct().orderBy("batch_no").collect():
         got = history.check(items.where(F.col("batch_no").eqNullSafe(F.lit(no)))).withColumn("batch_no", F.lit(no))
         out = got if out is None else out.unionByName(got)
+    history.close()
     return out
 
 
@@ -155,12 +156,19 @@ def _sited(spark, d, owner):
 
 
 def p5_found(spark, d):
-    return L.repeated_lines(_sited(spark, d, "p5f")).join(hostnames(spark, d), "site").select("hostname", "line").distinct()
+    return L.repeated_lines(_sited(spark, d, "p5f"), "p5f").join(hostnames(spark, d), "site").select("hostname", "line").distinct()
+
+
+def p5_method(spark, d):
+    """Each cleartext without the content-defined chunks that its site repeats excessively."""
+    got = L.without_chunks(_sited(spark, d, "p5m"), "p5m")
+    return got.withColumnRenamed("id", "feed_articleid")
 
 
 def p5_clean(spark, d):
+    """Each cleartext without the lines that its site repeats excessively."""
     docs = _sited(spark, d, "p5c")
-    return L.without_lines(docs, L.repeated_lines(docs)).select(F.col("id").alias("feed_articleid"), "content", "cut")
+    return L.without_lines(docs, L.repeated_lines(docs, "p5c"), "p5c").select(F.col("id").alias("feed_articleid"), "content", "cut")
 
 
 # ---- 6: page boilerplate
@@ -242,4 +250,4 @@ def p10_scores(spark, d):
     return _scored(spark, d).select(F.col("id").alias("doc_id"), "spam", "links", "pmi").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_documents, p1_stretches, p2_found, p2_classes, p2_groups, p3_found, p3_restored, p4_found, p4_batches, p5_found, p5_clean, p6_found, p6_bodies, p8_windows, p8_fill, p9_draws, p9_shares, p10_found, p10_scores)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_documents, p1_stretches, p2_found, p2_classes, p2_groups, p3_found, p3_restored, p4_found, p4_batches, p5_found, p5_method, p5_clean, p6_found, p6_bodies, p8_windows, p8_fill, p9_draws, p9_shares, p10_found, p10_scores)}

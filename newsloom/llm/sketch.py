@@ -64,17 +64,11 @@ def bits_for(keys: int, each: int = 16) -> int:
     return bits if bits <= MOST_BITS else 0
 
 
-def place(column, bits: int):
-    """The bit of a long key in a bitmap (a Column)."""
-    return F.pmod(F.xxhash64(column), F.lit(bits))
-
-
-def bitmap(keys: DataFrame, bits: int) -> np.ndarray:
-    """Packed bitmap (low bit first) of the ``place`` of each key, the one column of ``keys``."""
-    at = place(F.col(keys.columns[0]), bits)
-    size = 32_768  # bits of one bucket of Spark's bitmap aggregate
+def bitmap(at: DataFrame, bits: int) -> np.ndarray:
+    """Packed bitmap (low bit first) of bit numbers, the one column of ``at``."""
+    name, size = at.columns[0], 32_768  # bits of one bucket of Spark's bitmap aggregate
     rows = (
-        keys.where(F.col(keys.columns[0]).isNotNull()).select((at / F.lit(size)).cast("long").alias("bucket"), (at % size).alias("bit"))
+        at.where(F.col(name).isNotNull()).select(F.floor(F.col(name) / F.lit(size)).alias("bucket"), (F.col(name) % size).alias("bit"))
         .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("map")).collect()
     )
     out = np.zeros(bits // 8, np.uint8)

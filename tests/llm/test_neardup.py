@@ -39,7 +39,7 @@ def corpus(seed, n=120):
     return rows
 
 
-@pytest.mark.parametrize("seed,k,t,least", [(1, 3, 0.5, 30), (2, 5, 0.8, 1)])
+@pytest.mark.parametrize("seed,k,t,least", [(1, 3, 0.5, 30), (2, 5, 0.8, 1), (3, 2, 0.3, 5)])
 def test_against_brute_force(spark, seed, k, t, least):
     rows = corpus(seed) + [(900, None), (901, ""), (0, corpus(seed)[0][1])]
     df = spark.createDataFrame([(i, x, "n") for i, x in rows], "id long, text string, cls string").repartition(3)
@@ -68,6 +68,13 @@ def test_long_text_empty_table_and_copies(spark):
     assert N.pairs(members, links).count() == 0
 
 
+def test_sets_of_very_different_sizes(spark):
+    """7 words of 17 shared are 0.41, two size bands apart."""
+    w = [f"w{i}" for i in range(200)]
+    df = spark.createDataFrame([(1, " ".join(w[:7])), (2, " ".join(w[:17])), (3, " ".join(w[100:140])), (4, " ".join(w[100:199]))], "id long, text string")
+    assert {tuple(r) for r in N.pairs(*N.similar(df, 1, 0.4, 1, "low")).collect()} == {(1, 2), (3, 4)}
+
+
 def test_groups(spark):
     edges = [(1, 2), (2, 3), (3, 4), (10, 11), (12, 11), (20, 21), (4, 9)] + [(i, i + 1) for i in range(100, 140)]
     got = {r.id: r.group_id for r in N.groups(spark.createDataFrame(edges, "first_id long, second_id long"), "g").collect()}
