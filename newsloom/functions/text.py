@@ -134,3 +134,8 @@ def title_like(a: Column, b: Column) -> Column:
     longer = F.greatest(F.length(x), F.length(y))
     edits = F.levenshtein(x, y) - F.abs(F.length(x) - F.length(y))
     return F.when(longer == 0, False).when(F.length(x) > 4 * F.length(y), False).otherwise(edits / longer < 0.1)
+
+
+def utf8(content: Column) -> Column:
+    """Bytes as UTF-8 text; bytes that are none become U+FFFD, so no row can fail."""
+    return F.make_valid_utf8(content.cast("string"))

@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions import arrays, text, times, urls
-from newsloom.operators import extract
+from newsloom.operators import decode, extract
 from newsloom.plans.relational_queries import SQL_NOW, now
-from newsloom.runtime import table
+from newsloom.runtime import once, table
 
 
 def _texts(spark, d) -> DataFrame:
-    return table(spark, d, "processed_article").where("mode = 'cleartext'").groupBy("feed_articleid").agg(F.min("content").alias("content")).withColumnRenamed("feed_articleid", "id")
+    """(id, content) of the cleartexts, once each: only rows of repeated ids are shuffled."""
+    t = table(spark, d, "processed_article").where("mode = 'cleartext' and feed_articleid is not null").select(F.col("feed_articleid").alias("id"), "content")
+    return once(t, "id")
 
 
 def _titles(spark, d) -> DataFrame:
@@ -21,8 +23,8 @@ def _titles(spark, d) -> DataFrame:
 
 def _pages(spark, d) -> DataFrame:
     utf8 = table(spark, d, "feed_article_meta").where("is_utf8 = '1'").select("id").distinct()
-    a = table(spark, d, "article").where("content is not null").groupBy(F.col("feed_articleid").alias("id")).agg(F.min("content").alias("content"))
-    return a.join(utf8, "id", "left_semi").select("id", F.decode("content", "UTF-8").alias("html"))
+    a = once(table(spark, d, "article").where("content is not null and feed_articleid is not null").select(F.col("feed_articleid").alias("id"), "content"), "id")
+    return a.join(utf8, "id", "left_semi").select("id", text.utf8(F.col("content")).alias("html"))
 
 
 def text_forms(spark, d) -> DataFrame:
@@ -36,10 +38,9 @@ def intros(spark, d) -> DataFrame:
 
 
 def title_matches(spark, d) -> DataFrame:
-    """Whether an article's first line is its stored title but for small edits (ASCII titles, so both engines count alike)."""
+    """Whether an article's first line is its stored title but for small edits."""
     j = _texts(spark, d).join(_titles(spark, d), "id").select("id", F.col("title").alias("a"), text.title_line(F.col("content")).alias("b"))
-    ascii_only = ~F.col("a").rlike(r"[^\x00-\x7F]") & ~F.col("b").rlike(r"[^\x00-\x7F]")
-    return j.where(ascii_only).select("id", text.title_like(F.col("a"), F.col("b")).alias("same"))
+    return j.select("id", text.title_like(F.col("a"), F.col("b")).alias("same"))
 
 
 def page_text(spark, d) -> DataFrame:
@@ -106,10 +107,10 @@ def urls_rewritten(spark, d) -> DataFrame:
 
 
 def urls_decoded(spark, d) -> DataFrame:
-    """URLs with their escapes decoded, where the feed asks for it (Python's unquote and the engine's own agree on ASCII)."""
+    """URLs with their escapes decoded, where the feed asks for it."""
     f = table(spark, d, "feed").where("parse_unquote").select(F.col("id").alias("fa_feed_id"))
     u = table(spark, d, "feed_article_urls").join(f, "fa_feed_id", "left_semi").select("fa_id", "url").distinct()
-    return u.where(~F.col("url").rlike("%[89A-Fa-f]")).select("fa_id", "url", urls.percent_decode(F.col("url")).alias("plain"))
+    return u.select("fa_id", "url", urls.percent_decode(F.col("url")).alias("plain"))
 
 
 def headers_read(spark, d) -> DataFrame:
@@ -120,19 +121,34 @@ def headers_read(spark, d) -> DataFrame:
     return h.select(F.col("feed_articleid").alias("id"), ct.alias("content_type"), F.regexp_extract(ct, r"charset=[\"']?([a-z0-9_-]+)", 1).alias("charset"), F.try_element_at("h", F.lit("server")).alias("server"))
 
 
+_META = r"(?i)<meta[^>]*charset=[\"']?([A-Za-z0-9_-]+)"
+_NAMED = r"(?i)charset=[\"']?([A-Za-z0-9_-]+)"
+
+
+def _charsets(spark, d) -> DataFrame:
+    """(id, charset, content) of each page as stored: its META tag names the charset, else its header, else Latin-1. Rows may repeat."""
+    a = table(spark, d, "article").where("content is not null")
+    meta = F.lower(F.regexp_extract(F.decode("content", "ISO-8859-1"), _META, 1))
+    hdr = F.lower(F.regexp_extract(F.coalesce("headers", F.lit("")), _NAMED, 1))
+    return a.select(F.col("feed_articleid").alias("id"), F.when(meta != "", meta).when(hdr != "", hdr).otherwise("iso-8859-1").alias("charset"), "content")
+
+
 def charset_guess(spark, d) -> DataFrame:
-    """The charset a page would be decoded in: its META tag, else its header, else Latin-1."""
-    a = table(spark, d, "article").where("content is not null").groupBy("feed_articleid").agg(F.min(F.struct("headers", "content")).alias("r"))
-    head = F.decode(F.substring("r.content", 1, 2000), "ISO-8859-1")
-    meta = F.lower(F.regexp_extract(head, r"(?i)<meta[^>]*charset=[\"']?([A-Za-z0-9_-]+)", 1))
-    hdr = F.lower(F.regexp_extract(F.coalesce("r.headers", F.lit("")), r"(?i)charset=[\"']?([A-Za-z0-9_-]+)", 1))
-    return a.select(F.col("feed_articleid").alias("id"), F.when(meta != "", meta).when(hdr != "", hdr).otherwise("iso-8859-1").alias("charset"))
+    """The charset each page would be decoded in."""
+    return _charsets(spark, d).select("id", "charset").distinct()
+
+
+def pages_decoded(spark, d) -> DataFrame:
+    """Every stored page decoded in its charset (bytes it can't read are marked): characters, marks and digest."""
+    c = _charsets(spark, d)
+    t = F.col("text")
+    return decode.decoded(c).select("id", "charset", F.length(t).alias("chars"), F.regexp_count(t, F.lit("\ufffd")).alias("marks"), F.md5(t.cast("binary")).alias("md5")).distinct()
 
 
 def fetch_outcomes(spark, d) -> DataFrame:
     """Pages by outcome: error, not text, too large, too small, fetched."""
-    a = table(spark, d, "article").distinct()
-    o = F.when(F.col("http_code") >= 900, "internal").when(F.col("http_code") >= 400, "http_error").when(F.col("content").isNull(), "lost").when(~F.coalesce(F.startswith("mimetype", F.lit("text/")), F.lit(False)), "not_text").when(F.octet_length("content") > 2_000_000, "too_large").otherwise("fetched")
+    a = table(spark, d, "article").select("feed_articleid", "http_code", "mimetype", F.octet_length("content").alias("size"), "retrieved").distinct()
+    o = F.when(F.col("http_code") >= 900, "internal").when(F.col("http_code") >= 400, "http_error").when(F.col("size").isNull(), "lost").when(~F.coalesce(F.startswith("mimetype", F.lit("text/")), F.lit(False)), "not_text").when(F.col("size") > 2_000_000, "too_large").otherwise("fetched")
     return a.groupBy(o.alias("outcome"), "http_code").agg(F.count("*").alias("n"), F.count_if(F.col("http_code") < 400).alias("downloads"))
 
 
@@ -147,7 +163,8 @@ def geo_points(spark, d) -> DataFrame:
     """Coordinates as points (pieces by semicolons only), their number, first latitude and joined form."""
     m = table(spark, d, "feed_article_meta").where("geo is not null").select("id", "geo").distinct()
     p = m.select("id", arrays.points(F.col("geo")).alias("p"))
-    return p.select("id", F.size("p").alias("n"), F.try_element_at("p", F.lit(1))["lat"].alias("lat"), F.try_element_at("p", F.lit(1))["lon"].alias("lon"))
+    joined = F.array_join(F.transform("p", lambda x: F.concat_ws(" ", F.format_string("%.4f", x["lat"]), F.format_string("%.4f", x["lon"]))), ";")
+    return p.select("id", F.size("p").alias("n"), F.try_element_at("p", F.lit(1))["lat"].alias("lat"), F.try_element_at("p", F.lit(1))["lon"].alias("lon"), joined.alias("joined"))
 
 
 def source_places(spark, d) -> DataFrame:
@@ -186,12 +203,9 @@ def only_images(spark, d) -> DataFrame:
 
 def feeds_discovered(spark, d) -> DataFrame:
     """Feed links of the pages, made absolute, that the feed table doesn't have."""
-    last = table(spark, d, "feed_article_urls").groupBy("fa_id").agg(F.max(F.struct("seq", "url"))["url"].alias("url")).withColumnRenamed("fa_id", "id")
-    href = F.regexp_extract_all(F.col("html"), F.lit(r"<link rel=\"alternate\"[^>]*href=\"([^\"]+)\""), F.lit(1))
-    p = _pages(spark, d).select("id", F.explode(F.array_distinct(href)).alias("href")).join(last, "id")
-    root = F.regexp_extract("url", r"^(https?://[^/]+)", 1)
-    full = F.when(F.col("href").rlike("^https?://"), F.col("href")).when(F.startswith("href", F.lit("/")), F.concat(root, "href")).otherwise(F.concat(F.regexp_replace("url", "[^/]*$", ""), "href"))
-    return p.select(full.alias("url")).distinct().join(table(spark, d, "feed").select("url"), "url", "left_anti")
+    last = table(spark, d, "feed_article_urls").groupBy("fa_id").agg(F.max(F.struct("seq", "url"))["url"].alias("base")).withColumnRenamed("fa_id", "id")
+    p = _pages(spark, d).where(F.col("html").rlike(r"(?i)\balternate\b|\brss\b")).join(last, "id")
+    return extract.feeds(p).select("url").distinct().join(table(spark, d, "feed").select("url"), "url", "left_anti")
 
 
 def page_extracts(spark, d) -> DataFrame:
@@ -213,7 +227,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         text_forms, intros, title_matches, page_text, page_lines, plain_titles, titles_encoded, xml_titles, xml_paragraphs, text_digests, ngrams_removed, url_parts, urls_rewritten,
-        urls_decoded, headers_read, charset_guess, fetch_outcomes, times_written, geo_points, source_places, access_rows, event_json, enrichment_routes, only_images,
+        urls_decoded, headers_read, charset_guess, pages_decoded, fetch_outcomes, times_written, geo_points, source_places, access_rows, event_json, enrichment_routes, only_images,
         feeds_discovered, page_extracts, entities_decoded, datelines,
     )
 }
@@ -224,6 +238,9 @@ _PAGES = "(SELECT feed_articleid AS id, decode(min(content)) AS html FROM articl
 _LAST = "(SELECT fa_id, arg_max(url, (seq, url)) AS url FROM feed_article_urls GROUP BY 1)"
 _BARE = r"regexp_replace(lower({0}), '[^\p{{L}}]', '', 'g')"
 _ALNUM = r"regexp_replace(lower({0}), '[^\p{{L}}\p{{Nd}}]', '', 'g')"
+#: Letters outside ASCII of the test languages, each as one byte: the other engine's edit distance counts bytes. Bare forms have no capitals or signs.
+_WIDE = "абвгдежзийклмнопрстуфхцчшщъыьэюяё" + "äöüßéèêëàâçîïôûùñáíóúãõćčđšž"
+_ONE_BYTE = "translate({0}, '" + _WIDE + "', '" + "".join(chr(c) for c in (*range(1, 9), *range(33, 127)) if not chr(c).isdigit() and not chr(c).islower() and chr(c) not in "'{{}}")[: len(_WIDE)] + "')"
 _TAGS = r"""'<(?:[^<>"'']|"[^"]*"|''[^'']*'')*>'"""
 
 
@@ -256,27 +273,34 @@ _STRIPPED = f"regexp_replace(regexp_replace({_NOCOMMENT.format(_SCRIPTLESS)}, {_
 ORACLE = {
     "text_forms": f"SELECT id, split_part(content, chr(10), 1) AS title, CAST(CASE WHEN content = '' THEN 0 ELSE length(regexp_replace(content, '^[^\\n]*\\n?', chr(10))) END AS INT) AS body_chars, CAST(strlen({_BARE.format('content')}) AS INT) AS bytes, md5({_BARE.format('content')}) AS bare_md5, CAST(length(regexp_replace(content, '[\\s0-9]+', ' ', 'g')) AS INT) AS collapsed FROM {_T}",
     "intros": f"SELECT id, CASE WHEN length(content) > e THEN substring(content, 1, e) || ' (...)' ELSE content END AS intro FROM (SELECT id, content, least(CASE WHEN strpos(substring(content, 401), ' ') > 0 THEN 399 + strpos(substring(content, 401), ' ') ELSE 500 END, 500) AS e FROM {_T})",
-    "title_matches": f"SELECT id, CASE WHEN greatest(length(x), length(y)) = 0 THEN false WHEN length(x) > 4 * length(y) THEN false ELSE (levenshtein(x, y) - abs(length(x) - length(y))) / greatest(length(x), length(y)) < 0.1 END AS same FROM (SELECT id, {_ALNUM.format('title')} AS x, {_ALNUM.format('split_part(content, chr(10), 1)')} AS y FROM {_T} t JOIN {_TITLES} m USING (id) WHERE NOT regexp_matches(title, '[^\\x00-\\x7F]') AND NOT regexp_matches(split_part(content, chr(10), 1), '[^\\x00-\\x7F]'))",
+    "title_matches": f"SELECT id, CASE WHEN greatest(length(x), length(y)) = 0 THEN false WHEN length(x) > 4 * length(y) THEN false ELSE (levenshtein(x, y) - abs(length(x) - length(y))) / greatest(length(x), length(y)) < 0.1 END AS same FROM (SELECT id, {_ONE_BYTE.format(_ALNUM.format('title'))} AS x, {_ONE_BYTE.format(_ALNUM.format('split_part(content, chr(10), 1)'))} AS y FROM {_T} t JOIN {_TITLES} m USING (id))",
     "plain_titles": f"SELECT id, {_plain('title')} AS plain FROM {_TITLES}",
     "titles_encoded": f"SELECT id, url_encode(title) AS encoded FROM {_TITLES}",
     "xml_titles": f"SELECT id, {_xml('title')} AS xml FROM {_TITLES}",
     "text_digests": f"SELECT id, CAST(md5_number_lower(content) AS VARCHAR) AS digest FROM {_T}",
     "url_parts": "SELECT url, CASE WHEN regexp_matches(lower(u), '^https?://') AND NOT contains(u, ' ') AND length(a) >= 5 THEN a END AS authority, split_part(url || '/-/-/', '/', 3) AS host, regexp_matches(lower(url), '\\.(" + "|".join(urls.MEDIA) + ")$') AS media, lower(left(url, 4)) = 'http' AND lower(right(url, 4)) <> '.mp3' AND length(url) <= 4095 AS ok FROM (SELECT url, regexp_replace(url, '^\\s+|\\s+$', '', 'g') AS u, nullif(regexp_extract(trim(url), '(?i)^https?://([^/?#\\s]+)', 1), '') AS a FROM (SELECT url FROM feed_article_urls UNION SELECT url FROM batch_item) WHERE url IS NOT NULL)",
     "urls_rewritten": "SELECT DISTINCT fa_id, u.url, CASE WHEN regex IS NOT NULL AND regexp_extract(u.url, '^(?:' || regex || ')', 1) <> '' THEN regexp_extract(u.url, '^(?:' || regex || ')', 1) ELSE u.url END AS rewritten FROM feed_article_urls u JOIN feed f ON f.id = fa_feed_id",
-    "urls_decoded": "SELECT DISTINCT fa_id, u.url, url_decode(u.url) AS plain FROM feed_article_urls u JOIN feed f ON f.id = fa_feed_id WHERE parse_unquote AND NOT regexp_matches(u.url, '%[89A-Fa-f]')",
+    "urls_decoded": "SELECT DISTINCT fa_id, u.url, url_decode(u.url) AS plain FROM feed_article_urls u JOIN feed f ON f.id = fa_feed_id WHERE parse_unquote",
     "headers_read": r"""WITH a AS (SELECT feed_articleid AS id, min(headers) AS headers FROM article WHERE headers IS NOT NULL GROUP BY 1),
 l AS (SELECT id, i, x FROM (SELECT id, unnest(string_split_regex(headers, '\r?\n')) AS x, generate_subscripts(string_split_regex(headers, '\r?\n'), 1) AS i FROM a) WHERE contains(x, ':')),
 v AS (SELECT id, lower(trim(split_part(x, ':', 1))) AS k, arg_max(lower(trim(regexp_replace(x, '^[^:]*:', ''))), i) AS v FROM l GROUP BY 1, 2)
 SELECT a.id, c.v AS content_type, regexp_extract(c.v, 'charset=["'']?([a-z0-9_-]+)', 1) AS charset, s.v AS server FROM a LEFT JOIN v c ON c.id = a.id AND c.k = 'content-type' LEFT JOIN v s ON s.id = a.id AND s.k = 'server'""",
-    "fetch_outcomes": "SELECT CASE WHEN http_code >= 900 THEN 'internal' WHEN http_code >= 400 THEN 'http_error' WHEN content IS NULL THEN 'lost' WHEN NOT coalesce(starts_with(mimetype, 'text/'), false) THEN 'not_text' WHEN octet_length(content) > 2000000 THEN 'too_large' ELSE 'fetched' END AS outcome, http_code, count(*) AS n, count(*) FILTER (http_code < 400) AS downloads FROM (SELECT DISTINCT * FROM article) GROUP BY ALL",
+    "fetch_outcomes": "SELECT CASE WHEN http_code >= 900 THEN 'internal' WHEN http_code >= 400 THEN 'http_error' WHEN size IS NULL THEN 'lost' WHEN NOT coalesce(starts_with(mimetype, 'text/'), false) THEN 'not_text' WHEN size > 2000000 THEN 'too_large' ELSE 'fetched' END AS outcome, http_code, count(*) AS n, count(*) FILTER (http_code < 400) AS downloads FROM (SELECT DISTINCT feed_articleid, http_code, mimetype, octet_length(content) AS size, retrieved FROM article) GROUP BY ALL",
     "times_written": f"SELECT id, strftime(pub_date AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%SZ') AS iso, strftime(found AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') || ' (UTC)' AS plain, date_sub('day', coalesce(pub_date, found), {SQL_NOW}) AS days, date_sub('day', coalesce(pub_date, found), {SQL_NOW}) > 7 AS stale, CAST(year(found AT TIME ZONE 'UTC') * 12 + month(found AT TIME ZONE 'UTC') AS INT) AS month FROM (SELECT DISTINCT id, pub_date FROM feed_article_meta) m JOIN feed_article f USING (id)",
-    "geo_points": r"WITH p AS (SELECT id, list_filter(list_transform(string_split(geo, ';'), lambda x: CASE WHEN len(string_split_regex(trim(x), '\s+')) = 2 THEN {'lat': TRY_CAST(string_split_regex(trim(x), '\s+')[1] AS DOUBLE), 'lon': TRY_CAST(string_split_regex(trim(x), '\s+')[2] AS DOUBLE)} END), lambda q: q.lat IS NOT NULL AND q.lon IS NOT NULL) AS p FROM (SELECT DISTINCT id, geo FROM feed_article_meta WHERE geo IS NOT NULL)) SELECT id, CAST(len(p) AS INT) AS n, p[1].lat AS lat, p[1].lon AS lon FROM p",
+    "geo_points": r"WITH p AS (SELECT id, list_filter(list_transform(string_split(geo, ';'), lambda x: CASE WHEN len(string_split_regex(trim(x), '\s+')) = 2 THEN {'lat': TRY_CAST(string_split_regex(trim(x), '\s+')[1] AS DOUBLE), 'lon': TRY_CAST(string_split_regex(trim(x), '\s+')[2] AS DOUBLE)} END), lambda q: q.lat IS NOT NULL AND q.lon IS NOT NULL) AS p FROM (SELECT DISTINCT id, geo FROM feed_article_meta WHERE geo IS NOT NULL)) SELECT id, CAST(len(p) AS INT) AS n, p[1].lat AS lat, p[1].lon AS lon, array_to_string(list_transform(p, lambda x: printf('%.4f', x.lat) || ' ' || printf('%.4f', x.lon)), ';') AS joined FROM p",
     "source_places": "WITH t AS (SELECT id, tld, list_filter(coalesce(tags, []), lambda x: x <> '') AS tags FROM site), m AS (SELECT id, tld, tags, list_filter(tags, lambda x: len(string_split(x, ':')) = 2) AS p FROM t), g AS (SELECT *, list_filter(p, lambda x: split_part(x, ':', 1) = 'country') AS c, list_filter(p, lambda x: split_part(x, ':', 1) = 'city') AS y FROM m) SELECT id, coalesce(split_part(c[-1], ':', 2), upper(tld)) AS country, split_part(y[-1], ':', 2) AS city, CAST(len(list_filter(tags, lambda x: NOT regexp_matches(x, '^(city|country|region|geo):'))) AS INT) AS plain FROM g",
     "access_rows": "SELECT DISTINCT id, unnest(CASE WHEN lang = 'eng' THEN list_append(own, 'render') ELSE own END) AS acl FROM (SELECT f.id, CASE WHEN acl_tagset IS NULL OR len(acl_tagset) = 0 THEN ['public'] ELSE acl_tagset END AS own, lang FROM feed_article f LEFT JOIN (SELECT DISTINCT id, lower(lang_iso) AS lang FROM feed_article_meta) m USING (id))",
     "event_json": "SELECT id, CASE WHEN img IS NULL THEN '{\"id\":' || id || ',\"title\":' || CAST(to_json(title) AS VARCHAR) || '}' ELSE '{\"id\":' || id || ',\"title\":' || CAST(to_json(title) AS VARCHAR) || ',\"img\":' || CAST(to_json(img) AS VARCHAR) || '}' END AS json FROM (SELECT DISTINCT id, title, img FROM feed_article_meta WHERE title IS NOT NULL)",
     "enrichment_routes": f"SELECT id, CASE WHEN NOT (length(content) > 0 AND length(content) < 50000) THEN NULL WHEN l IN ('en', 'eng', 'enz') THEN 'english' WHEN l IN ('sl', 'slv') THEN 'slovene' WHEN l IN ('es', 'spa') THEN 'es' WHEN l = 'cat' THEN 'ca' END AS route, CAST(len(string_split(content, '. ')) AS INT) AS sentences, CAST(list_max(list_transform(string_split(content, '. '), lambda x: length(x))) AS INT) AS longest FROM (SELECT id, content, lower(regexp_extract(coalesce(lang_iso, ''), '^([A-Za-z]*)', 1)) AS l FROM {_T} t JOIN (SELECT DISTINCT id, lang_iso FROM feed_article_meta) m USING (id))",
     "only_images": f"SELECT id, CAST(len(i) AS INT) AS images, CASE WHEN len(i) = 1 THEN i[1] END AS img FROM (SELECT id, regexp_extract_all(html, '(?i)<img[^>]*src=[\"'']([^\"'']+)', 1) AS i FROM {_PAGES})",
-    "feeds_discovered": f"SELECT DISTINCT url FROM (SELECT CASE WHEN regexp_matches(href, '^https?://') THEN href WHEN starts_with(href, '/') THEN regexp_extract(u.url, '^(https?://[^/]+)', 1) || href ELSE regexp_replace(u.url, '[^/]*$', '') || href END AS url FROM (SELECT id, unnest(list_distinct(regexp_extract_all(html, '<link rel=\"alternate\"[^>]*href=\"([^\"]+)\"', 1))) AS href FROM {_PAGES}) p JOIN {_LAST} u ON u.fa_id = p.id) WHERE url NOT IN (SELECT url FROM feed)",
+    "feeds_discovered": f"""WITH p AS (SELECT id, html, regexp_extract_all(html, '<link[^>]*rel="alternate"[^>]*href="([^"]+)"', 1) AS l FROM {_PAGES}), h AS (SELECT id, unnest(CASE WHEN len(l) > 0 THEN l ELSE list_concat(
+regexp_extract_all(html, '(?i)<a [^>]*href="([^"]+)"[^>]*>[^<]*\\brss\\b', 1), regexp_extract_all(html, '(?i)<a [^>]*href="([^"]*[/._-]rss(?:[/._-][^"]*)?)"', 1)) END) AS h FROM p)
+SELECT DISTINCT url FROM (SELECT CASE WHEN regexp_matches(h, '^[a-z]+:') THEN h WHEN starts_with(h, '//') THEN split_part(u.url, ':', 1) || ':' || h WHEN starts_with(h, '/') THEN regexp_extract(u.url, '(?i)^(https?://[^/?#]+)', 1) || h
+WHEN starts_with(h, '?') THEN regexp_replace(u.url, '[?#].*$', '') || h ELSE regexp_replace(regexp_replace(regexp_replace(u.url, '[?#].*$', ''), '[^/]*$', '') || h, '/[^/]+/\\.\\./', '/') END AS url FROM h JOIN {_LAST} u ON u.fa_id = h.id) WHERE url NOT IN (SELECT url FROM feed)""",
+    "charset_guess": r"""SELECT DISTINCT id, CASE WHEN m <> '' THEN m WHEN h <> '' THEN h ELSE 'iso-8859-1' END AS charset FROM (SELECT feed_articleid AS id,
+lower(regexp_extract(CAST(content AS VARCHAR), '(?i)<meta[^>]*charset=(?:["'']|\\x22|\\x27)?([A-Za-z0-9_-]+)', 1)) AS m, lower(regexp_extract(coalesce(headers, ''), '(?i)charset=["'']?([A-Za-z0-9_-]+)', 1)) AS h FROM article WHERE content IS NOT NULL)""",
+    "xml_paragraphs": f"SELECT id, CAST(CASE WHEN p = '' THEN 1 ELSE len(string_split(p, chr(10))) END AS INT) AS paras, md5(p) AS md5 FROM (SELECT id, array_to_string(list_transform(list_filter(list_transform(string_split(content, chr(10)), lambda y: trim(y)), lambda y: y <> ''), lambda y: '<p>' || {_xml('y')} || '</p>'), chr(10)) AS p FROM {_T})",
+    "page_lines": f"SELECT id, CAST(len(string_split(t, chr(10))) AS INT) AS lines, md5(t) AS md5 FROM (SELECT id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace({_NOCOMMENT.format('html')}, '(?i)<(br|/?p)\\b[^>]*>', chr(10), 'g'), {_TAGS}, '', 'g'), '[ \\t]+', ' ', 'g'), ' ?\\n ?', chr(10), 'g'), '\\n+', chr(10), 'g') AS t FROM {_PAGES})",
     "ngrams_removed": f"""WITH t AS (SELECT id, string_split(title, ' ') AS w FROM {_TITLES}), g AS (SELECT id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT id, w, unnest(range(1, len(w) - 1)) AS i FROM t)),
 o AS (SELECT g FROM (SELECT DISTINCT id, g FROM g) GROUP BY 1 HAVING count(*) > 20), c AS (SELECT DISTINCT id, i + k AS i FROM g JOIN o USING (g), (SELECT unnest([0, 1, 2]) AS k)),
 x AS (SELECT id, w[i] AS x, i FROM (SELECT id, w, unnest(range(1, len(w) + 1)) AS i FROM t))
