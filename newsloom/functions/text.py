@@ -139,3 +139,8 @@ def title_like(a: Column, b: Column) -> Column:
 def utf8(content: Column) -> Column:
     """Bytes as UTF-8 text; bytes that are none become U+FFFD, so no row can fail."""
     return F.make_valid_utf8(content.cast("string"))
+
+
+def xml_list(c: Column, name: str) -> Column:
+    """The values of an array of texts as escaped elements; no other type is taken. An empty array gives an empty text."""
+    return F.array_join(F.transform(c.cast("array<string>"), lambda x: F.concat(F.lit(f"<{name}>"), xml_escape(x), F.lit(f"</{name}>"))), "")

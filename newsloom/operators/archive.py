@@ -39,8 +39,13 @@ def rotated(records: DataFrame, limit: int = LIMIT, age_s: int = AGE_S) -> DataF
 
 
 def write_archive(records: DataFrame, path: str) -> None:
-    """One compressed file set for each access tag, window and part: (acl, slot, part, xml)."""
-    records.select("acl", "slot", "part", F.col("xml").alias("value")).repartition("acl", "slot", "part").sortWithinPartitions("acl", "slot", "part").write.mode("append").partitionBy("acl", "slot", "part").option("compression", "gzip").text(path)
+    """One compressed file for each access tag, window and part of records (acl, slot, part, id, xml), in order of id within
+    HEADER and FOOTER. The files of one part meet in one task, which the size limit of a part bounds; written anew each time."""
+    keys = ["acl", "slot", "part"]
+    rows = records.select(*keys, F.lit(1).alias("o"), "id", F.col("xml").alias("value"))
+    ends = records.select(*keys).distinct().select(*keys, F.explode(F.array(F.struct(F.lit(0).alias("o"), F.lit(HEADER).alias("value")), F.struct(F.lit(2).alias("o"), F.lit(FOOTER).alias("value")))).alias("e"))
+    every = rows.unionByName(ends.select(*keys, "e.o", F.lit(None).cast("long").alias("id"), "e.value"))
+    every.repartition(*keys).sortWithinPartitions(*keys, "o", "id").select(*keys, "value").write.mode("overwrite").partitionBy(*keys).option("compression", "gzip").text(path)
 
 
 def next_file(files: DataFrame, after: str | None) -> DataFrame:
@@ -62,8 +67,9 @@ def tokens(c: Column) -> Column:
     return F.split(F.lower(c), r"[^\p{L}\p{Nd}]+")
 
 
-def search(articles: DataFrame, q: str = "", title: str = "", body: str = "", lang: str | None = None, host: str | None = None, day: str | None = None, offset: int = 0, page: int = 100) -> DataFrame:
-    """Articles that hold all words of q in title or body, of ``title`` in the title, of ``body`` in the body; newest first."""
+def search(articles: DataFrame, q: str = "", title: str = "", body: str = "", lang: str | None = None, host: str | None = None, day: str | None = None, url: str | None = None, classes: list[str] | None = None, offset: int = 0, page: int = 100) -> DataFrame:
+    """Articles that hold all words of q in title or body, of ``title`` in the title, of ``body`` in the body, whose ``url`` has a part
+    and that are of one of the access ``classes`` (columns url and acl are needed only then); newest first."""
     out = articles.withColumn("tw", tokens(F.coalesce("title", F.lit("")))).withColumn("bw", tokens(F.coalesce("cleartext", F.lit(""))))
     for w in q.lower().split():
         out = out.where(F.array_contains("tw", w) | F.array_contains("bw", w))
@@ -74,6 +80,10 @@ def search(articles: DataFrame, q: str = "", title: str = "", body: str = "", la
     for name, v in (("lang", lang), ("hostname", host)):
         if v is not None:
             out = out.where(F.col(name) == v)
+    if url is not None:
+        out = out.where(F.contains(F.lower("url"), F.lit(url.lower())))
+    if classes is not None:
+        out = out.where(F.arrays_overlap("acl", F.array(*map(F.lit, classes))))
     if day is not None:
         out = out.where(F.to_date("found") == F.lit(day).cast("date"))
     return out.drop("tw", "bw").orderBy(F.desc("found"), F.desc("id")).offset(offset).limit(page)

@@ -25,7 +25,8 @@ SCRIPTS = {
 
 def counts(docs: DataFrame) -> DataFrame:
     """(id, gram, c) of (id, text)."""
-    g = docs.select("id", F.explode(trigrams(F.lower(collapse_digits(F.col("text"))))).alias("gram"))
+    plain = docs.select("id", F.explode(F.array(F.lower(collapse_digits(F.col("text"))))).alias("plain"))  # made once, not for each trigram
+    g = plain.select("id", F.explode(trigrams(F.col("plain"))).alias("gram"))
     return g.groupBy("id", "gram").agg(F.count("*").alias("c"))
 
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from newsloom.plans import archive_queries, language_queries, packed_queries, relational_queries, state_queries, stream_queries, text_queries
+from newsloom.plans import archive_queries, language_queries, packed_queries, record_queries, relational_queries, state_queries, stream_queries, text_queries
 
-MODULES = [packed_queries, relational_queries, state_queries, text_queries, language_queries, archive_queries, stream_queries]
+MODULES = [packed_queries, record_queries, relational_queries, state_queries, text_queries, language_queries, archive_queries, stream_queries]
 
 
 def queries() -> dict:

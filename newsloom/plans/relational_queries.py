@@ -61,7 +61,7 @@ def newest_article_per_site(spark, d) -> DataFrame:
 
 def pending_counts(spark, d) -> DataFrame:
     """Articles that wait for decoding, for extraction and for a language."""
-    m = table(spark, d, "feed_article_meta").distinct()
+    m = table(spark, d, "feed_article_meta").select("id", "is_utf8", "is_cleartext", "lang_iso").distinct()
     return m.agg(
         F.count_if(F.col("is_utf8") == "0").alias("to_decode"), F.count_if((F.col("is_cleartext") == "0") & (F.col("is_utf8") == "1")).alias("to_extract"),
         F.count_if(F.col("lang_iso").isNull() & (F.col("is_cleartext") == "1")).alias("to_label"),
@@ -159,7 +159,7 @@ def random_slice(spark, d) -> DataFrame:
 
 def language_histogram(spark, d) -> DataFrame:
     """The commonest labels of two classifiers."""
-    m = table(spark, d, "feed_article_meta").distinct()
+    m = table(spark, d, "feed_article_meta").select("id", "lang_iso", "lang_altcode").distinct()
     each = m.select(F.explode(F.array(F.struct(F.lit("iso").alias("kind"), F.col("lang_iso").alias("lang")), F.struct(F.lit("alt").alias("kind"), F.col("lang_altcode").alias("lang")))).alias("x")).select("x.*")
     n = each.groupBy("kind", "lang").agg(F.count("*").alias("n"))
     w = Window.partitionBy("kind").orderBy(F.desc("n"), F.asc_nulls_first("lang"))
@@ -281,7 +281,7 @@ ORACLE = {
     "url_ends_per_article": "SELECT fa_id, arg_min(url, (seq, url)) AS first_url, arg_max(url, (seq, url)) AS last_url, max(seq) AS last_seq FROM feed_article_urls GROUP BY 1",
     "crawl_requests": f"SELECT a.id, a.siteid, a.feedid, f.url AS feed_url, hostname, arg_min(u.url, (seq, u.url)) AS url, max(seq) AS last_seq FROM feed_article a JOIN feed f ON f.id = a.feedid JOIN site s ON s.id = a.siteid JOIN feed_article_urls u ON u.fa_id = a.id WHERE enqueued AND (next_attempt IS NULL OR next_attempt < {SQL_NOW}) AND NOT s.disabled AND NOT s.locked GROUP BY ALL",
     "newest_article_per_site": "SELECT siteid, hostname, max(a.id) AS newest_id, count(*) AS articles FROM feed_article a JOIN site s ON s.id = a.siteid WHERE NOT s.disabled GROUP BY ALL",
-    "pending_counts": "SELECT count(*) FILTER (is_utf8 = '0') AS to_decode, count(*) FILTER (is_cleartext = '0' AND is_utf8 = '1') AS to_extract, count(*) FILTER (lang_iso IS NULL AND is_cleartext = '1') AS to_label FROM (SELECT DISTINCT * FROM feed_article_meta)",
+    "pending_counts": "SELECT count(*) FILTER (is_utf8 = '0') AS to_decode, count(*) FILTER (is_cleartext = '0' AND is_utf8 = '1') AS to_extract, count(*) FILTER (lang_iso IS NULL AND is_cleartext = '1') AS to_label FROM (SELECT DISTINCT id, is_utf8, is_cleartext, lang_iso FROM feed_article_meta)",
     "pending_decode": "SELECT DISTINCT feed_articleid, http_code, CAST(octet_length(content) AS INT) AS bytes, epoch_us(retrieved) AS retrieved FROM article WHERE feed_articleid IN (SELECT id FROM feed_article_meta WHERE is_utf8 = '0')",
     "missing_pages": "SELECT id, siteid, epoch_us(found) AS found FROM feed_article WHERE id NOT IN (SELECT feed_articleid FROM article)",
     "labelled_texts": "SELECT lang_iso, lang_is_cld, count(*) AS texts, CAST(sum(n) AS BIGINT) AS chars FROM (SELECT DISTINCT feed_articleid AS id, length(content) AS n FROM processed_article WHERE mode = 'cleartext') p JOIN (SELECT DISTINCT id, lang_iso, lang_is_cld FROM feed_article_meta) m USING (id) GROUP BY ALL",
@@ -295,7 +295,7 @@ ORACLE = {
     "crawl_schedule": "SELECT siteid, id, 4 * (row_number() OVER (PARTITION BY siteid ORDER BY id) - 1) AS start_s FROM feed_article WHERE enqueued",
     "offset_page": "SELECT id, siteid FROM feed_article ORDER BY id DESC LIMIT 1000 OFFSET 1000",
     "random_slice": "SELECT id, round((id * 7919 % 10007) / 10007.0::DOUBLE, 9) AS position FROM feed_article WHERE (id * 7919 % 10007) / 10007.0::DOUBLE BETWEEN 0.25 AND 0.5",
-    "language_histogram": "WITH m AS (SELECT DISTINCT * FROM feed_article_meta), e AS (SELECT 'iso' AS kind, lang_iso AS lang FROM m UNION ALL SELECT 'alt', lang_altcode FROM m), n AS (SELECT kind, lang, count(*) AS n FROM e GROUP BY 1, 2) SELECT kind, lang, n, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY n DESC, lang NULLS FIRST) AS rank FROM n) WHERE rank <= 60",
+    "language_histogram": "WITH m AS (SELECT DISTINCT id, lang_iso, lang_altcode FROM feed_article_meta), e AS (SELECT 'iso' AS kind, lang_iso AS lang FROM m UNION ALL SELECT 'alt', lang_altcode FROM m), n AS (SELECT kind, lang, count(*) AS n FROM e GROUP BY 1, 2) SELECT kind, lang, n, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY n DESC, lang NULLS FIRST) AS rank FROM n) WHERE rank <= 60",
     "titles_of_day": "SELECT title, count(*) AS n, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS ids FROM (SELECT DISTINCT id, title FROM feed_article_meta WHERE title IS NOT NULL) GROUP BY 1 HAVING count(*) > 1",
     "hosts_by_tld": "SELECT tld, string_agg(hostname, ' ' ORDER BY hostname) AS hosts, count(*) AS n FROM site GROUP BY 1",
     "stratified_hosts": f"WITH u AS (SELECT {_HOST} AS host, fa_id FROM {_LAST}), f AS (SELECT host, min(fa_id) AS id FROM u GROUP BY 1) SELECT lang, host, id FROM (SELECT lang, host, id, row_number() OVER (PARTITION BY lang ORDER BY id) AS k FROM f JOIN (SELECT DISTINCT id, coalesce(lang_altcode, '') AS lang FROM feed_article_meta) m USING (id)) WHERE k <= 50",

@@ -125,14 +125,18 @@ _META = r"(?i)<meta[^>]*charset=[\"']?([A-Za-z0-9_-]+)"
 _NAMED = r"(?i)charset=[\"']?([A-Za-z0-9_-]+)"
 
 
-def _charsets(spark, d) -> DataFrame:
-    """(id, charset, content) of each page as stored: its META tag names the charset, else its header, else Latin-1. Rows may repeat."""
-    a = table(spark, d, "article").where("content is not null")
+def charset_of(a: DataFrame) -> DataFrame:
+    """(id, charset, content) of pages (feed_articleid, headers, content): the META tag names the charset, else the header, else Latin-1."""
     meta = F.lower(F.regexp_extract(F.decode("content", "ISO-8859-1"), _META, 1))
     hdr = F.lower(F.regexp_extract(F.coalesce("headers", F.lit("")), _NAMED, 1))
     return a.select(F.col("feed_articleid").alias("id"), F.when(meta != "", meta).when(hdr != "", hdr).otherwise("iso-8859-1").alias("charset"), "content")
 
 
+def _charsets(spark, d) -> DataFrame:
+    """``charset_of`` each page as stored; rows may repeat."""
+    return charset_of(table(spark, d, "article").where("content is not null"))
+
+
 def charset_guess(spark, d) -> DataFrame:
     """The charset each page would be decoded in."""
     return _charsets(spark, d).select("id", "charset").distinct()
@@ -296,7 +300,7 @@ SELECT a.id, c.v AS content_type, regexp_extract(c.v, 'charset=["'']?([a-z0-9_-]
     "feeds_discovered": f"""WITH p AS (SELECT id, html, regexp_extract_all(html, '<link[^>]*rel="alternate"[^>]*href="([^"]+)"', 1) AS l FROM {_PAGES}), h AS (SELECT id, unnest(CASE WHEN len(l) > 0 THEN l ELSE list_concat(
 regexp_extract_all(html, '(?i)<a [^>]*href="([^"]+)"[^>]*>[^<]*\\brss\\b', 1), regexp_extract_all(html, '(?i)<a [^>]*href="([^"]*[/._-]rss(?:[/._-][^"]*)?)"', 1)) END) AS h FROM p)
 SELECT DISTINCT url FROM (SELECT CASE WHEN regexp_matches(h, '^[a-z]+:') THEN h WHEN starts_with(h, '//') THEN split_part(u.url, ':', 1) || ':' || h WHEN starts_with(h, '/') THEN regexp_extract(u.url, '(?i)^(https?://[^/?#]+)', 1) || h
-WHEN starts_with(h, '?') THEN regexp_replace(u.url, '[?#].*$', '') || h ELSE regexp_replace(regexp_replace(regexp_replace(u.url, '[?#].*$', ''), '[^/]*$', '') || h, '/[^/]+/\\.\\./', '/') END AS url FROM h JOIN {_LAST} u ON u.fa_id = h.id) WHERE url NOT IN (SELECT url FROM feed)""",
+WHEN starts_with(h, '?') THEN regexp_replace(u.url, '[?#].*$', '') || h ELSE regexp_replace(regexp_replace(regexp_replace(u.url, '[?#].*$', ''), '[^/]*$', '') || h, '/[^/]+/\\.\\./', '/') END AS url FROM h JOIN (SELECT fa_id, lower(split_part(url, ':', 1)) || substring(url, strpos(url, ':')) AS url FROM {_LAST}) u ON u.fa_id = h.id) WHERE url NOT IN (SELECT url FROM feed)""",
     "charset_guess": r"""SELECT DISTINCT id, CASE WHEN m <> '' THEN m WHEN h <> '' THEN h ELSE 'iso-8859-1' END AS charset FROM (SELECT feed_articleid AS id,
 lower(regexp_extract(CAST(content AS VARCHAR), '(?i)<meta[^>]*charset=(?:["'']|\\x22|\\x27)?([A-Za-z0-9_-]+)', 1)) AS m, lower(regexp_extract(coalesce(headers, ''), '(?i)charset=["'']?([A-Za-z0-9_-]+)', 1)) AS h FROM article WHERE content IS NOT NULL)""",
     "xml_paragraphs": f"SELECT id, CAST(CASE WHEN p = '' THEN 1 ELSE len(string_split(p, chr(10))) END AS INT) AS paras, md5(p) AS md5 FROM (SELECT id, array_to_string(list_transform(list_filter(list_transform(string_split(content, chr(10)), lambda y: trim(y)), lambda y: y <> ''), lambda y: '<p>' || {_xml('y')} || '</p>'), chr(10)) AS p FROM {_T})",
