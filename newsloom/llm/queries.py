@@ -236,18 +236,25 @@ def documents(spark, d):
     return table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
 
 
-def _scored(spark, d):
-    docs = documents(spark, d)
-    return S.scored(docs, S.corpus_counts(docs))
+def _counts(spark, d, owner):
+    fresh(owner)
+    return S.corpus_counts(documents(spark, d), owner)
 
 
 def p10_found(spark, d):
-    return _scored(spark, d).where("spam > 0.5").select(F.col("id").alias("doc_id")).distinct()
+    got = S.scored(documents(spark, d), _counts(spark, d, "p10f"))
+    return got.where("spam > 0.5").select(F.col("id").alias("doc_id")).distinct()
+
+
+def p10_method(spark, d):
+    """Every document by the method alone: mean PMI, share of repeated collocations and of word salad, and whether they are more than half."""
+    got = S.measured(documents(spark, d), _counts(spark, d, "p10m"))
+    return got.select(F.col("id").alias("doc_id"), "stuffed", "salad", "pmi", (F.col("stuffed") > 0.5).alias("spam")).distinct()
 
 
 def p10_scores(spark, d):
     """Each document's share of spam, of links and tags, and the mean PMI of its neighbouring words."""
-    return _scored(spark, d).select(F.col("id").alias("doc_id"), "spam", "links", "pmi").distinct()
+    return S.scored(documents(spark, d), _counts(spark, d, "p10s")).select(F.col("id").alias("doc_id"), "spam", "links", "pmi").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_documents, p1_stretches, p2_found, p2_classes, p2_groups, p3_found, p3_restored, p4_found, p4_batches, p5_found, p5_method, p5_clean, p6_found, p6_bodies, p8_windows, p8_fill, p9_draws, p9_shares, p10_found, p10_scores)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_documents, p1_stretches, p2_found, p2_classes, p2_groups, p3_found, p3_restored, p4_found, p4_batches, p5_found, p5_method, p5_clean, p6_found, p6_bodies, p8_windows, p8_fill, p9_draws, p9_shares, p10_found, p10_method, p10_scores)}

@@ -1,19 +1,25 @@
 """Keyword-stuffed and link-list documents, by corpus statistics of neighbouring words.
 
-*Corpus.* One pass counts, in hashed tables of fixed size, every word and every pair of neighbouring
-words: occurrences, and documents that have it. They give the pointwise mutual information (PMI) of
-neighbours, log p(ab) / p(a)p(b), and the mean number of times a term comes in a document that has it.
+*Terms.* A word or a pair of neighbours is counted exactly: occurrences, and documents that have it. One pass emits the
+terms that come twice or more in a document, summed in each task; only of those that come BURST times or more wherever
+they recur, a second pass counts the documents that have them once. A stuffed term comes BURST times or more in every
+document that has it, on average over the whole corpus; their number is that of what spammers sell, and is counted
+before they are broadcast.
 
-*Terms.* A word or pair is a stuffed keyword of a document if it recurs there within one sentence or
-over many short entries, recurs so wherever the corpus has it (BURST times a document or more), is
-RATE times as frequent there as in the corpus, and, for a pair, is a collocation (PMI above COLLOCATION).
+*Neighbours.* Beside them, count-min tables of fixed size hold all words and pairs. They give the pointwise mutual
+information (PMI) of neighbours, log p(ab) / p(a)p(b): the mean over a document, and over each unit. With more kinds of
+pairs than cells the tables overestimate pairs, so PMI: units of word salad may then be missed, stuffed terms never are.
 
-*Units.* A document is cut into sentences and lines. A unit is spam if keywords, links and tags cover
-COVER of its characters, or if it is word salad: many known words whose mean PMI is below SALAD.
-A document is spam if spam units, links and tags make up more than half of its characters.
+*Keywords* of a document: stuffed terms that recur there within one sentence or over many short entries, are RATE times
+as frequent there as in the corpus, and, for a pair, are a collocation (PMI above COLLOCATION).
+
+*Units.* A document is cut into sentences and lines. A unit is spam if keywords, links and tags cover COVER of its
+characters, or if it is word salad: many known words whose mean PMI is below SALAD. A document is spam if spam units,
+links and tags make up more than half of its characters. ``measured`` is the method alone: repeated collocations and salad,
+without single words, links and tags, which are a rule beside it.
 
 Cases: null or empty text -> no spam; tables, schedules, recipes and lists have no keyword that
-recurs; repeated rows give equal results; very long texts are read whole.
+recurs; repeated rows give equal results; very long texts are read whole; an empty corpus has no stuffed term.
 """
 
 from __future__ import annotations
@@ -22,15 +28,16 @@ import re
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newsloom.llm import sketch
 from newsloom.llm.words import WORD, mix, slice_sets, word_hashes, word_lists
-from newsloom.runtime import ship
+from newsloom.runtime import ship, written
 
-SINGLE, PAIR, PIECES = 1 << 19, 1 << 20, 24
-BURST, COLLOCATION, COVER, SALAD, RATE, SOUND = 4.0, 1.0, 0.22, -1.0, 2.5, 2.5
+SINGLE, PAIR, ROWS, PIECES = 1 << 19, 1 << 20, 2, 16
+MOST_TERMS = 1_000_000  # stuffed terms (24 bytes each) that are broadcast
+BURST, COLLOCATION, COVER, SALAD, RATE = 4.0, 1.0, 0.22, -1.0, 2.5
 KNOWN, SALAD_PAIRS = 5, 6
 LINK = re.compile(
     r"<a\s[^>]*>.*?</a\s*>|\[url[^\]]*\].*?\[/url\]|\[[^\]\n]*\]\(\s*https?://[^)\s]*\)|(?:https?://|www\.)\S+|\b(?:[a-z0-9-]+\.)+[a-z]{2,}(?:/\S*)?(?=[\s,;|)]|$)",
@@ -48,35 +55,84 @@ def pair_hashes(w: np.ndarray) -> np.ndarray:
         return mix(w[:-1] * np.uint64(0x9E3779B97F4A7C15) ^ (w[1:] >> np.uint64(3)))
 
 
+def among(h: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are among sorted ones."""
+    if not len(known):
+        return np.zeros(len(h), bool)
+    at = np.searchsorted(known, h)
+    at[at == len(known)] = 0
+    return known[at] == h
+
+
 class Counts:
-    """Occurrences and documents of words and pairs."""
+    """Count-min tables of words (occurrences, documents) and pairs (occurrences), and the stuffed terms with their exact counts."""
 
-    def __init__(self, flat: np.ndarray, docs: int, words: int):
+    def __init__(self, flat: np.ndarray, docs: int, words: int, terms: np.ndarray | None = None, n: np.ndarray | None = None):
         self.flat, self.docs, self.words = flat, max(1, docs), max(1, words)
-        a, b = SINGLE, PAIR
-        self.n1, self.d1, self.n2, self.d2 = flat[:a], flat[a : 2 * a], flat[2 * a : 2 * a + b], flat[2 * a + b :]
+        a = ROWS * SINGLE
+        self.n1, self.d1, self.n2 = flat[:a].reshape(ROWS, -1), flat[a : 2 * a].reshape(ROWS, -1), flat[2 * a :].reshape(ROWS, -1)
+        self.terms = np.empty(0, np.uint64) if terms is None else terms  # sorted
+        self.n = np.empty(0, np.int64) if n is None else n
+        self.known = dict(zip(self.terms.tolist(), self.n.tolist()))
+        self.table: DataFrame | None = None
+
+    @staticmethod
+    def _cells(h: np.ndarray, size: int) -> list[np.ndarray]:
+        return [((h >> np.uint64(24 * r)) & np.uint64(size - 1)).astype(np.int64) for r in range(ROWS)]
+
+    def single(self, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = self._cells(mix(w), SINGLE)
+        return tuple(np.minimum(t[0][at[0]], t[1][at[1]]).astype(np.float64) for t in (self.n1, self.d1))
+
+    def pair(self, p: np.ndarray) -> np.ndarray:
+        at = self._cells(p, PAIR)
+        return np.minimum(self.n2[0][at[0]], self.n2[1][at[1]]).astype(np.float64)
+
+    def pmi(self, w: np.ndarray, n: np.ndarray | None = None) -> np.ndarray:
+        """PMI of each word and its right neighbour; ``n``: exact occurrences of the pairs, else estimated."""
+        n = self.pair(pair_hashes(w)) if n is None else n
+        one, _ = self.single(w)
+        return np.log((n + 0.1) * self.words / ((one[:-1] + 1) * (one[1:] + 1)))
 
-    def single(self, w):
-        i = (mix(w) & np.uint64(SINGLE - 1)).astype(np.int64)
-        return self.n1[i].astype(np.float64), self.d1[i].astype(np.float64)
+    def held(self, h: np.ndarray) -> np.ndarray:
+        """Which hashes are stuffed terms."""
+        return among(h, self.terms)
 
-    def pair(self, p):
-        i = (p & np.uint64(PAIR - 1)).astype(np.int64)
-        return self.n2[i].astype(np.float64), self.d2[i].astype(np.float64)
 
-    def pmi(self, w: np.ndarray) -> np.ndarray:
-        n, _ = self.pair(pair_hashes(w))
-        one, _ = self.single(w)
-        return np.log((n + 0.1) * self.words / ((one[:-1] + 1) * (one[1:] + 1)))
+def term_runs(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, times) of every word and pair of each of many texts, one entry for each text that has it."""
+    size = np.fromiter(map(len, rows), np.int64, len(rows))
+    w = np.concatenate(rows)
+    text = np.repeat(np.arange(len(rows)), size)
+    inside = text[1:] == text[:-1]  # a pair never spans two texts
+    out = []
+    for h, own in ((mix(w), text), (pair_hashes(w)[inside], text[:-1][inside]) if len(w) > 1 else (w[:0], text[:0])):
+        o = np.argsort(h, kind="stable")  # texts stay in order within equal hashes
+        h, own = h[o], own[o]
+        first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (own[1:] != own[:-1])])) if len(h) else np.empty(0, np.int64)
+        out.append((h[first], np.diff(np.append(first, len(h)))))
+    return np.concatenate([x for x, _ in out]), np.concatenate([n for _, n in out])
 
 
-def corpus_counts(docs: DataFrame) -> Counts:
-    """Counts over all texts; tables of fixed size reach the driver."""
-    ship(docs.sparkSession)
-    cells = 2 * SINGLE + 2 * PAIR
+def _summed_by(h: np.ndarray, *cols: np.ndarray) -> tuple[np.ndarray, ...]:
+    o = np.argsort(h, kind="stable")
+    h = h[o]
+    first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.empty(0, np.int64)
+    return (h[first], *(np.add.reduceat(c[o], first) if len(h) else c for c in cols))
 
-    def run(batches):
-        flat = np.zeros(cells, np.uint32)
+
+_ONE = f"h long, n long, d long, docs long, words long, {sketch.SCHEMA}"
+
+
+def corpus_counts(docs: DataFrame, owner: str = "spam") -> Counts:
+    """Counts over all texts (id, text) in two scans; tables of fixed size and the counted stuffed terms reach the driver."""
+    spark = docs.sparkSession
+    ship(spark)
+    cells = ROWS * (2 * SINGLE + PAIR)
+    texts = docs.where(F.col("text").isNotNull()).select("text")
+
+    def first(batches):
+        flat = np.zeros(cells, np.uint64)
         n = words = 0
         for b in batches:
             _, rows = word_lists(b.column(0).to_pylist(), 1)
@@ -84,37 +140,66 @@ def corpus_counts(docs: DataFrame) -> Counts:
                 continue
             n += len(rows)
             size = np.fromiter(map(len, rows), np.int64, len(rows))
-            at = np.cumsum(size) - size
             w = np.concatenate(rows)
             words += len(w)
-            p = pair_hashes(w)
+            at = np.cumsum(size) - size
+            p = pair_hashes(w) if len(w) > 1 else np.empty(0, np.uint64)
             inside = np.ones(len(p), bool)
-            inside[at[1:] - 1] = False  # a pair never spans two texts
-            _, dw = slice_sets(w, at, size)
-            two = size > 1
-            dp = slice_sets(p, at[two], size[two] - 1)[1] if two.any() else np.empty(0, np.uint64)
-            for lo, mask, h in ((0, SINGLE, mix(w)), (SINGLE, SINGLE, mix(dw)), (2 * SINGLE, PAIR, p[inside]), (2 * SINGLE + PAIR, PAIR, dp)):
-                flat[lo : lo + mask] += np.bincount((h & np.uint64(mask - 1)).astype(np.int64), minlength=mask).astype(np.uint32)
+            inside[at[1:] - 1] = False
+            dw = slice_sets(w, at, size)[1]
+            lo = 0
+            for mask, h in ((SINGLE, mix(w)), (SINGLE, mix(dw)), (PAIR, p[inside])):
+                for cell in Counts._cells(h, mask):
+                    flat[lo : lo + mask] += np.bincount(cell, minlength=mask).astype(np.uint64)
+                    lo += mask
+            h, times = term_runs(rows)
+            often = times > 1
+            h, total, has = _summed_by(h[often], times[often], np.ones(int(often.sum()), np.int64))
+            m = len(h)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(total.astype(np.int64)), pa.array(has), *(pa.nulls(m, t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))], ["h", "n", "d", "docs", "words", "task", "chunk", "blob"])
         if n:
-            z = zstandard.ZstdCompressor(level=1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(PIECES), pa.int32()), pa.array([z.compress(c.tobytes()) for c in flat.reshape(PIECES, -1)], pa.binary()), pa.array([n] + [0] * (PIECES - 1), pa.int64()), pa.array([words] + [0] * (PIECES - 1), pa.int64())],
-                ["chunk", "blob", "docs", "words"],
-            )
-
-    def add(table):
-        total = 0
-        for x in table.column("blob").to_pylist():
-            total = total + np.frombuffer(zstandard.ZstdDecompressor().decompress(x), np.uint32).astype(np.uint64)
-        low = np.minimum(total, np.iinfo(np.uint32).max).astype(np.uint32)
-        return pa.table({"chunk": pa.array(table.column("chunk").to_pylist()[:1], pa.int32()), "blob": pa.array([zstandard.ZstdCompressor().compress(low.tobytes())], pa.binary()), "docs": pa.array([sum(table.column("docs").to_pylist())], pa.int64()), "words": pa.array([sum(table.column("words").to_pylist())], pa.int64())})
-
-    schema = "chunk int, blob binary, docs long, words long"
-    rows = docs.where(F.col("text").isNotNull()).select("text").mapInArrow(run, schema).groupBy("chunk").applyInArrow(add, schema).collect()
-    out = np.zeros((PIECES, cells // PIECES), np.uint32)
-    for r in rows:
-        out[r.chunk] = np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(r.blob)), np.uint32)
-    return Counts(out.reshape(-1), sum(r.docs for r in rows), sum(r.words for r in rows))
+            own = sketch.blobs(flat, PIECES)
+            first_row = [x + [None] * (PIECES - 1) for x in ([n], [words])]
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(PIECES, pa.int64()) for _ in range(3)), *(pa.array(x, pa.int64()) for x in first_row), *own.columns], ["h", "n", "d", "docs", "words", "task", "chunk", "blob"])
+
+    seen = written(texts.mapInArrow(first, _ONE), owner)
+    total = seen.agg(F.sum("docs"), F.sum("words")).first()
+    flat = sketch.summed(seen.where("chunk is not null").select("task", "chunk", "blob"), PIECES, cells)
+    recur = seen.where("h is not null").groupBy("h").agg(F.sum("n").alias("n"), F.sum("d").alias("d")).where(F.col("n") >= BURST * F.col("d"))
+    recur = written(recur, owner)
+    once = _had_once(texts, recur, spark)
+    stuffed = recur.join(once, "h", "left").where(F.col("n") >= BURST * F.col("d") + (BURST - 1) * F.coalesce("s", F.lit(0))).select("h", (F.col("n") + F.coalesce("s", F.lit(0))).alias("n"))
+    stuffed = written(stuffed, owner)
+    out = Counts(np.minimum(flat, np.iinfo(np.uint32).max).astype(np.uint32), total[0] or 0, total[1] or 0)
+    if stuffed.count() > MOST_TERMS:
+        out.table = stuffed  # each document's own terms go to it by a join
+        return out
+    got = stuffed.toArrow()
+    h, n = got.column("h").to_numpy().view(np.uint64), got.column("n").to_numpy()
+    o = np.argsort(h)
+    return Counts(out.flat, out.docs, out.words, h[o], n[o])
+
+
+def _had_once(texts: DataFrame, terms: DataFrame, spark) -> DataFrame:
+    """(h, s): documents that have a term of ``terms`` just once. The terms are broadcast if they were counted and are few,
+    else every term that comes once goes to them by a shuffle."""
+    few = terms.count() <= MOST_TERMS
+    wanted = spark.sparkContext.broadcast(np.sort(terms.select("h").toArrow().column("h").to_numpy().view(np.uint64))) if few else None
+
+    def run(batches):
+        for b in batches:
+            _, rows = word_lists(b.column(0).to_pylist(), 1)
+            if not rows:
+                continue
+            h, times = term_runs(rows)
+            h = h[times == 1]
+            if wanted is not None:
+                h = h[among(h, wanted.value)]
+            h, s = _summed_by(h, np.ones(len(h), np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(s)], ["h", "s"])
+
+    got = texts.mapInArrow(run, "h long, s long")
+    return (got if few else got.join(terms.select("h"), "h", "left_semi")).groupBy("h").agg(F.sum("s").alias("s"))
 
 
 def keywords(text: str, counts: Counts) -> set[tuple[str, ...]]:
@@ -145,35 +230,40 @@ def keywords(text: str, counts: Counts) -> set[tuple[str, ...]]:
             terms = {(w,) for w in words if len(w) >= 4 and not w.isdigit()} | {(a, b) for a, b in zip(words, words[1:]) if len(a) > 1 and len(b) > 1 and not (a.isdigit() or b.isdigit())}
             for t in terms:
                 entries[t] = entries.get(t, 0) + 1
-    cand = [t for t, n in repeats.items() if n >= 2] + [t for t, n in entries.items() if n >= 4]
+    cand = {t for t, n in repeats.items() if n >= 2} | {t for t, n in entries.items() if n >= 4}
     out = set()
-    for t in set(cand):
+    for t in cand:
         w = word_hashes(" ".join(t))
         if len(w) != len(t):
             continue
-        n, d = counts.single(w) if len(t) == 1 else counts.pair(pair_hashes(w))
+        h = mix(w) if len(t) == 1 else pair_hashes(w)
+        n = counts.known.get(int(h[0]))
+        if n is None:
+            continue
         here = max(every.get(t, 0), entries.get(t, 0)) / max(1, size)
-        if n[0] >= BURST * max(1.0, d[0]) and here >= RATE * n[0] / counts.words and (len(t) == 1 or counts.pmi(w)[0] > COLLOCATION):
+        if here >= RATE * n / counts.words and (len(t) == 1 or counts.pmi(w, np.array([n]))[0] > COLLOCATION):
             out.add(t)
     return out
 
 
-def spam_share(text: str, counts: Counts, often: bool | None = None) -> tuple[float, float, float]:
-    """(share of spam characters, share of links and tags, mean PMI of neighbouring words); ``often``: False where
-    it is known that no keyword is possible."""
+def spam_share(text: str, counts: Counts, often: bool = True, method: bool = False) -> tuple[float, float, float]:
+    """(share of spam characters, share of links and tags, mean PMI of neighbouring words); ``often``: False where it is
+    known that no keyword and no salad is possible. With ``method`` only repeated collocations and salad count as spam, and
+    the second share is that of salad."""
     size = len("".join(text.split()))
     w = word_hashes(text)
     if not size:
         return 0.0, 0.0, 0.0
-    links = [(m.start(), m.end()) for m in LINK.finditer(text)] if _MAY_LINK.search(text) else []
-    tags = [(m.start(), m.end()) for m in TAG.finditer(text)] if "#" in text else []
+    links = [(m.start(), m.end()) for m in LINK.finditer(text)] if not method and _MAY_LINK.search(text) else []
+    tags = [(m.start(), m.end()) for m in TAG.finditer(text)] if not method and "#" in text else []
     mean = float(counts.pmi(w).mean()) if len(w) > 1 else 0.0
-    often = True if often is None else often
     mark = bytearray(len(text))
     for a, z in links + tags:
         mark[a:z] = b"\x01" * (z - a)
-    linked = sum(mark)
+    second = sum(mark)
     keys = keywords(text, counts) if often else set()
+    if method:
+        keys = {t for t in keys if len(t) == 2}
     spam = bytearray(mark)
     low = text.lower()
     if len(low) != len(text):
@@ -184,7 +274,7 @@ def spam_share(text: str, counts: Counts, often: bool | None = None) -> tuple[fl
         if not chars:
             continue
         covered = sum(mark[a:z])
-        if covered < z - a and (keys or len(w) >= 8):
+        if often and covered < z - a and (keys or len(w) >= 8):
             found = [(x.group(), x.start(), x.end()) for x in WORD.finditer(low, a, z)]
             hit = bytearray(mark[a:z])
             for k, (x, s, e) in enumerate(found):
@@ -199,10 +289,11 @@ def spam_share(text: str, counts: Counts, often: bool | None = None) -> tuple[fl
                 both = known[:-1] & known[1:]
                 if both.sum() >= SALAD_PAIRS and counts.pmi(h)[both].mean() < SALAD:
                     covered = chars
+                    second += chars if method else 0
         if covered >= COVER * chars:
             spam[a:z] = b"\x01" * (z - a)
     total_spam = sum(1 for k, c in zip(spam, text) if k and not c.isspace())
-    return total_spam / size, linked / max(1, len(text)), mean
+    return total_spam / size, second / max(1, size if method else len(text)), mean
 
 
 def quick_look(words: list[np.ndarray], counts: Counts) -> tuple[np.ndarray, np.ndarray]:
@@ -229,15 +320,13 @@ def quick_look(words: list[np.ndarray], counts: Counts) -> tuple[np.ndarray, np.
         h, own = h[o], own[o]
         often[own[1:][(h[1:] == h[:-1]) & (own[1:] == own[:-1])]] = True
 
-    n, d = counts.single(w)
-    ok = n >= BURST * np.maximum(d, 1)
+    ok = counts.held(mix(w))
     recurs(w[ok], text[ok])
     if len(w) > 1:
         h = pair_hashes(w)
-        n, d2 = counts.pair(h)
-        ok = inside[:-1] & (n >= BURST * np.maximum(d2, 1)) & (p[:-1] > COLLOCATION - 1e-9)
+        ok = inside[:-1] & counts.held(h)
         recurs(h[ok], text[:-1][ok])
-        known = d >= KNOWN
+        known = counts.single(w)[1] >= KNOWN
         both = np.flatnonzero(inside[:-1] & known[:-1] & known[1:])
         own, upto = text[both], np.concatenate([[0.0], np.cumsum(p[both] - SALAD)])
         for k in range(SALAD_PAIRS, min(2 * SALAD_PAIRS, len(both) + 1)):
@@ -246,26 +335,63 @@ def quick_look(words: list[np.ndarray], counts: Counts) -> tuple[np.ndarray, np.
     return mean, often
 
 
-def scored(docs: DataFrame, counts: Counts) -> DataFrame:
-    """(id, spam, links, pmi) of each text."""
+_OWN: dict[str, Counts] = {}
+
+
+def known_counts(parts) -> Counts:
+    """The counts of a broadcast; made once in a worker."""
+    key = str(getattr(parts, "_path", None) or id(parts))
+    if key not in _OWN:
+        _OWN.clear()
+        _OWN[key] = Counts(*parts.value)
+    return _OWN[key]
+
+
+def _each(docs: DataFrame, counts: Counts, method: bool, names: tuple[str, str, str]) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
-    known = spark.sparkContext.broadcast((counts.flat, counts.docs, counts.words))
+    parts = spark.sparkContext.broadcast((counts.flat, counts.docs, counts.words, counts.terms, counts.n))
 
     def run(batches):
-        own = Counts(*known.value)
+        from newsloom.llm import spam as S
+
+        own = S.known_counts(parts)
         for b in batches:
             texts = b.column(1).to_pylist()
             out = [(0.0, 0.0, 0.0)] * len(texts)
             rows, words = word_lists(texts, 1)
-            mean, often = quick_look(words, own)
+            mean, often = S.quick_look(words, own)
+            terms = b.column(2).to_pylist() if b.num_columns > 2 else None
             for i, m, o in zip(rows.tolist(), mean.tolist(), often.tolist()):
                 x = texts[i]
+                if terms is not None:
+                    own.known = {t["h"] % (1 << 64): t["n"] for t in terms[i] or ()}
+                    o = o or bool(own.known)
                 o = o or "\u03a3" in x  # its lower case depends on what follows, so on where a text is cut
-                if o or "#" in x or _MAY_LINK.search(x):
-                    out[i] = spam_share(x, own, o)
-                else:
-                    out[i] = (0.0, 0.0, m)
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([g[k] for g in out], pa.float64()) for k in range(3))], ["id", "spam", "links", "pmi"])
+                out[i] = S.spam_share(x, own, o, method) if o or not method and ("#" in x or _MAY_LINK.search(x)) else (0.0, 0.0, m)
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([g[k] for g in out], pa.float64()) for k in range(3))], ["id", *names])
+
+    def recurring(batches):
+        for b in batches:
+            rows, words = word_lists(b.column(1).to_pylist(), 1)
+            for i, w in zip(rows.tolist(), words):
+                h, times = term_runs([w])
+                h = h[times > 1]
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array([i] * len(h), pa.int64())), pa.array(h.view(np.int64))], ["id", "h"])
+
+    src = docs.where(F.col("id").isNotNull() & F.col("text").isNotNull()).select("id", "text")
+    if counts.table is not None:  # as many terms as a document has
+        own_terms = src.mapInArrow(recurring, "id long, h long").distinct().join(counts.table, "h").groupBy("id").agg(F.collect_list(F.struct("h", "n")).alias("terms"))
+        src = src.join(own_terms, "id", "left").select("id", "text", "terms")
+    return src.mapInArrow(run, "id long, " + ", ".join(f"{n} double" for n in names))
+
+
+def scored(docs: DataFrame, counts: Counts) -> DataFrame:
+    """(id, spam, links, pmi) of each text."""
+    return _each(docs, counts, False, ("spam", "links", "pmi"))
+
 
-    return docs.where(F.col("id").isNotNull() & F.col("text").isNotNull()).select("id", "text").mapInArrow(run, "id long, spam double, links double, pmi double")
+def measured(docs: DataFrame, counts: Counts) -> DataFrame:
+    """(id, stuffed, salad, pmi) of each text by the method alone: share of its characters in units that repeated collocations
+    cover or that are salad, share of salad, mean PMI."""
+    return _each(docs, counts, True, ("stuffed", "salad", "pmi"))
