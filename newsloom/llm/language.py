@@ -1,11 +1,12 @@
 """Languages of documents and of their stretches: a linear-chain conditional random field over words.
 
 Each word emits a score for each language: the sum of the learned weights of its features (the word
-itself, prefixes and suffixes, letter n-grams, script), looked up by hash. Learned transitions join
+itself, prefixes and suffixes, letter n-grams, script, and the languages in whose lexicon it is), looked up by hash. The
+lexicon of a language holds the words of its training texts that come there again and again and hardly elsewhere. Learned transitions join
 neighbours, with one matrix inside a sentence, one at a sentence's end and one at a line's end, so
 code-switched text is cut where the evidence says. Forward-backward gives each word's posterior.
 
-Training: labelled sentences (at most ``MOST_SAMPLES``, all of them used otherwise), strung together
+Training: labelled sentences, at most ``MOST_SAMPLES`` of which are taken, as many of each language, by hash; strung together
 at random so that languages switch at sentence and line ends; maximum likelihood by AdaGrad on
 mini-batches, fixed seed. Labelling: texts of a batch are sorted by length and run side by side
 through the recursions; texts of any length are labelled whole.
@@ -26,10 +27,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from newsloom.functions.iso639 import language
 from newsloom.llm import mojibake
 from newsloom.runtime import ship
 
 MOST_SAMPLES = 20_000
+LEXICON_TIMES, LEXICON_SHARE = 3, 0.9
 SIZE = 1 << 17
 TOKEN = re.compile(r"[^\W\d_]+|[.!?…]+|\n")
 SENTENCE, LINE = 1, 2
@@ -47,6 +50,12 @@ def features(word: str) -> list[int]:
     return [zlib.crc32(x.encode()) % SIZE for x in out]
 
 
+def in_lexicon(word: str, lexicon: dict[str, str]) -> list[int]:
+    """The feature of the language in whose lexicon a word is, if any."""
+    lang = lexicon.get(word.lower())
+    return [zlib.crc32(f"lexicon {lang}".encode()) % SIZE] if lang else []
+
+
 def script(w: str) -> str:
     c = w[0]
     return "cyr" if "Ѐ" <= c <= "ӿ" else "lat" if c < "ɐ" else "grk" if "Ͱ" <= c <= "Ͽ" else "oth"
@@ -66,11 +75,38 @@ def words_of(text: str) -> tuple[list[str], list[int]]:
     return words, gaps
 
 
+def lexicon_of(samples: list[tuple[str, str]]) -> dict[str, str]:
+    """word -> language, of words that come LEXICON_TIMES or more in the samples, nearly always in one language."""
+    n: dict[str, dict[str, int]] = {}
+    for lang, text in samples:
+        for w in words_of(text)[0]:
+            by = n.setdefault(w.lower(), {})
+            by[lang] = by.get(lang, 0) + 1
+    out = {}
+    for w, by in n.items():
+        lang = max(sorted(by), key=by.__getitem__)
+        if by[lang] >= LEXICON_TIMES and by[lang] >= LEXICON_SHARE * sum(by.values()):
+            out[w] = lang
+    return out
+
+
+def balanced(samples: list[tuple[str, str]], most: int) -> list[tuple[str, str]]:
+    """At most ``most`` samples, as many of each language as that leaves room for, chosen by hash: no language is lost."""
+    langs = sorted({x for x, _ in samples})
+    each = max(1, most // max(1, len(langs)))
+    out = []
+    for lang in langs:
+        own = sorted({x for x in samples if x[0] == lang}, key=lambda x: (zlib.crc32(x[1].encode("utf_8", "surrogatepass")), x[1]))
+        many = [x for x in samples if x[0] == lang]
+        out += many if len(many) <= each else own[:each]
+    return sorted(out)
+
+
 class Tagger:
-    """Weights of the emissions (SIZE x languages) and of the three transition matrices."""
+    """Weights of the emissions (SIZE x languages) and of the three transition matrices, and the lexicon."""
 
-    def __init__(self, langs: list[str], weights: np.ndarray, trans: np.ndarray):
-        self.langs, self.weights, self.trans = langs, weights, trans
+    def __init__(self, langs: list[str], weights: np.ndarray, trans: np.ndarray, lexicon: dict[str, str] | None = None):
+        self.langs, self.weights, self.trans, self.lexicon = langs, weights, trans, lexicon or {}
         self.memo: dict[str, int] = {}
         self.rows: list[np.ndarray] = []
 
@@ -82,7 +118,7 @@ class Tagger:
         new = [w for w in words if w not in memo]
         for w in dict.fromkeys(new):
             memo[w] = len(self.rows)
-            f = features(w)
+            f = features(w) + in_lexicon(w, self.lexicon)
             self.rows.append(self.weights[f].sum(axis=0) / np.sqrt(len(f)))
         if new or not hasattr(self, "_m"):
             self._m = np.array(self.rows, np.float32).reshape(-1, len(self.langs))
@@ -160,14 +196,16 @@ def more_samples(tagger: Tagger, rows: list[tuple[str, str]]) -> list[tuple[str,
 
 def train(samples: list[tuple[str, str]], seed: int = 5, rounds: int = 60, rate: float = 0.35, start: Tagger | None = None) -> Tagger:
     """Fit to (language, text) sentences; from ``start``'s weights if given."""
-    samples = sorted(samples)[:MOST_SAMPLES]
+    samples = balanced(samples, MOST_SAMPLES)
     langs = start.langs if start else sorted({x for x, _ in samples})
+    lexicon = lexicon_of(samples)
     k = len(langs)
     rng = np.random.default_rng(seed)
     prepared = []
     for lang, text in samples:
         words, gaps = words_of(text)
-        prepared.append((langs.index(lang), [features(w) for w in words], gaps))
+        if words:
+            prepared.append((langs.index(lang), [np.array(features(w)) for w in words], [np.array(in_lexicon(w, lexicon), np.int64) for w in words], np.array(gaps)))
     weights, trans = (start.weights.astype(np.float64), start.trans.copy()) if start else (np.zeros((SIZE, k)), np.zeros((3, k, k)))
     gw, gt = np.full((SIZE, k), 1e-2), np.full((3, k, k), 1.0)
     for _ in range(rounds):
@@ -177,47 +215,50 @@ def train(samples: list[tuple[str, str]], seed: int = 5, rounds: int = 60, rate:
             some = [prepared[i] for i in order[at : at + int(rng.integers(3, 9))]]
             at += len(some)
             some.sort(key=lambda x: x[0] + rng.random() * k)  # some neighbours share a language
-            f, y, g = [], [], []
-            for lang, fs, gaps in some:
-                gap0 = int(rng.choice([SENTENCE, LINE]))
-                f += fs
-                y += [lang] * len(fs)
-                g += [gap0, *gaps[1:]]
+            f: list[np.ndarray] = []
+            y, g = [], []
+            for lang, fs, lex, gaps in some:
+                drop = rng.random(len(fs))
+                for x, m, dr in zip(fs, lex, drop):  # unknown words: the word itself withheld, and with it the lexicon
+                    f.append(x[1:] if dr < 0.3 else np.concatenate([x, m]) if len(m) and dr < 0.8 else x)
+                y.append(np.full(len(fs), lang))
+                gaps = gaps.copy()
+                gaps[0] = rng.choice([SENTENCE, LINE])
+                g.append(gaps)
+            y, g = np.concatenate(y), np.concatenate(g)
             n = len(f)
-            drop = rng.random(n) < 0.3  # unknown words: the word itself and long affixes withheld
-            f = [x[1:] if dr else x for x, dr in zip(f, drop)]
-            root = np.array([np.sqrt(len(x)) for x in f])
-            em = np.array([weights[x].sum(axis=0) for x in f]) / root[:, None]
+            many = np.fromiter(map(len, f), np.int64, n)
+            rows, begin, root = np.concatenate(f), np.cumsum(many) - many, np.sqrt(many)
+            em = np.add.reduceat(weights[rows], begin, axis=0) / root[:, None]
             e = np.exp(em - em.max(axis=1, keepdims=True))
             t = np.exp(trans)
+            steps = t[g]
             a, b = np.empty((n, k)), np.ones((n, k))
-            a[0] = e[0] / e[0].sum()
+            v = e[0]
+            a[0] = v / v.sum()
             for s in range(1, n):
-                v = a[s - 1] @ t[g[s]] * e[s]
+                v = a[s - 1] @ steps[s] * e[s]
                 a[s] = v / v.sum()
             for s in range(n - 2, -1, -1):
-                v = t[g[s + 1]] @ (e[s + 1] * b[s + 1])
+                v = steps[s + 1] @ (e[s + 1] * b[s + 1])
                 b[s] = v / v.sum()
             post = a * b
             post /= post.sum(axis=1, keepdims=True)
             grad = -post
             grad[np.arange(n), y] += 1
-            dt = np.zeros((3, k, k))
-            for s in range(1, n):
-                pair = a[s - 1][:, None] * t[g[s]] * (e[s] * b[s])[None, :]
-                dt[g[s]] -= pair / pair.sum()
-                dt[g[s], y[s - 1], y[s]] += 1
-            rows = np.concatenate([np.array(x) for x in f])
-            vals = np.repeat(grad / root[:, None], [len(x) for x in f], axis=0)
+            pair = a[:-1, :, None] * steps[1:] * (e[1:] * b[1:])[:, None, :]
+            pair = -pair / pair.sum(axis=(1, 2), keepdims=True)
+            pair[np.arange(n - 1), y[:-1], y[1:]] += 1
+            dt = np.stack([pair[g[1:] == j].sum(axis=0) for j in range(3)])
             u, inv = np.unique(rows, return_inverse=True)
             sums = np.zeros((len(u), k))
-            np.add.at(sums, inv, vals)
+            np.add.at(sums, inv, np.repeat(grad / root[:, None], many, axis=0))
             sums -= 2e-4 * weights[u]
             gw[u] += sums**2
             weights[u] += rate * sums / np.sqrt(gw[u])
             gt += dt**2
             trans += rate * dt / np.sqrt(gt)
-    return Tagger(langs, weights.astype(np.float32), trans)
+    return Tagger(langs, weights.astype(np.float32), trans, lexicon)
 
 
 def stretches(text: str, post: np.ndarray, words: list[str], langs: list[str]) -> list[tuple[int, str, int, float]]:
@@ -238,13 +279,13 @@ def tagged(docs: DataFrame, tagger: Tagger, corpus: mojibake.Corpus | None = Non
     """(id, letters, stretches) of each text: array of (pos, lang, letters, confidence) in reading order."""
     spark = docs.sparkSession
     ship(spark)
-    model = spark.sparkContext.broadcast((tagger.langs, tagger.weights, tagger.trans))
+    model = spark.sparkContext.broadcast((tagger.langs, tagger.weights, tagger.trans, tagger.lexicon))
     tables = None if corpus is None else spark.sparkContext.broadcast((corpus.w, corpus.t))
     item = pa.struct([("pos", pa.int32()), ("lang", pa.string()), ("letters", pa.int64()), ("confidence", pa.float64())])
 
     def run(batches):
-        langs, weights, trans = model.value
-        own = Tagger(langs, weights, trans)
+        own = Tagger(*model.value)
+        langs = own.langs
         known = mojibake.known(tables) if tables else None
         for whole in batches:
             for lo in range(0, whole.num_rows, 2000):
@@ -265,11 +306,16 @@ def tagged(docs: DataFrame, tagger: Tagger, corpus: mojibake.Corpus | None = Non
 def fitted(samples: DataFrame, docs: DataFrame, labels: DataFrame, each: int = 80) -> Tagger:
     """Fit to clean sentences (lang, text), then to at most ``each`` labelled documents of each language
     (a bounded sample, chosen by hash of the id; ``labels`` has id and lang)."""
-    clean = [(r.lang, r.text) for r in samples.select("lang", "text").where("lang is not null and text is not null").limit(MOST_SAMPLES).collect()]
+    langs = samples.where("lang is not null").select("lang").distinct().count()
+    first_of = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
+    few = samples.select("lang", "text").where("lang is not null and text is not null").withColumn("k", F.row_number().over(first_of)).where(F.col("k") <= max(1, MOST_SAMPLES // max(1, langs)))
+    clean = sorted((r.lang, r.text) for r in few.select("lang", "text").collect())
+    if not clean:
+        raise ValueError("no labelled sentence to learn from")
     first = train(clean)
     by = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
     some = labels.where(F.col("lang").isin(*first.langs)).distinct().withColumn("k", F.row_number().over(by)).where(F.col("k") <= each).select("id", "lang")
-    rows = docs.where("text is not null").join(F.broadcast(some), "id").select("lang", "id", "text").distinct().collect()
+    rows = docs.where("text is not null").join(F.broadcast(some), "id").select("lang", "id", "text").distinct().collect()  # at most ``each`` of a language
     return train(clean * 3 + more_samples(first, sorted((r.lang, r.text) for r in rows)), rounds=2, start=first)
 
 
@@ -286,25 +332,6 @@ def shares(tags: DataFrame, least: float = 0.2) -> DataFrame:
     return tags.select("id", "letters", F.sort_array(F.filter(each, lambda x: x["share"] >= least - 1e-12)).alias("langs"))
 
 
-#: ISO 639-2/B codes that differ from 639-3. Fixed values.
-BIBLIOGRAPHIC = {"alb": "sqi", "arm": "hye", "baq": "eus", "bur": "mya", "chi": "zho", "cze": "ces", "dut": "nld", "fre": "fra", "geo": "kat", "ger": "deu", "gre": "ell", "ice": "isl", "mac": "mkd", "mao": "mri", "may": "msa", "per": "fas", "rum": "ron", "slo": "slk", "tib": "bod", "wel": "cym"}
-#: ISO 639-1 to 639-3 of languages that labels may name. Fixed values.
-TWO = {
-    "af": "afr", "ar": "ara", "be": "bel", "bg": "bul", "bn": "ben", "bs": "bos", "ca": "cat", "cs": "ces", "cy": "cym", "da": "dan",
-    "de": "deu", "el": "ell", "en": "eng", "eo": "epo", "es": "spa", "et": "est", "eu": "eus", "fa": "fas", "fi": "fin", "fr": "fra",
-    "ga": "gle", "gl": "glg", "he": "heb", "hi": "hin", "hr": "hrv", "hu": "hun", "hy": "hye", "id": "ind", "is": "isl", "it": "ita",
-    "ja": "jpn", "ka": "kat", "kk": "kaz", "ko": "kor", "la": "lat", "lt": "lit", "lv": "lav", "mk": "mkd", "ms": "msa", "mt": "mlt",
-    "nb": "nob", "nl": "nld", "nn": "nno", "no": "nor", "pl": "pol", "pt": "por", "ro": "ron", "ru": "rus", "sk": "slk", "sl": "slv",
-    "sq": "sqi", "sr": "srp", "sv": "swe", "sw": "swa", "th": "tha", "tr": "tur", "uk": "ukr", "ur": "urd", "vi": "vie", "zh": "zho",
-}
-#: Codes of ISO 639-2 and -3 that name no language, and placeholders of three letters. Fixed values.
-NOT_NAMED = ("und", "mis", "mul", "zxx", "unk", "xxx", "nil", "non", "nan", "tbd")
-
-
 def with_named(df: DataFrame, label: str, out: str) -> DataFrame:
-    """df with the ISO 639-3 code that a label names as ``out``, else null: two or three letters in any
-    case, perhaps a region. The table of codes is fixed, hence broadcast."""
-    codes = df.sparkSession.createDataFrame([*TWO.items(), *BIBLIOGRAPHIC.items()], "code string, iso3 string")
-    code = F.lower(F.regexp_extract(F.trim(label), "^([A-Za-z]{2,3})(?:[-_][A-Za-z0-9]+)*$", 1))
-    got = df.withColumn("code", code).join(F.broadcast(codes), "code", "left")
-    return got.withColumn(out, F.when(~F.col("code").isin(*NOT_NAMED), F.coalesce("iso3", F.when(F.length("code") == 3, F.col("code"))))).drop("code", "iso3")
+    """df with the ISO 639-3 code that a label names as ``out``, else null."""
+    return df.withColumn(out, language(F.col(label)))

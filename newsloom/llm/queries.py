@@ -242,7 +242,7 @@ def _counts(spark, d, owner):
 
 
 def p10_found(spark, d):
-    got = S.scored(documents(spark, d), _counts(spark, d, "p10f"))
+    got = S.scored(documents(spark, d), _counts(spark, d, "p10f"), least=0.5)
     return got.where("spam > 0.5").select(F.col("id").alias("doc_id")).distinct()
 
 

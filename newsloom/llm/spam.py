@@ -206,7 +206,7 @@ def keywords(text: str, counts: Counts) -> set[tuple[str, ...]]:
     """The stuffed words and pairs of one text."""
     repeats: dict[tuple, int] = {}
     every: dict[tuple, int] = {}
-    size = 0
+    size = len(word_hashes(text))
     entries: dict[tuple, int] = {}
     for part in _SENT.split(text):
         words = WORD.findall(part.lower())
@@ -219,7 +219,6 @@ def keywords(text: str, counts: Counts) -> set[tuple[str, ...]]:
             if k and len(w) > 1 and len(words[k - 1]) > 1 and not (w.isdigit() or words[k - 1].isdigit()):
                 t = (words[k - 1], w)
                 here[t] = here.get(t, 0) + 1
-        size += len(words)
         for t, n in here.items():
             every[t] = every.get(t, 0) + n
             if n > 1:
@@ -296,13 +295,13 @@ def spam_share(text: str, counts: Counts, often: bool = True, method: bool = Fal
     return total_spam / size, second / max(1, size if method else len(text)), mean
 
 
-def quick_look(words: list[np.ndarray], counts: Counts) -> tuple[np.ndarray, np.ndarray]:
-    """(mean PMI, whether a keyword or a salad unit is possible) of many texts at once; weaker than the rule, so no
-    text it lets go has either. A keyword comes twice or more and fulfils the corpus's conditions. The known pairs of a
+def quick_look(words: list[np.ndarray], counts: Counts) -> tuple[np.ndarray, np.ndarray, dict[int, np.ndarray]]:
+    """(mean PMI, whether a salad unit is possible, the terms that may be keywords by text) of many texts at once; weaker than the rule, so no
+    text it lets go has either. A keyword comes twice or more, and RATE times as often as in the corpus. The known pairs of a
     salad unit are SALAD_PAIRS or more in a row among the text's; if so many have a mean below SALAD, fewer than
     twice as many in a row have."""
     if not words:
-        return np.empty(0), np.empty(0, bool)
+        return np.empty(0), np.empty(0, bool), {}
     size = np.fromiter(map(len, words), np.int64, len(words))
     at = np.cumsum(size) - size
     w = np.concatenate(words)
@@ -315,13 +314,20 @@ def quick_look(words: list[np.ndarray], counts: Counts) -> tuple[np.ndarray, np.
     inside[at + size - 1] = False
 
     def recurs(h: np.ndarray, own: np.ndarray) -> None:
-        """Mark the texts in which one of the values comes twice."""
-        o = np.lexsort((h, own))
+        """Keep the stuffed terms that come twice in a text and RATE times as often as in the corpus."""
+        if not len(h):
+            return
+        o = np.argsort(h, kind="stable")  # texts stay in order within equal hashes
         h, own = h[o], own[o]
-        often[own[1:][(h[1:] == h[:-1]) & (own[1:] == own[:-1])]] = True
+        first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (own[1:] != own[:-1])]))
+        times, h, own = np.diff(np.append(first, len(h))), h[first], own[first]
+        n = counts.n[np.searchsorted(counts.terms, h)]
+        ok = (times > 1) & (times * float(counts.words) >= RATE * n * size[own] - 1e-6)
+        found.append((own[ok], h[ok]))
 
+    found: list[tuple[np.ndarray, np.ndarray]] = []
     ok = counts.held(mix(w))
-    recurs(w[ok], text[ok])
+    recurs(mix(w)[ok], text[ok])
     if len(w) > 1:
         h = pair_hashes(w)
         ok = inside[:-1] & counts.held(h)
@@ -332,7 +338,28 @@ def quick_look(words: list[np.ndarray], counts: Counts) -> tuple[np.ndarray, np.
         for k in range(SALAD_PAIRS, min(2 * SALAD_PAIRS, len(both) + 1)):
             low = upto[k:] - upto[:-k] < 1e-6
             often[own[k - 1 :][low & (own[k - 1 :] == own[: len(own) - k + 1])]] = True
-    return mean, often
+    terms: dict[int, np.ndarray] = {}
+    if found:
+        own, h = np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
+        o = np.argsort(own, kind="stable")
+        own, h = own[o], h[o]
+        at = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(own) else []
+        terms = dict(zip(own[at].tolist(), np.split(h, at[1:]))) if len(own) else {}
+    return mean, often, terms
+
+
+def most_covered(text: str, w: np.ndarray, terms: np.ndarray) -> float:
+    """An upper bound of the share of a text's characters that keywords among ``terms`` cover; ``w``: its words' hashes."""
+    spans = np.array([m.span() for m in WORD.finditer(text.lower())], np.int64).reshape(-1, 2)
+    if len(spans) != len(w):
+        return 1.0
+    known = np.sort(terms)
+    one = among(mix(w), known)
+    covered = int((spans[one, 1] - spans[one, 0]).sum())
+    if len(w) > 1:
+        two = np.flatnonzero(among(pair_hashes(w), known))
+        covered += int((spans[two + 1, 1] - spans[two, 0]).sum())
+    return covered / max(1, len("".join(text.split())))
 
 
 _OWN: dict[str, Counts] = {}
@@ -347,7 +374,7 @@ def known_counts(parts) -> Counts:
     return _OWN[key]
 
 
-def _each(docs: DataFrame, counts: Counts, method: bool, names: tuple[str, str, str]) -> DataFrame:
+def _each(docs: DataFrame, counts: Counts, method: bool, names: tuple[str, str, str], least: float = 0.0) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
     parts = spark.sparkContext.broadcast((counts.flat, counts.docs, counts.words, counts.terms, counts.n))
@@ -360,15 +387,19 @@ def _each(docs: DataFrame, counts: Counts, method: bool, names: tuple[str, str,
             texts = b.column(1).to_pylist()
             out = [(0.0, 0.0, 0.0)] * len(texts)
             rows, words = word_lists(texts, 1)
-            mean, often = S.quick_look(words, own)
-            terms = b.column(2).to_pylist() if b.num_columns > 2 else None
-            for i, m, o in zip(rows.tolist(), mean.tolist(), often.tolist()):
-                x = texts[i]
-                if terms is not None:
-                    own.known = {t["h"] % (1 << 64): t["n"] for t in terms[i] or ()}
-                    o = o or bool(own.known)
+            mean, salad, may = S.quick_look(words, own)
+            joined = b.column(2).to_pylist() if b.num_columns > 2 else None
+            for k, (i, m, o) in enumerate(zip(rows.tolist(), mean.tolist(), salad.tolist())):
+                x, terms = texts[i], may.get(k)
+                if joined is not None:
+                    own.known = {t["h"] % (1 << 64): t["n"] for t in joined[i] or ()}
+                    terms = np.fromiter(own.known, np.uint64, len(own.known)) if own.known else None
+                linked = not method and ("#" in x or _MAY_LINK.search(x) is not None)
                 o = o or "\u03a3" in x  # its lower case depends on what follows, so on where a text is cut
-                out[i] = S.spam_share(x, own, o, method) if o or not method and ("#" in x or _MAY_LINK.search(x)) else (0.0, 0.0, m)
+                # without links and salad, spam units of more than ``least`` have keywords on COVER of their characters
+                if not o and terms is not None and (linked or least == 0.0 or S.most_covered(x, words[k], terms) >= COVER * least):
+                    o = True
+                out[i] = S.spam_share(x, own, o, method) if o or linked else (0.0, 0.0, m)
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([g[k] for g in out], pa.float64()) for k in range(3))], ["id", *names])
 
     def recurring(batches):
@@ -386,9 +417,10 @@ def _each(docs: DataFrame, counts: Counts, method: bool, names: tuple[str, str,
     return src.mapInArrow(run, "id long, " + ", ".join(f"{n} double" for n in names))
 
 
-def scored(docs: DataFrame, counts: Counts) -> DataFrame:
-    """(id, spam, links, pmi) of each text."""
-    return _each(docs, counts, False, ("spam", "links", "pmi"))
+def scored(docs: DataFrame, counts: Counts, least: float = 0.0) -> DataFrame:
+    """(id, spam, links, pmi) of each text. Who only asks which texts have more spam than ``least`` gets 0 for those that
+    provably have not, by a bound that is cheaper than the units."""
+    return _each(docs, counts, False, ("spam", "links", "pmi"), least)
 
 
 def measured(docs: DataFrame, counts: Counts) -> DataFrame:

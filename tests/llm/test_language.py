@@ -57,7 +57,20 @@ def test_frame(spark, samples, tagger):
 
 
 def test_labels(spark):
-    rows = [("en", "eng"), ("EN-us", "eng"), ("ger", "deu"), ("DEU", "deu"), ("sl_SI", "slv"), ("und", None), ("", None), ("xx", None), ("n/a", None), ("default", None), (None, None), ("ita", "ita"), (" fr ", "fra")]
+    rows = [("en", "eng"), ("EN-us", "eng"), ("ger", "deu"), ("DEU", "deu"), ("sl_SI", "slv"), ("und", None), ("", None), ("xx", None), ("n/a", None), ("default", None), (None, None), ("ita", "ita"), (" fr ", "fra"), ("uz", "uzb"), ("ta", "tam"), ("az-AZ", "aze"), ("nan", "nan")]
     got = X.with_named(spark.createDataFrame([(a,) for a, _ in rows], "label string"), "label", "out")
     assert {r.label: r.out for r in got.collect()} == dict(rows)
     assert X.with_named(spark.createDataFrame([("en", 1)], "label string, n int").select("label"), "label", "out").select(F.col("out")).first().out == "eng"
+
+
+def test_no_language_is_lost_at_the_bound(monkeypatch, samples):
+    many = [(lang, f"{text} {i}") for lang, text in samples for i in range(5)]
+    got = X.balanced(many, 70)
+    assert {x for x, _ in got} == {x for x, _ in samples} and len(got) <= 70 and X.balanced(samples, 20_000) == sorted(samples)
+
+
+def test_lexicon(samples):
+    lex = X.lexicon_of(samples * 3)
+    assert lex.get("und") in (None, "deu") and sum(v == "rus" for v in lex.values()) > 20 and X.in_lexicon("zzzz", lex) == []
+    tagger = X.train(samples, rounds=5)
+    assert tagger.lexicon == X.lexicon_of(samples)
