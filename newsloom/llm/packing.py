@@ -4,8 +4,7 @@ A text longer than a container is cut into full containers and a rest; nothing e
 of each container size are dealt by hash into groups of some GROUP items, each packed by itself: k
 windows, k the least number that could hold the items, are made near-equal by Karmarkar-Karp
 differencing (the two partial partitions with the largest spreads are merged, full windows against
-empty ones). Where a window exceeds the capacity an item is taken out of it, those taken out fill
-what space is left, best fit first, and the rest opens further windows by the same method.
+empty ones). Where a window exceeds the capacity the number of windows rises and differencing is run again.
 
 Cases: texts without tokens take no space and are left out; capacity of one token and more; ties by
 id; repeated rows are items of their own only if their ids differ; an empty table gives no rows.
@@ -15,7 +14,6 @@ from __future__ import annotations
 
 import heapq
 import math
-from bisect import bisect_left, insort
 
 import numpy as np
 import pandas as pd
@@ -78,38 +76,18 @@ def difference(sizes: np.ndarray, k: int) -> list[list[int]]:
 
 
 def pack(sizes: np.ndarray, capacity: int) -> list[list[int]]:
-    """Windows of item numbers, none above the capacity; each item is at most the capacity."""
-    left = np.arange(len(sizes))
-    done: list[list[int]] = []
-    while len(left):
-        k = max(1, math.ceil(int(sizes[left].sum()) / capacity))
-        windows = [[int(left[i]) for i in w] for w in difference(sizes[left], k) if w]
-        out: list[int] = []
-        for w in windows:
-            total = int(sizes[w].sum())
-            while total > capacity:
-                over = total - capacity
-                x = min((i for i in w if sizes[i] >= over), key=lambda i: (sizes[i], i), default=None)
-                x = max(w, key=lambda i: (sizes[i], i)) if x is None else x
-                w.remove(x)
-                out.append(x)
-                total -= int(sizes[x])
-        done += [w for w in windows if w]
-        space = sorted((capacity - int(sizes[w].sum()), j) for j, w in enumerate(done))
-        rest = []
-        for x in sorted(out, key=lambda i: (-sizes[i], i)):
-            at = bisect_left(space, (int(sizes[x]), -1))
-            if at == len(space):
-                rest.append(x)
-                continue
-            room, j = space.pop(at)
-            done[j].append(x)
-            insort(space, (room - int(sizes[x]), j))
-        if len(rest) == len(left):  # nothing fits together: a window for each
-            done += [[x] for x in rest]
-            rest = []
-        left = np.array(rest, np.int64)
-    return done
+    """Windows of item numbers, none above the capacity; each item is at most the capacity. Differencing is run for the
+    least number of windows that could hold the items, and again for more as long as one is too full: as many more as half
+    the excess would fill, one at least. With a window for each item none is, so it ends."""
+    if not len(sizes):
+        return []
+    k = max(1, math.ceil(int(sizes.sum()) / capacity))
+    while True:
+        windows = [w for w in difference(sizes, min(k, len(sizes))) if w]
+        excess = sum(max(0, int(sizes[w].sum()) - capacity) for w in windows)
+        if not excess:
+            return windows
+        k += max(1, excess // (2 * capacity))
 
 
 def packed(items: DataFrame, capacity: DataFrame) -> DataFrame:

@@ -348,18 +348,29 @@ def quick_look(words: list[np.ndarray], counts: Counts) -> tuple[np.ndarray, np.
     return mean, often, terms
 
 
-def most_covered(text: str, w: np.ndarray, terms: np.ndarray) -> float:
-    """An upper bound of the share of a text's characters that keywords among ``terms`` cover; ``w``: its words' hashes."""
-    spans = np.array([m.span() for m in WORD.finditer(text.lower())], np.int64).reshape(-1, 2)
-    if len(spans) != len(w):
+def most_covered(text: str, w: np.ndarray, terms: np.ndarray, least: float) -> float:
+    """An upper bound of the share of a text's characters in units that keywords among ``terms`` cover enough; ``w``: its
+    words' hashes. First over the whole text (such units of more than ``least`` need keywords on COVER of that), then by unit."""
+    low = text.lower()
+    spans = np.array([m.span() for m in WORD.finditer(low)], np.int64).reshape(-1, 2)
+    if len(spans) != len(w) or len(low) != len(text):
         return 1.0
     known = np.sort(terms)
-    one = among(mix(w), known)
-    covered = int((spans[one, 1] - spans[one, 0]).sum())
-    if len(w) > 1:
-        two = np.flatnonzero(among(pair_hashes(w), known))
-        covered += int((spans[two + 1, 1] - spans[two, 0]).sum())
-    return covered / max(1, len("".join(text.split())))
+    size = len("".join(text.split()))
+    one = np.flatnonzero(among(mix(w), known))
+    two = np.flatnonzero(among(pair_hashes(w), known)) if len(w) > 1 else one[:0]
+    begin, end = np.concatenate([spans[one, 0], spans[two, 0]]), np.concatenate([spans[one, 1], spans[two + 1, 1]])
+    if (end - begin).sum() < COVER * least * size:
+        return 0.0
+    cut = [m.span() for m in UNIT.finditer(text)]
+    starts = np.array([a for a, _ in cut], np.int64)
+    unit = np.searchsorted(starts, begin, side="right") - 1
+    covered = np.bincount(unit, end - begin, len(cut))
+    share = 0
+    for k in np.flatnonzero(covered).tolist():
+        chars = len("".join(text[cut[k][0] : cut[k][1]].split()))
+        share += chars if covered[k] >= COVER * chars else 0
+    return share / max(1, size)
 
 
 _OWN: dict[str, Counts] = {}
@@ -396,8 +407,7 @@ def _each(docs: DataFrame, counts: Counts, method: bool, names: tuple[str, str,
                     terms = np.fromiter(own.known, np.uint64, len(own.known)) if own.known else None
                 linked = not method and ("#" in x or _MAY_LINK.search(x) is not None)
                 o = o or "\u03a3" in x  # its lower case depends on what follows, so on where a text is cut
-                # without links and salad, spam units of more than ``least`` have keywords on COVER of their characters
-                if not o and terms is not None and (linked or least == 0.0 or S.most_covered(x, words[k], terms) >= COVER * least):
+                if not o and terms is not None and (linked or least == 0.0 or S.most_covered(x, words[k], terms, least) > least):
                     o = True
                 out[i] = S.spam_share(x, own, o, method) if o or linked else (0.0, 0.0, m)
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([g[k] for g in out], pa.float64()) for k in range(3))], ["id", *names])
