@@ -5,13 +5,13 @@ Grammar (ordered alternatives; the first that matches wins, a failed one backtra
     field   <- blank* (item? sep)* item?
     item    <- pair / quoted / bracketed / bare        (pair only with pairs=True)
     quoted  <- '"' ('""' / !'"' .)* '"' &end  /  "'" (!("'" end) .)+ "'" &end
-    bracket <- '[' (!']' .)* ']' &end                  (only with brackets=True)
+    bracket <- '[' (bracket / !']' .)* ']' &end        (only with brackets=True; round and curly ones alike, nested)
     bare    <- (!sep .)+
     pair    <- number ('.') blanks / ',' number        (a latitude and a longitude)
     sep     <- blank* [;,|\t\r\n] blank*  /  blank+ '/' blank+
     end     <- blank* (sep / EOF)
 
-A quote that never closes, or closes before more text, is no quote: the parser backtracks, reads
+A quote or bracket that never closes, or closes before more text, is none: the parser backtracks, reads
 the value bare and sets the flag. Cases: null field -> no rows; empty or blank values are not
 counted; very long fields are scanned once, left to right; repeated rows give equal results.
 """
@@ -34,13 +34,14 @@ _END = re.compile(rf"{_B}*(?:[;,|\t\r\n\v\f]|{_B}/{_B}|$(?!\n))")
 _BARE = re.compile(rf"(?:(?![;,|\t\r\n\v\f]|{_B}+/{_B}).)+", re.S)
 _SKIP = re.compile(rf"{_B}*")
 _QUOTED = {'"': re.compile(r'"((?:""|[^"])*)"'), "'": re.compile(rf"'((?:(?!'{_END.pattern}).)+)'", re.S)}
-_BRACKET = {"[": re.compile(r"\[([^\]]*)\]"), "(": re.compile(r"\(([^)]*)\)"), "{": re.compile(r"\{([^}]*)\}")}
+_BRACKET = {"[": "]", "(": ")", "{": "}"}
+_EITHER = re.compile(r"[\[\](){}]")
 _NUM = r"[+-]?\d+"
 _PAIRS = (
     re.compile(rf"({_NUM},\d+){_B}+({_NUM},\d+)"),
     re.compile(rf"({_NUM}(?:\.\d+)?)(?:{_B}*,{_B}*|{_B}+)({_NUM}(?:\.\d+)?)"),
 )
-OK, BAD_QUOTE, NOT_A_PAIR = "", "bad_quote", "not_a_pair"
+OK, BAD_QUOTE, BAD_BRACKET, NOT_A_PAIR = "", "bad_quote", "bad_bracket", "not_a_pair"
 
 
 def as_pair(text: str) -> str | None:
@@ -52,6 +53,19 @@ def as_pair(text: str) -> str | None:
     return None
 
 
+def closing(text: str, at: int) -> int:
+    """Where the bracket opened at ``at`` closes, brackets within it matched; -1 if it doesn't."""
+    open_ones: list[str] = []
+    for m in _EITHER.finditer(text, at):
+        if m[0] in _BRACKET:
+            open_ones.append(_BRACKET[m[0]])
+        elif m[0] != open_ones.pop():
+            return -1
+        elif not open_ones:
+            return m.start()
+    return -1
+
+
 def parse(text: str, pairs: bool = False, brackets: bool = False) -> Iterator[tuple[str, str]]:
     """(value, flag) of each non-empty value of one field."""
     at, size = 0, len(text)
@@ -75,9 +89,11 @@ def parse(text: str, pairs: bool = False, brackets: bool = False) -> Iterator[tu
             else:
                 flag = BAD_QUOTE
         if value is None and brackets and c in _BRACKET:
-            m = _BRACKET[c].match(text, at)
-            if m and _END.match(text, m.end()):
-                value, end = m[1].strip(_BLANK), m.end()
+            shut = closing(text, at)
+            if shut > 0 and _END.match(text, shut + 1):
+                value, end = text[at + 1 : shut].strip(_BLANK), shut + 1
+            else:
+                flag = BAD_BRACKET
         if value is None:
             m = _BARE.match(text, at)
             value, end = (m[0].strip(_BLANK), m.end()) if m else ("", at)

@@ -61,7 +61,7 @@ def access_granted(spark, d) -> DataFrame:
 
 
 def entries_exploded(spark, d) -> DataFrame:
-    """Feed results (entries packed in arrays) unpacked again, with each feed's cutoff applied."""
+    """Feed results (entries packed in arrays, one scan's entries each) unpacked again, with each feed's cutoff applied."""
     e = table(spark, d, "batch_item").groupBy("feedid").agg(F.array_sort(F.collect_list(F.struct("arrived", "id", "url", "title"))).alias("entries"))
     f = table(spark, d, "feed").select(F.col("id").alias("feedid"), "pruning_ts_last")
     x = e.join(f, "feedid").select("feedid", "pruning_ts_last", F.posexplode("entries").alias("pos", "e"))

@@ -4,7 +4,7 @@ from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from newsloom.operators.packed import BAD_QUOTE, NOT_A_PAIR, parse, split_packed
+from newsloom.operators.packed import BAD_BRACKET, BAD_QUOTE, NOT_A_PAIR, parse, split_packed
 
 
 def values(text, **kw):
@@ -36,6 +36,10 @@ def test_pairs():
 def test_brackets_only_on_request():
     assert values("[a; b], c", brackets=True) == ["a; b", "c"]
     assert values("[a; b], c") == ["[a", "b]", "c"]
+    assert values("[a; (b, c)]; {d | [e]} ; (f)", brackets=True) == ["a; (b, c)", "d | [e]", "f"]
+    assert list(parse("[a; b", brackets=True)) == [("[a", BAD_BRACKET), ("b", "")]
+    assert list(parse("[a;b)] x, [c]d;(e", brackets=True)) == [("[a", BAD_BRACKET), ("b)] x", ""), ("[c]d", BAD_BRACKET), ("(e", BAD_BRACKET)]
+    assert values("[" * 2000 + "x" + "]" * 2000, brackets=True) == ["[" * 1999 + "x" + "]" * 1999]
 
 
 @given(st.lists(st.text(st.characters(codec="utf-8", exclude_categories=("Cs", "Zs", "Cc")), min_size=1, max_size=8), max_size=8), st.sampled_from([";", ",", "|", "\t", "\n", " / "]))
