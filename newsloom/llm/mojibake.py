@@ -97,7 +97,7 @@ class Corpus:
         self.one: dict[str, float] = {}
         self.words: dict[str, float] = {}
         self.alphabets: dict[str, list[tuple]] = {}
-        self.channels: dict[frozenset, list[int]] = {}
+        self.channels: dict[frozenset, tuple] = {}
         #: for each channel, the characters it may have left
         self.turns = []
         for read, true in CHANNELS:
@@ -322,27 +322,45 @@ def readings(token: str, corpus: Corpus) -> tuple:
     return got
 
 
+_TWO = re.compile("[^\x00-\x7f]{2}")
+
+
+def _fitting(high: frozenset, corpus: Corpus) -> tuple[list[int], list[tuple[dict, list[int]]]]:
+    """(UTF-8 channels, one-byte channels grouped by what they make of the characters) that may have left these characters."""
+    several, groups = [], {}
+    for k, turns in enumerate(corpus.turns):
+        if high <= turns:
+            if CHANNELS[k][1] == "utf_8":
+                several.append(k)
+            else:
+                groups.setdefault(tuple(ACROSS[k][ord(c)] for c in sorted(high)), (ACROSS[k], []))[1].append(k)
+    return several, list(groups.values())
+
+
 def _readings(token: str, corpus: Corpus) -> tuple:
     high = frozenset(HIGH.findall(token))
     fit = corpus.channels.get(high)
     if fit is None:
         if len(corpus.channels) > 100_000:
             corpus.channels.clear()
-        fit = corpus.channels[high] = [k for k, turns in enumerate(corpus.turns) if high <= turns]
+        fit = corpus.channels[high] = _fitting(high, corpus)
     word = LETTERS.search(token) is not None and not any(x < "\x80" for x in token)
     tried: dict[str, list[int]] = {}
-    for k in fit:
-        read, true = CHANNELS[k]
-        r = through(token, read, true) if true == "utf_8" else token.translate(ACROSS[k])
-        if r is None or r == token or word and not LETTERS.search(r):
-            continue  # a word never stands for bare punctuation
-        tried.setdefault(r, []).append(k)
+    several, across = fit
+    for k in several if _TWO.search(token) else ():  # a letter of UTF-8 is two bytes or more
+        if (r := through(token, *CHANNELS[k])) is not None:
+            tried.setdefault(r, []).append(k)
+    for table, ks in across:
+        tried.setdefault(token.translate(table), []).extend(ks)
+    tried.pop(token, None)
+    if word:  # a word never stands for bare punctuation
+        tried = {r: ks for r, ks in tried.items() if LETTERS.search(r)}
     if not tried:
         return ()
     own = LETTERS.findall(token)
     stands = max((surely(corpus.count(w)) for w in own if HIGH.search(w)), default=0.0)
     one_word = len(own) == 1 and all(c in own[0] for c in high)
-    base = corpus.score(token)
+    base, most = None, max(map(corpus.count, own), default=0.0)
     sound = all(c.isalpha() and not corpus.rare(c.lower()) for c in high) and not _ODD.search(token)
     out = []
     for r, ks in tried.items():
@@ -351,8 +369,12 @@ def _readings(token: str, corpus: Corpus) -> tuple:
         new = LETTERS.findall(r)
         if one_word and (not new or max(map(corpus.count, new)) <= 2.0 * stands):
             continue  # a word that stands gives way only to one that is more frequent by far
-        if sound and (sum(map(str.isalpha, r)) < sum(map(str.isalpha, token)) or any(surely(corpus.count(w)) <= 0.5 * max(map(corpus.count, own), default=0.0) for w in new if HIGH.search(w))):
+        if sound and (sum(map(str.isalpha, r)) < sum(map(str.isalpha, token)) or any(surely(corpus.count(w)) <= 0.5 * most for w in new if HIGH.search(w))):
             ks = [k for k in ks if CHANNELS[k][1] == "utf_8"]  # of two soundly spelled words the other must surely be the commoner
+            if not ks:
+                continue
+        if base is None:
+            base = corpus.score(token)
         gain = corpus.score(r) - base
         for k in ks:
             g = gain - (1.0 if CHANNELS[k][1] == "utf_8" else 2.0)
