@@ -31,5 +31,5 @@ def p7_flags(spark, d):
     return _geo(spark, d).unionByName(_tags(spark, d)).groupBy("field", "flag").agg(F.count("*").alias("values"))
 
 
-QUERIES = {f.__name__: f for f in (p7_found, p7_method, p7_flags)}
+QUERIES = {f.__name__: f for f in (p7_method, p7_found, p7_flags)}
 ORACLE: dict[str, str] = {}

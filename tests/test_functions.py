@@ -67,13 +67,13 @@ def test_extraction():
     para = "The council opened the bridge after a long debate about money, and the town welcomed it warmly with songs and speeches all day. "
     page = PAGE.format(nav="Home Sport " * 60, body="".join(f"<p>{para * 2}</p>" for _ in range(3)))
     root = extract.tree(page)
-    lines, how = extract.body(root)
+    _, lines, how = extract.body(root)
     assert how == "paragraphs" and len(lines) == 3 and "Home" not in "".join(lines)
     assert extract.title(root, "www.daily.example") == "Big day for the river town"
     marked = "<div itemprop='articleBody'>" + f"<p>{para * 4}</p>" + "</div><div>" + f"<p>{para * 40}</p>" + "</div>"
-    assert extract.body(extract.tree(marked))[1] == "marked"
-    assert extract.body(extract.tree("<p>short</p>"))[1] == "no_text"
-    assert extract.body(extract.tree("<div>" * 3000 + "x"))[1] == "no_text"
+    assert extract.body(extract.tree(marked))[2] == "marked"
+    assert extract.body(extract.tree("<p>short</p>"))[2] == "no_text"
+    assert extract.body(extract.tree("<div>" * 3000 + "x"))[2] == "no_text"
 
 
 def test_datelines():
