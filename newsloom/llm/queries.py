@@ -257,4 +257,4 @@ def p10_scores(spark, d):
     return S.scored(documents(spark, d), _counts(spark, d, "p10s")).select(F.col("id").alias("doc_id"), "spam", "links", "pmi").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_documents, p1_stretches, p2_found, p2_classes, p2_groups, p3_found, p3_restored, p4_found, p4_batches, p5_found, p5_method, p5_clean, p6_found, p6_bodies, p8_windows, p8_fill, p9_draws, p9_shares, p10_found, p10_method, p10_scores)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_documents, p1_stretches, p2_found, p2_classes, p2_groups, p3_found, p3_restored, p4_found, p4_batches, p5_method, p5_found, p5_clean, p6_found, p6_bodies, p8_windows, p8_fill, p9_draws, p9_shares, p10_method, p10_found, p10_scores)}
