@@ -247,9 +247,9 @@ def p10_found(spark, d):
 
 
 def p10_method(spark, d):
-    """Every document by the method alone: mean PMI, share of repeated collocations and of word salad, and whether they are more than half."""
-    got = S.measured(documents(spark, d), _counts(spark, d, "p10m"))
-    return got.select(F.col("id").alias("doc_id"), "stuffed", "salad", "pmi", (F.col("stuffed") > 0.5).alias("spam")).distinct()
+    """Every document by the method alone: the mean PMI of its neighbouring words, and whether repeated collocations and word salad make up more than half of it."""
+    got = S.measured(documents(spark, d), _counts(spark, d, "p10m"), least=0.5)
+    return got.select(F.col("id").alias("doc_id"), "pmi", (F.col("stuffed") > 0.5).alias("spam")).distinct()
 
 
 def p10_scores(spark, d):

@@ -295,7 +295,7 @@ def spam_share(text: str, counts: Counts, often: bool = True, method: bool = Fal
     return total_spam / size, second / max(1, size if method else len(text)), mean
 
 
-def quick_look(words: list[np.ndarray], counts: Counts) -> tuple[np.ndarray, np.ndarray, dict[int, np.ndarray]]:
+def quick_look(words: list[np.ndarray], counts: Counts, singles: bool = True) -> tuple[np.ndarray, np.ndarray, dict[int, np.ndarray]]:
     """(mean PMI, whether a salad unit is possible, the terms that may be keywords by text) of many texts at once; weaker than the rule, so no
     text it lets go has either. A keyword comes twice or more, and RATE times as often as in the corpus. The known pairs of a
     salad unit are SALAD_PAIRS or more in a row among the text's; if so many have a mean below SALAD, fewer than
@@ -326,8 +326,9 @@ def quick_look(words: list[np.ndarray], counts: Counts) -> tuple[np.ndarray, np.
         found.append((own[ok], h[ok]))
 
     found: list[tuple[np.ndarray, np.ndarray]] = []
-    ok = counts.held(mix(w))
-    recurs(mix(w)[ok], text[ok])
+    if singles:
+        ok = counts.held(mix(w))
+        recurs(mix(w)[ok], text[ok])
     if len(w) > 1:
         h = pair_hashes(w)
         ok = inside[:-1] & counts.held(h)
@@ -398,7 +399,7 @@ def _each(docs: DataFrame, counts: Counts, method: bool, names: tuple[str, str,
             texts = b.column(1).to_pylist()
             out = [(0.0, 0.0, 0.0)] * len(texts)
             rows, words = word_lists(texts, 1)
-            mean, salad, may = S.quick_look(words, own)
+            mean, salad, may = S.quick_look(words, own, not method)  # the method knows no single words
             joined = b.column(2).to_pylist() if b.num_columns > 2 else None
             for k, (i, m, o) in enumerate(zip(rows.tolist(), mean.tolist(), salad.tolist())):
                 x, terms = texts[i], may.get(k)
@@ -433,7 +434,7 @@ def scored(docs: DataFrame, counts: Counts, least: float = 0.0) -> DataFrame:
     return _each(docs, counts, False, ("spam", "links", "pmi"), least)
 
 
-def measured(docs: DataFrame, counts: Counts) -> DataFrame:
+def measured(docs: DataFrame, counts: Counts, least: float = 0.0) -> DataFrame:
     """(id, stuffed, salad, pmi) of each text by the method alone: share of its characters in units that repeated collocations
-    cover or that are salad, share of salad, mean PMI."""
-    return _each(docs, counts, True, ("stuffed", "salad", "pmi"))
+    cover or that are salad, share of salad, mean PMI; ``least`` as in ``scored``, for the first two."""
+    return _each(docs, counts, True, ("stuffed", "salad", "pmi"), least)

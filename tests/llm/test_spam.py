@@ -90,6 +90,7 @@ def test_the_method_alone(world):
     """Repeated collocations are flagged without single words, links or tags; word salad by its mean PMI; news by neither."""
     df, counts, good, bad = world
     got = {r.id: r for r in S.measured(df, counts).collect()}
+    assert {i for i, r in got.items() if r.stuffed > 0.5} == {r.id for r in S.measured(df, counts, 0.5).where("stuffed > 0.5").collect()}
     kinds = [sum(got[good + i].stuffed > 0.5 for i in range(k, bad, 5)) for k in range(5)]
     assert kinds[0] == kinds[3] == 8 and kinds[4] == 0 and not any(got[i].stuffed > 0.5 for i in range(good))
     assert sum(got[i].pmi for i in range(good)) / good > 1
