@@ -245,9 +245,9 @@ def keywords(text: str, counts: Counts) -> set[tuple[str, ...]]:
     return out
 
 
-def spam_share(text: str, counts: Counts, often: bool = True, method: bool = False) -> tuple[float, float, float]:
-    """(share of spam characters, share of links and tags, mean PMI of neighbouring words); ``often``: False where it is
-    known that no keyword and no salad is possible. With ``method`` only repeated collocations and salad count as spam, and
+def spam_share(text: str, counts: Counts, often: bool = True, method: bool = False, salad: bool = True) -> tuple[float, float, float]:
+    """(share of spam characters, share of links and tags, mean PMI of neighbouring words); ``often``, ``salad``: False where it is
+    known that no keyword, no salad is possible. With ``method`` only repeated collocations and salad count as spam, and
     the second share is that of salad."""
     size = len("".join(text.split()))
     w = word_hashes(text)
@@ -273,7 +273,7 @@ def spam_share(text: str, counts: Counts, often: bool = True, method: bool = Fal
         if not chars:
             continue
         covered = sum(mark[a:z])
-        if often and covered < z - a and (keys or len(w) >= 8):
+        if covered < z - a and (keys or salad and len(w) >= 8):
             found = [(x.group(), x.start(), x.end()) for x in WORD.finditer(low, a, z)]
             hit = bytearray(mark[a:z])
             for k, (x, s, e) in enumerate(found):
@@ -282,7 +282,7 @@ def spam_share(text: str, counts: Counts, often: bool = True, method: bool = Fal
                 if k and (found[k - 1][0], x) in keys:
                     hit[found[k - 1][1] - a : e - a] = b"\x01" * (e - found[k - 1][1])
             covered = sum(hit)
-            if covered < COVER * chars and len(found) >= 8:
+            if salad and covered < COVER * chars and len(found) >= 8:
                 h = word_hashes(" ".join(x for x, _, _ in found))
                 known = counts.single(h)[1] >= KNOWN
                 both = known[:-1] & known[1:]
@@ -401,16 +401,16 @@ def _each(docs: DataFrame, counts: Counts, method: bool, names: tuple[str, str,
             rows, words = word_lists(texts, 1)
             mean, salad, may = S.quick_look(words, own, not method)  # the method knows no single words
             joined = b.column(2).to_pylist() if b.num_columns > 2 else None
-            for k, (i, m, o) in enumerate(zip(rows.tolist(), mean.tolist(), salad.tolist())):
+            for k, (i, m, mixed) in enumerate(zip(rows.tolist(), mean.tolist(), salad.tolist())):
                 x, terms = texts[i], may.get(k)
                 if joined is not None:
                     own.known = {t["h"] % (1 << 64): t["n"] for t in joined[i] or ()}
                     terms = np.fromiter(own.known, np.uint64, len(own.known)) if own.known else None
                 linked = not method and ("#" in x or _MAY_LINK.search(x) is not None)
-                o = o or "\u03a3" in x  # its lower case depends on what follows, so on where a text is cut
+                o = mixed = mixed or "\u03a3" in x  # its lower case depends on what follows, so on where a text is cut
                 if not o and terms is not None and (linked or least == 0.0 or S.most_covered(x, words[k], terms, least) > least):
                     o = True
-                out[i] = S.spam_share(x, own, o, method) if o or linked else (0.0, 0.0, m)
+                out[i] = S.spam_share(x, own, o, method, mixed) if o or linked else (0.0, 0.0, m)
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([g[k] for g in out], pa.float64()) for k in range(3))], ["id", *names])
 
     def recurring(batches):
