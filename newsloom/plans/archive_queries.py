@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from newsloom.functions import arrays, times
 from newsloom.operators import archive as A
 from newsloom.plans.relational_queries import now
-from newsloom.plans.text_queries import _T, _texts
+from newsloom.plans.text_queries import _T, _texts, _xml
 from newsloom.runtime import table
 
 
@@ -99,7 +99,15 @@ FROM (SELECT id, unnest({_ACL}) AS acl, found, CAST(floor(epoch(found)) AS BIGIN
 _INDEX = f"(SELECT acl, acl || '-' || strftime(make_timestamp(slot * 1800000000), '%Y-%m-%dT%H-%M-%SZ') || '-' || lpad(CAST(part AS VARCHAR), 4, '0') || '.xml.gz' AS file, count(*) AS records, CAST(sum(bytes) AS BIGINT) AS bytes, slot * 1800 AS at_s FROM {_FILES} GROUP BY acl, slot, part)"
 _TOK = "string_split_regex(lower(coalesce({0}, '')), '[^\\p{{L}}\\p{{Nd}}]+')"
 _REC = f"(SELECT t.id, m.title, content AS cleartext, lang_iso AS lang, hostname, found FROM {_T} t JOIN feed_article f ON f.id = t.id JOIN site s ON s.id = f.siteid LEFT JOIN (SELECT DISTINCT id, title, lang_iso FROM feed_article_meta) m ON m.id = t.id)"
+_EL = lambda n, c: f"CASE WHEN {c} <> '' THEN '<{n}>' || {c} || '</{n}>' END"
+_TIME = lambda c: f"strftime({c} AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%SZ')"
+_BODY = f"array_to_string(list_transform(list_filter(list_transform(string_split(content, chr(10)), lambda y: trim(y)), lambda y: y <> ''), lambda y: '<p>' || {_xml('y')} || '</p>'), chr(10))"
 ORACLE = {
+    "article_records": f"""SELECT id, concat_ws(chr(10), '<article id="' || id || '">', '<source>' || coalesce({_EL('name', 'n')}, '') || coalesce({_EL('hostname', 'h')}, '') || '</source>',
+'<feed>' || coalesce({_EL('title', 'ft')}, '') || coalesce({_EL('uri', 'fu')}, '') || '</feed>', {_EL('uri', 'u')}, {_EL('publish-date', 'pd')}, {_EL('retrieved-date', 'rd')}, {_EL('lang', 'l')}, {_EL('title', 't')}, {_EL('body-cleartext', 'b')}, '</article>') AS xml
+FROM (SELECT x.id, {_xml('s.name')} AS n, {_xml('hostname')} AS h, {_xml('p.title')} AS ft, {_xml('f.url')} AS fu, {_xml('k.url')} AS u, {_TIME('m.pub_date')} AS pd, {_TIME('r.retrieved')} AS rd, {_xml('m.lang_iso')} AS l, {_xml('m.title')} AS t, {_BODY} AS b
+FROM {_T} x JOIN feed_article a ON a.id = x.id JOIN site s ON s.id = a.siteid JOIN feed f ON f.id = a.feedid LEFT JOIN (SELECT feedid, r.title AS title FROM (SELECT feedid, max({{'updated': updated, 'title': title}}) AS r FROM feed_ps GROUP BY 1)) p ON p.feedid = a.feedid
+LEFT JOIN (SELECT fa_id, arg_max(url, (seq, url)) AS url FROM feed_article_urls GROUP BY 1) k ON k.fa_id = x.id LEFT JOIN (SELECT DISTINCT id, title, pub_date, lang_iso FROM feed_article_meta) m ON m.id = x.id LEFT JOIN (SELECT feed_articleid, min(retrieved) AS retrieved FROM article GROUP BY 1) r ON r.feed_articleid = x.id)""",
     "archive_files": f"SELECT * FROM {_FILES}",
     "archive_index": f"SELECT * FROM {_INDEX}",
     "archive_next": f"SELECT acl, min(file) AS file, count(*) AS later FROM {_INDEX} WHERE epoch(TIMESTAMPTZ '2024-11-28 00:00:00+00') - at_s <= 31536000 AND file > acl || '-2024-06' GROUP BY 1",
