@@ -6,7 +6,8 @@ hub (a canonical page, or a class) the least id; Bloom filters partitioned by ha
 names the layers that belong to the store, and is written last: a batch that breaks off leaves the store as it was.
 
 *Fingerprints.* In any fixed order of the shingles, two sets of similarity t share one of their
-|x| - ceil(t|x|) + 1 first, and it is among the |x| - ceil(2t/(1+t) |x|) + 1 first of the smaller. The order is rare
+|x| - ceil(t|x|) + 1 first. If the first they share is number i of x, they have |x| - i in common at most, so
+|y| <= (|x| - i) (1+t)/t - |x|, and as much holds for y: a posting meets only those whose sizes keep both limits. The order is rare
 first by counts of the first history's texts (one in ORDER of them: counts only choose the order, any order is
 complete) and stays fixed. Keys are cut to 40 bits, which may let more through, never less.
 
@@ -49,9 +50,10 @@ from newsloom.runtime import fresh, get_text, put_text, shared_dir, ship, writte
 ORDER = 8
 PER_FILTER, PARTS, LAYERS = 1 << 22, 6, 16
 AT_ONCE = 4_000_000  # pairs of postings looked at together
+LOOKED_UP = 500_000  # postings of a batch looked up together
 MOST_ROWS = 500_000  # ids or hubs (16 bytes each) that are broadcast; more are joined by a shuffle
-_POST = "part int, keys binary, at binary, ids binary, n binary, bits binary, old boolean"
-_KEYED = "id long, cls long, n int, few int, fps binary, bits binary, rest binary"
+_POST = "part int, keys binary, at binary, place binary, ids binary, n binary, bits binary, old boolean"
+_KEYED = "id long, cls long, n int, fps binary, bits binary, rest binary"
 _NEW = f"page long, {_KEYED}"
 
 
@@ -84,22 +86,21 @@ def _folded(bits: bytes) -> bytes:
 
 
 def _keys_of(texts: list, k: int, least_words: int, t: float, rare: np.ndarray) -> tuple[np.ndarray, list[pa.Array]]:
-    """(rows kept, columns cls, n, few, fps, bits, rest) of the texts of ``least_words`` or more: class of the shingle set,
-    its size, prefix keys in order, of which the first ``few`` seek larger partners, parity bitmap, the set's other keys."""
+    """(rows kept, columns cls, n, fps, bits, rest) of the texts of ``least_words`` or more: class of the shingle set,
+    its size, prefix keys in order, parity bitmap, the set's other keys."""
     rows, begin, h = shingle_sets(texts, k, least_words)
-    cls, few, fps, rest = [], [], [], []
+    cls, fps, rest = [], [], []
     for lo, hi in zip(begin[:-1].tolist(), begin[1:].tolist()):
         x, n = h[lo:hi], hi - lo
         cls.append(N.class_hash(x))
         p = min(n, n - math.ceil(t * n - 1e-9) + 1)
-        few.append(min(p, n - math.ceil(2 * t / (1 + t) * n - 1e-9) + 1))
         order = x[np.argsort(rare[(x & np.uint64(N.BUCKETS - 1)).astype(np.int64)], kind="stable")] >> np.uint64(24)
         fps.append(pack40(order[:p])), rest.append(pack40(order[p:]))
     bits = [_folded(x) for x in N.bitmaps(h, begin)]
-    return rows, [pa.array(cls, pa.int64()), pa.array(np.diff(begin).astype(np.int32)), pa.array(few, pa.int32()), *(pa.array(x, pa.binary()) for x in (fps, bits, rest))]
+    return rows, [pa.array(cls, pa.int64()), pa.array(np.diff(begin).astype(np.int32)), *(pa.array(x, pa.binary()) for x in (fps, bits, rest))]
 
 
-_NAMES = ["cls", "n", "few", "fps", "bits", "rest"]
+_NAMES = ["cls", "n", "fps", "bits", "rest"]
 
 
 def keyed(texts: DataFrame, k: int, least_words: int, t: float, order) -> DataFrame:
@@ -138,51 +139,67 @@ def leads(keyed: DataFrame) -> DataFrame:
 
 
 def posted(rows: DataFrame, parts: int, old: bool, screen=None, bits: int = 0) -> DataFrame:
-    """Packed postings of (id, n, few, fps, bits), one row for each part of the key space and batch; ``screen``: a
-    broadcast bitmap (of so many bits) of the keys that count."""
+    """Packed postings of (id, n, fps, bits), one row for each part of the key space and batch; ``place``: where in its
+    prefix a key comes, in 256ths; ``screen``: a broadcast bitmap (of so many bits) of the keys that count."""
 
     def run(batches):
         for b in (x.slice(k0, 16_384) for x in batches for k0 in range(0, x.num_rows, 16_384)):
-            ids, n, few = (b.column(c).to_numpy() for c in range(3))
-            raw, maps = b.column(3).to_pylist(), b.column(4).to_pylist()
+            ids, n = (b.column(c).to_numpy() for c in range(2))
+            raw, maps = b.column(2).to_pylist(), b.column(3).to_pylist()
             size = np.fromiter((len(x) // 5 for x in raw), np.int64, len(raw))
             key, doc = unpack40(b"".join(raw)), np.repeat(np.arange(len(raw)), size)
-            early = np.arange(len(key)) - np.repeat(np.cumsum(size) - size, size) < few[doc]
+            place = ((np.arange(len(key)) - (np.cumsum(size) - size)[doc]) * 256 // size[doc]).astype(np.uint8)
             if screen is not None:
                 ok = np.flatnonzero(sketch.held(screen.value, (key & np.uint64(bits - 1)).astype(np.int64)))
-                key, doc, early = key[ok], doc[ok], early[ok]
+                key, doc, place = key[ok], doc[ok], place[ok]
             part = _part(key, parts)
             o = np.argsort(part, kind="stable")
             edge = np.searchsorted(part[o], np.arange(parts + 1))
-            cols: list[list] = [[], [], [], [], [], []]
+            cols: list[list] = [[], [], [], [], [], [], []]
             for q in range(parts):
                 some = o[edge[q] : edge[q + 1]]
                 if not len(some):
                     continue
                 used, local = np.unique(doc[some], return_inverse=True)
-                at = local.astype(np.uint16) | early[some].astype(np.uint16) << np.uint16(15)
-                for col, v in zip(cols, (q, pack40(key[some]), at.tobytes(), ids[used].tobytes(), n[used].tobytes(), b"".join(maps[u] for u in used))):
+                for col, v in zip(cols, (q, pack40(key[some]), local.astype(np.uint16).tobytes(), place[some].tobytes(), ids[used].tobytes(), n[used].tobytes(), b"".join(maps[u] for u in used))):
                     col.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *(pa.array(x, pa.binary()) for x in cols[1:]), pa.array([old] * len(cols[0]), pa.bool_())], ["part", "keys", "at", "ids", "n", "bits", "old"])
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *(pa.array(x, pa.binary()) for x in cols[1:]), pa.array([old] * len(cols[0]), pa.bool_())], ["part", "keys", "at", "place", "ids", "n", "bits", "old"])
 
-    return rows.select("id", "n", "few", "fps", "bits").mapInArrow(run, _POST)
+    return rows.select("id", "n", "fps", "bits").mapInArrow(run, _POST)
+
+
+def _limits(n: np.ndarray, place: np.ndarray, t: float) -> np.ndarray:
+    """The largest size of a set similar to one of size n if the first key they share comes at this place (256ths of the prefix, rounded down) or later."""
+    p = np.minimum(n, n - np.ceil(t * n - 1e-9).astype(np.int64) + 1)
+    i = -(-place.astype(np.int64) * p // 256)
+    return np.floor((n - i) * ((1 + t) / t) - n + 1e-6).astype(np.int64)
+
+
+def _quarter(n: np.ndarray) -> np.ndarray:
+    """Size bands, four to a factor of 2."""
+    m, e = np.frexp(np.maximum(n, 1).astype(np.float64))
+    return (4 * e + ((m - 0.5) * 8).astype(np.int64)).astype(np.uint64)
 
 
 class _Postings:
-    def __init__(self, table: pa.Table):
-        keys, doc, early, ids, ns, bits, old = [], [], [], [], [], [], []
+    """Postings of one part, sorted by (key, size band, largest partner) in ``code``."""
+
+    def __init__(self, table: pa.Table, t: float):
+        keys, doc, place, ids, ns, bits, old = [], [], [], [], [], [], []
         base = 0
-        for kb, ab, ib, nb, bb, o in zip(*(table.column(c).to_pylist() for c in ("keys", "at", "ids", "n", "bits", "old"))):
-            at, i = np.frombuffer(ab, np.uint16), np.frombuffer(ib, np.int64)
-            keys.append(unpack40(kb)), doc.append((at & 0x7FFF).astype(np.int64) + base), early.append(at >> 15 > 0)
+        for kb, ab, pb, ib, nb, bb, o in zip(*(table.column(c).to_pylist() for c in ("keys", "at", "place", "ids", "n", "bits", "old"))):
+            i = np.frombuffer(ib, np.int64)
+            keys.append(unpack40(kb)), doc.append(np.frombuffer(ab, np.uint16).astype(np.int64) + base), place.append(np.frombuffer(pb, np.uint8))
             ids.append(i), ns.append(np.frombuffer(nb, np.int32)), bits.append(np.frombuffer(bb, np.uint64)), old.append(np.full(len(i), o))
             base += len(i)
-        key, doc, early = np.concatenate(keys), np.concatenate(doc), np.concatenate(early)
-        o = np.argsort(key, kind="stable")
-        self.key, self.doc, self.early = key[o], doc[o], early[o]
+        key, doc = np.concatenate(keys), np.concatenate(doc)
         self.ids, self.n, self.flat, self.old = np.concatenate(ids), np.concatenate(ns).astype(np.int64), np.concatenate(bits), np.concatenate(old)
         size = _words64(self.n)
         self.start, self.band = np.cumsum(size) - size, N._band(self.n)
+        most = _limits(self.n[doc], np.concatenate(place), t)
+        code = key << np.uint64(24) | _quarter(self.n)[doc] << np.uint64(16) | np.minimum(most, 0xFFFF).astype(np.uint64)
+        o = np.argsort(code)
+        self.code, self.key, self.doc, self.most = code[o], key[o], doc[o], most[o]
 
     def rows(self, d: np.ndarray, words: int, to: int) -> np.ndarray:
         m = self.flat[self.start[d][:, None] + np.arange(words)]
@@ -193,10 +210,10 @@ class _Postings:
 
 
 def met(left: pa.Table, right: pa.Table, t: float) -> pa.Table:
-    """(item, rec) of one part: postings that share a key and whose bitmaps allow similarity t; of the batch itself only earlier ids."""
+    """(item, rec) of one part: postings that share a key and whose sizes and bitmaps allow similarity t; of the batch itself only earlier ids."""
     if not left.num_rows or not right.num_rows:
         return pa.table({"item": pa.array([], pa.int64()), "rec": pa.array([], pa.int64())})
-    x, y = _Postings(left), _Postings(right)
+    x, y = _Postings(left, t), _Postings(right, t)
     ratio, total = (1 - t) / (1 + t), np.int64(len(y.ids))
     reach = math.ceil(math.log2(1 / t))  # size bands that similar sets may lie apart
     found: list[np.ndarray] = []
@@ -215,24 +232,33 @@ def met(left: pa.Table, right: pa.Table, t: float) -> pa.Table:
                     ok[some] = diff <= ratio * (x.n[p[some]] + y.n[q[some]]) + 1e-9
         return ok
 
-    # the smaller of a pair shares one of its first keys: once the item, once the record
-    for item_smaller in (True, False):
-        xs = np.flatnonzero(x.early) if item_smaller else np.arange(len(x.key))
-        ys = np.arange(len(y.key)) if item_smaller else np.flatnonzero(y.early)
-        xk, xd, yk, yd = x.key[xs], x.doc[xs], y.key[ys], y.doc[ys]
-        lo, hi = np.searchsorted(yk, xk), np.searchsorted(yk, xk, side="right")
+    least = _quarter(np.ceil(t * x.n - 1e-6))
+    low, all_ones = np.minimum(x.n, 0xFFFF).astype(np.uint64), np.uint64(0xFFFF)
+    for first in range(0, len(x.key), LOOKED_UP):
+        key, doc, most = (c[first : first + LOOKED_UP] for c in (x.key, x.doc, x.most))
+        lo = np.searchsorted(y.code, key << np.uint64(24))
+        hi = np.searchsorted(y.code, key << np.uint64(24) | np.uint64(0xFFFFFF), side="right")
+        alone = (hi - lo == 1) & (y.ids[y.doc[np.minimum(lo, len(y.doc) - 1)]] == x.ids[doc])  # only the item itself has it
+        some = np.flatnonzero((hi > lo) & ~alone & (_quarter(most) >= least[doc]))
+        # each of these in each size band that it allows: there, the records whose own limit allows the item come last
+        bands = (_quarter(most[some]) - least[doc[some]]).astype(np.int64) + 1
+        at = np.repeat(some, bands)
+        band = least[doc[at]] + (np.arange(len(at)) - np.repeat(np.cumsum(bands) - bands, bands)).astype(np.uint64)
+        cell = key[at] << np.uint64(24) | band << np.uint64(16)
+        lo, hi = np.searchsorted(y.code, cell | low[doc[at]]), np.searchsorted(y.code, cell | all_ones, side="right")
+        some = np.flatnonzero(hi > lo)
+        at, lo, hi = at[some], lo[some], hi[some]
         upto = np.cumsum(hi - lo)
         a = 0
-        while a < len(xk):
+        while a < len(at):
             z = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + AT_ONCE, side="right")))
-            for r in range(0, max(1, int((hi[a:z] - lo[a:z]).max())), AT_ONCE):  # a single key with more records than that
+            for r in range(0, int((hi[a:z] - lo[a:z]).max()), AT_ONCE):  # a single key with more records than that
                 f = np.minimum(lo[a:z] + r, hi[a:z])
                 c = np.minimum(hi[a:z] - f, AT_ONCE)
-                p = np.repeat(xd[a:z], c)
-                q = yd[np.arange(len(p)) + np.repeat(f - (np.cumsum(c) - c), c)]
-                np_, nq = x.n[p], y.n[q]
-                ok = (np_ <= nq) & (t * nq <= np_ + 1e-9) if item_smaller else (nq < np_) & (t * np_ <= nq + 1e-9)
-                ok &= y.old[q] | (y.ids[q] < x.ids[p])
+                from_x = np.repeat(at[a:z], c)
+                to_y = np.arange(len(from_x)) + np.repeat(f - (np.cumsum(c) - c), c)
+                p, q = doc[from_x], y.doc[to_y]
+                ok = (y.n[q] <= most[from_x]) & (x.n[p] <= y.most[to_y]) & (y.old[q] | (y.ids[q] < x.ids[p]))
                 code = np.unique(p[ok] * total + q[ok])
                 found.append(code[allowed(code // total, code % total)])
             a = z

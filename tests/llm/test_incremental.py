@@ -96,6 +96,26 @@ def test_dense_edits_and_short_texts(spark):
     assert {i: f for i, f in got.items() if f is not None} == brute([(i, " ".join(w)) for i, w in enumerate(old)], [], items) and sum(f is not None for f in got.values()) == len(old) + 1
 
 
+def test_few_postings_are_compared(spark, monkeypatch):
+    """Texts made of common phrases share keys with most of the history; sizes and places in the prefix leave few to compare, and lose none."""
+    r = random.Random(6)
+    phrases = [" ".join(f"p{i}w{j}" for j in range(12)) for i in range(60)]
+    new = lambda: " ".join([*r.sample(phrases, r.randint(3, 12)), *(f"u{r.randint(0, 10**6)}" for _ in range(r.randint(5, 60)))])
+    old = [(i, new()) for i in range(400)]
+    items = [(1000 + i, edited(r, old[i][1]) if i % 4 == 0 else new()) for i in range(100)]
+    rare = spark.sparkContext.broadcast(I.N.rarity(I.N.sign(spark.createDataFrame(old, "id long, text string"), 3, 30)))
+    post = lambda rows, was: I.posted(I.keyed(spark.createDataFrame(rows, "id long, text string").coalesce(1), 3, 30, 0.5, rare), 1, was).toArrow()
+    left = post(items, False)
+    right = I.pa.concat_tables([post(old, True), left])
+    compared, rows = [], I._Postings.rows
+    monkeypatch.setattr(I._Postings, "rows", lambda self, d, *a: compared.append(len(d)) or rows(self, d, *a))
+    got = {(a, b) for a, b in zip(*(I.met(left, right, 0.5).column(c).to_pylist() for c in ("item", "rec")))}
+    sets = {i: shingle_set(x, 3)[1] for i, x in old + items}
+    want = {(a, b) for a, _ in items for b in sets if b < a and jaccard_at_least(sets[a], sets[b], 0.5)}
+    assert want <= got and len(want) >= 20
+    assert sum(compared) / 2 < 0.04 * len(items) * len(sets)
+
+
 def test_page_keys():
     same = ["http://a.example/x/y?b=2&a=1", "HTTPS://www.A.example:443/x/%79/?a=1&b=2&utm_source=q#top", "http://click.t.example/r?u=http%3A%2F%2Fm.a.example%2Fx%2Fy%3Fa%3D1%26amp%3Bb%3D2", " http://amp.a.example/x/y?b=2&amp;a=1&print=1 "]
     assert len({page_key(u) for u in same}) == 1
