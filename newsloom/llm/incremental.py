@@ -8,8 +8,8 @@ names the layers that belong to the store, and is written last: a batch that bre
 *Fingerprints.* In any fixed order of the shingles, two sets of similarity t share one of their
 |x| - ceil(t|x|) + 1 first. If the first they share is number i of x, they have |x| - i in common at most, so
 |y| <= (|x| - i) (1+t)/t - |x|, and as much holds for y: a posting meets only those whose sizes keep both limits. The order is rare
-first by counts of the first history's texts (one in ORDER of them: counts only choose the order, any order is
-complete) and stays fixed. Keys are cut to 40 bits, which may let more through, never less.
+first by counts of all texts of the first history, in a table whose cells grow with its shingles, and stays fixed (any
+order is complete). Keys are cut to 40 bits, which may let more through, never less.
 
 *Check of a batch.* All its keys - fingerprints, pages, classes - meet the Bloom filters of their partition; what no
 filter holds is new and ends there. Positives, as a bitmap sized by their number, screen the scan of the store's keys;
@@ -47,13 +47,14 @@ from newsloom.llm.weburl import page_key
 from newsloom.llm.words import common, mix, shingle_sets
 from newsloom.runtime import fresh, get_text, put_text, shared_dir, ship, written
 
-ORDER = 8
+CELLS, MOST_CELLS, PER_CELL, CHUNKS = 1 << 21, 1 << 23, 8, 16  # of the counts of shingles: as many as keep shingles to PER_CELL a cell, within these
 PER_FILTER, PARTS, LAYERS = 1 << 22, 6, 16
 AT_ONCE = 4_000_000  # pairs of postings looked at together
 LOOKED_UP = 500_000  # postings of a batch looked up together
 MOST_ROWS = 500_000  # ids or hubs (16 bytes each) that are broadcast; more are joined by a shuffle
 _POST = "part int, keys binary, at binary, place binary, ids binary, n binary, bits binary, old boolean"
 _KEYED = "id long, cls long, n int, fps binary, bits binary, rest binary"
+_SETS = "id long, cls long, n int, keys binary, bits binary"
 _NEW = f"page long, {_KEYED}"
 
 
@@ -85,34 +86,80 @@ def _folded(bits: bytes) -> bytes:
     return (m[: len(m) // 2] ^ m[len(m) // 2 :]).tobytes() if len(m) > 4 else bits
 
 
-def _keys_of(texts: list, k: int, least_words: int, t: float, rare: np.ndarray) -> tuple[np.ndarray, list[pa.Array]]:
-    """(rows kept, columns cls, n, fps, bits, rest) of the texts of ``least_words`` or more: class of the shingle set,
-    its size, prefix keys in order, parity bitmap, the set's other keys."""
+def _sets_of(texts: list, k: int, least_words: int) -> tuple[np.ndarray, list[pa.Array]]:
+    """(rows kept, columns cls, n, keys, bits) of the texts of ``least_words`` or more: class of the shingle set, its size,
+    its keys in order of their value, parity bitmap."""
     rows, begin, h = shingle_sets(texts, k, least_words)
-    cls, fps, rest = [], [], []
-    for lo, hi in zip(begin[:-1].tolist(), begin[1:].tolist()):
-        x, n = h[lo:hi], hi - lo
-        cls.append(N.class_hash(x))
+    ends = list(zip(begin[:-1].tolist(), begin[1:].tolist()))
+    cls, keys = [N.class_hash(h[lo:hi]) for lo, hi in ends], h >> np.uint64(24)
+    return rows, [pa.array(cls, pa.int64()), pa.array(np.diff(begin).astype(np.int32)), *(pa.array(x, pa.binary()) for x in ([pack40(keys[lo:hi]) for lo, hi in ends], [_folded(x) for x in N.bitmaps(h, begin)]))]
+
+
+def _cut(keys: list[bytes], t: float, rare: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """(fps, rest) of packed sets: the prefix keys, rare first, and the other keys."""
+    fps, rest = [], []
+    for blob in keys:
+        x = unpack40(blob)
+        n = len(x)
         p = min(n, n - math.ceil(t * n - 1e-9) + 1)
-        order = x[np.argsort(rare[(x & np.uint64(N.BUCKETS - 1)).astype(np.int64)], kind="stable")] >> np.uint64(24)
+        order = x[np.argsort(rare[_cell(x, len(rare))], kind="stable")]
         fps.append(pack40(order[:p])), rest.append(pack40(order[p:]))
-    bits = [_folded(x) for x in N.bitmaps(h, begin)]
-    return rows, [pa.array(cls, pa.int64()), pa.array(np.diff(begin).astype(np.int32)), *(pa.array(x, pa.binary()) for x in (fps, bits, rest))]
+    return pa.array(fps, pa.binary()), pa.array(rest, pa.binary())
+
+
+def _cell(keys: np.ndarray, cells: int) -> np.ndarray:
+    return (keys & np.uint64(cells - 1)).astype(np.int64)
+
+
+def _keys_of(texts: list, k: int, least_words: int, t: float, rare: np.ndarray) -> tuple[np.ndarray, list[pa.Array]]:
+    """(rows kept, columns cls, n, fps, bits, rest) of the texts of ``least_words`` or more."""
+    rows, (cls, n, keys, bits) = _sets_of(texts, k, least_words)
+    fps, rest = _cut(keys.to_pylist(), t, rare)
+    return rows, [cls, n, fps, bits, rest]
 
 
 _NAMES = ["cls", "n", "fps", "bits", "rest"]
 
 
-def keyed(texts: DataFrame, k: int, least_words: int, t: float, order) -> DataFrame:
-    """(id, and the columns of ``_keys_of``) of each text (id, text) of ``least_words`` or more."""
+def sets(texts: DataFrame, k: int, least_words: int) -> DataFrame:
+    """(id, and the columns of ``_sets_of``) of each text (id, text) of ``least_words`` or more."""
 
     def run(batches):
         for b in (x.slice(lo, 4096) for x in batches for lo in range(0, x.num_rows, 4096)):
-            rows, cols = _keys_of(b.column(1).to_pylist(), k, least_words, t, order.value)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows)), *cols], ["id", *_NAMES])
+            rows, cols = _sets_of(b.column(1).to_pylist(), k, least_words)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows)), *cols], ["id", "cls", "n", "keys", "bits"])
 
     src = texts.where(F.col("id").isNotNull() & F.col("text").isNotNull()).select("id", "text")
-    return src.mapInArrow(run, _KEYED)
+    return src.mapInArrow(run, _SETS)
+
+
+def rarity(every: DataFrame, shingles: int) -> np.ndarray:
+    """How many of the sets have each shingle, by cell: counts of all of them."""
+    cells = CELLS
+    while cells < MOST_CELLS and cells * PER_CELL < shingles:
+        cells <<= 1
+
+    def run(batches):
+        counts = np.zeros(cells, np.uint64)
+        for b in batches:
+            if b.num_rows:
+                counts += np.bincount(_cell(unpack40(b"".join(b.column(0).to_pylist())), cells), minlength=cells).astype(np.uint64)
+        if counts.any():
+            yield sketch.blobs(counts, CHUNKS)
+
+    total = sketch.summed(every.select("keys").mapInArrow(run, sketch.SCHEMA), CHUNKS, cells)
+    return np.minimum(total, np.iinfo(np.uint32).max).astype(np.uint32)
+
+
+def keyed(every: DataFrame, t: float, order) -> DataFrame:
+    """``_KEYED`` of the rows of ``sets``, by the broadcast counts ``order``."""
+
+    def run(batches):
+        for b in batches:
+            fps, rest = _cut(b.column(3).to_pylist(), t, order.value)
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], fps, b.column(4), rest], ["id", *_NAMES])
+
+    return every.select("id", "cls", "n", "keys", "bits").mapInArrow(run, _KEYED)
 
 
 def newcomers(items: DataFrame, k: int, least_words: int, t: float, order) -> DataFrame:
@@ -130,12 +177,12 @@ def newcomers(items: DataFrame, k: int, least_words: int, t: float, order) -> Da
     return items.where(F.col("id").isNotNull()).select("id", "url", "text").mapInArrow(run, _NEW)
 
 
-def leads(keyed: DataFrame) -> DataFrame:
+def leads(every: DataFrame) -> DataFrame:
     """The text of the least id of each class, from a written table: only rows of repeated classes are shuffled."""
-    own = keyed.where("cls is not null").select("id", *_NAMES)
-    more = own.groupBy("cls").agg(F.count("*").alias("c")).where("c > 1").select("cls")
-    first = own.join(more, "cls", "left_semi").groupBy("cls").agg(F.min(F.struct("id", *_NAMES[1:])).alias("r"))
-    return own.join(more, "cls", "left_anti").select("id", *_NAMES).unionByName(first.select("cls", "r.*").select("id", *_NAMES))
+    names = ["n", "keys", "bits"]
+    more = every.groupBy("cls").agg(F.count("*").alias("c")).where("c > 1").select("cls")
+    first = every.join(more, "cls", "left_semi").groupBy("cls").agg(F.min(F.struct("id", *names)).alias("r"))
+    return every.join(more, "cls", "left_anti").select("id", "cls", *names).unionByName(first.select("cls", "r.*").select("id", "cls", *names))
 
 
 def posted(rows: DataFrame, parts: int, old: bool, screen=None, bits: int = 0) -> DataFrame:
@@ -346,7 +393,9 @@ class History:
         self.k, self.t, self.least = state["k"], state["t"], state["least_words"]
         self.order = None
         if "order" in state:
-            self.order = spark.sparkContext.broadcast(np.frombuffer(bytes(spark.read.parquet(f"{folder}/{state['order']}").first()[0]), np.uint32))
+            raise ValueError(f"the store in {folder} was made by an earlier version, whose keys stand in another order; build it anew")
+        if "counts" in state:
+            self.order = spark.sparkContext.broadcast(np.frombuffer(bytes(spark.read.parquet(f"{folder}/{state['counts']}").first()[0]), np.uint32))
         self.owner = f"batch-{uuid.uuid4().hex[:8]}"
 
     @classmethod
@@ -386,13 +435,12 @@ class History:
     filters = property(lambda self: self._all("filters", "part int, bits int, bloom binary"))
 
     def build(self, texts: DataFrame, urls: DataFrame) -> "History":
-        """The initial history: one scan of the texts (and one of a part of them for the order of the keys), one of the URLs."""
-        some = texts.where(F.pmod(F.xxhash64("id"), F.lit(ORDER)) == 0)
-        order = N.rarity(N.sign(some, self.k, self.least))
-        self.s["order"] = self._put(self.spark.createDataFrame([(order.tobytes(),)], "counts binary"), "order")
+        """The initial history: one scan of the texts, one of the URLs; the sets of the texts are counted, then ordered by the counts."""
+        every, (shingles,) = counted(sets(texts, self.k, self.least), self.owner, F.sum("n"))
+        order = rarity(every, shingles)
+        self.s["counts"] = self._put(self.spark.createDataFrame([(order.tobytes(),)], "counts binary"), "counts")
         self.order = self.spark.sparkContext.broadcast(order)
-        every = written(keyed(texts, self.k, self.least, self.t, self.order), self.owner)
-        reps = self._put(leads(every), "reps")
+        reps = self._put(keyed(leads(every), self.t, self.order), "reps")
         fresh(self.owner)
         pages = paged(urls).groupBy("page").agg(F.min("id").alias("id")).select(F.col("page").alias("hub"), "id")
         classes = self.spark.read.schema(_KEYED).parquet(f"{self.folder}/{reps}").select(F.col("cls").alias("hub"), "id")

@@ -103,8 +103,9 @@ def test_few_postings_are_compared(spark, monkeypatch):
     new = lambda: " ".join([*r.sample(phrases, r.randint(3, 12)), *(f"u{r.randint(0, 10**6)}" for _ in range(r.randint(5, 60)))])
     old = [(i, new()) for i in range(400)]
     items = [(1000 + i, edited(r, old[i][1]) if i % 4 == 0 else new()) for i in range(100)]
-    rare = spark.sparkContext.broadcast(I.N.rarity(I.N.sign(spark.createDataFrame(old, "id long, text string"), 3, 30)))
-    post = lambda rows, was: I.posted(I.keyed(spark.createDataFrame(rows, "id long, text string").coalesce(1), 3, 30, 0.5, rare), 1, was).toArrow()
+    of = lambda rows: I.sets(spark.createDataFrame(rows, "id long, text string").coalesce(1), 3, 30)
+    rare = spark.sparkContext.broadcast(I.rarity(of(old), 0))
+    post = lambda rows, was: I.posted(I.keyed(of(rows), 0.5, rare), 1, was).toArrow()
     left = post(items, False)
     right = I.pa.concat_tables([post(old, True), left])
     compared, rows = [], I._Postings.rows
@@ -116,6 +117,19 @@ def test_few_postings_are_compared(spark, monkeypatch):
     assert sum(compared) / 2 < 0.04 * len(items) * len(sets)
 
 
+def test_the_order_comes_from_all_texts(spark):
+    """Each shingle is counted in every text that has it, and the prefixes begin with the rarest by these counts."""
+    words = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join(words[: 31 + i % 9])) for i in range(1, 90)] + [(90, None), (91, "short")]
+    h = History.create(spark, I.scratch_store(spark, "order"), 3, 0.5, 30).build(spark.createDataFrame(rows, "id long, text string"), spark.createDataFrame([(1, None)], "id long, url string"))
+    have = [shingle_set(x, 3)[1] >> I.np.uint64(24) for _, x in rows[:89]]
+    want = I.np.bincount(I.np.concatenate(have).astype(int) & (len(h.order.value) - 1), minlength=len(h.order.value))
+    assert (h.order.value == want).all() and want.max() == 89
+    for r in h.reps.collect():
+        n = want[I.unpack40(bytes(r.fps) + bytes(r.rest)).astype(int) & (len(want) - 1)]
+        assert len(n) == r.n and (I.np.diff(n) >= 0).all()
+
+
 def test_page_keys():
     same = ["http://a.example/x/y?b=2&a=1", "HTTPS://www.A.example:443/x/%79/?a=1&b=2&utm_source=q#top", "http://click.t.example/r?u=http%3A%2F%2Fm.a.example%2Fx%2Fy%3Fa%3D1%26amp%3Bb%3D2", " http://amp.a.example/x/y?b=2&amp;a=1&print=1 "]
     assert len({page_key(u) for u in same}) == 1
