@@ -249,7 +249,8 @@ def spam_share(text: str, counts: Counts, often: bool = True, method: bool = Fal
     """(share of spam characters, share of links and tags, mean PMI of neighbouring words); ``often``, ``salad``: False where it is
     known that no keyword, no salad is possible. With ``method`` only repeated collocations and salad count as spam, and
     the second share is that of salad."""
-    size = len("".join(text.split()))
+    upto = visible(text)
+    size = int(upto[-1])
     w = word_hashes(text)
     if not size:
         return 0.0, 0.0, 0.0
@@ -269,7 +270,7 @@ def spam_share(text: str, counts: Counts, often: bool = True, method: bool = Fal
         low = text
     for m in UNIT.finditer(text):
         a, z = m.start(), m.end()
-        chars = len("".join(text[a:z].split()))
+        chars = int(upto[z] - upto[a])
         if not chars:
             continue
         covered = sum(mark[a:z])
@@ -291,7 +292,7 @@ def spam_share(text: str, counts: Counts, often: bool = True, method: bool = Fal
                     second += chars if method else 0
         if covered >= COVER * chars:
             spam[a:z] = b"\x01" * (z - a)
-    total_spam = sum(1 for k, c in zip(spam, text) if k and not c.isspace())
+    total_spam = int(np.diff(upto)[np.frombuffer(spam, bool)].sum())
     return total_spam / size, second / max(1, size if method else len(text)), mean
 
 
@@ -349,11 +350,44 @@ def quick_look(words: list[np.ndarray], counts: Counts, singles: bool = True) ->
     return mean, often, terms
 
 
+_TABLED = 0x30000  # characters whose kinds are looked up in a table; no space lies beyond
+_KINDS: list[np.ndarray] = []
+
+
+def _kinds() -> list[np.ndarray]:
+    """Whether a character belongs to words, and whether it is a space; made once in a worker."""
+    if not _KINDS:
+        some = [chr(i) for i in range(_TABLED)]
+        _KINDS.extend(np.fromiter(map(f, some), bool, _TABLED) for f in (str.isalnum, str.isspace))
+    return _KINDS
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def word_spans(low: str) -> np.ndarray:
+    """Where the words of a lower-cased text begin and end, as ``WORD`` finds them."""
+    c = _codes(low)
+    if c.max(initial=0) >= _TABLED:
+        return np.array([m.span() for m in WORD.finditer(low)], np.int64).reshape(-1, 2)
+    inside = np.zeros(len(c) + 2, bool)
+    inside[1:-1] = _kinds()[0][c]
+    return np.flatnonzero(inside[1:] != inside[:-1]).reshape(-1, 2)
+
+
+def visible(text: str) -> np.ndarray:
+    """How many characters before each place (and before the end) are no spaces."""
+    out = np.zeros(len(text) + 1, np.int64)
+    np.cumsum(~_kinds()[1][np.minimum(_codes(text), _TABLED - 1)], out=out[1:])
+    return out
+
+
 def most_covered(text: str, w: np.ndarray, terms: np.ndarray, least: float) -> float:
     """An upper bound of the share of a text's characters in units that keywords among ``terms`` cover enough; ``w``: its
     words' hashes. First over the whole text (such units of more than ``least`` need keywords on COVER of that), then by unit."""
     low = text.lower()
-    spans = np.array([m.span() for m in WORD.finditer(low)], np.int64).reshape(-1, 2)
+    spans = word_spans(low)
     if len(spans) != len(w) or len(low) != len(text):
         return 1.0
     known = np.sort(terms)
@@ -363,13 +397,13 @@ def most_covered(text: str, w: np.ndarray, terms: np.ndarray, least: float) -> f
     begin, end = np.concatenate([spans[one, 0], spans[two, 0]]), np.concatenate([spans[one, 1], spans[two + 1, 1]])
     if (end - begin).sum() < COVER * least * size:
         return 0.0
-    cut = [m.span() for m in UNIT.finditer(text)]
+    upto, cut = visible(text), [m.span() for m in UNIT.finditer(text)]
     starts = np.array([a for a, _ in cut], np.int64)
     unit = np.searchsorted(starts, begin, side="right") - 1
     covered = np.bincount(unit, end - begin, len(cut))
     share = 0
     for k in np.flatnonzero(covered).tolist():
-        chars = len("".join(text[cut[k][0] : cut[k][1]].split()))
+        chars = int(upto[cut[k][1]] - upto[cut[k][0]])
         share += chars if covered[k] >= COVER * chars else 0
     return share / max(1, size)
 

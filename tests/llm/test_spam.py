@@ -45,6 +45,18 @@ def test_quick_look_misses_nothing(world):
     assert {r.id for r in S.scored(df, counts, 0.5).where("spam > 0.5").collect()} == {k for k, f in enumerate(full) if f}
 
 
+def test_spans_by_table_are_those_of_the_pattern():
+    """Over every character there is, alone and mixed; the bound counts visible characters as the rule does."""
+    r = random.Random(2)
+    every = "".join(map(chr, range(0x110000)))
+    texts = [every[:0x30000], every, "", "_", "a", " a_b\u00a0\u3000c\u0301\u00b2 "] + ["".join(r.choice(every[: r.choice([0x80, 0x800, 0x30000, 0x110000])]) for _ in range(200)) for _ in range(100)]
+    for x in texts:
+        assert [tuple(s) for s in S.word_spans(x).tolist()] == [m.span() for m in S.WORD.finditer(x)]
+        assert S.visible(x)[-1] == len("".join(x.split()))
+        a, z = sorted(r.randint(0, len(x)) for _ in range(2))
+        assert S.visible(x)[z] - S.visible(x)[a] == len("".join(x[a:z].split()))
+
+
 def test_scored_is_the_rule_on_every_row(spark):
     """A stuffed keyword in a third of the corpus, one that comes only twice, and salad among words of high PMI."""
     r = random.Random(3)
