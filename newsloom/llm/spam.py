@@ -25,6 +25,7 @@ recurs; repeated rows give equal results; very long texts are read whole; an emp
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +33,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm import sketch
-from newsloom.llm.words import WORD, mix, slice_sets, word_hashes, word_lists
+from newsloom.llm.words import WORD, mix
 from newsloom.runtime import ship, written
 
 SINGLE, PAIR, ROWS, PIECES = 1 << 19, 1 << 20, 2, 16
+AT_ONCE = 1 << 20  # characters whose words are read side by side (a longer text alone)
 MOST_TERMS = 1_000_000  # stuffed terms (24 bytes each) that are broadcast
 BURST, COLLOCATION, COVER, SALAD, RATE = 4.0, 1.0, 0.22, -1.0, 2.5
 KNOWN, SALAD_PAIRS = 5, 6
@@ -44,6 +46,7 @@ LINK = re.compile(
     re.I | re.S,
 )
 _MAY_LINK = re.compile(r"://|www\.|<a\s|\[url|[a-z0-9]\.[a-z]{2}", re.I)
+_DOT = re.compile(r"\.[^\W\d_]")
 TAG = re.compile(r"(?<!\w)#[^\W\d_]\w*")
 UNIT = re.compile(r"[^\n.!?…]+[.!?…]*(?:[»”\"’“)\]]*(?=\s|$))?|[.!?…]+")
 ENTRY = re.compile(r"[,;|·•\n:!?–—>*/\t]+|\s-\s")
@@ -56,12 +59,103 @@ def pair_hashes(w: np.ndarray) -> np.ndarray:
 
 
 def among(h: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """Which values are among sorted ones."""
+    """Which values are among sorted ones; a table of their low bits lets most others go before the search."""
+    out = np.zeros(len(h), bool)
     if not len(known):
-        return np.zeros(len(h), bool)
-    at = np.searchsorted(known, h)
+        return out
+    may = np.arange(len(h))
+    if len(h) > len(known):
+        low = (1 << min(22, (16 * len(known)).bit_length())) - 1
+        table = np.zeros(low + 1, bool)
+        table[known.view(np.int64) & low] = True
+        may = np.flatnonzero(table.take(h.view(np.int64) & low))
+    at = np.searchsorted(known, h[may])
     at[at == len(known)] = 0
-    return known[at] == h
+    out[may] = known[at] == h[may]
+    return out
+
+
+_TABLED = 0x40000  # characters whose kinds are looked up in a table; no letter, digit or space lies beyond
+_KINDS: list[np.ndarray] = []
+_BASE, _SHORT = np.uint64(0xD1342543DE82EF95), 1 << 12
+
+
+def _kinds() -> list[np.ndarray]:
+    """Whether a character belongs to words, whether it is a space, its hash, and the powers of _BASE for words up to _SHORT;
+    made once in a worker."""
+    if not _KINDS:
+        some = [chr(i) for i in range(_TABLED)]
+        _KINDS.extend(np.fromiter(map(f, some), bool, _TABLED) for f in (str.isalnum, str.isspace))
+        _KINDS.append(mix(np.arange(1, _TABLED + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+        _KINDS.append(np.cumprod(np.full(_SHORT, _BASE)))
+    return _KINDS
+
+
+def _codes(text: str) -> np.ndarray:
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    return np.minimum(c, _TABLED - 1) if c.max(initial=0) >= _TABLED else c
+
+
+def _spans(c: np.ndarray) -> np.ndarray:
+    inside = np.zeros(len(c) + 2, bool)
+    inside[1:-1] = _kinds()[0][c]
+    return np.flatnonzero(inside[1:] != inside[:-1]).reshape(-1, 2)
+
+
+def _hashes(c: np.ndarray, spans: np.ndarray) -> np.ndarray:
+    """Hashes of words: the characters' hashes times powers by their place, summed."""
+    if not len(spans):
+        return np.empty(0, np.uint64)
+    size = spans[:, 1] - spans[:, 0]
+    first = np.cumsum(size) - size
+    place = np.arange(first[-1] + size[-1]) - np.repeat(first, size)
+    inside, _, own, powers = _kinds()
+    longest = int(size.max())
+    with np.errstate(over="ignore"):
+        powers = powers if longest <= _SHORT else np.cumprod(np.full(longest, _BASE))
+        return mix(np.add.reduceat(own[c[inside[c]]] * powers[place], first))
+
+
+def word_hashes(text: str) -> np.ndarray:
+    """Hashes of the words in order."""
+    c = _codes(text.lower())
+    return _hashes(c, _spans(c))
+
+
+def read(texts: list):
+    """AT_ONCE characters at a time: (rows of the texts that have words, word hashes of each, spans of all their words in the
+    lower-cased text, visible characters of each, 0 where the lower case has another length)."""
+    some: list[int] = []
+    chars = 0
+    for i, x in enumerate(texts):
+        if x:
+            some.append(i)
+            chars += len(x)
+        if some and (chars >= AT_ONCE or i == len(texts) - 1):
+            yield _read(texts, some)
+            some, chars = [], 0
+    if some:
+        yield _read(texts, some)
+
+
+def _read(texts: list, some: list[int]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
+    lows = [texts[i].lower() for i in some]
+    c = _codes("\n".join(lows))
+    start = np.cumsum([0] + [len(x) + 1 for x in lows])
+    spans = _spans(c)
+    h = _hashes(c, spans)
+    at = np.searchsorted(spans[:, 0], start)
+    size = np.diff(at)
+    same = [len(x) == len(texts[i]) for i, x in zip(some, lows)]
+    seen = np.add.reduceat(~_kinds()[1][c], start[:-1], dtype=np.int64) * same  # the line end between two texts is a space
+    has = np.flatnonzero(size)
+    rows = np.array(some, np.int64)[has]
+    return rows, [h[a:z] for a, z in zip(at[has].tolist(), at[has + 1].tolist())], spans - np.repeat(start[:-1], size)[:, None], seen[has]
+
+
+def word_lists(texts: list) -> list[np.ndarray]:
+    """Word hashes of the texts that have words."""
+    return [w for _, words, _, _ in read(texts) for w in words]
 
 
 class Counts:
@@ -90,8 +184,9 @@ class Counts:
 
     def pmi(self, w: np.ndarray, n: np.ndarray | None = None) -> np.ndarray:
         """PMI of each word and its right neighbour; ``n``: exact occurrences of the pairs, else estimated."""
-        n = self.pair(pair_hashes(w)) if n is None else n
-        one, _ = self.single(w)
+        return self.pmi_of(self.single(w)[0], self.pair(pair_hashes(w)) if n is None else n)
+
+    def pmi_of(self, one: np.ndarray, n: np.ndarray) -> np.ndarray:
         return np.log((n + 0.1) * self.words / ((one[:-1] + 1) * (one[1:] + 1)))
 
     def held(self, h: np.ndarray) -> np.ndarray:
@@ -99,19 +194,33 @@ class Counts:
         return among(h, self.terms)
 
 
-def term_runs(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, times) of every word and pair of each of many texts, one entry for each text that has it."""
+def runs_of(rows: list[np.ndarray], wanted: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(hash, times) of every word, and of every pair, of each of many texts that have words, one entry for each text that
+    has it; ``wanted``: of these (sorted) only."""
     size = np.fromiter(map(len, rows), np.int64, len(rows))
     w = np.concatenate(rows)
-    text = np.repeat(np.arange(len(rows)), size)
-    inside = text[1:] == text[:-1]  # a pair never spans two texts
+    inside = np.ones(max(0, len(w) - 1), bool)
+    inside[np.cumsum(size)[:-1] - 1] = False  # a pair never spans two texts
     out = []
-    for h, own in ((mix(w), text), (pair_hashes(w)[inside], text[:-1][inside]) if len(w) > 1 else (w[:0], text[:0])):
-        o = np.argsort(h, kind="stable")  # texts stay in order within equal hashes
-        h, own = h[o], own[o]
-        first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (own[1:] != own[:-1])])) if len(h) else np.empty(0, np.int64)
+    for h, n in ((mix(w), size), (pair_hashes(w)[inside] if len(w) > 1 else w[:0], np.maximum(size - 1, 0))):
+        if wanted is not None:
+            own = among(h, wanted)
+            h, n = h[own], np.bincount(np.repeat(np.arange(len(n)), n)[own], minlength=len(n))
+        n = n[n > 0]
+        at = np.cumsum(n) - n
+        for a, z in zip(at.tolist(), (at + n).tolist()):
+            h[a:z].sort()
+        head = np.ones(len(h), bool)
+        head[1:] = h[1:] != h[:-1]
+        head[at] = True
+        first = np.flatnonzero(head)
         out.append((h[first], np.diff(np.append(first, len(h)))))
-    return np.concatenate([x for x, _ in out]), np.concatenate([n for _, n in out])
+    return out
+
+
+def term_runs(rows: list[np.ndarray], wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """``runs_of``, words and pairs together."""
+    return tuple(np.concatenate(x) for x in zip(*runs_of(rows, wanted)))
 
 
 def _summed_by(h: np.ndarray, *cols: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -135,24 +244,18 @@ def corpus_counts(docs: DataFrame, owner: str = "spam") -> Counts:
         flat = np.zeros(cells, np.uint64)
         n = words = 0
         for b in batches:
-            _, rows = word_lists(b.column(0).to_pylist(), 1)
+            rows = word_lists(b.column(0).to_pylist())
             if not rows:
                 continue
             n += len(rows)
-            size = np.fromiter(map(len, rows), np.int64, len(rows))
-            w = np.concatenate(rows)
-            words += len(w)
-            at = np.cumsum(size) - size
-            p = pair_hashes(w) if len(w) > 1 else np.empty(0, np.uint64)
-            inside = np.ones(len(p), bool)
-            inside[at[1:] - 1] = False
-            dw = slice_sets(w, at, size)[1]
+            words += sum(map(len, rows))
+            one, two = runs_of(rows)
             lo = 0
-            for mask, h in ((SINGLE, mix(w)), (SINGLE, mix(dw)), (PAIR, p[inside])):
+            for mask, h, times in ((SINGLE, *one), (SINGLE, one[0], None), (PAIR, *two)):
                 for cell in Counts._cells(h, mask):
-                    flat[lo : lo + mask] += np.bincount(cell, minlength=mask).astype(np.uint64)
+                    flat[lo : lo + mask] += np.bincount(cell, times, mask).astype(np.uint64)  # exact: far below 2^53
                     lo += mask
-            h, times = term_runs(rows)
+            h, times = (np.concatenate(x) for x in zip(one, two))
             often = times > 1
             h, total, has = _summed_by(h[often], times[often], np.ones(int(often.sum()), np.int64))
             m = len(h)
@@ -188,13 +291,11 @@ def _had_once(texts: DataFrame, terms: DataFrame, spark) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            _, rows = word_lists(b.column(0).to_pylist(), 1)
+            rows = word_lists(b.column(0).to_pylist())
             if not rows:
                 continue
-            h, times = term_runs(rows)
+            h, times = term_runs(rows, None if wanted is None else wanted.value)
             h = h[times == 1]
-            if wanted is not None:
-                h = h[among(h, wanted.value)]
             h, s = _summed_by(h, np.ones(len(h), np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(s)], ["h", "s"])
 
@@ -202,6 +303,11 @@ def _had_once(texts: DataFrame, terms: DataFrame, spark) -> DataFrame:
     return (got if few else got.join(terms.select("h"), "h", "left_semi")).groupBy("h").agg(F.sum("s").alias("s"))
 
 
+def may_link(text: str) -> bool:
+    """Whether ``_MAY_LINK`` finds anything; what each of its forms needs is looked for first."""
+    return ("://" in text or "w." in text or "W." in text or "<" in text or "[" in text or _DOT.search(text) is not None) and _MAY_LINK.search(text) is not None
+
+
 def keywords(text: str, counts: Counts) -> set[tuple[str, ...]]:
     """The stuffed words and pairs of one text."""
     repeats: dict[tuple, int] = {}
@@ -254,7 +360,7 @@ def spam_share(text: str, counts: Counts, often: bool = True, method: bool = Fal
     w = word_hashes(text)
     if not size:
         return 0.0, 0.0, 0.0
-    links = [(m.start(), m.end()) for m in LINK.finditer(text)] if not method and _MAY_LINK.search(text) else []
+    links = [(m.start(), m.end()) for m in LINK.finditer(text)] if not method and may_link(text) else []
     tags = [(m.start(), m.end()) for m in TAG.finditer(text)] if not method and "#" in text else []
     mean = float(counts.pmi(w).mean()) if len(w) > 1 else 0.0
     mark = bytearray(len(text))
@@ -296,17 +402,20 @@ def spam_share(text: str, counts: Counts, often: bool = True, method: bool = Fal
     return total_spam / size, second / max(1, size if method else len(text)), mean
 
 
-def quick_look(words: list[np.ndarray], counts: Counts, singles: bool = True) -> tuple[np.ndarray, np.ndarray, dict[int, np.ndarray]]:
+def quick_look(words: list[np.ndarray], counts: Counts, singles: bool = True, spans: np.ndarray | None = None, least: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, dict[int, np.ndarray]]:
     """(mean PMI, whether a salad unit is possible, the terms that may be keywords by text) of many texts at once; weaker than the rule, so no
     text it lets go has either. A keyword comes twice or more, and RATE times as often as in the corpus. The known pairs of a
     salad unit are SALAD_PAIRS or more in a row among the text's; if so many have a mean below SALAD, fewer than
-    twice as many in a row have."""
+    twice as many in a row have. With ``spans`` of all words and the ``least`` characters of each text, those texts are let go
+    whose terms cover fewer."""
     if not words:
         return np.empty(0), np.empty(0, bool), {}
     size = np.fromiter(map(len, words), np.int64, len(words))
     at = np.cumsum(size) - size
     w = np.concatenate(words)
-    p = np.append(counts.pmi(w), 0.0) if len(w) > 1 else np.zeros(1)
+    one, docs = counts.single(w)
+    pairs = pair_hashes(w)
+    p = np.append(counts.pmi_of(one, counts.pair(pairs)), 0.0)
     p[at + size - 1] = 0.0  # the pair that spans two texts
     mean = np.add.reduceat(p, at) / np.maximum(size - 1, 1)
     often = np.zeros(len(words), bool)
@@ -314,27 +423,32 @@ def quick_look(words: list[np.ndarray], counts: Counts, singles: bool = True) ->
     inside = np.ones(len(w), bool)
     inside[at + size - 1] = False
 
-    def recurs(h: np.ndarray, own: np.ndarray) -> None:
-        """Keep the stuffed terms that come twice in a text and RATE times as often as in the corpus."""
-        if not len(h):
+    room = np.zeros(len(words), np.int64)
+
+    def recurs(h: np.ndarray, k: int) -> None:
+        """Keep the stuffed terms, of ``k`` words, that come twice in a text and RATE times as often as in the corpus."""
+        at = np.flatnonzero(inside[: len(h)] & counts.held(h)) if k > 1 else np.flatnonzero(counts.held(h))
+        if not len(at):
             return
+        h, own = h[at], text[at]
         o = np.argsort(h, kind="stable")  # texts stay in order within equal hashes
-        h, own = h[o], own[o]
+        h, own, at = h[o], own[o], at[o]
         first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (own[1:] != own[:-1])]))
+        if spans is not None:
+            long = np.add.reduceat(spans[at + k - 1, 1] - spans[at, 0], first)
         times, h, own = np.diff(np.append(first, len(h))), h[first], own[first]
         n = counts.n[np.searchsorted(counts.terms, h)]
         ok = (times > 1) & (times * float(counts.words) >= RATE * n * size[own] - 1e-6)
         found.append((own[ok], h[ok]))
+        if spans is not None:
+            np.add.at(room, own[ok], long[ok])
 
     found: list[tuple[np.ndarray, np.ndarray]] = []
     if singles:
-        ok = counts.held(mix(w))
-        recurs(mix(w)[ok], text[ok])
+        recurs(mix(w), 1)
     if len(w) > 1:
-        h = pair_hashes(w)
-        ok = inside[:-1] & counts.held(h)
-        recurs(h[ok], text[:-1][ok])
-        known = counts.single(w)[1] >= KNOWN
+        recurs(pairs, 2)
+        known = docs >= KNOWN
         both = np.flatnonzero(inside[:-1] & known[:-1] & known[1:])
         own, upto = text[both], np.concatenate([[0.0], np.cumsum(p[both] - SALAD)])
         for k in range(SALAD_PAIRS, min(2 * SALAD_PAIRS, len(both) + 1)):
@@ -343,6 +457,9 @@ def quick_look(words: list[np.ndarray], counts: Counts, singles: bool = True) ->
     terms: dict[int, np.ndarray] = {}
     if found:
         own, h = np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
+        if least is not None:
+            ok = room[own] >= least[own]
+            own, h = own[ok], h[ok]
         o = np.argsort(own, kind="stable")
         own, h = own[o], h[o]
         at = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(own) else []
@@ -350,36 +467,15 @@ def quick_look(words: list[np.ndarray], counts: Counts, singles: bool = True) ->
     return mean, often, terms
 
 
-_TABLED = 0x30000  # characters whose kinds are looked up in a table; no space lies beyond
-_KINDS: list[np.ndarray] = []
-
-
-def _kinds() -> list[np.ndarray]:
-    """Whether a character belongs to words, and whether it is a space; made once in a worker."""
-    if not _KINDS:
-        some = [chr(i) for i in range(_TABLED)]
-        _KINDS.extend(np.fromiter(map(f, some), bool, _TABLED) for f in (str.isalnum, str.isspace))
-    return _KINDS
-
-
-def _codes(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-
-
 def word_spans(low: str) -> np.ndarray:
     """Where the words of a lower-cased text begin and end, as ``WORD`` finds them."""
-    c = _codes(low)
-    if c.max(initial=0) >= _TABLED:
-        return np.array([m.span() for m in WORD.finditer(low)], np.int64).reshape(-1, 2)
-    inside = np.zeros(len(c) + 2, bool)
-    inside[1:-1] = _kinds()[0][c]
-    return np.flatnonzero(inside[1:] != inside[:-1]).reshape(-1, 2)
+    return _spans(_codes(low))
 
 
 def visible(text: str) -> np.ndarray:
     """How many characters before each place (and before the end) are no spaces."""
     out = np.zeros(len(text) + 1, np.int64)
-    np.cumsum(~_kinds()[1][np.minimum(_codes(text), _TABLED - 1)], out=out[1:])
+    np.cumsum(~_kinds()[1][_codes(text)], out=out[1:])
     return out
 
 
@@ -408,6 +504,57 @@ def most_covered(text: str, w: np.ndarray, terms: np.ndarray, least: float) -> f
     return share / max(1, size)
 
 
+def _marked(spans, size: int) -> np.ndarray:
+    """Which of so many places lie in any of the spans."""
+    at = np.array(spans, np.int64).reshape(-1, 2)
+    return np.cumsum(np.bincount(at[:, 0], minlength=size + 1) - np.bincount(at[:, 1], minlength=size + 1))[:-1] > 0
+
+
+def share_by_arrays(text: str, w: np.ndarray, terms: np.ndarray | None, counts: Counts, method: bool, mean: float) -> tuple[float, float, float]:
+    """``spam_share`` of a text in which no salad is possible, all of whose keywords are among ``terms`` (None: there are none),
+    with places in arrays; ``w``: its words' hashes, ``mean``: their PMI."""
+    low = text.lower()
+    spans = word_spans(low)
+    if len(low) != len(text) or len(spans) != len(w):
+        return spam_share(text, counts, terms is not None, method, False)
+    begin, end = spans[:, 0], spans[:, 1]
+    upto = visible(text)
+    mark = np.zeros(len(text), bool)
+    if not method:
+        links = LINK.finditer(text) if may_link(text) else ()
+        for m in (*links, *(TAG.finditer(text) if "#" in text else ())):
+            mark[m.start() : m.end()] = True
+    cut = np.array([m.span() for m in UNIT.finditer(text)], np.int64).reshape(-1, 2)
+    hits: list[tuple[int, int]] = []
+    if terms is not None and len(w) > 1:
+        known = np.sort(terms)
+        sent, entry = (np.searchsorted(np.array([m.end() for m in r.finditer(text)], np.int64), begin, side="right") for r in (_SENT, ENTRY))
+        in_sent, in_entry = np.bincount(sent), np.bincount(entry)
+        unit = np.searchsorted(cut[:, 0], begin, side="right") - 1
+        for k, h in ((1, mix(w)), (2, pair_hashes(w)))[method:]:
+            at = np.flatnonzero(among(h, known))
+            last = at + k - 1
+            sents = np.where((sent[at] == sent[last]) & (in_sent[sent[at]] > 1), sent[at], -1)
+            entries = np.where((entry[at] == entry[last]) & (in_entry[entry[at]] <= 5), entry[at], -1)
+            begins = np.where(unit[at] == unit[last], begin[at], end[last])  # else no place at all
+            places: dict[int, list[tuple]] = {}
+            for t, *place in zip(h[at].tolist(), sents.tolist(), entries.tolist(), begins.tolist(), end[last].tolist(), at.tolist()):
+                places.setdefault(t, []).append(place)
+            for t, own in places.items():
+                i = own[0][4]
+                if any(len(x) < (4, 2)[k - 1] or x.isdigit() for x in (low[begin[j] : end[j]] for j in range(i, i + k))):
+                    continue
+                here, short = Counter(x[0] for x in own if x[0] >= 0), len({x[1] for x in own} - {-1})
+                if short < 4 and max(here.values(), default=0) < 2 or (n := counts.known.get(t)) is None:
+                    continue
+                if max(here.total(), short) / len(w) >= RATE * n / counts.words and (k == 1 or counts.pmi(w[i : i + 2], np.array([n]))[0] > COLLOCATION):
+                    hits.extend(x[2:4] for x in own)
+    hit = mark | _marked(hits, len(text))
+    covered, chars = (x[cut[:, 1]] - x[cut[:, 0]] for x in (np.concatenate([[0], np.cumsum(hit)]), upto))
+    spam = mark | _marked(cut[(chars > 0) & (covered >= COVER * chars)], len(text))
+    return int(np.diff(upto)[spam].sum()) / int(upto[-1]), int(mark.sum()) / len(text), mean
+
+
 _OWN: dict[str, Counts] = {}
 
 
@@ -431,29 +578,32 @@ def _each(docs: DataFrame, counts: Counts, method: bool, names: tuple[str, str,
         own = S.known_counts(parts)
         for b in batches:
             texts = b.column(1).to_pylist()
-            out = [(0.0, 0.0, 0.0)] * len(texts)
-            rows, words = word_lists(texts, 1)
-            mean, salad, may = S.quick_look(words, own, not method)  # the method knows no single words
             joined = b.column(2).to_pylist() if b.num_columns > 2 else None
-            for k, (i, m, mixed) in enumerate(zip(rows.tolist(), mean.tolist(), salad.tolist())):
-                x, terms = texts[i], may.get(k)
-                if joined is not None:
-                    own.known = {t["h"] % (1 << 64): t["n"] for t in joined[i] or ()}
-                    terms = np.fromiter(own.known, np.uint64, len(own.known)) if own.known else None
-                linked = not method and ("#" in x or _MAY_LINK.search(x) is not None)
-                o = mixed = mixed or "\u03a3" in x  # its lower case depends on what follows, so on where a text is cut
-                if not o and terms is not None and (linked or least == 0.0 or S.most_covered(x, words[k], terms, least) > least):
-                    o = True
-                out[i] = S.spam_share(x, own, o, method, mixed) if o or linked else (0.0, 0.0, m)
+            out = [(0.0, 0.0, 0.0)] * len(texts)
+            for rows, words, spans, chars in S.read(texts):
+                linked = [not method and ("#" in texts[i] or may_link(texts[i])) for i in rows.tolist()]
+                room = np.where(linked, 0.0, COVER * least * chars)
+                mean, salad, may = S.quick_look(words, own, not method, spans, room)  # the method knows no single words
+                for k, (i, m, mixed) in enumerate(zip(rows.tolist(), mean.tolist(), salad.tolist())):
+                    x, terms = texts[i], may.get(k)
+                    if joined is not None:
+                        own.known = {t["h"] % (1 << 64): t["n"] for t in joined[i] or ()}
+                        terms = np.fromiter(own.known, np.uint64, len(own.known)) if own.known else None
+                    if terms is not None and least > 0.0 and not linked[k] and S.most_covered(x, words[k], terms, least) <= least:
+                        terms = None
+                    if mixed or "\u03a3" in x:  # its lower case depends on what follows, so on where a text is cut
+                        out[i] = S.spam_share(x, own, True, method, True)
+                    else:
+                        out[i] = S.share_by_arrays(x, words[k], terms, own, method, m) if terms is not None or linked[k] else (0.0, 0.0, m)
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([g[k] for g in out], pa.float64()) for k in range(3))], ["id", *names])
 
     def recurring(batches):
         for b in batches:
-            rows, words = word_lists(b.column(1).to_pylist(), 1)
-            for i, w in zip(rows.tolist(), words):
-                h, times = term_runs([w])
-                h = h[times > 1]
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array([i] * len(h), pa.int64())), pa.array(h.view(np.int64))], ["id", "h"])
+            for rows, words, _, _ in read(b.column(1).to_pylist()):
+                for i, w in zip(rows.tolist(), words):
+                    h, times = term_runs([w])
+                    h = h[times > 1]
+                    yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array([i] * len(h), pa.int64())), pa.array(h.view(np.int64))], ["id", "h"])
 
     src = docs.where(F.col("id").isNotNull() & F.col("text").isNotNull()).select("id", "text")
     if counts.table is not None:  # as many terms as a document has

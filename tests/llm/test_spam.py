@@ -57,6 +57,53 @@ def test_spans_by_table_are_those_of_the_pattern():
         assert S.visible(x)[z] - S.visible(x)[a] == len("".join(x[a:z].split()))
 
 
+def test_words_read_side_by_side_are_those_of_the_pattern(monkeypatch):
+    """Whatever the texts are cut at: their words, places and visible characters; a word has one hash, and no other word has it."""
+    r = random.Random(4)
+    texts = [None, "", "  ", "!?", "x" * 5000, "\u0130stanbul \u0130zmir", "\u0391\u03a3:\u0392 \u0391\u03a3", "a\U00030000b \U0010ffff c", "ab ba aab aba baa \u00b2"]
+    texts += [" ".join(r.choice(["ab", "ba", "\u00e9t\u00e9", "Stra\u00dfe", "\u65e5\u672c", "1,5", "\u00a0", "_", "e\u0301"]) + str(r.randint(0, 99)) for _ in range(r.randint(1, 60))) for _ in range(200)]
+    named = {}
+    for at_once in (1, 500, 1 << 20):
+        monkeypatch.setattr(S, "AT_ONCE", at_once)
+        seen = []
+        for rows, words, spans, chars in S.read(texts):
+            spans = iter(spans.tolist())
+            for i, w, n in zip(rows.tolist(), words, chars.tolist()):
+                low = texts[i].lower()
+                assert [next(spans) for _ in w] == [list(m.span()) for m in S.WORD.finditer(low)]
+                assert all(named.setdefault(x, h) == h for x, h in zip(S.WORD.findall(low), w.tolist())) and S.word_hashes(texts[i]).tolist() == w.tolist()
+                assert n == (len("".join(texts[i].split())) if len(low) == len(texts[i]) else 0)
+                seen.append(i)
+            assert next(spans, None) is None
+        assert seen == [i for i, x in enumerate(texts) if x and S.WORD.search(x)]
+    assert len(set(named.values())) == len(named) > 500
+
+
+def test_shares_by_arrays_are_those_of_the_rule(spark, monkeypatch):
+    """Keywords in sentences, lists and across their ends, with links, tags, digits, and capitals whose lower case is longer."""
+    r = random.Random(5)
+    term = ["dog bed", "loan", "Rain  Boots", "loan\nloan", "car. lease", "5 loans", "x loan", "\u0130zmir villa", "2024 2024"]
+    other = [f"word{k}" for k in range(300)] + ["http://a.test/b", "www.shop.test", "#LoanNow", "<a href='u'>dog bed</a>", "[loan](http://b.test)", "e.g.x", "\u65e5\u672c", "\u00b2"]
+    ends = [" ", " ", " ", ", ", ". ", "!\u201d ", "\n", "\n\n", " | ", " - ", "\u2026", "; ", "\u00a0", "?!"]
+    texts = []
+    for _ in range(400):
+        own, often = r.sample(term, 3), r.random() ** 2
+        texts.append("".join((r.choice(own) if r.random() < often else r.choice(other)) + r.choice(ends[: r.randint(1, len(ends))]) for _ in range(r.randint(1, 90))))
+    texts += [" ".join(f"word{r.randint(0, 299)}" for _ in range(60)) for _ in range(300)]
+    assert all(S.may_link(x) == bool(S._MAY_LINK.search(x)) for x in [*texts, "a.\u017f\u0131", "a.\u0130s", "WWW.", "<A b", "[URL", "x://", "a.b", "a. bc", "\u00e9.bc", "1.23"])
+    counts = S.corpus_counts(spark.createDataFrame(list(enumerate(texts)), "id long, text string"))
+    words = [S.word_hashes(x) for x in texts]
+    for method in (False, True):
+        mean, _, terms = S.quick_look(words, counts, not method)
+        want = [S.spam_share(x, counts, True, method, False) for x in texts]
+        with monkeypatch.context() as m:
+            m.setattr(S, "keywords", None)  # the pattern's way is not needed, save where lower case is longer
+            got = [S.share_by_arrays(x, words[k], terms.get(k), counts, method, float(mean[k])) if len(x.lower()) == len(x) else None for k, x in enumerate(texts)]
+        got = [S.share_by_arrays(x, words[k], terms.get(k), counts, method, float(mean[k])) if g is None else g for k, (x, g) in enumerate(zip(texts, got))]
+        assert [g[:2] for g in got] == [w[:2] for w in want] and all(abs(g[2] - w[2]) < 1e-9 for g, w in zip(got, want))
+        assert 20 < sum(w[0] > 0.5 for w in want) < 400 and len({w[0] for w in want}) > 50
+
+
 def test_scored_is_the_rule_on_every_row(spark):
     """A stuffed keyword in a third of the corpus, one that comes only twice, and salad among words of high PMI."""
     r = random.Random(3)
