@@ -3,11 +3,12 @@
 1. *Sign.* Each text becomes a set of hashed shingles. Texts with equal sets fall into one class.
    A sketch of fixed size counts all shingles of the corpus by hashed bucket; rare comes first.
 2. *Tile.* By the prefix principle two sets of similarity t share one of the |x| - ceil(t|x|) + 1
-   first shingles in any fixed order, so each class is posted under these alone; of a pair the smaller
-   shares one of its |x| - ceil(2t/(1+t) |x|) + 1 first, so only those look for larger partners. The postings of
-   one shingle form a tile, sorted by size and cut into size bands of a factor 2. Tiles compare
-   hashed bitmap signatures (each shingle flips one bit; width grows with the band): the number of
-   differing bits bounds the symmetric difference from below, hence the overlap from above.
+   first shingles in any fixed order, so each class is posted under these alone, with its place: if the
+   first shingle two sets share comes i-th of x, they share |x| - i + 1 at most, which limits |y|. The
+   postings of one shingle form a tile, sorted by size; two meet only if each one's place allows the
+   other's size. Those compare hashed bitmap signatures (each shingle flips one bit; width grows with
+   the size band, a factor 2): the number of differing bits bounds the symmetric difference from below,
+   hence the overlap from above.
 3. *Verify.* Pairs that pass are checked by exact intersection of the sorted arrays.
 
 No step drops a pair of similarity t or more. Shingles counted more than ``HOT`` times are salted
@@ -33,7 +34,8 @@ from newsloom.runtime import ship, written
 BUCKETS, CHUNKS = 1 << 21, 16
 HOT = 20_000
 PER_PART = 1_000_000
-BLOCK = 160  # rows of a large tile compared at once
+AT_ONCE = 1_000_000  # pairs of postings looked at together
+WORDS = 1 << 20  # words of the bitmaps compared together
 
 
 def _band(n: np.ndarray) -> np.ndarray:
@@ -110,7 +112,7 @@ def _unpack(blob: bytes) -> np.ndarray:
     return np.cumsum(out.reshape(-1).view(np.uint64))
 
 
-_POST = "part int, keys binary, at binary, cls binary, n binary, bits binary"
+_POST = "part int, keys binary, at binary, place binary, cls binary, n binary, bits binary"
 
 
 def postings(docs: DataFrame, k: int, t: float, least_words: int, order, parts: int) -> DataFrame:
@@ -123,7 +125,7 @@ def postings(docs: DataFrame, k: int, t: float, least_words: int, order, parts:
             f = rare[(h & np.uint64(BUCKETS - 1)).astype(np.int64)]
             rank = f.astype(np.uint64) << np.uint64(32) | (h >> np.uint64(32))
             seen: dict[int, int] = {}
-            keys, at = [], []
+            keys, doc, at_place = [], [], []
             for d, (lo, hi) in enumerate(zip(begin[:-1].tolist(), begin[1:].tolist())):
                 c = class_hash(h[lo:hi])
                 if c in seen:
@@ -131,146 +133,125 @@ def postings(docs: DataFrame, k: int, t: float, least_words: int, order, parts:
                 seen[c] = d
                 n = hi - lo
                 p = min(n, n - math.ceil(t * n - 1e-9) + 1)
-                first = lo + (np.argpartition(rank[lo:hi], p - 1)[:p] if p < n else np.arange(n))
-                few = min(p, n - math.ceil(2 * t / (1 + t) * n - 1e-9) + 1)
-                early = np.ones(p, bool)
-                if few < p:
-                    early[np.argpartition(rank[first], few - 1)[few:]] = False
+                first = lo + np.argsort(rank[lo:hi], kind="stable")[:p]  # equal ranks stay in the order of the hashes, the same in every text
+                place = np.arange(p) * 256 // p
                 key, often = h[first], f[first]
-                if often.max() > HOT:
+                if often[-1] > HOT:
                     plain = often <= HOT
-                    own, flags = [key[plain]], [early[plain]]
-                    for x, m, e in zip(key[~plain], often[~plain], early[~plain]):
+                    own, places = [key[plain]], [place[plain]]
+                    for x, m, i in zip(key[~plain], often[~plain], place[~plain]):
                         salts = -(-int(m) // HOT)
                         mine = c % salts
                         tiles = [(min(mine, y) * salts + max(mine, y)) for y in range(salts)]
-                        own.append(mix(np.array(tiles, np.uint64) ^ x)), flags.append(np.full(salts, e))
-                    key, early = np.concatenate(own), np.concatenate(flags)
-                keys.append(key), at.append((len(seen) - 1 | early.astype(np.int64) << 15).astype(np.uint16))
+                        own.append(mix(np.array(tiles, np.uint64) ^ x)), places.append(np.full(salts, i))
+                    key, place = np.concatenate(own), np.concatenate(places)
+                keys.append(key), doc.append(np.full(len(key), len(seen) - 1, np.uint16)), at_place.append(place.astype(np.uint8))
             if not seen:
                 continue
             mine = np.array(list(seen.values()))
             every = bitmaps(h, begin)
             bits = [every[d] for d in mine]
-            key, idx = np.concatenate(keys) >> np.uint64(24), np.concatenate(at)
+            key, idx, place = np.concatenate(keys) >> np.uint64(24), np.concatenate(doc), np.concatenate(at_place)
             o = np.argsort(key, kind="stable")
-            key, idx = key[o], idx[o]
+            key, idx, place = key[o], idx[o], place[o]
             part = ((key * np.uint64(parts)) >> np.uint64(40)).astype(np.int64)
             cls = np.fromiter(seen, np.int64, len(seen))
             n = np.diff(begin)[mine].astype(np.int32)
             edge = np.searchsorted(part, np.arange(parts + 1))
-            cols: list[list] = [[], [], [], [], [], []]
+            cols: list[list] = [[], [], [], [], [], [], []]
             for q in range(parts):
                 lo, hi = edge[q], edge[q + 1]
                 if lo == hi:
                     continue
-                used, local = np.unique(idx[lo:hi] & 0x7FFF, return_inverse=True)
-                for col, v in zip(cols, (q, _pack(key[lo:hi]), (local.astype(np.uint16) | idx[lo:hi] & 0x8000).tobytes(), cls[used].tobytes(), n[used].tobytes(), b"".join(bits[u] for u in used))):
+                used, local = np.unique(idx[lo:hi], return_inverse=True)
+                for col, v in zip(cols, (q, _pack(key[lo:hi]), local.astype(np.uint16).tobytes(), place[lo:hi].tobytes(), cls[used].tobytes(), n[used].tobytes(), b"".join(bits[u] for u in used))):
                     col.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *(pa.array(x, pa.binary()) for x in cols[1:])], ["part", "keys", "at", "cls", "n", "bits"])
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *(pa.array(x, pa.binary()) for x in cols[1:])], ["part", "keys", "at", "place", "cls", "n", "bits"])
 
     return docs.where(F.col("text").isNotNull()).select("text").mapInArrow(run, _POST)
 
 
+def limits(n: np.ndarray, place: np.ndarray, t: float) -> np.ndarray:
+    """The largest size of a set similar to one of size n if the first shingle they share comes at this place (256ths of the prefix, rounded down) or later."""
+    p = np.minimum(n, n - np.ceil(t * n - 1e-9).astype(np.int64) + 1)
+    i = -(-place.astype(np.int64) * p // 256)
+    return np.floor((n - i) * ((1 + t) / t) - n + 1e-6).astype(np.int64)
+
+
 def tile(table: pa.Table, t: float) -> pa.Table:
-    """Pairs of classes in one part whose bitmaps allow similarity t."""
-    keys, cls, ns, words, doc, early = [], [], [], [], [], []
+    """Pairs of classes in one part whose places and bitmaps allow similarity t."""
+    keys, cls, ns, words, doc, place = [], [], [], [], [], []
     base = 0
-    for kb, ab, cb, nb, bb in zip(*(table.column(c).to_pylist() for c in ("keys", "at", "cls", "n", "bits"))):
+    for kb, ab, pb, cb, nb, bb in zip(*(table.column(c).to_pylist() for c in ("keys", "at", "place", "cls", "n", "bits"))):
         c, n = np.frombuffer(cb, np.int64), np.frombuffer(nb, np.int32)
-        at = np.frombuffer(ab, np.uint16)
-        keys.append(_unpack(kb)), doc.append((at & 0x7FFF).astype(np.int64) + base), early.append(at >> 15)
+        keys.append(_unpack(kb)), doc.append(np.frombuffer(ab, np.uint16).astype(np.int64) + base), place.append(np.frombuffer(pb, np.uint8))
         cls.append(c), ns.append(n), words.append(np.frombuffer(bb, np.uint64))
         base += len(c)
-    key, doc, cls, n = np.concatenate(keys), np.concatenate(doc), np.concatenate(cls), np.concatenate(ns).astype(np.int64)
-    band = _band(n)
-    size = np.array([width(x) // 64 for x in range(40)])[band]
-    start = np.concatenate([[0], np.cumsum(size)[:-1]])
+    key, doc, n = np.concatenate(keys), np.concatenate(doc), np.concatenate(ns).astype(np.int64)
+    size = np.array([width(x) // 64 for x in range(40)])[_band(n)]
+    start = np.cumsum(size) - size
     flat = np.concatenate(words)
-    uniq, same = np.unique(cls, return_inverse=True)
-    first = np.zeros(len(uniq), np.int64)
-    first[same] = np.arange(len(cls))
-    doc = first[same[doc]]  # one row for a class, from whichever batch
-    early = np.concatenate(early).astype(bool)
-    o = np.lexsort((doc, n[doc], key))
-    key, doc, early = key[o], doc[o], early[o]
-    keep = np.ones(len(key), bool)
-    keep[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
-    key, doc, early = key[keep], doc[keep], early[keep]
-    edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
-    many = np.diff(edge)
+    # one row for a class, from whichever batch, numbered by size
+    cls, first, same = np.unique(np.concatenate(cls), return_index=True, return_inverse=True)
+    by_size = np.argsort(n[first], kind="stable")
+    cls, first, number = cls[by_size], first[by_size], np.empty(len(by_size), np.int64)
+    number[by_size] = np.arange(len(by_size))
+    n, start, doc = n[first], start[first], number[same[doc]]
+    band = _band(n).astype(np.int8)
+    upto = np.cumsum(np.bincount(n))[np.minimum(limits(n[doc], np.concatenate(place), t), n[-1])]  # the classes of a size that the place allows come before this
+    bits = np.uint64(len(cls).bit_length())
+    code = (key - key.min()) << bits | doc.astype(np.uint64)  # a part spans a twelfth of the 40-bit keys at most
+    o = np.argsort(code)
+    code = code[o]
+    head = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+    code, upto = code[head], np.maximum.reduceat(upto[o], head)
+    key, doc = code >> bits, (code & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
     found: list[np.ndarray] = []
     total = np.int64(len(cls))
-    reach = math.ceil(math.log2(1 / t))  # size bands that similar sets may lie apart
     ratio = (1 - t) / (1 + t)  # |x ^ y| <= ratio * (|x| + |y|) for similar pairs
-
-    def bitrows(d: np.ndarray, w: int, to: int) -> np.ndarray:
-        m = flat[start[d][:, None] + np.arange(w)]
-        while m.shape[1] > to:
-            h = m.shape[1] // 2
-            m = m[:, :h] ^ m[:, h:]
-        return m
-
-    def signs(d: np.ndarray, w: int, bits: int) -> np.ndarray:
-        return 1 - 2 * np.unpackbits(bitrows(d, w // 64, bits // 64).view(np.uint8), axis=1, bitorder="little").astype(np.float32)
-
-    # small tiles: all pairs at distance 1, 2, ... in the sorted postings at once
-    small = np.repeat(many, many) <= 32
-    sk, sd = key[small], doc[small]
-    act, d = np.flatnonzero(early[small]), 0  # the smaller of a pair shares one of its first, rarest keys
-    while len(act):
-        d += 1
-        act = act[act + d < len(sk)]
-        act = act[(sk[act + d] == sk[act]) & (t * n[sd[act + d]] <= n[sd[act]] + 1e-9)]
-        x, y = sd[act], sd[act + d]
-        for b in np.unique(band[x]):
-            for c in range(b, b + reach + 1):
-                at = (band[x] == b) & (band[y] == c)
-                if not at.any():
-                    continue
-                for lo in range(0, int(at.sum()), 50_000):
-                    p, q = x[at][lo : lo + 50_000], y[at][lo : lo + 50_000]
-                    wb, wc = width(int(b)) // 64, width(int(c)) // 64
-                    to = max(4, wb // 2) if b == c else wb
-                    diff = np.bitwise_count(bitrows(p, wb, to) ^ bitrows(q, wc, to)).sum(axis=1, dtype=np.int64)
-                    ok = diff <= ratio * (n[p] + n[q]) + 1e-9
-                    found.append(np.minimum(p[ok], q[ok]) * total + np.maximum(p[ok], q[ok]))
-    # large tiles: signatures as +-1, differing bits by a matrix product, band against band
-    for lo, hi in zip(edge[:-1][many > 32], edge[1:][many > 32]):
-        g, first_keys = doc[lo:hi], early[lo:hi]
-        if not first_keys.any():
-            continue
-        gb = band[g]
-        cut = np.flatnonzero(np.concatenate([[True], gb[1:] != gb[:-1], [True]]))
-        runs = [(int(gb[a]), g[a:z], np.flatnonzero(first_keys[a:z])) for a, z in zip(cut[:-1], cut[1:])]
-        for r, (b, every, where) in enumerate(runs):
-            if not len(where):
-                continue
-            rows = every[where]
-            for c, cols, _ in runs[r : r + reach + 1]:
-                if c > b + reach:
-                    break
-                bits = max(256, width(b) // 2) if c == b else width(b)
-                # the last two columns add both sizes' shares of the limit, so one product and one comparison decide
-                left = np.empty((len(rows), bits + 2), np.float32)
-                left[:, :bits], left[:, bits], left[:, bits + 1] = signs(rows, width(b), bits), 2 * ratio * n[rows], 1
-                right = np.empty((len(cols), bits + 2), np.float32)
-                right[:, :bits], right[:, bits], right[:, bits + 1] = signs(cols, width(c), bits), 1, 2 * ratio * n[cols]
-                for i in range(0, len(rows), BLOCK):
-                    p, at_row = rows[i : i + BLOCK], where[i : i + BLOCK]
-                    for j in range(int(at_row[0]) + 1 if c == b else 0, len(cols), BLOCK):
-                        q = cols[j : j + BLOCK]
-                        if t * n[q[0]] > n[p[-1]] + 1e-9:
-                            break
-                        at = np.flatnonzero(left[i : i + BLOCK] @ right[j : j + BLOCK].T >= bits - 1e-2)
-                        if not len(at):
-                            continue
-                        x, y = at // len(q), at % len(q)
-                        ok = at_row[x] < j + y if c == b else p[x] != q[y]
-                        u, v = p[x[ok]], q[y[ok]]
-                        found.append(np.minimum(u, v) * total + np.maximum(u, v))
-    code = np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
-    a, z = cls[code // total], cls[code % total]
+    folded: dict[tuple[int, int], np.ndarray] = {}
+
+    def bitrows(b: int, to: int) -> np.ndarray:
+        """The bitmaps of a band's classes, folded to so many words."""
+        if (b, to) not in folded:
+            m = flat[start[band == b][:, None] + np.arange(width(b) // 64)]
+            while m.shape[1] > to:
+                h = m.shape[1] // 2
+                m = m[:, :h] ^ m[:, h:]
+            folded[b, to] = m
+        return folded[b, to]
+
+    def near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Codes of the pairs, x the smaller, whose bitmaps allow similarity t."""
+        out = [np.empty(0, np.int64)]
+        kind = band[x].astype(np.int16) << 8 | band[y]
+        for b, c in zip(*divmod(np.flatnonzero(np.bincount(kind)), 256)):
+            at = np.flatnonzero(kind == (b << 8 | c))
+            to = max(4, width(int(b)) // 128) if b == c else width(int(b)) // 64
+            mx, my, bx, by = bitrows(int(b), to), bitrows(int(c), to), np.searchsorted(band, b), np.searchsorted(band, c)
+            step = max(1, WORDS // to)
+            for lo in range(0, len(at), step):
+                p, q = x[at[lo : lo + step]], y[at[lo : lo + step]]
+                diff = np.bitwise_count(mx[p - bx] ^ my[q - by]).sum(axis=1, dtype=np.int64)
+                ok = diff <= ratio * (n[p] + n[q]) + 1e-9
+                out.append(p[ok] * total + q[ok])
+        return np.concatenate(out)
+
+    # a posting meets the later ones of its key up to the size that its own place allows, if theirs allow it too
+    some = np.flatnonzero((key[1:] == key[:-1]) & (upto[:-1] > doc[1:]))
+    many = np.searchsorted(code, (key[some] << bits) + upto[some].astype(np.uint64)) - some - 1
+    ends = np.cumsum(many)
+    a = 0
+    while a < len(some):
+        z = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + AT_ONCE, side="right")))
+        c = many[a:z]
+        x = np.repeat(some[a:z], c)
+        y = np.arange(len(x)) + np.repeat(some[a:z] + 1 - (np.cumsum(c) - c), c)
+        ok = np.flatnonzero(upto[y] > doc[x])
+        found.append(near(doc[x[ok]], doc[y[ok]]))
+        a = z
+    codes = np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
+    a, z = cls[codes // total], cls[codes % total]
     return pa.table({"a": pa.array(np.minimum(a, z)), "b": pa.array(np.maximum(a, z))})
 
 

@@ -80,3 +80,35 @@ def test_groups(spark):
     got = {r.id: r.group_id for r in N.groups(spark.createDataFrame(edges, "first_id long, second_id long"), "g").collect()}
     assert all(got[i] == 1 for i in (1, 2, 3, 4, 9)) and all(got[i] == 10 for i in (10, 11, 12)) and got[21] == 20
     assert {got[i] for i in range(100, 141)} == {100}
+
+
+def test_few_postings_are_compared(spark, monkeypatch):
+    """Texts made of common phrases share keys with many others; sizes and places in the prefix leave few to compare, and lose none."""
+    r = random.Random(6)
+    phrases = [" ".join(f"p{i}w{j}" for j in range(12)) for i in range(60)]
+    texts = [" ".join([*r.sample(phrases, r.randint(3, 12)), *(f"u{r.randint(0, 10**6)}" for _ in range(r.randint(5, 60)))]) for _ in range(120)]
+    texts += [f"{x} some words more {i}" for i, x in enumerate(texts[:30])]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string").coalesce(1)
+    order = spark.sparkContext.broadcast(N.rarity(N.sign(df, 3, 30)))
+    post = N.postings(df, 3, 0.5, 30, order, 1).toArrow()
+    compared, count = [], N.np.bitwise_count
+    monkeypatch.setattr(N.np, "bitwise_count", lambda m: compared.append(len(m)) or count(m))
+    got = {(a, b) for a, b in zip(*(N.tile(post, 0.5).column(c).to_pylist() for c in "ab"))}
+    cls = {r.id: r.cls for r in N.sign(df, 3, 30).where("id is not null").collect()}
+    want = {(min(cls[a], cls[b]), max(cls[a], cls[b])) for a, b in brute(list(enumerate(texts)), 3, 0.5, 30)}
+    assert want <= got and len(want) >= 30
+    assert sum(compared) < 3500  # 4890 without the places
+
+
+@pytest.mark.parametrize("t", [0.3, 0.5, 0.8])
+def test_limits_lose_no_pair(t):
+    """Sets as similar as asked, to the element: the place of the first that they share always allows the other's size."""
+    r, of = random.Random(7), N.np.array
+    for _ in range(300):
+        x, y = r.randint(5, 1500), r.randint(5, 1500)
+        both = N.math.ceil(t * (x + y) / (1 + t) - 1e-9)
+        if both > min(x, y):
+            continue
+        for m, other in ((x, y), (y, x)):  # those that they share come last
+            prefix = min(m, m - N.math.ceil(t * m - 1e-9) + 1)
+            assert m - both < prefix and N.limits(of([m]), of([(m - both) * 256 // prefix], N.np.uint8), t)[0] >= other
