@@ -9,7 +9,7 @@ from newsloom.functions import arrays, times
 from newsloom.operators import archive as A
 from newsloom.plans.relational_queries import now
 from newsloom.plans.text_queries import _T, _texts, _xml
-from newsloom.runtime import table
+from newsloom.runtime import table, written
 
 
 def _records(spark, d) -> DataFrame:
@@ -31,11 +31,26 @@ def article_records(spark, d) -> DataFrame:
 
 def archive_files(spark, d) -> DataFrame:
     """The archive file each text goes to: by access tag, half-hour window and size."""
-    t = _texts(spark, d).join(table(spark, d, "feed_article").select("id", "found", "acl_tagset"), "id")
-    r = t.select("id", F.explode(arrays.access_tags(F.col("acl_tagset"), F.lit(None).cast("string"))).alias("acl"), F.col("found").alias("at"), F.octet_length("content").alias("bytes"))
+    return _placed(spark, d, _texts(spark, d).select("id", F.octet_length("content").alias("bytes")))
+
+
+def _placed(spark, d, sizes: DataFrame) -> DataFrame:
+    t = sizes.join(table(spark, d, "feed_article").select("id", "found", "acl_tagset"), "id")
+    r = t.select("id", F.explode(arrays.access_tags(F.col("acl_tagset"), F.lit(None).cast("string"))).alias("acl"), F.col("found").alias("at"), "bytes")
     return A.rotated(r, limit=2000).select("acl", "id", "slot", "part", "bytes")
 
 
+def _sizes(spark, d, owner: str) -> DataFrame:
+    """(id, bytes) of the cleartexts, of the least where an id has several. Contents are shuffled only of ids whose texts
+    differ in size; those ids are written first, so that the planner knows how many there are."""
+    t = table(spark, d, "processed_article").where("mode = 'cleartext' and feed_articleid is not null").select(F.col("feed_articleid").alias("id"), "content")
+    size = F.octet_length("content")
+    ends = t.select("id", size.alias("n")).groupBy("id").agg(F.min("n").alias("bytes"), F.max("n").alias("most"))
+    open_ = written(ends.where("bytes < most").select("id"), owner)
+    least = t.join(open_, "id", "left_semi").groupBy("id").agg(F.min("content").alias("content"))
+    return ends.where("bytes is null or bytes = most").select("id", "bytes").unionByName(least.select("id", size.alias("bytes")))
+
+
 def archive_index(spark, d) -> DataFrame:
     """Files of the archive with their records and bytes, and the times in their names."""
     f = archive_files(spark, d).groupBy("acl", "slot", "part").agg(F.count("*").alias("records"), F.sum("bytes").cast("long").alias("bytes"))

@@ -9,7 +9,7 @@ from newsloom.functions import arrays, text, urls
 from newsloom.functions.iso639 import language
 from newsloom.operators import archive as A
 from newsloom.operators.enrich import enriched
-from newsloom.plans.archive_queries import _FILES, archive_files
+from newsloom.plans.archive_queries import _FILES, _placed, _sizes
 from newsloom.plans.language_queries import sql_language
 from newsloom.plans.relational_queries import SQL_NOW, now
 from newsloom.plans.text_queries import _T, _texts, _titles, _xml
@@ -190,11 +190,11 @@ def archive_written(spark, d) -> DataFrame:
     """The archive as compressed files, each with its envelope, read back: records and envelopes of each file."""
     fresh("archive")
     spark_dir = owned(f"{shared_dir(spark)}/newsloom-archive-{abs(hash(d)) % 10**8}", "archive")
-    r = archive_files(spark, d).join(_titles(spark, d).groupBy("id").agg(F.min("title").alias("title")), "id", "left")
+    r = _placed(spark, d, _sizes(spark, d, "archive")).join(_meta(spark, d).groupBy("id").agg(F.min("title").alias("title")), "id", "left")
     xml = F.concat(F.lit('<article id="'), F.col("id").cast("string"), F.lit('">'), F.coalesce(A.element("title", text.xml_escape(F.col("title"))), F.lit("")), F.lit("</article>"))
     A.write_archive(r.select("acl", "slot", "part", "id", xml.alias("xml")), spark_dir)
-    got = spark.read.text(spark_dir)
-    return got.groupBy("acl", "slot", "part").agg(F.count_if(F.startswith("value", F.lit("<article id"))).alias("records"), F.count_if(F.startswith("value", F.lit("<?xml"))).alias("heads"), F.count_if(F.col("value") == A.FOOTER).alias("feet")).select("acl", F.col("slot").cast("long").alias("slot"), F.col("part").cast("long").alias("part"), "records", "heads", "feet")
+    got = A.read_archive(spark, spark_dir)
+    return got.groupBy("acl", "slot", "part").agg(F.count_if(F.startswith("value", F.lit("<article id"))).alias("records"), F.count_if(F.startswith("value", F.lit("<?xml"))).alias("heads"), F.count_if(F.col("value") == A.FOOTER).alias("feet"))
 
 
 def records_unwrapped(spark, d) -> DataFrame:

@@ -1,3 +1,4 @@
+import gzip
 import xml.dom.minidom
 
 from hypothesis import given
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions import arrays, text, urls
 from newsloom.operators import archive, extract
+from newsloom.plans import archive_queries
 
 
 def one(spark, col, **cols):
@@ -60,6 +62,36 @@ def test_rotation_bounds(spark):
     assert sizes <= 1000 + 300
 
 
+def test_archive_files(spark, tmp_path):
+    path = f"file://{tmp_path}/an archive"
+    rows = [("a/b", 5, 0, 2, "<y>"), ("a/b", 5, 0, 1, "<x>"), ("a/b", 5, 1, 3, "two\nlines"), ("007", 50, 0, 1, "ü"), ("", 5, 0, 1, None), (None, 5, 0, 1, "n"), ("..", None, 0, 1, "z")]
+    schema = "acl string, slot long, part long, id long, xml string"
+    for some in (rows[:1] + [("gone", 1, 0, 1, "old")], rows):  # the second replaces the first
+        archive.write_archive(spark.createDataFrame(some, schema), path)
+    files = [p for p in tmp_path.rglob("*") if p.is_file()]
+    assert len(files) == 6 and all(p.name.endswith(".xml.gz") for p in files)  # one for each part, nothing beside it
+    got = sorted((str(r.acl), str(r.slot), r.part, r.value) for r in archive.read_archive(spark, path).collect() if r.value not in (*archive.HEADER.split("\n"), archive.FOOTER))
+    assert got == sorted([("a/b", "5", 0, "<x>"), ("a/b", "5", 0, "<y>"), ("a/b", "5", 1, "two"), ("a/b", "5", 1, "lines"), ("007", "50", 0, "ü"), ("", "5", 0, ""), ("None", "5", 0, "n"), ("..", "None", 0, "z")])
+    first = gzip.decompress(next(p for p in files if p.name == "5_0.xml.gz" and "a%2Fb" in str(p)).read_bytes()).decode()
+    assert first == f"{archive.HEADER}\n<x>\n<y>\n{archive.FOOTER}\n"
+    archive.write_archive(spark.createDataFrame([], schema), path)
+    assert archive.read_archive(spark, path).count() == 0
+
+
+def test_sizes_of_repeated_texts(spark, tmp_path):
+    rows = [(1, "cleartext", "b"), (1, "cleartext", "aaaa"), (2, "cleartext", "xy"), (2, "cleartext", "zü"), (3, "cleartext", None), (3, "cleartext", "q"), (4, "cleartext", None), (5, "html", "w"), (6, "cleartext", "é"), (None, "cleartext", "n")]
+    spark.createDataFrame(rows, "feed_articleid long, mode string, content string").write.parquet(f"{tmp_path}/processed_article.parquet")
+    got = archive_queries._sizes(spark, str(tmp_path), "test-sizes")
+    assert sorted(tuple(r) for r in got.collect()) == [(1, 4), (2, 2), (3, 1), (4, None), (6, 2)]
+
+
+def test_archive_outside_a_file_tree(spark, tmp_path, monkeypatch):
+    whole = archive._folder
+    monkeypatch.setattr(archive, "_folder", lambda *a: (*whole(*a)[:2], None))
+    archive.write_archive(spark.createDataFrame([("p", 5, 0, 2, "<y>"), ("p", 5, 0, 1, "<x>")], "acl string, slot long, part long, id long, xml string"), f"file://{tmp_path}/a")
+    assert [tuple(r) for r in archive.read_archive(spark, f"file://{tmp_path}/a").collect()] == [("p", 5, 0, x) for x in (*archive.HEADER.split("\n"), "<x>", "<y>", archive.FOOTER)]
+
+
 PAGE = "<html><head><title>Big day for the river town - Daily News</title></head><body><nav><p>{nav}</p></nav><div class='story'>{body}</div><div id='footer'><p>{nav}</p></div></body></html>"
 
 
