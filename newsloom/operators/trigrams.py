@@ -1,8 +1,9 @@
 """Language by letter trigrams: counts, a multinomial naive Bayes model, scoring; scripts by character classes.
 
-Everything is a DataFrame: trigram counts are pre-aggregated by document before the model is joined,
-and the model (languages times trigrams of the training corpus) is left to the planner to broadcast
-while it is small. Cases: texts of fewer than three letters have no trigram and language null; a
+Everything is a DataFrame: the model (trigrams of the training corpus, each with its languages) is counted and, while
+it is small, broadcast to the trigrams of the documents, so that only sums by document and language are shuffled; a
+larger one is joined as the planner likes. Documents are joined with nothing else, as what has a row for each of them
+must not be broadcast. Cases: texts of fewer than three letters have no trigram and language null; a
 trigram the model doesn't know has no say; ties go to the language last in the alphabet.
 """
 
@@ -23,11 +24,15 @@ SCRIPTS = {
 }
 
 
+def _grams(docs: DataFrame) -> DataFrame:
+    """(id, gram) of (id, text), a null where there is none."""
+    plain = docs.select("id", F.explode(F.array(F.lower(collapse_digits(F.col("text"))))).alias("plain"))  # made once, not for each trigram
+    return plain.select("id", F.explode_outer(trigrams(F.col("plain"))).alias("gram"))
+
+
 def counts(docs: DataFrame) -> DataFrame:
     """(id, gram, c) of (id, text)."""
-    plain = docs.select("id", F.explode(F.array(F.lower(collapse_digits(F.col("text"))))).alias("plain"))  # made once, not for each trigram
-    g = plain.select("id", F.explode(trigrams(F.col("plain"))).alias("gram"))
-    return g.groupBy("id", "gram").agg(F.count("*").alias("c"))
+    return _grams(docs).where("gram is not null").groupBy("id", "gram").agg(F.count("*").alias("c"))
 
 
 def train(samples: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -40,16 +45,19 @@ def train(samples: DataFrame) -> tuple[DataFrame, DataFrame]:
     return model, langs.select("lang", "prior", "unknown")
 
 
-def predict(docs: DataFrame, model: DataFrame, langs: DataFrame) -> DataFrame:
-    """(id, lang): known trigrams by their likelihood, those another language knows by the unknown mass."""
-    c = counts(docs)
-    known = c.join(model.select("gram").distinct(), "gram", "left_semi")
-    total = known.groupBy("id").agg(F.sum("c").alias("all"))
-    seen = known.join(model, "gram").groupBy("id", "lang").agg(F.sum(F.col("c") * F.col("m")).alias("s"), F.sum("c").alias("n"))
-    scored = seen.join(langs, "lang").join(total, "id")
-    t = scored.select("id", "lang", F.round(F.col("s") + F.col("prior") + (F.col("all") - F.col("n")) * F.col("unknown"), 6).alias("t"))
-    best = t.groupBy("id").agg(F.max(F.struct("t", "lang"))["lang"].alias("lang"))
-    return docs.select("id").distinct().join(best, "id", "left")
+def predict(docs: DataFrame, model: DataFrame, langs: DataFrame, small: int = 2**17) -> DataFrame:
+    """(id, lang): known trigrams by their likelihood, those another language knows by the unknown mass. A model of at most
+    ``small`` rows is broadcast."""
+    # the entry without a language counts all known trigrams
+    known = model.groupBy("gram").agg(F.array_append(F.collect_list(F.struct("lang", "m")), F.struct(F.lit(None).cast("string").alias("lang"), F.lit(0.0).alias("m"))).alias("e"))
+    if model.count() <= small:
+        known = F.broadcast(known)
+    e = _grams(docs).join(known, "gram", "left").select("id", F.explode_outer("e").alias("e"))
+    seen = e.groupBy("id", "e.lang").agg(F.sum("e.m").alias("s"), F.count("e").alias("n"))
+    scored = seen.join(F.broadcast(langs), "lang", "left")  # a row for each language
+    by = scored.groupBy("id").agg(F.max(F.when(F.col("lang").isNull(), F.col("n"))).alias("all"), F.collect_list(F.when(F.col("lang").isNotNull(), F.struct("s", "n", "prior", "unknown", "lang"))).alias("by"))
+    best = F.array_max(F.transform("by", lambda x: F.struct(F.round(x["s"] + x["prior"] + (F.col("all") - x["n"]) * x["unknown"], 6).alias("t"), x["lang"].alias("lang"))))
+    return by.select("id", F.when(F.col("id").isNotNull(), best["lang"]).alias("lang"))
 
 
 def script_counts(c: Column) -> dict[str, Column]:

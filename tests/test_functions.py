@@ -1,12 +1,16 @@
 import gzip
+import math
+import re
 import xml.dom.minidom
+from collections import Counter
 
+import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from newsloom.functions import arrays, text, urls
-from newsloom.operators import archive, extract
+from newsloom.operators import archive, extract, trigrams
 from newsloom.plans import archive_queries
 
 
@@ -78,6 +82,37 @@ def test_archive_files(spark, tmp_path):
     assert archive.read_archive(spark, path).count() == 0
 
 
+SAMPLES = [("eng", "the bridge and the house of the town"), ("eng", "another day in the town"), ("deu", "die Brücke und das Haus der Stadt"), ("nld", "de brug en het huis van de stad")]
+TEXTS = [(1, "the town house"), (2, "das Haus der Stadt 12"), (3, "het huis van de stad"), (4, "xq"), (5, None), (6, "ωψφ ωψφ"), (7, "die Stadt"), (7, "the and the house"), (8, "st"), (9, ""), (10, "stad"), (None, "the town")]
+
+
+def bayes(samples, texts):
+    """Naive Bayes by hand: {id: language}."""
+    def grams(t):
+        t = re.sub(r"[\s0-9]+", " ", t or "").lower()
+        return [("<" if g[0] == " " else g[0]) + g[1] + (">" if g[2] == " " else g[2]) for g in (t[i : i + 3] for i in range(len(t) - 2)) if g[1] != " "]
+
+    c = {lang: Counter() for lang, _ in samples}
+    for lang, t in samples:
+        c[lang].update(grams(t))
+    kinds, every = set().union(*c.values()), sum(x.total() for x in c.values())
+    out = {}
+    for i in {i for i, _ in texts}:
+        g = [x for j, t in texts if j == i for x in grams(t) if x in kinds]
+        t = [(round(math.log(n.total() / every) + sum(math.log((n[x] + 1) / (n.total() + len(kinds))) for x in g), 6), lang) for lang, n in c.items() if any(x in n for x in g)]
+        out[i] = max(t)[1] if t and i is not None else None
+    return out
+
+
+@pytest.mark.parametrize("small", [0, 2**17])
+def test_trigram_languages(spark, small):
+    m, langs = trigrams.train(spark.createDataFrame(SAMPLES, "lang string, text string"))
+    got = trigrams.predict(spark.createDataFrame(TEXTS, "id long, text string"), m, langs, small)
+    assert sorted(map(str, ((r.id, r.lang) for r in got.collect()))) == sorted(map(str, bayes(SAMPLES, TEXTS).items()))
+    joins = [x for x in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in x]
+    assert len(joins) > 1 and not any(re.search(r"\bid#", x) for x in joins)  # nothing with a row for each document can be broadcast
+
+
 def test_sizes_of_repeated_texts(spark, tmp_path):
     rows = [(1, "cleartext", "b"), (1, "cleartext", "aaaa"), (2, "cleartext", "xy"), (2, "cleartext", "zü"), (3, "cleartext", None), (3, "cleartext", "q"), (4, "cleartext", None), (5, "html", "w"), (6, "cleartext", "é"), (None, "cleartext", "n")]
     spark.createDataFrame(rows, "feed_articleid long, mode string, content string").write.parquet(f"{tmp_path}/processed_article.parquet")
